@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The reference has no streaming surface - no stream source or sink, watermark, window over
+event time or stateful operator - so nothing is built here.  Its raw-file ingest is a batch
+read of CSV files (``lakecheck.sources.csv``).
+"""
