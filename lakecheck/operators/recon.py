@@ -3,10 +3,11 @@ RECORD_DIFF, diff details and the check log.
 
 Plan shape (what makes it hold at scale)
 ----------------------------------------
-* **One pass for the table-level checks.**  ``metrics`` projects both sides to
-  (side, amounts as decimal, 60-bit row hash), unions them and runs a single global
-  aggregate: row counts, exact decimal sums and both fingerprints in one job, each task
-  emitting one partial row.  No ``collect``; statuses are ``when`` expressions.
+* **One aggregate for all checks.**  ``metrics`` projects both sides to (side, amounts as
+  decimal, 60-bit row hash), unions them with the compact diff's ``n_rows`` and runs a single
+  global aggregate: row counts, exact decimal sums, both fingerprints and the diff count in
+  one job, each task emitting one partial row.  No ``collect``; statuses are ``when``
+  expressions.
 * **Exact, order-independent numbers.**  Sums are ``decimal(18,2)`` per value (the
   reference's double sums depend on task order); the fingerprint is the sum of the first
   15 hex digits of md5 as ``decimal(38,0)`` - independent of partitioning and sensitive to
@@ -14,7 +15,8 @@ Plan shape (what makes it hold at scale)
 * **Record diff without repeated work per duplicate.**  Each side is first collapsed to
   distinct (key, compared columns) with a count (partial aggregation before the shuffle,
   so a hot key with repeated payloads shrinks map-side), then full-outer-joined on the
-  key.  A diff row carries ``n_rows`` = the number of rows the reference's row-level join
+  key.  ``run_checks`` groups each side once by every column any check needs and derives
+  the metrics from the same grouped rows, so each table is read and shuffled once.  A diff row carries ``n_rows`` = the number of rows the reference's row-level join
   would emit for it (``src count x tgt count``); ``expand_diff`` materialises them when rows
   are wanted, the RECORD_DIFF count is ``sum(n_rows)`` without expanding.  Keys that repeat
   with *different* payloads on both sides still pair every source payload with every
@@ -93,28 +95,63 @@ def fingerprint(df: DataFrame, cols: Sequence[str], decimal_scale: int | None =
 
 # ---------------------------------------------------------------- one-pass metrics
 
-def _side(df: DataFrame, tag: str, spec: CheckSpec) -> DataFrame:
-    cols = [F.lit(tag).alias("__lc_side")]
-    cols += [F.col(c).cast(AMOUNT).alias(f"__lc_s{i}") for i, c in enumerate(spec.sum_cols)]
-    cols.append(hash60(row_hash(df, spec.hash_cols, spec.sep, spec.decimal_scale, spec.null_token))
-                .alias("__lc_h"))
+def _side(df: DataFrame, tag: str, spec: CheckSpec, weight: str | None = None) -> DataFrame:
+    """Project one side to (side, row weight, weighted decimal amounts, weighted hash).
+    ``weight`` names a multiplicity column (rows pre-grouped by all compared columns)."""
+    n = F.lit(1).cast("bigint") if weight is None else F.col(weight)
+    cols = [F.lit(tag).alias("__lc_side"), n.alias("__lc_cnt")]
+    for i, c in enumerate(spec.sum_cols):
+        v = F.col(c).cast(AMOUNT)
+        cols.append((v if weight is None else v * n).alias(f"__lc_s{i}"))
+    h = hash60(row_hash(df, spec.hash_cols, spec.sep, spec.decimal_scale, spec.null_token))
+    cols.append((h if weight is None else (h * n).cast(T.DecimalType(38, 0))).alias("__lc_h"))
+    cols.append(F.lit(None).cast("bigint").alias("__lc_d"))
     return df.select(*cols)
 
 
-def metrics(src: DataFrame, tgt: DataFrame, spec: CheckSpec) -> DataFrame:
-    """One row with src_rows, tgt_rows, src_sum{i}, tgt_sum{i}, src_fp, tgt_fp - one job."""
-    u = _side(src, "s", spec).unionByName(_side(tgt, "t", spec))
+def _diff_side(diff: DataFrame, spec: CheckSpec) -> DataFrame:
+    cols = [F.lit("d").alias("__lc_side"), F.lit(None).cast("bigint").alias("__lc_cnt")]
+    cols += [F.lit(None).cast(AMOUNT).alias(f"__lc_s{i}") for i, _ in enumerate(spec.sum_cols)]
+    cols.append(F.lit(None).cast(T.DecimalType(38, 0)).alias("__lc_h"))
+    cols.append(F.col("n_rows").alias("__lc_d"))
+    return diff.select(*cols)
+
+
+def _metrics_of(u: DataFrame, spec: CheckSpec) -> DataFrame:
     is_s, is_t = F.col("__lc_side") == "s", F.col("__lc_side") == "t"
-    aggs = [F.count_if(is_s).alias("src_rows"), F.count_if(is_t).alias("tgt_rows")]
+    cnt = F.col("__lc_cnt")
+    aggs = [F.coalesce(F.sum(F.when(is_s, cnt)), F.lit(0)).cast("bigint").alias("src_rows"),
+            F.coalesce(F.sum(F.when(is_t, cnt)), F.lit(0)).cast("bigint").alias("tgt_rows")]
     for i, _ in enumerate(spec.sum_cols):
         v = F.col(f"__lc_s{i}")
         aggs.append(F.coalesce(F.sum(F.when(is_s, v)), F.lit(0)).cast(AMOUNT_TEXT).alias(f"src_sum{i}"))
         aggs.append(F.coalesce(F.sum(F.when(is_t, v)), F.lit(0)).cast(AMOUNT_TEXT).alias(f"tgt_sum{i}"))
     aggs.append(F.sum(F.when(is_s, F.col("__lc_h"))).cast(T.DecimalType(38, 0)).alias("src_fp"))
     aggs.append(F.sum(F.when(is_t, F.col("__lc_h"))).cast(T.DecimalType(38, 0)).alias("tgt_fp"))
+    aggs.append(F.coalesce(F.sum("__lc_d"), F.lit(0)).cast("bigint").alias("n_diff"))
     return u.agg(*aggs)
 
 
+def metrics(src: DataFrame, tgt: DataFrame, spec: CheckSpec) -> DataFrame:
+    """One row with src_rows, tgt_rows, src_sum{i}, tgt_sum{i}, src_fp, tgt_fp: a projection
+    of each side and one global aggregate (partial per task) - no shuffle of the rows."""
+    return _metrics_of(_side(src, "s", spec).unionByName(_side(tgt, "t", spec)), spec)
+
+
+def _all_cols(spec: CheckSpec) -> list[str]:
+    out: list[str] = []
+    for c in [spec.key, *spec.compare_cols, *spec.hash_cols, *spec.sum_cols]:
+        if c not in out:
+            out.append(c)
+    return out
+
+
+def group_rows(df: DataFrame, cols: Sequence[str], count_col: str = "__lc_n") -> DataFrame:
+    """Distinct rows over ``cols`` with their multiplicity (partial aggregation map-side:
+    repeated rows - a hot key's copies - collapse before the shuffle)."""
+    return df.groupBy(*cols).agg(F.count(F.lit(1)).alias(count_col))
+
+
 def _row(check_type: str, metric: str, table_name: str, s: Column, t: Column,
          ok: Column, mismatch: Column) -> Column:
     return F.struct(
@@ -138,7 +175,7 @@ def _sum_rows(spec: CheckSpec) -> list[Column]:
     out = []
     for i, c in enumerate(spec.sum_cols):
         s, t = F.col(f"src_sum{i}"), F.col(f"tgt_sum{i}")
-        ok = F.abs(s - t) < F.lit(spec.tolerance)
+        ok = F.abs(s - t) < F.lit(str(spec.tolerance)).cast(AMOUNT_TEXT)
         out.append(_row(COLUMN_SUM, METRIC_SUM_PREFIX + c, spec.table_name, s, t, ok, _flag(ok)))
     return out
 
@@ -174,9 +211,18 @@ def fingerprint_check(src: DataFrame, tgt: DataFrame, spec: CheckSpec, run_id: s
 
 # ---------------------------------------------------------------- record diff
 
-def _distinct_side(df: DataFrame, key: str, cols: Sequence[str], prefix: str) -> DataFrame:
-    return (df.groupBy(key, *cols).agg(F.count(F.lit(1)).alias(f"__lc_{prefix}n"))
-              .select(key, *[F.col(c).alias(f"{prefix}{c}") for c in cols], f"__lc_{prefix}n"))
+def _diff_of_grouped(gs: DataFrame, gt: DataFrame, key: str, cols: Sequence[str],
+                     src_prefix: str, tgt_prefix: str, count_col: str = "__lc_n") -> DataFrame:
+    s = gs.select(key, *[F.col(c).alias(f"{src_prefix}{c}") for c in cols],
+                  F.col(count_col).alias("__lc_sn"))
+    t = gt.select(key, *[F.col(c).alias(f"{tgt_prefix}{c}") for c in cols],
+                  F.col(count_col).alias("__lc_tn"))
+    j = s.join(t, key, "full_outer")
+    differs = any_differs([(F.col(f"{src_prefix}{c}"), F.col(f"{tgt_prefix}{c}")) for c in cols])
+    n = F.coalesce(F.col("__lc_sn"), F.lit(1)) * F.coalesce(F.col("__lc_tn"), F.lit(1))
+    return (j.filter(differs)
+             .select(key, *[f"{src_prefix}{c}" for c in cols], *[f"{tgt_prefix}{c}" for c in cols],
+                     n.cast("bigint").alias("n_rows")))
 
 
 def record_diff(src: DataFrame, tgt: DataFrame, key: str, cols: Sequence[str],
@@ -184,14 +230,9 @@ def record_diff(src: DataFrame, tgt: DataFrame, key: str, cols: Sequence[str],
     """Compact diff: key, src_*, tgt_*, n_rows.  A row is a (key, source payload, target
     payload) combination whose payloads differ null-safely in some column; one-sided keys
     count as differing unless every compared column of the present side is NULL."""
-    s = _distinct_side(src, key, cols, src_prefix)
-    t = _distinct_side(tgt, key, cols, tgt_prefix)
-    j = s.join(t, key, "full_outer")
-    differs = any_differs([(F.col(f"{src_prefix}{c}"), F.col(f"{tgt_prefix}{c}")) for c in cols])
-    n = F.coalesce(F.col(f"__lc_{src_prefix}n"), F.lit(1)) * F.coalesce(F.col(f"__lc_{tgt_prefix}n"), F.lit(1))
-    return (j.filter(differs)
-             .select(key, *[f"{src_prefix}{c}" for c in cols], *[f"{tgt_prefix}{c}" for c in cols],
-                     n.cast("bigint").alias("n_rows")))
+    cols = list(cols)
+    return _diff_of_grouped(group_rows(src, [key, *cols]), group_rows(tgt, [key, *cols]),
+                            key, cols, src_prefix, tgt_prefix)
 
 
 def expand_diff(diff: DataFrame, cap: int | None = None) -> DataFrame:
@@ -208,8 +249,7 @@ def diff_count(diff: DataFrame) -> Column:
 
 
 def record_diff_check(src: DataFrame, tgt: DataFrame, spec: CheckSpec, run_id: str, run_ts) -> DataFrame:
-    d = record_diff(src, tgt, spec.key, spec.compare_cols)
-    return _emit(metrics(src, tgt, spec), [_diff_row(spec, diff_count(d))], run_id, run_ts)
+    return run_checks(src, tgt, spec, run_id, run_ts, only=(RECORD_DIFF,))
 
 
 def diff_details(diff: DataFrame, key: str, run_id: str, n: int = 10000) -> DataFrame:
@@ -223,10 +263,22 @@ def diff_details(diff: DataFrame, key: str, run_id: str, n: int = 10000) -> Data
 # ---------------------------------------------------------------- all checks
 
 def run_checks(src: DataFrame, tgt: DataFrame, spec: CheckSpec, run_id: str, run_ts,
-               diff: DataFrame | None = None) -> DataFrame:
-    """The five-plus check rows of one run (ROW_COUNT, one COLUMN_SUM per sum column,
-    COLUMN_HASH, RECORD_DIFF) from one metrics pass plus the diff count."""
+               diff: DataFrame | None = None, only: Sequence[str] | None = None) -> DataFrame:
+    """The check rows of one run (ROW_COUNT, one COLUMN_SUM per sum column, COLUMN_HASH,
+    RECORD_DIFF) from one aggregate.
+
+    Each side is grouped once by every column any check needs (key, compared, hashed and
+    summed columns) with a multiplicity; that grouped side feeds both the record diff and
+    the metrics (count = sum n, sums = sum v*n, fingerprint = sum h*n - all exact), so each
+    table is scanned and shuffled once for all checks.  A precomputed compact ``diff`` (e.g.
+    checkpointed for the details as well) may be passed in."""
+    cols = _all_cols(spec)
+    gs, gt = group_rows(src, cols), group_rows(tgt, cols)
     if diff is None:
-        diff = record_diff(src, tgt, spec.key, spec.compare_cols)
-    rows = [_count_row(spec), *_sum_rows(spec), _hash_row(spec), _diff_row(spec, diff_count(diff))]
-    return _emit(metrics(src, tgt, spec), rows, run_id, run_ts)
+        diff = _diff_of_grouped(gs, gt, spec.key, list(spec.compare_cols), "src_", "tgt_")
+    u = (_side(gs, "s", spec, "__lc_n").unionByName(_side(gt, "t", spec, "__lc_n"))
+         .unionByName(_diff_side(diff, spec)))
+    rows = {ROW_COUNT: [_count_row(spec)], COLUMN_SUM: _sum_rows(spec), COLUMN_HASH: [_hash_row(spec)],
+            RECORD_DIFF: [_diff_row(spec, F.col("n_diff"))]}
+    wanted = [r for k, v in rows.items() if only is None or k in only for r in v]
+    return _emit(_metrics_of(u, spec), wanted, run_id, run_ts)

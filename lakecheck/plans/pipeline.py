@@ -127,7 +127,9 @@ def run(spark: SparkSession, raw_path: str, out_dir: str, run_id: str, run_ts: s
                        "gold_run_id")
 
     src, tgt, cs = bronze["encounters"], gold["fact"], spec.check
-    diff = recon.record_diff(src, tgt, cs.key, cs.compare_cols)
+    # the compact diff feeds both the check log and the details: checkpoint it once (shared
+    # folder) instead of evaluating the outer join twice
+    diff = recon.record_diff(src, tgt, cs.key, cs.compare_cols).checkpoint(eager=True)
     writers.write_runs(recon.run_checks(src, tgt, cs, run_id, run_ts, diff=diff), f"{out}/results/checks")
     writers.write_runs(recon.diff_details(diff, cs.key, run_id, spec.details_cap),
                        f"{out}/results/diff_details")
