@@ -1,0 +1,67 @@
+"""Cleaning: deterministic keep-first dedup, validity and referential filters, profile."""
+
+from pyspark.sql import functions as F
+
+from lakecheck.operators import quality
+from lakecheck.plans import queries as Q
+from lakecheck.sources import fixtures as fx
+
+from conftest import SF_SMALL
+
+
+def test_dedup_keeps_first_by_declared_order(spark):
+    df = spark.createDataFrame([(1, 30.0, "b"), (1, 10.0, "a"), (2, None, "c"), (2, 5.0, "d")],
+                               "k int, v double, s string")
+    out = {r.k: (r.v, r.s) for r in quality.dedup(df, ["k"], [F.col("v").asc_nulls_last()]).collect()}
+    assert out == {1: (10.0, "a"), 2: (5.0, "d")}
+
+
+def test_dedup_default_order_is_all_other_columns(spark):
+    df = spark.createDataFrame([(1, "z"), (1, "a"), (None, "q"), (None, "b")], "k int, s string")
+    out = sorted((r.k if r.k is not None else -1, r.s) for r in quality.dedup(df, ["k"]).collect())
+    assert out == [(-1, "b"), (1, "a")]  # NULL keys group together
+
+
+def test_dedup_hot_key_is_reduced_before_the_shuffle(spark):
+    # one key holds a third of all rows
+    hot = spark.range(30000).select((F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id"))).alias("k"),
+                                    F.col("id").alias("v"))
+    d = quality.dedup(hot, ["k"], ["v"])
+    assert d.count() == 20001
+    assert d.filter("k = 0").collect()[0].v == 0
+    plan = d._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_valid_copy_of_duplicate_wins_and_orphans_drop(spark):
+    enc = spark.createDataFrame(
+        [(1, 10, 5.0), (1, 10, None), (2, 99, 7.0), (3, 11, -1.0), (4, 11, 3.0)],
+        "encounter_id int, patient_id int, billing_amount double")
+    pats = spark.createDataFrame([(10,), (11,)], "patient_id int")
+    out = quality.clean_fact(enc, "encounter_id", pats, "patient_id", "billing_amount",
+                             ["encounter_id", "patient_id", "billing_amount"])
+    assert sorted(tuple(r) for r in out.collect()) == [(1, 10, 5.0), (4, 11, 3.0)]
+
+
+def test_two_stage_entity_dedup_keeps_smallest_id(spark):
+    p = spark.createDataFrame([(5, "ann", 1), (2, "ann", 1), (2, "ann", 1), (3, "bob", 1)],
+                              "id int, name string, city int")
+    out = sorted(tuple(r) for r in quality.clean_entity(p, "id", ["name", "city"]).collect())
+    assert out == [(2, "ann", 1), (3, "bob", 1)]
+
+
+def test_try_casts_count_rejects(spark):
+    df = spark.createDataFrame([("1", "2025-01-02"), ("x", "nope"), (None, None)], "a string, d string")
+    out = quality.try_casts(df, {"a": "int", "d": "date"}).collect()
+    assert [r._bad_casts for r in out] == [0, 2, 0]
+
+
+def test_fixture_counts_sf0001(spark):
+    # FIXTURES.md section 4 at sf0.001
+    assert fx.src_encounter(spark, SF_SMALL).count() == 1503
+    assert fx.clean_encounter(spark, SF_SMALL).count() == 1492
+    assert fx.src_patient(spark, SF_SMALL).count() == 152
+    assert fx.clean_patient(spark, SF_SMALL).count() == 150
+    assert Q.clean_supplier(spark, SF_SMALL).count() == 10
+    prof = {r.issue: r.n for r in Q.issue_profile(spark, SF_SMALL).collect()}
+    assert prof == {"duplicate_rows": 3, "null_amount": 4, "non_positive_amount": 2, "orphan_fk": 3}
