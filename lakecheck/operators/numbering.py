@@ -7,14 +7,17 @@ A global ``Window.orderBy`` plans ``Exchange SinglePartition``.  Instead:
    bounds over the whole key tuple, so a heavy first column is still split by the rest);
 2. sort within each partition and take the in-partition position from
    ``monotonically_increasing_id`` (partition index in the upper bits, position below);
-3. count rows per partition (an aggregate over at most ``buckets`` groups), turn the
+3. checkpoint that result once (reliable checkpoint in the shared folder): the per-partition
+   counts and the rows must come from the *same* range partitioning, and two separately
+   planned range exchanges sample different bounds (the sampler is seeded by RDD id);
+4. count rows per partition (an aggregate over at most ``buckets`` groups), turn the
    counts into running offsets with a window over that tiny table, and broadcast it back
    (size bound: ``buckets`` rows, never data-dependent).
 
-Range partitioning with an explicit partition count is never coalesced by AQE, and it is
-deterministic for a given input, so a recomputed task after executor loss routes and
-numbers rows the same way.  The order columns should be unique (as a surrogate-key source
-is); ties are broken by arrival order, as with the window function.
+Ties in the order columns are broken by ``xxhash64`` of the whole row (``tiebreak=True``):
+the numbering is then repeatable, and one order value that holds a third of all rows is
+still spread over many range partitions instead of one task.  A lost executor cannot
+change the numbering: the checkpointed partitions are read back from shared storage.
 """
 
 from __future__ import annotations
@@ -24,27 +27,37 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_P, _M, _N, _OFF = "__lc_p", "__lc_m", "__lc_n", "__lc_off"
+from lakecheck.session import ensure_checkpoint_dir
+
+_P, _M, _N, _OFF, _TB = "__lc_p", "__lc_m", "__lc_n", "__lc_off", "__lc_tb"
 _POS_BITS = 33  # monotonically_increasing_id keeps the in-partition position in the low 33 bits
 
 
 def number_rows(df: DataFrame, order: Sequence[str], out_col: str,
-                offset: Column | int = 0, buckets: int | None = None) -> DataFrame:
+                offset: Column | int = 0, buckets: int | None = None,
+                tiebreak: bool = True) -> DataFrame:
     """Add ``out_col`` = offset + 1-based position of the row in ``order`` (ascending,
     NULLs first, as ``ORDER BY``).  ``offset`` may be a scalar-subquery column."""
     spark = df.sparkSession
     if buckets is None:
         buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cols = df.columns
     order = list(order)
-    ranged = df.repartitionByRange(buckets, *order)
-    counts = (ranged.select(F.spark_partition_id().alias(_P))
-              .groupBy(_P).agg(F.count(F.lit(1)).alias(_N)))
+    if tiebreak:
+        df = df.withColumn(_TB, F.xxhash64(*cols))
+        order = order + [_TB]
+    ensure_checkpoint_dir(spark)
+    located = (df.repartitionByRange(buckets, *order)
+                 .sortWithinPartitions(*order)
+                 .withColumn(_P, F.spark_partition_id())
+                 .withColumn(_M, F.monotonically_increasing_id() - F.shiftleft(
+                     F.spark_partition_id().cast("bigint"), _POS_BITS))
+                 .select(*cols, _P, _M)
+                 .checkpoint(eager=True))
+    counts = located.groupBy(_P).agg(F.count(F.lit(1)).alias(_N))
     before = Window.orderBy(_P).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(_P, F.coalesce(F.sum(_N).over(before), F.lit(0)).alias(_OFF))
-    located = (ranged.sortWithinPartitions(*order)
-               .withColumn(_P, F.spark_partition_id())
-               .withColumn(_M, F.monotonically_increasing_id()))
-    pos = F.col(_M) - F.shiftleft(F.col(_P).cast("bigint"), _POS_BITS)
     off = offset if isinstance(offset, Column) else F.lit(offset)
     numbered = located.join(F.broadcast(offsets), _P)
-    return numbered.withColumn(out_col, (F.col(_OFF) + pos + 1 + off).cast("bigint")).drop(_P, _M, _OFF)
+    out = numbered.withColumn(out_col, (F.col(_OFF) + F.col(_M) + 1 + off).cast("bigint"))
+    return out.select(*cols, out_col)

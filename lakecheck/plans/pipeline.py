@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
@@ -85,7 +85,12 @@ def run(spark: SparkSession, raw_path: str, out_dir: str, run_id: str, run_ts: s
     """Run every layer once for ``run_id``.  ``previous_dim`` (the patient dimension of an
     earlier run) switches the dimension from first load to an SCD2 update on ``as_of``."""
     out = out_dir.rstrip("/")
-    mat = writers.materialize
+    counts: dict[str, Observation] = {}
+
+    def mat(df: DataFrame, path: str) -> DataFrame:
+        """Write a layer (its row count observed during the write) and read it back."""
+        observed_df, counts[path[len(out) + 1:]] = writers.observed(df)
+        return writers.materialize(observed_df, path)
 
     raw = ingest(spark, raw_path, spec.files, spec.schemas, ingestion_ts=run_ts)
     bronze = {t: mat(df, f"{out}/bronze/{t}") for t, df in raw.items()}
@@ -108,15 +113,21 @@ def run(spark: SparkSession, raw_path: str, out_dir: str, run_id: str, run_ts: s
                            spec.enc_amount, enc_cols),
         f"{out}/silver/encounters")
 
+    dim_path = f"{out}/gold/dim_patient"
     if previous_dim is None:
-        dim_patient = dims.scd2_init(silver["patients"], spec.patient_key, spec.initial_date, spec.sk_col)
+        dim_patient = mat(dims.scd2_init(silver["patients"], spec.patient_key, spec.initial_date,
+                                         spec.sk_col), dim_path)
     else:
-        dim_patient = dims.scd2_apply(previous_dim, silver["patients"], spec.patient_key,
-                                      list(spec.patient_attrs), as_of or run_ts[:10], spec.sk_col)
+        # the next version may be computed from the files it replaces: stage it first
+        nxt, counts["gold/dim_patient"] = writers.observed(dims.scd2_apply(
+            previous_dim, silver["patients"], spec.patient_key, list(spec.patient_attrs),
+            as_of or run_ts[:10], spec.sk_col))
+        writers.staged_replace(nxt, dim_path)
+        dim_patient = spark.read.parquet(dim_path)
     gold = {
         "dim_department": mat(silver["departments"], f"{out}/gold/dim_department"),
         "dim_doctor": mat(silver["doctors"], f"{out}/gold/dim_doctor"),
-        "dim_patient": mat(dim_patient, f"{out}/gold/dim_patient"),
+        "dim_patient": dim_patient,
         "dim_date": mat(dims.date_dim(silver["encounters"], spec.enc_date), f"{out}/gold/dim_date"),
     }
     fact_cols = FACT_COLUMNS if spec.sk_col == "patient_sk" else [
@@ -142,4 +153,5 @@ def run(spark: SparkSession, raw_path: str, out_dir: str, run_id: str, run_ts: s
     writers.append(fresh, summary_path, ["run_id"])
     summary = spark.read.schema(results.SUMMARY_SCHEMA).parquet(summary_path)
     return {"bronze": bronze, "silver": silver, "gold": gold, "checks": checks,
-            "summary": summary, "run_summary": summary.filter(F.col("run_id") == run_id)}
+            "summary": summary, "run_summary": summary.filter(F.col("run_id") == run_id),
+            "row_counts": {k: v.get.get("rows") for k, v in counts.items()}}

@@ -28,6 +28,22 @@ def test_number_rows_string_keys_and_skewed_values(spark):
     assert got == [(k, i + 1) for i, k in enumerate(sorted(keys))]
 
 
+def test_number_rows_spreads_a_hot_order_value(spark):
+    # a third of the rows share one order value; ties are broken by the row hash
+    df = spark.range(3000).select((F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id"))).alias("k"),
+                                  F.col("id").alias("v"))
+    got = number_rows(df, ["k"], "sk", buckets=8)
+    assert sorted(r.sk for r in got.collect()) == list(range(1, 3001))
+    ref = df.withColumn("rn", F.row_number().over(Window.orderBy("k", "v")))
+    # positions of the non-tied keys agree with the window; tied rows fill their block
+    cmp = got.join(ref, ["k", "v"])
+    assert cmp.filter("k <> 7 and sk <> rn").count() == 0
+    sizes = got.withColumn("p", F.spark_partition_id()).groupBy("p").count().collect()
+    assert len(sizes) > 1
+    again = {(r.k, r.v): r.sk for r in number_rows(df.repartition(5), ["k"], "sk", buckets=8).collect()}
+    assert again == {(r.k, r.v): r.sk for r in got.collect()}  # repeatable
+
+
 def test_number_rows_has_no_single_partition_exchange_over_rows(spark):
     df = spark.range(1000).select(F.col("id").alias("k"))
     plan = number_rows(df, ["k"], "sk")._jdf.queryExecution().executedPlan().toString()

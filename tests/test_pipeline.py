@@ -23,8 +23,9 @@ def test_two_runs_end_to_end(spark):
     assert r1["bronze"]["encounters"].select("_source_file").distinct().first()[0] == "encounters.csv"
 
     # second run: SCD2 update from the first run's dimension; same inputs -> no new versions
-    prev = spark.read.parquet(f"{lake}/gold/dim_patient")
-    prev = spark.createDataFrame(prev.rdd, prev.schema).checkpoint()
+    assert r1["row_counts"]["silver/encounters"] == 1492
+    assert r1["row_counts"]["bronze/encounters"] == 1503
+    prev = spark.read.parquet(f"{lake}/gold/dim_patient")  # the run replaces these very files
     r2 = pipeline.run(spark, raw, lake, "20250601_000000", "2025-06-01 00:00:00", previous_dim=prev)
     assert r2["gold"]["dim_patient"].count() == 150
     assert r2["summary"].count() == 2
@@ -33,6 +34,7 @@ def test_two_runs_end_to_end(spark):
         "20250101_000000", "20250601_000000"]
 
     # re-running a run id replaces its partitions and does not duplicate the summary
+    prev = spark.read.parquet(f"{lake}/gold/dim_patient")
     r3 = pipeline.run(spark, raw, lake, "20250601_000000", "2025-06-01 00:00:00", previous_dim=prev)
     assert r3["summary"].count() == 2
     assert r3["checks"].count() == 10
