@@ -61,7 +61,19 @@ def _checks_clean(spark, sf):
 
 
 def _check_log(spark, sf):
-    return _checks_clean(spark, sf).unionByName(_checks_dirty(spark, sf))
+    """The check log as the reports see it: both runs appended to a run-partitioned dataset
+    in the shared folder and read back (a stored table, not a recomputed plan)."""
+    path = scratch_path(spark, "checks")
+    writers.write_runs(_checks_clean(spark, sf), path)
+    writers.write_runs(_checks_dirty(spark, sf), path)
+    return writers.read_runs(spark, path, recon.CHECK_SCHEMA)
+
+
+def _details(spark, sf):
+    """Diff details of the dirty run, stored per run id and read back."""
+    path = scratch_path(spark, "details")
+    writers.write_runs(recon.diff_details(_diff(spark, sf), SPEC.key, fx.RUN2_ID, DETAILS_CAP), path)
+    return writers.read_runs(spark, path)
 
 
 def _summary_all(spark, sf):
@@ -226,8 +238,7 @@ def report_checks(spark, sf):
 
 
 def report_diffs(spark, sf):
-    details = recon.diff_details(_diff(spark, sf), SPEC.key, fx.RUN2_ID, DETAILS_CAP)
-    return results.run_diffs(details, fx.RUN2_ID, SPEC.key, REPORT_CAP)
+    return results.run_diffs(_details(spark, sf), fx.RUN2_ID, SPEC.key, REPORT_CAP)
 
 
 def report_trend(spark, sf):
