@@ -19,6 +19,7 @@ def spark():
              .config("spark.sql.shuffle.partitions", "8")
              .config("spark.ui.enabled", "false")
              .config("spark.sql.session.timeZone", "UTC")
+             .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="lakecheck-test-wh-"))
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     # tests set their own checkpoint folder only where the session names none

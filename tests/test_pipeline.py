@@ -69,3 +69,16 @@ def test_write_runs_replaces_only_that_run(spark, tmp_dir):
     writers.write_runs(mk("r1", 5), tmp_dir)
     got = {r.run_id: r["count"] for r in writers.read_runs(spark, tmp_dir).groupBy("run_id").count().collect()}
     assert got == {"r1": 5, "r2": 4}
+
+
+def test_catalog_sinks(spark):
+    writers.ensure_database(spark, "lc_results")
+    name = "lc_results.summary_t"
+    assert not spark.catalog.tableExists(name)
+    writers.save_table(spark.range(3).withColumn("run_id", F.lit("r1")), name)
+    writers.save_table(spark.range(2).withColumn("run_id", F.lit("r2")), name, mode="append")
+    assert spark.catalog.tableExists(name)
+    assert spark.table(name).count() == 5
+    # an overwrite replaces the schema as well
+    writers.save_table(spark.range(1).withColumn("x", F.lit(1.5)), name)
+    assert spark.table(name).columns == ["id", "x"]
