@@ -15,7 +15,8 @@ Plan shape (what makes it hold at scale)
 * **Record diff without repeated work per duplicate.**  Each side is first collapsed to
   distinct (key, compared columns) with a count (partial aggregation before the shuffle,
   so a hot key with repeated payloads shrinks map-side), then full-outer-joined on the
-  key.  ``run_checks`` groups each side once by every column any check needs and derives
+  key - written as inner pairs plus two anti joins against distinct keys, so AQE can split
+  a skewed key on either side (it cannot split a full outer join).  ``run_checks`` groups each side once by every column any check needs and derives
   the metrics from the same grouped rows, so each table is read and shuffled once.  A diff row carries ``n_rows`` = the number of rows the reference's row-level join
   would emit for it (``src count x tgt count``); ``expand_diff`` materialises them when rows
   are wanted, the RECORD_DIFF count is ``sum(n_rows)`` without expanding.  Keys that repeat
@@ -27,6 +28,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -213,16 +216,30 @@ def fingerprint_check(src: DataFrame, tgt: DataFrame, spec: CheckSpec, run_id: s
 
 def _diff_of_grouped(gs: DataFrame, gt: DataFrame, key: str, cols: Sequence[str],
                      src_prefix: str, tgt_prefix: str, count_col: str = "__lc_n") -> DataFrame:
+    """FULL OUTER JOIN on the key, written as inner pairs + source-only + target-only rows.
+
+    Same rows as the full outer join (NULL keys never match, so they land in the one-sided
+    parts), but AQE can split a skewed key's partitions on both sides of the inner join and
+    on the probe side of each anti join - it cannot split a full outer join.  The one-sided
+    parts probe the other side's *distinct* keys, so a hot key's copies never meet."""
     s = gs.select(key, *[F.col(c).alias(f"{src_prefix}{c}") for c in cols],
                   F.col(count_col).alias("__lc_sn"))
     t = gt.select(key, *[F.col(c).alias(f"{tgt_prefix}{c}") for c in cols],
                   F.col(count_col).alias("__lc_tn"))
-    j = s.join(t, key, "full_outer")
-    differs = any_differs([(F.col(f"{src_prefix}{c}"), F.col(f"{tgt_prefix}{c}")) for c in cols])
-    n = F.coalesce(F.col("__lc_sn"), F.lit(1)) * F.coalesce(F.col("__lc_tn"), F.lit(1))
-    return (j.filter(differs)
-             .select(key, *[f"{src_prefix}{c}" for c in cols], *[f"{tgt_prefix}{c}" for c in cols],
-                     n.cast("bigint").alias("n_rows")))
+    s_cols = [f"{src_prefix}{c}" for c in cols]
+    t_cols = [f"{tgt_prefix}{c}" for c in cols]
+    differs = any_differs([(F.col(a), F.col(b)) for a, b in zip(s_cols, t_cols)])
+    pairs = (s.join(t, key, "inner").filter(differs)
+              .select(key, *s_cols, *t_cols, (F.col("__lc_sn") * F.col("__lc_tn")).alias("n_rows")))
+    src_only = (s.join(t.select(key).distinct(), key, "left_anti")
+                 .filter(reduce(or_, [F.col(c).isNotNull() for c in s_cols]))
+                 .select(key, *s_cols, *[F.lit(None).cast(gt.schema[c].dataType).alias(f"{tgt_prefix}{c}")
+                                         for c in cols], F.col("__lc_sn").alias("n_rows")))
+    tgt_only = (t.join(s.select(key).distinct(), key, "left_anti")
+                 .filter(reduce(or_, [F.col(c).isNotNull() for c in t_cols]))
+                 .select(key, *[F.lit(None).cast(gs.schema[c].dataType).alias(f"{src_prefix}{c}")
+                                for c in cols], *t_cols, F.col("__lc_tn").alias("n_rows")))
+    return pairs.unionByName(src_only).unionByName(tgt_only).withColumn("n_rows", F.col("n_rows").cast("bigint"))
 
 
 def record_diff(src: DataFrame, tgt: DataFrame, key: str, cols: Sequence[str],
