@@ -70,17 +70,19 @@ def scd2_apply(dim: DataFrame, incoming: DataFrame, key: str, tracked: Sequence[
     """Next version of the dimension after loading ``incoming`` on date ``as_of``."""
     as_of_c = _date(as_of)
     changes = scd2_changes(incoming, current(dim), key, tracked, null_safe)
-    changed_keys = changes.select(key).distinct().withColumn("__lc_chg", F.lit(True))
-    closing = F.col(CUR) & F.col("__lc_chg").isNotNull()
-    kept = (dim.join(changed_keys, key, "left")
-               .withColumn(END, F.when(closing, as_of_c).otherwise(F.col(END)))
-               .withColumn(CUR, F.when(closing, F.lit(False)).otherwise(F.col(CUR)))
-               .select(*dim.columns))
     max_sk = dim.select(F.coalesce(F.max(sk_col), F.lit(0)).cast("bigint")).scalar()
+    # number_rows checkpoints the numbered changes: the change join runs once and also
+    # yields the keys to close
     new = (number_rows(changes, [key], sk_col, max_sk, buckets)
            .withColumn(EFF, as_of_c)
            .withColumn(END, F.lit(None).cast(T.DateType()))
            .withColumn(CUR, F.lit(True)))
+    changed_keys = new.select(key).distinct().withColumn("__lc_chg", F.lit(True))
+    closing = F.col(CUR) & F.col("__lc_chg").isNotNull()
+    kept = (dim.join(changed_keys, key, "left")
+               .withColumn(END, F.when(closing, as_of_c).otherwise(F.col(END)))
+               .withColumn(CUR, F.when(closing, F.lit(False)).otherwise(F.col(CUR)))
+               .select(*dim.columns))
     return kept.unionByName(new.select(*dim.columns))
 
 

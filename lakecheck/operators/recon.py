@@ -16,12 +16,15 @@ Plan shape (what makes it hold at scale)
   distinct (key, compared columns) with a count (partial aggregation before the shuffle,
   so a hot key with repeated payloads shrinks map-side), then full-outer-joined on the
   key - written as inner pairs plus two anti joins against distinct keys, so AQE can split
-  a skewed key on either side (it cannot split a full outer join).  ``run_checks`` groups each side once by every column any check needs and derives
-  the metrics from the same grouped rows, so each table is read and shuffled once.  A diff row carries ``n_rows`` = the number of rows the reference's row-level join
-  would emit for it (``src count x tgt count``); ``expand_diff`` materialises them when rows
-  are wanted, the RECORD_DIFF count is ``sum(n_rows)`` without expanding.  Keys that repeat
-  with *different* payloads on both sides still pair every source payload with every
-  target payload - that product is what the reference's key join defines.
+  a skewed key on either side (it cannot split a full outer join).
+* **Each table read and shuffled once.**  ``run_checks`` groups each side once by every
+  column any check needs and derives both the diff and the metrics from those grouped rows.
+* **Multiplicity, not copies.**  A diff row carries ``n_rows`` = the number of rows the
+  reference's row-level join would emit for it (``src count x tgt count``).  The
+  RECORD_DIFF count is ``sum(n_rows)``; ``expand_diff`` materialises rows only where rows
+  are wanted (in bounded chunks).  Keys that repeat with *different* payloads on both sides
+  still pair every source payload with every target payload - that product is what the
+  reference's key join defines.
 """
 
 from __future__ import annotations
@@ -252,12 +255,20 @@ def record_diff(src: DataFrame, tgt: DataFrame, key: str, cols: Sequence[str],
                             key, cols, src_prefix, tgt_prefix)
 
 
+EXPAND_CHUNK = 4096  # copies per generated array when a combination is expanded to rows
+
+
 def expand_diff(diff: DataFrame, cap: int | None = None) -> DataFrame:
     """Row-level diff (the reference's rows, duplicates included).  ``cap`` bounds the copies
-    made of any one combination - exact under a later ``limit(cap)``."""
+    made of any one combination - exact under a later ``limit(cap)``.  Copies are generated
+    in two levels (chunks of ``EXPAND_CHUNK``), so no single array grows with ``n_rows``."""
     n = F.col("n_rows") if cap is None else F.least(F.col("n_rows"), F.lit(cap))
     cols = [c for c in diff.columns if c != "n_rows"]
-    return diff.select(*cols, F.explode(F.array_repeat(F.lit(0), n.cast("int"))).alias("__lc_x")).drop("__lc_x")
+    chunks = F.ceil(n / F.lit(EXPAND_CHUNK)).cast("int")
+    step1 = diff.filter(n > 0).select(*cols, n.alias("__lc_n"),
+                                      F.explode(F.sequence(F.lit(0), chunks - 1)).alias("__lc_c"))
+    size = F.least(F.lit(EXPAND_CHUNK), F.col("__lc_n") - F.col("__lc_c") * EXPAND_CHUNK).cast("int")
+    return step1.select(*cols, F.explode(F.array_repeat(F.lit(0), size)).alias("__lc_x")).drop("__lc_x")
 
 
 def diff_count(diff: DataFrame) -> Column:

@@ -155,3 +155,12 @@ def run(spark: SparkSession, raw_path: str, out_dir: str, run_id: str, run_ts: s
     return {"bronze": bronze, "silver": silver, "gold": gold, "checks": checks,
             "summary": summary, "run_summary": summary.filter(F.col("run_id") == run_id),
             "row_counts": {k: v.get.get("rows") for k, v in counts.items()}}
+
+
+def dedup_summary_table(spark: SparkSession, summary_path: str,
+                        keys: tuple = ("run_id", "table_name")) -> DataFrame:
+    """Maintenance: keep one summary row per (run, table) and rewrite the stored summary
+    from itself (staged: the new content is checkpointed before the old files go)."""
+    current = spark.read.schema(results.SUMMARY_SCHEMA).parquet(summary_path)
+    writers.staged_replace(results.dedup_summary(current, keys), summary_path, ["run_id"])
+    return spark.read.schema(results.SUMMARY_SCHEMA).parquet(summary_path)

@@ -82,3 +82,16 @@ def test_catalog_sinks(spark):
     # an overwrite replaces the schema as well
     writers.save_table(spark.range(1).withColumn("x", F.lit(1.5)), name)
     assert spark.table(name).columns == ["id", "x"]
+
+
+def test_summary_maintenance_dedup(spark, tmp_dir):
+    from lakecheck.operators import results
+    rows = [("r1", "2025-01-01 00:00:00", "t1", 5, 5, 0, 0, "PASS"),
+            ("r1", "2025-01-01 00:00:00", "t2", 5, 4, 1, 3, "FAIL")]
+    s = spark.createDataFrame(rows, "run_id string, run_ts string, table_name string, total_checks bigint, "
+                                    "passed bigint, failed bigint, total_mismatches bigint, overall_status string")
+    s = s.withColumn("run_ts", F.col("run_ts").cast("timestamp_ntz")).select(*results.SUMMARY_COLUMNS)
+    writers.append(s, tmp_dir, ["run_id"])
+    writers.append(s, tmp_dir, ["run_id"])  # the same run summarized twice
+    out = pipeline.dedup_summary_table(spark, tmp_dir)
+    assert sorted((r.run_id, r.table_name) for r in out.collect()) == [("r1", "t1"), ("r1", "t2")]
