@@ -79,11 +79,37 @@ def _read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> Data
         return spark.createDataFrame([], schema)
 
 
+LAYER_TABLES = {  # layer -> {dataset path under out_dir: catalog table name}
+    "bronze": {"bronze/departments": "raw_departments", "bronze/doctors": "raw_doctors",
+               "bronze/patients": "raw_patients", "bronze/encounters": "raw_encounters"},
+    "silver": {"silver/departments": "clean_departments", "silver/doctors": "clean_doctors",
+               "silver/patients": "clean_patients", "silver/encounters": "clean_encounters"},
+    "gold": {"gold/dim_department": "dim_department", "gold/dim_doctor": "dim_doctor",
+             "gold/dim_patient": "dim_patient", "gold/dim_date": "dim_date", "gold/fact": "fact",
+             "gold/fact_history": "fact_history"},
+    "results": {"results/checks": "checks", "results/diff_details": "diff_details",
+                "results/summary": "summary"},
+}
+PARTITIONED = {"gold/fact_history", "results/checks", "results/diff_details", "results/summary"}
+
+
+def register_layers(spark: SparkSession, out_dir: str, catalog: dict[str, str]) -> None:
+    """Register the written datasets as catalog tables, ``{layer: database}``."""
+    for layer, db in catalog.items():
+        writers.ensure_database(spark, db)
+        for rel, table in LAYER_TABLES[layer].items():
+            writers.register_table(spark, f"`{db}`.`{table}`", f"{out_dir.rstrip('/')}/{rel}",
+                                   rel in PARTITIONED)
+
+
 def run(spark: SparkSession, raw_path: str, out_dir: str, run_id: str, run_ts: str,
         as_of: str | None = None, spec: PipelineSpec = PipelineSpec(),
-        previous_dim: DataFrame | None = None) -> dict[str, DataFrame]:
+        previous_dim: DataFrame | None = None,
+        catalog: dict[str, str] | None = None) -> dict[str, DataFrame]:
     """Run every layer once for ``run_id``.  ``previous_dim`` (the patient dimension of an
-    earlier run) switches the dimension from first load to an SCD2 update on ``as_of``."""
+    earlier run) switches the dimension from first load to an SCD2 update on ``as_of``.
+    ``catalog`` ({"bronze"|"silver"|"gold"|"results": database}) also registers the written
+    datasets as external catalog tables for SQL users."""
     out = out_dir.rstrip("/")
     counts: dict[str, Observation] = {}
 
@@ -152,6 +178,8 @@ def run(spark: SparkSession, raw_path: str, out_dir: str, run_id: str, run_ts: s
     fresh = results.new_rows(existing, candidate).checkpoint(eager=True)
     writers.append(fresh, summary_path, ["run_id"])
     summary = spark.read.schema(results.SUMMARY_SCHEMA).parquet(summary_path)
+    if catalog:
+        register_layers(spark, out, catalog)
     return {"bronze": bronze, "silver": silver, "gold": gold, "checks": checks,
             "summary": summary, "run_summary": summary.filter(F.col("run_id") == run_id),
             "row_counts": {k: v.get.get("rows") for k, v in counts.items()}}

@@ -84,3 +84,16 @@ def save_table(df: DataFrame, name: str, mode: str = "overwrite",
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.saveAsTable(name)
+
+
+def register_table(spark: SparkSession, name: str, path: str, partitioned: bool = False) -> None:
+    """Expose a path dataset as an external Parquet table ``name`` for SQL users.
+
+    The table is re-created on every call (dropping an external table leaves its files), so
+    its schema follows the files; partitioned datasets merge file schemas and have their
+    run partitions recovered after each write."""
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    opts = {"mergeSchema": "true"} if partitioned else {}
+    spark.catalog.createTable(name, path=path, source="parquet", **opts)
+    if partitioned:
+        spark.catalog.recoverPartitions(name)

@@ -95,3 +95,25 @@ def test_summary_maintenance_dedup(spark, tmp_dir):
     writers.append(s, tmp_dir, ["run_id"])  # the same run summarized twice
     out = pipeline.dedup_summary_table(spark, tmp_dir)
     assert sorted((r.run_id, r.table_name) for r in out.collect()) == [("r1", "t1"), ("r1", "t2")]
+
+
+def test_catalog_registration_and_report_sql(spark):
+    from lakecheck.operators import results
+    raw = Q.stage_raw_files(spark, SF_SMALL)
+    lake = scratch_path(spark, "lake")
+    cat = {"bronze": "lc_bronze", "silver": "lc_silver", "gold": "lc_gold", "results": "lc_results_r"}
+    pipeline.run(spark, raw, lake, "20250101_000000", "2025-01-01 00:00:00", catalog=cat)
+    prev = spark.read.parquet(f"{lake}/gold/dim_patient")
+    pipeline.run(spark, raw, lake, "20250601_000000", "2025-06-01 00:00:00", previous_dim=prev, catalog=cat)
+    assert spark.table("lc_bronze.raw_encounters").count() == 1503
+    assert spark.table("lc_gold.fact").count() == 1492
+    assert spark.table("lc_gold.fact_history").select("gold_run_id").distinct().count() == 2
+    db = "lc_results_r"
+    assert [r.run_id for r in results.report(spark, db, "runs").collect()] == ["20250601_000000",
+                                                                                "20250101_000000"]
+    one = results.report(spark, db, "run_summary", "20250601_000000").collect()
+    assert len(one) == 1 and one[0].total_checks == 5
+    api = sorted(map(tuple, results.run_checks_view(spark.table(f"{db}.checks"), "20250601_000000").collect()))
+    assert sorted(map(tuple, results.report(spark, db, "checks", "20250601_000000").collect())) == api
+    assert results.report(spark, db, "diffs", "20250601_000000", n=5).count() == 5
+    assert results.report(spark, db, "trend").count() == 2
