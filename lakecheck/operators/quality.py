@@ -55,8 +55,8 @@ def clean_entity(df: DataFrame, key: str, attrs: Sequence[str], columns: Sequenc
     under a new id), keeping the smallest id.  ``casts`` are applied between the stages."""
     columns = list(columns or df.columns)
     by_id = dedup(df, [key])
-    for c, t in (casts or {}).items():
-        by_id = by_id.withColumn(c, F.col(c).cast(t))
+    for c, t in (casts or {}).items():  # try_cast: a malformed raw value becomes NULL, never fails the run
+        by_id = by_id.withColumn(c, F.col(c).try_cast(t))
     by_attrs = dedup(by_id, list(attrs), [F.col(key).asc_nulls_last()] + [
         F.col(c).asc_nulls_last() for c in by_id.columns if c != key and c not in attrs])
     return by_attrs.select(*columns)
@@ -73,15 +73,15 @@ def clean_fact(df: DataFrame, key: str, parent: DataFrame, fk: str, amount: str,
                columns: Sequence[str], parent_key: str | None = None,
                order: Sequence[Column | str] | None = None,
                casts: dict[str, str] | None = None) -> DataFrame:
-    """dedup by key -> casts -> validity (amount and fk not null, amount > 0) -> referential
-    filter -> projection, in the reference's order (dedup before validity).  The default
+    """dedup by key -> casts (``try_cast``) -> validity (amount and fk not null, amount > 0) ->
+    referential filter -> projection, in the reference's order (dedup before validity).  The default
     tie-break puts a non-null amount first so a valid copy of a duplicate wins."""
     if order is None:
         order = [F.col(amount).asc_nulls_last()] + [
             F.col(c).asc_nulls_last() for c in df.columns if c not in (key, amount)]
     out = dedup(df, [key], order)
-    for c, t in (casts or {}).items():
-        out = out.withColumn(c, F.col(c).cast(t))
+    for c, t in (casts or {}).items():  # try_cast: a malformed amount becomes NULL and fails validity
+        out = out.withColumn(c, F.col(c).try_cast(t))
     out = out.filter(positive_not_null(amount) & F.col(fk).isNotNull())
     out = fk_filter(out, parent, fk, parent_key)
     return out.select(*columns)

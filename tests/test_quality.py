@@ -65,3 +65,19 @@ def test_fixture_counts_sf0001(spark):
     assert Q.clean_supplier(spark, SF_SMALL).count() == 10
     prof = {r.issue: r.n for r in Q.issue_profile(spark, SF_SMALL).collect()}
     assert prof == {"duplicate_rows": 3, "null_amount": 4, "non_positive_amount": 2, "orphan_fk": 3}
+
+
+def test_text_ingest_bad_values_are_counted_and_dropped(spark, tmp_dir):
+    from lakecheck.sinks import writers
+    from lakecheck.sources.csv import ingest
+    raw = spark.createDataFrame([("1", "10", "5.5"), ("2", "10", "abc"), ("3", "11", "7.25")],
+                                "encounter_id string, patient_id string, billing_amount string")
+    writers.export_csv(raw, f"{tmp_dir}/enc.csv")
+    text = ingest(spark, tmp_dir, {"enc": "enc.csv"}, {"enc": "encounter_id string, patient_id string, "
+                                                              "billing_amount string"})["enc"]
+    casts = {"encounter_id": "int", "patient_id": "int", "billing_amount": "double"}
+    assert quality.try_casts(text, casts).agg(F.sum("_bad_casts")).first()[0] == 1
+    pats = spark.createDataFrame([(10,), (11,)], "patient_id int")
+    out = quality.clean_fact(text, "encounter_id", pats, "patient_id", "billing_amount",
+                             ["encounter_id", "billing_amount"], casts=casts)
+    assert sorted(tuple(r) for r in out.collect()) == [(1, 5.5), (3, 7.25)]
