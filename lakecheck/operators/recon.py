@@ -3,28 +3,27 @@ RECORD_DIFF, diff details and the check log.
 
 Plan shape (what makes it hold at scale)
 ----------------------------------------
-* **One aggregate for all checks.**  ``metrics`` projects both sides to (side, amounts as
-  decimal, 60-bit row hash), unions them with the compact diff's ``n_rows`` and runs a single
-  global aggregate: row counts, exact decimal sums, both fingerprints and the diff count in
-  one job, each task emitting one partial row.  No ``collect``; statuses are ``when``
-  expressions.
+* **One aggregate for all checks.**  Row counts, exact decimal sums, both fingerprints and
+  the diff count come out of a single global aggregate, each task emitting one partial
+  row.  No ``collect``; statuses are ``when`` expressions.
 * **Exact, order-independent numbers.**  Sums are ``decimal(18,2)`` per value (the
   reference's double sums depend on task order); the fingerprint is the sum of the first
   15 hex digits of md5 as ``decimal(38,0)`` - independent of partitioning and sensitive to
   multiplicity.
-* **Record diff without repeated work per duplicate.**  Each side is first collapsed to
-  distinct (key, compared columns) with a count (partial aggregation before the shuffle,
-  so a hot key with repeated payloads shrinks map-side), then full-outer-joined on the
-  key - written as inner pairs plus two anti joins against distinct keys, so AQE can split
-  a skewed key on either side (it cannot split a full outer join).
-* **Each table read and shuffled once.**  ``run_checks`` groups each side once by every
-  column any check needs and derives both the diff and the metrics from those grouped rows.
-* **Multiplicity, not copies.**  A diff row carries ``n_rows`` = the number of rows the
-  reference's row-level join would emit for it (``src count x tgt count``).  The
-  RECORD_DIFF count is ``sum(n_rows)``; ``expand_diff`` materialises rows only where rows
-  are wanted (in bounded chunks).  Keys that repeat with *different* payloads on both sides
-  still pair every source payload with every target payload - that product is what the
-  reference's key join defines.
+* **Both sides grouped once, together.**  ``versions`` unions the two sides and groups by
+  (key, columns) with a count per side: one shuffle for both tables, and the partial
+  aggregation collapses a hot key's identical copies map-side, before the shuffle.
+* **RECORD_DIFF counted, never enumerated.**  The reference's row-level diff is a full
+  outer join on the key, so a key with m source and n target rows stands for m x n pairs.
+  The number of differing pairs is ``m*n - sum over equal versions of (s*t)`` per key (plus
+  the flagged rows of one-sided and NULL keys): key-level aggregates only, linear work
+  whatever the duplication.
+* **Diff rows stay linear.**  Versions are paired only for keys where one side has a single
+  version (every other version meets that one row: output <= input).  A key with several
+  versions on *both* sides (many-to-many) lists each version once, with the other side's
+  columns NULL, instead of emitting the cross product; its pair count is still exact in
+  the check.  Identical copies are a count (``n_rows``), never repeated rows, except in the
+  capped details.
 """
 
 from __future__ import annotations
@@ -34,7 +33,7 @@ from dataclasses import dataclass
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,6 +42,7 @@ from lakecheck.functions.predicates import any_differs
 
 AMOUNT = T.DecimalType(18, 2)
 AMOUNT_TEXT = T.DecimalType(38, 2)
+COUNT = T.DecimalType(38, 0)   # pair counts (m * n) can exceed bigint before the subtraction
 
 # fixed values: check-log vocabulary
 ROW_COUNT, COLUMN_SUM, COLUMN_HASH, RECORD_DIFF = "ROW_COUNT", "COLUMN_SUM", "COLUMN_HASH", "RECORD_DIFF"
@@ -65,6 +65,8 @@ CHECK_SCHEMA = T.StructType([
 ])
 CHECK_COLUMNS = [f.name for f in CHECK_SCHEMA.fields]
 
+SN, TN = "__lc_sn", "__lc_tn"   # per-side multiplicity of a version
+
 
 @dataclass(frozen=True)
 class CheckSpec:
@@ -99,41 +101,104 @@ def fingerprint(df: DataFrame, cols: Sequence[str], decimal_scale: int | None =
     return df.select(h.alias("__lc_h")).agg(F.sum("__lc_h").cast(T.DecimalType(38, 0)).alias("fingerprint"))
 
 
+# ---------------------------------------------------------------- versions
+
+def check_columns(spec: CheckSpec) -> list[str]:
+    out: list[str] = []
+    for c in [spec.key, *spec.compare_cols, *spec.hash_cols, *spec.sum_cols]:
+        if c not in out:
+            out.append(c)
+    return out
+
+
+def versions(src: DataFrame, tgt: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Distinct rows over ``cols`` of both sides with their multiplicity per side
+    (``__lc_sn``, ``__lc_tn``).  One aggregation over the union: both tables share one
+    shuffle, and identical copies collapse in the map-side partial aggregate.  GROUP BY
+    treats NULLs as equal, so two versions are equal exactly when ``s <=> t`` holds for
+    every column."""
+    one, zero = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    u = (src.select(*cols, one.alias(SN), zero.alias(TN))
+         .unionByName(tgt.select(*cols, zero.alias(SN), one.alias(TN))))
+    return u.groupBy(*cols).agg(F.sum(SN).alias(SN), F.sum(TN).alias(TN))
+
+
+def narrow_versions(v: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Re-group versions to fewer columns (only when the checks grouped by more)."""
+    if set(v.columns) == {*cols, SN, TN}:
+        return v
+    return v.groupBy(*cols).agg(F.sum(SN).alias(SN), F.sum(TN).alias(TN))
+
+
+def _any_value(cols: Sequence[str]) -> Column:
+    """A one-sided row is flagged unless all its compared columns are NULL (three-valued
+    logic of the reference's predicate against the missing side)."""
+    return reduce(or_, [F.col(c).isNotNull() for c in cols])
+
+
+def key_stats(v: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
+    """Per non-NULL key: number of versions per side (``__lc_ds``, ``__lc_dt``), rows per
+    side, equal-version pairs and flagged one-sided rows; and ``__lc_d`` = the number of
+    differing row pairs of the reference's key join for that key.  Partial aggregation
+    first, so a hot key costs one row per map task in the shuffle."""
+    sn, tn, anyv = F.col(SN), F.col(TN), _any_value(cols)
+    st = (v.filter(F.col(key).isNotNull()).groupBy(key).agg(
+        F.count_if(sn > 0).alias("__lc_ds"), F.count_if(tn > 0).alias("__lc_dt"),
+        F.sum(sn).alias("__lc_m"), F.sum(tn).alias("__lc_n"),
+        F.sum(sn.cast(COUNT) * tn.cast(COUNT)).alias("__lc_eq"),
+        F.sum(F.when(anyv, sn + tn).otherwise(F.lit(0))).alias("__lc_flag")))
+    m, n = F.col("__lc_m"), F.col("__lc_n")
+    both = F.when((m > 0) & (n > 0), m.cast(COUNT) * n.cast(COUNT) - F.col("__lc_eq"))
+    return st.withColumn("__lc_d", both.otherwise(F.col("__lc_flag").cast(COUNT)))
+
+
+def _null_key_flags(v: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
+    """NULL keys never match: every such row is one-sided, flagged unless all-NULL."""
+    return (v.filter(F.col(key).isNull())
+             .select(F.when(_any_value(cols), F.col(SN) + F.col(TN)).otherwise(F.lit(0))
+                     .cast(COUNT).alias("__lc_d")))
+
+
+def diff_count_rows(v: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
+    """One ``__lc_d`` row per key (and per NULL-key version): summed, the exact row count of
+    the reference's record diff."""
+    return key_stats(v, key, cols).select("__lc_d").unionByName(_null_key_flags(v, key, cols))
+
+
 # ---------------------------------------------------------------- one-pass metrics
 
-def _side(df: DataFrame, tag: str, spec: CheckSpec, weight: str | None = None) -> DataFrame:
-    """Project one side to (side, row weight, weighted decimal amounts, weighted hash).
-    ``weight`` names a multiplicity column (rows pre-grouped by all compared columns)."""
-    n = F.lit(1).cast("bigint") if weight is None else F.col(weight)
-    cols = [F.lit(tag).alias("__lc_side"), n.alias("__lc_cnt")]
+def _weighted(df: DataFrame, spec: CheckSpec, sn: Column, tn: Column) -> DataFrame:
+    """Per row: per-side counts, decimal amounts and 60-bit hashes, weighted by the row's
+    multiplicity on each side."""
+    cols = [sn.alias("__lc_sc"), tn.alias("__lc_tc")]
     for i, c in enumerate(spec.sum_cols):
         v = F.col(c).cast(AMOUNT)
-        cols.append((v if weight is None else v * n).alias(f"__lc_s{i}"))
+        cols += [(v * sn).alias(f"__lc_ss{i}"), (v * tn).alias(f"__lc_ts{i}")]
     h = hash60(row_hash(df, spec.hash_cols, spec.sep, spec.decimal_scale, spec.null_token))
-    cols.append((h if weight is None else (h * n).cast(T.DecimalType(38, 0))).alias("__lc_h"))
-    cols.append(F.lit(None).cast("bigint").alias("__lc_d"))
+    cols += [(h * sn).cast(COUNT).alias("__lc_sh"), (h * tn).cast(COUNT).alias("__lc_th"),
+             F.lit(None).cast(COUNT).alias("__lc_d")]
     return df.select(*cols)
 
 
-def _diff_side(diff: DataFrame, spec: CheckSpec) -> DataFrame:
-    cols = [F.lit("d").alias("__lc_side"), F.lit(None).cast("bigint").alias("__lc_cnt")]
-    cols += [F.lit(None).cast(AMOUNT).alias(f"__lc_s{i}") for i, _ in enumerate(spec.sum_cols)]
-    cols.append(F.lit(None).cast(T.DecimalType(38, 0)).alias("__lc_h"))
-    cols.append(F.col("n_rows").alias("__lc_d"))
-    return diff.select(*cols)
+def _diff_part(d: DataFrame, spec: CheckSpec) -> DataFrame:
+    cols = [F.lit(None).cast("bigint").alias("__lc_sc"), F.lit(None).cast("bigint").alias("__lc_tc")]
+    for i, _ in enumerate(spec.sum_cols):
+        cols += [F.lit(None).cast(AMOUNT_TEXT).alias(f"__lc_ss{i}"),
+                 F.lit(None).cast(AMOUNT_TEXT).alias(f"__lc_ts{i}")]
+    cols += [F.lit(None).cast(COUNT).alias("__lc_sh"), F.lit(None).cast(COUNT).alias("__lc_th"),
+             F.col("__lc_d")]
+    return d.select(*cols)
 
 
 def _metrics_of(u: DataFrame, spec: CheckSpec) -> DataFrame:
-    is_s, is_t = F.col("__lc_side") == "s", F.col("__lc_side") == "t"
-    cnt = F.col("__lc_cnt")
-    aggs = [F.coalesce(F.sum(F.when(is_s, cnt)), F.lit(0)).cast("bigint").alias("src_rows"),
-            F.coalesce(F.sum(F.when(is_t, cnt)), F.lit(0)).cast("bigint").alias("tgt_rows")]
+    aggs = [F.coalesce(F.sum("__lc_sc"), F.lit(0)).cast("bigint").alias("src_rows"),
+            F.coalesce(F.sum("__lc_tc"), F.lit(0)).cast("bigint").alias("tgt_rows")]
     for i, _ in enumerate(spec.sum_cols):
-        v = F.col(f"__lc_s{i}")
-        aggs.append(F.coalesce(F.sum(F.when(is_s, v)), F.lit(0)).cast(AMOUNT_TEXT).alias(f"src_sum{i}"))
-        aggs.append(F.coalesce(F.sum(F.when(is_t, v)), F.lit(0)).cast(AMOUNT_TEXT).alias(f"tgt_sum{i}"))
-    aggs.append(F.sum(F.when(is_s, F.col("__lc_h"))).cast(T.DecimalType(38, 0)).alias("src_fp"))
-    aggs.append(F.sum(F.when(is_t, F.col("__lc_h"))).cast(T.DecimalType(38, 0)).alias("tgt_fp"))
+        aggs.append(F.coalesce(F.sum(f"__lc_ss{i}"), F.lit(0)).cast(AMOUNT_TEXT).alias(f"src_sum{i}"))
+        aggs.append(F.coalesce(F.sum(f"__lc_ts{i}"), F.lit(0)).cast(AMOUNT_TEXT).alias(f"tgt_sum{i}"))
+    # a side without rows has no fingerprint (NULL), as the reference's empty-table case
+    aggs.append(F.when(F.sum("__lc_sc") > 0, F.sum("__lc_sh")).cast(COUNT).alias("src_fp"))
+    aggs.append(F.when(F.sum("__lc_tc") > 0, F.sum("__lc_th")).cast(COUNT).alias("tgt_fp"))
     aggs.append(F.coalesce(F.sum("__lc_d"), F.lit(0)).cast("bigint").alias("n_diff"))
     return u.agg(*aggs)
 
@@ -141,21 +206,8 @@ def _metrics_of(u: DataFrame, spec: CheckSpec) -> DataFrame:
 def metrics(src: DataFrame, tgt: DataFrame, spec: CheckSpec) -> DataFrame:
     """One row with src_rows, tgt_rows, src_sum{i}, tgt_sum{i}, src_fp, tgt_fp: a projection
     of each side and one global aggregate (partial per task) - no shuffle of the rows."""
-    return _metrics_of(_side(src, "s", spec).unionByName(_side(tgt, "t", spec)), spec)
-
-
-def _all_cols(spec: CheckSpec) -> list[str]:
-    out: list[str] = []
-    for c in [spec.key, *spec.compare_cols, *spec.hash_cols, *spec.sum_cols]:
-        if c not in out:
-            out.append(c)
-    return out
-
-
-def group_rows(df: DataFrame, cols: Sequence[str], count_col: str = "__lc_n") -> DataFrame:
-    """Distinct rows over ``cols`` with their multiplicity (partial aggregation map-side:
-    repeated rows - a hot key's copies - collapse before the shuffle)."""
-    return df.groupBy(*cols).agg(F.count(F.lit(1)).alias(count_col))
+    one, zero = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    return _metrics_of(_weighted(src, spec, one, zero).unionByName(_weighted(tgt, spec, zero, one)), spec)
 
 
 def _row(check_type: str, metric: str, table_name: str, s: Column, t: Column,
@@ -217,52 +269,105 @@ def fingerprint_check(src: DataFrame, tgt: DataFrame, spec: CheckSpec, run_id: s
 
 # ---------------------------------------------------------------- record diff
 
-def _diff_of_grouped(gs: DataFrame, gt: DataFrame, key: str, cols: Sequence[str],
-                     src_prefix: str, tgt_prefix: str, count_col: str = "__lc_n") -> DataFrame:
-    """FULL OUTER JOIN on the key, written as inner pairs + source-only + target-only rows.
-
-    Same rows as the full outer join (NULL keys never match, so they land in the one-sided
-    parts), but AQE can split a skewed key's partitions on both sides of the inner join and
-    on the probe side of each anti join - it cannot split a full outer join.  The one-sided
-    parts probe the other side's *distinct* keys, so a hot key's copies never meet."""
-    s = gs.select(key, *[F.col(c).alias(f"{src_prefix}{c}") for c in cols],
-                  F.col(count_col).alias("__lc_sn"))
-    t = gt.select(key, *[F.col(c).alias(f"{tgt_prefix}{c}") for c in cols],
-                  F.col(count_col).alias("__lc_tn"))
-    s_cols = [f"{src_prefix}{c}" for c in cols]
-    t_cols = [f"{tgt_prefix}{c}" for c in cols]
-    differs = any_differs([(F.col(a), F.col(b)) for a, b in zip(s_cols, t_cols)])
-    pairs = (s.join(t, key, "inner").filter(differs)
-              .select(key, *s_cols, *t_cols, (F.col("__lc_sn") * F.col("__lc_tn")).alias("n_rows")))
-    src_only = (s.join(t.select(key).distinct(), key, "left_anti")
-                 .filter(reduce(or_, [F.col(c).isNotNull() for c in s_cols]))
-                 .select(key, *s_cols, *[F.lit(None).cast(gt.schema[c].dataType).alias(f"{tgt_prefix}{c}")
-                                         for c in cols], F.col("__lc_sn").alias("n_rows")))
-    tgt_only = (t.join(s.select(key).distinct(), key, "left_anti")
-                 .filter(reduce(or_, [F.col(c).isNotNull() for c in t_cols]))
-                 .select(key, *[F.lit(None).cast(gs.schema[c].dataType).alias(f"{src_prefix}{c}")
-                                for c in cols], *t_cols, F.col("__lc_tn").alias("n_rows")))
-    return pairs.unionByName(src_only).unionByName(tgt_only).withColumn("n_rows", F.col("n_rows").cast("bigint"))
+# fixed values: hot-key salting of the versions-to-key-statistics join
+HOT_KEYS_MAX = 10000       # a key is hot when it holds >= 1/HOT_KEYS_MAX of all versions
+SPLIT_VERSIONS = 1 << 20   # versions per salt bucket of a hot key
+
+
+def salted_join(rows: DataFrame, stats: DataFrame, key: str, size: Column,
+                spread_cols: Sequence[str]) -> DataFrame:
+    """``rows`` (many per key) joined with ``stats`` (one row per key), with hot keys split.
+
+    A key whose ``size`` (rows it has in ``rows``) is at least 1/HOT_KEYS_MAX of the total
+    and above one bucket is salted: its rows spread over ceil(size / SPLIT_VERSIONS) buckets
+    by a hash of ``spread_cols``, and only its statistics row is repeated per bucket.  At most
+    HOT_KEYS_MAX keys can pass that share test, so the hot-key list has a proven bound and is
+    broadcast; every other key keeps bucket 0.  The join runs on (key, bucket), so one key
+    holding a third of all rows still spreads over many tasks."""
+    total = stats.select(F.sum(size)).scalar()
+    hot = (stats.where((size * F.lit(HOT_KEYS_MAX) >= total) & (size > F.lit(SPLIT_VERSIONS)))
+                .select(key, F.ceil(size / F.lit(SPLIT_VERSIONS)).cast("int").alias("__lc_parts")))
+    hot = F.broadcast(hot)   # <= HOT_KEYS_MAX rows by construction
+    parts = F.coalesce(F.col("__lc_parts"), F.lit(1))
+    r = (rows.join(hot, key, "left")
+             .withColumn("__lc_b", F.pmod(F.xxhash64(*spread_cols), parts.cast("bigint")))
+             .drop("__lc_parts"))
+    st = (stats.join(hot, key, "left")
+               .withColumn("__lc_b", F.explode(F.sequence(F.lit(0).cast("bigint"),
+                                                          (parts - 1).cast("bigint"))))
+               .drop("__lc_parts"))
+    return r.join(st, [key, "__lc_b"], "inner").drop("__lc_b")
+
+
+def diff_of_versions(v: DataFrame, key: str, cols: Sequence[str],
+                     src_prefix: str = "src_", tgt_prefix: str = "tgt_") -> DataFrame:
+    """Compact record diff from versions over (key, cols): key, src_*, tgt_*, ``n_rows``.
+
+    * key on one side only, or NULL key: each version with a non-NULL value, other side NULL,
+      ``n_rows`` = its copies;
+    * one side of the key has a single version: that version paired with each differing
+      version of the other side, ``n_rows`` = s * t pairs (the reference's rows);
+    * several versions on both sides: each version listed once, other side NULL, ``n_rows``
+      = its copies (the pairs would be a cross product; their number is in the check).
+
+    The key statistics (one row per key) carry the key's version of a side when that side
+    has only one, so a single many-to-one join of versions with their key's statistics
+    yields every diff row: no self-join, output <= input, and AQE may split a hot key's
+    partition of that join."""
+    cols = list(cols)
+    sn, tn = F.col(SN), F.col(TN)
+    version = F.struct(*[F.col(c) for c in cols])
+    stats = (v.filter(F.col(key).isNotNull()).groupBy(key).agg(
+        F.count_if(sn > 0).alias("__lc_ds"), F.count_if(tn > 0).alias("__lc_dt"),
+        F.sum(sn).alias("__lc_m"), F.sum(tn).alias("__lc_n"),
+        F.first(F.when(sn > 0, version), ignorenulls=True).alias("__lc_sv"),
+        F.first(F.when(tn > 0, version), ignorenulls=True).alias("__lc_tv")))
+    zero = F.lit(0).cast("bigint")
+    none = F.lit(None).cast(stats.schema["__lc_sv"].dataType)
+    vk = (salted_join(v.filter(F.col(key).isNotNull()), stats, key,
+                      F.col("__lc_ds") + F.col("__lc_dt"), cols)
+          .unionByName(v.filter(F.col(key).isNull()).select(
+              *v.columns, zero.alias("__lc_ds"), zero.alias("__lc_dt"), zero.alias("__lc_m"),
+              zero.alias("__lc_n"), none.alias("__lc_sv"), none.alias("__lc_tv"))))
+    ds, dt = F.col("__lc_ds"), F.col("__lc_dt")
+    anyv = _any_value(cols)
+
+    def cand(ok: Column, s_ver: Column, t_ver: Column, n: Column) -> Column:
+        return F.when(ok, F.struct(s_ver.alias("s"), t_ver.alias("t"), n.cast("bigint").alias("n")))
+
+    many = (ds >= 2) & (dt >= 2)
+    candidates = F.array(
+        # one-sided (incl. NULL key) or many-to-many: the version itself, per side
+        cand((sn > 0) & (((dt == 0) & anyv) | many), version, none, sn),
+        cand((tn > 0) & (((ds == 0) & anyv) | many), none, version, tn),
+        # a single target version: each source version against it
+        cand((sn > 0) & (dt == 1) & (ds >= 1), version, F.col("__lc_tv"), sn * F.col("__lc_n")),
+        # a single source version, several target versions: it against each of them
+        cand((tn > 0) & (ds == 1) & (dt >= 2), F.col("__lc_sv"), version, tn * F.col("__lc_m")))
+    rows = vk.select(key, F.explode(F.filter(candidates, lambda x: x.isNotNull())).alias("__lc_r"))
+    s_ver, t_ver = F.col("__lc_r.s"), F.col("__lc_r.t")
+    differs = any_differs([(s_ver[c], t_ver[c]) for c in cols])
+    return (rows.where(s_ver.isNull() | t_ver.isNull() | differs)
+                .select(key, *[s_ver[c].alias(f"{src_prefix}{c}") for c in cols],
+                        *[t_ver[c].alias(f"{tgt_prefix}{c}") for c in cols],
+                        F.col("__lc_r.n").alias("n_rows")))
 
 
 def record_diff(src: DataFrame, tgt: DataFrame, key: str, cols: Sequence[str],
                 src_prefix: str = "src_", tgt_prefix: str = "tgt_") -> DataFrame:
-    """Compact diff: key, src_*, tgt_*, n_rows.  A row is a (key, source payload, target
-    payload) combination whose payloads differ null-safely in some column; one-sided keys
-    count as differing unless every compared column of the present side is NULL."""
+    """Compact diff of ``src`` and ``tgt`` on ``key`` over ``cols`` (see ``diff_of_versions``)."""
     cols = list(cols)
-    return _diff_of_grouped(group_rows(src, [key, *cols]), group_rows(tgt, [key, *cols]),
-                            key, cols, src_prefix, tgt_prefix)
+    return diff_of_versions(versions(src, tgt, [key, *cols]), key, cols, src_prefix, tgt_prefix)
 
 
-EXPAND_CHUNK = 4096  # copies per generated array when a combination is expanded to rows
+EXPAND_CHUNK = 4096  # copies per generated array when a compact row is expanded to rows
 
 
-def expand_diff(diff: DataFrame, cap: int | None = None) -> DataFrame:
-    """Row-level diff (the reference's rows, duplicates included).  ``cap`` bounds the copies
-    made of any one combination - exact under a later ``limit(cap)``.  Copies are generated
-    in two levels (chunks of ``EXPAND_CHUNK``), so no single array grows with ``n_rows``."""
-    n = F.col("n_rows") if cap is None else F.least(F.col("n_rows"), F.lit(cap))
+def expand_diff(diff: DataFrame) -> DataFrame:
+    """Row-level diff: ``n_rows`` copies of each compact row.  Copies are generated in two
+    levels (chunks of ``EXPAND_CHUNK``), so no single array grows with ``n_rows``.  Only for
+    bounded inputs (the capped details); the compact form is the result at scale."""
+    n = F.col("n_rows")
     cols = [c for c in diff.columns if c != "n_rows"]
     chunks = F.ceil(n / F.lit(EXPAND_CHUNK)).cast("int")
     step1 = diff.filter(n > 0).select(*cols, n.alias("__lc_n"),
@@ -271,42 +376,46 @@ def expand_diff(diff: DataFrame, cap: int | None = None) -> DataFrame:
     return step1.select(*cols, F.explode(F.array_repeat(F.lit(0), size)).alias("__lc_x")).drop("__lc_x")
 
 
-def diff_count(diff: DataFrame) -> Column:
-    """Scalar-subquery column: number of row-level differences."""
-    return diff.select(F.coalesce(F.sum("n_rows"), F.lit(0)).cast("bigint")).scalar()
-
-
 def record_diff_check(src: DataFrame, tgt: DataFrame, spec: CheckSpec, run_id: str, run_ts) -> DataFrame:
     return run_checks(src, tgt, spec, run_id, run_ts, only=(RECORD_DIFF,))
 
 
 def diff_details(diff: DataFrame, key: str, run_id: str, n: int = 10000) -> DataFrame:
     """The first ``n`` row-level differences in key order (then all columns: a total order),
-    tagged with the run id - a top-n, not an arbitrary ``limit``."""
-    rows = expand_diff(diff, cap=n)
-    order = [F.col(key).asc_nulls_last()] + [F.col(c).asc_nulls_last() for c in rows.columns if c != key]
-    return rows.orderBy(*order).limit(n).withColumn("run_id", F.lit(run_id))
+    tagged with the run id - a top-n, not an arbitrary ``limit``.
+
+    Every compact row stands for at least one row and its copies are identical, so the first
+    n rows come from the first n compact rows.  Those (at most n, one partition after the
+    top-n) get a running count, and each is expanded only to the rows still missing: at most
+    n rows are ever generated."""
+    order = [F.col(key).asc_nulls_last()] + [F.col(c).asc_nulls_last() for c in diff.columns
+                                             if c not in (key, "n_rows")]
+    top = diff.filter(F.col("n_rows") > 0).orderBy(*order).limit(n)
+    before = F.coalesce(F.sum("n_rows").over(
+        Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    take = F.least(F.col("n_rows"), F.lit(n) - before)
+    bounded = top.withColumn("n_rows", take)
+    return expand_diff(bounded).withColumn("run_id", F.lit(run_id))
 
 
 # ---------------------------------------------------------------- all checks
 
 def run_checks(src: DataFrame, tgt: DataFrame, spec: CheckSpec, run_id: str, run_ts,
-               diff: DataFrame | None = None, only: Sequence[str] | None = None) -> DataFrame:
+               v: DataFrame | None = None, only: Sequence[str] | None = None) -> DataFrame:
     """The check rows of one run (ROW_COUNT, one COLUMN_SUM per sum column, COLUMN_HASH,
     RECORD_DIFF) from one aggregate.
 
-    Each side is grouped once by every column any check needs (key, compared, hashed and
-    summed columns) with a multiplicity; that grouped side feeds both the record diff and
-    the metrics (count = sum n, sums = sum v*n, fingerprint = sum h*n - all exact), so each
-    table is scanned and shuffled once for all checks.  A precomputed compact ``diff`` (e.g.
-    checkpointed for the details as well) may be passed in."""
-    cols = _all_cols(spec)
-    gs, gt = group_rows(src, cols), group_rows(tgt, cols)
-    if diff is None:
-        diff = _diff_of_grouped(gs, gt, spec.key, list(spec.compare_cols), "src_", "tgt_")
-    u = (_side(gs, "s", spec, "__lc_n").unionByName(_side(gt, "t", spec, "__lc_n"))
-         .unionByName(_diff_side(diff, spec)))
-    rows = {ROW_COUNT: [_count_row(spec)], COLUMN_SUM: _sum_rows(spec), COLUMN_HASH: [_hash_row(spec)],
-            RECORD_DIFF: [_diff_row(spec, F.col("n_diff"))]}
-    wanted = [r for k, v in rows.items() if only is None or k in only for r in v]
-    return _emit(_metrics_of(u, spec), wanted, run_id, run_ts)
+    Both sides are grouped together once by every column any check needs (``versions``);
+    the versions feed the metrics (count = sum n, sums = sum v*n, fingerprint = sum h*n -
+    all exact) and the key-level diff count.  Pass ``v`` (e.g. checkpointed, to share it
+    with the diff details) to skip the grouping."""
+    cols = check_columns(spec)
+    if v is None:
+        v = versions(src, tgt, cols)
+    wanted = [only is None or k in only for k in (ROW_COUNT, COLUMN_SUM, COLUMN_HASH, RECORD_DIFF)]
+    u = _weighted(v, spec, F.col(SN), F.col(TN))
+    if wanted[3]:
+        dv = narrow_versions(v, [spec.key, *spec.compare_cols])
+        u = u.unionByName(_diff_part(diff_count_rows(dv, spec.key, list(spec.compare_cols)), spec))
+    rows = [[_count_row(spec)], _sum_rows(spec), [_hash_row(spec)], [_diff_row(spec, F.col("n_diff"))]]
+    return _emit(_metrics_of(u, spec), [r for w, rs in zip(wanted, rows) if w for r in rs], run_id, run_ts)

@@ -221,6 +221,26 @@ SUMMARY_OF = """
 LATEST = "select * from check_log where run_id = (select max(run_id) from check_log)"
 DIFF_ORDER = "encounter_id, " + ", ".join([f"src_{c}" for c in COMPARE_COLS] + [f"tgt_{c}" for c in COMPARE_COLS])
 DETAILS = f"select *, '{RUN2_ID}' as run_id from (select * from diff order by {DIFF_ORDER} limit 10000)"
+
+# Compact record diff from the reference's row-level pairs: identical rows become one row
+# with ``n_rows``; keys with several versions on both sides list their versions instead.
+_V = ", ".join(COMPARE_COLS)
+_MN = ("select a.encounter_id from "
+       f"(select encounter_id, count(distinct ({_V})) as d from src_encounter "
+       "where encounter_id is not null group by encounter_id) a join "
+       f"(select encounter_id, count(distinct ({_V})) as d from clean_encounter "
+       "where encounter_id is not null group by encounter_id) b "
+       "on a.encounter_id = b.encounter_id where a.d >= 2 and b.d >= 2")
+COMPACT_DIFF = (
+    "select encounter_id, " + ", ".join([f"src_{c}" for c in COMPARE_COLS] + [f"tgt_{c}" for c in COMPARE_COLS])
+    + ", count(*) as n_rows from diff "
+    f"where encounter_id is null or encounter_id not in ({_MN}) group by all "
+    "union all select encounter_id, " + ", ".join(f"{c} as src_{c}" for c in COMPARE_COLS) + ", "
+    + ", ".join(f"null as tgt_{c}" for c in COMPARE_COLS)
+    + f", count(*) as n_rows from src_encounter where encounter_id in ({_MN}) group by all "
+    "union all select encounter_id, " + ", ".join(f"null as src_{c}" for c in COMPARE_COLS) + ", "
+    + ", ".join(f"{c} as tgt_{c}" for c in COMPARE_COLS)
+    + f", count(*) as n_rows from clean_encounter where encounter_id in ({_MN}) group by all")
 REPORT_COLS = "check_type, table_name, metric_name, source_value, target_value, status, mismatch_count"
 FACT_COLS = ("encounter_id, patient_id, patient_sk, doctor_id, dept_id, date_id, billing_amount, "
              "length_of_stay, diagnosis_code")
@@ -291,7 +311,7 @@ def oracle_sql() -> dict[str, str]:
                                               None, ("hash",))),
         "recon_fingerprint_strict": _with(checks_sql("src_encounter", "clean_encounter", RUN2_ID, RUN2_TS,
                                                      TABLE, None, ("hash",), null_token="\\N")),
-        "recon_record_diff": _with("select * from diff"),
+        "recon_record_diff": _with(COMPACT_DIFF),
         "recon_record_diff_check": _with(checks_sql("src_encounter", "clean_encounter", RUN2_ID, RUN2_TS,
                                                     TABLE, "diff", ("diff",))),
         "recon_diff_details": _with(DETAILS),

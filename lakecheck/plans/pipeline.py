@@ -14,7 +14,6 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException
 
 from lakecheck.operators import dims, facts, quality, recon, results
 from lakecheck.sinks import writers
@@ -73,10 +72,9 @@ class PipelineSpec:
 
 def _read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The 'table exists' branch: an absent dataset reads as empty."""
-    try:
+    if writers.path_exists(spark, path):
         return spark.read.schema(schema).parquet(path)
-    except AnalysisException:
-        return spark.createDataFrame([], schema)
+    return spark.createDataFrame([], schema)
 
 
 LAYER_TABLES = {  # layer -> {dataset path under out_dir: catalog table name}
@@ -164,10 +162,12 @@ def run(spark: SparkSession, raw_path: str, out_dir: str, run_id: str, run_ts: s
                        "gold_run_id")
 
     src, tgt, cs = bronze["encounters"], gold["fact"], spec.check
-    # the compact diff feeds both the check log and the details: checkpoint it once (shared
-    # folder) instead of evaluating the outer join twice
-    diff = recon.record_diff(src, tgt, cs.key, cs.compare_cols).checkpoint(eager=True)
-    writers.write_runs(recon.run_checks(src, tgt, cs, run_id, run_ts, diff=diff), f"{out}/results/checks")
+    # both sides grouped once into versions; they feed the check log and the details, so
+    # checkpoint them (shared folder) instead of shuffling both tables twice
+    v = recon.versions(src, tgt, recon.check_columns(cs)).checkpoint(eager=True)
+    writers.write_runs(recon.run_checks(src, tgt, cs, run_id, run_ts, v=v), f"{out}/results/checks")
+    diff = recon.diff_of_versions(recon.narrow_versions(v, [cs.key, *cs.compare_cols]), cs.key,
+                                  cs.compare_cols)
     writers.write_runs(recon.diff_details(diff, cs.key, run_id, spec.details_cap),
                        f"{out}/results/diff_details")
     checks = writers.read_runs(spark, f"{out}/results/checks", recon.CHECK_SCHEMA)

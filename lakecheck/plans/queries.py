@@ -180,7 +180,9 @@ def recon_fingerprint_strict(spark, sf):
 
 
 def recon_record_diff(spark, sf):
-    return recon.expand_diff(_diff(spark, sf))
+    """Compact record diff: one row per differing (key, source version, target version) with
+    the number of reference rows it stands for (``n_rows``)."""
+    return _diff(spark, sf)
 
 
 def recon_record_diff_check(spark, sf):

@@ -73,6 +73,13 @@ def export_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", "true").csv(path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a dataset path exists, asked of its Hadoop file system (works for any
+    shared store the cluster mounts)."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath)
+
+
 def ensure_database(spark: SparkSession, name: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
 

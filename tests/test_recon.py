@@ -104,7 +104,7 @@ def test_diff_details_first_n_in_key_order(spark):
 
 def test_fixture_diff_counts(spark):
     d = Q.recon_record_diff(spark, SF_SMALL)
-    assert d.count() == 9
+    assert d.agg(F.sum("n_rows")).first()[0] == 9
 
 
 @pytest.mark.parametrize("name", ["recon_row_count", "recon_column_sum", "recon_fingerprint",
@@ -116,9 +116,11 @@ def test_single_checks_match_the_combined_log(spark, name):
         assert combined[k] == v
 
 
-def test_record_diff_hot_key_is_split_not_expanded(spark):
-    # key 0 holds half of each side with different payloads: the reference's answer is the
-    # product of the payloads; it is counted from compact rows and AQE splits the hot key
+def test_record_diff_hot_key_is_counted_not_paired(spark):
+    # key 0 holds half of each side, with 2000 source versions and 3 target versions: the
+    # reference's join has 2000 x 2000 pairs for it.  The check counts them exactly from
+    # key-level aggregates; the diff lists each version once (linear), and AQE splits the
+    # hot key's partition where versions meet their key's statistics.
     conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
@@ -137,13 +139,39 @@ def test_record_diff_hot_key_is_split_not_expanded(spark):
         src_hot = [i for i in range(0, n, 2)]                 # payloads of key 0 in the source
         tgt_hot = Counter(i % 3 for i in range(0, n, 2))     # and their counts in the target
         want_hot = sum(c for a in src_hot for x, c in tgt_hot.items() if a != x)
-        got_hot = sum(r.n_rows for r in d.collect() if r.k == 0)
-        assert got_hot == want_hot
+        want_rest = sum(1 for i in range(1, n, 2) if i != i % 3)
+        hot = [r for r in d.collect() if r.k == 0]
+        assert len(hot) == len(src_hot) + len(tgt_hot)
+        assert sum(r.n_rows for r in hot if r.src_a is not None) == len(src_hot)
+        spec = recon.CheckSpec(key="k", sum_cols=(), hash_cols=("k", "a"), compare_cols=("a",),
+                               table_name="s -> t")
+        chk = recon.record_diff_check(src, tgt, spec, "r", "2025-01-01 00:00:00").first()
+        assert chk.mismatch_count == want_hot + want_rest
         plan = d._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
-        assert "SortMergeJoin(skew=true)" in plan
+        assert "skew=true" in plan
     finally:
         for k, v in old.items():
             if v is None:
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_salted_hot_key_gives_the_same_diff(spark, monkeypatch):
+    # shrink the bucket so key 0 (half of all versions) is salted into many buckets
+    from test_properties import brute_compact
+    monkeypatch.setattr(recon, "SPLIT_VERSIONS", 64)
+    src_rows = [(0 if i % 2 == 0 else i, i, "x") for i in range(3000)]
+    tgt_rows = [(0 if i % 2 == 0 else i, i % 7, None if i % 5 == 0 else "x") for i in range(1500)]
+    schema = "id int, a int, b string"
+    s, t = spark.createDataFrame(src_rows, schema), spark.createDataFrame(tgt_rows, schema)
+    d = recon.record_diff(s, t, "id", ["a", "b"])
+    got = Counter()
+    for r in d.collect():
+        got[tuple(r)[:-1]] += r.n_rows
+    assert got == brute_compact(src_rows, tgt_rows)
+    plan = d._jdf.queryExecution().executedPlan().toString()
+    assert "xxhash64" in plan and "BroadcastHashJoin" in plan
+    stats = recon.key_stats(recon.versions(s, t, ["id", "a", "b"]), "id", ["a", "b"])
+    hot = stats.where("id = 0").first()
+    assert hot["__lc_ds"] + hot["__lc_dt"] > 64   # key 0 really was split into buckets
