@@ -35,11 +35,17 @@ NOTES = {
     "number_rows": "Range partitioning plus sort are materialized by the checkpoint. The remaining plan is the "
                    "count table (hash plus SinglePartition over at most `buckets` rows) and a broadcast of the "
                    "offsets.",
-    "recon_checks": "Each side is grouped once (hash exchange on all compared columns). The grouped sides feed "
-                    "both the full outer join and the single global aggregate, and are reused (ReusedExchange). "
+    "recon_checks": "Both sides are unioned and grouped once into versions (one hash exchange on all compared "
+                    "columns, partial aggregation first). The versions feed the global aggregate directly and, "
+                    "through a key-level aggregate, the RECORD_DIFF pair count; no join of the two sides at all. "
                     "The only SinglePartition exchange is the aggregate's one-row final.",
-    "recon_record_diff": "Group each side, then one sort-merge full outer join on the key.",
-    "recon_diff_details": "Top-n in key order: TakeOrderedAndProject keeps n rows per task before the merge.",
+    "recon_record_diff": "Versions (one exchange, reused), key statistics (partial + final aggregate; SortAggregate "
+                         "because the single version of a side travels as a struct), then one sort-merge join of "
+                         "versions with their key's statistics on (key, salt bucket). The hot-key list is broadcast "
+                         "(at most 10,000 keys by construction), and both join inputs are plain shuffle stages, so "
+                         "AQE may split skew.",
+    "recon_diff_details": "The compact diff, then top-n in key order (TakeOrderedAndProject keeps n rows per task "
+                          "before the merge). A running count over those n rows bounds the expansion to n rows.",
     "results_summary": "Reads the stored, run-partitioned check log. max(run_id) is answered from partition "
                        "values (empty read schema), and the run filter prunes partitions.",
     "report_diffs": "Stored details: partition pruning on run_id, then top-1000 in key order.",
