@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
@@ -60,3 +62,41 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh directory under the shared checkpoint folder (never machine-local on a cluster)."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/lakecheck/{name}-{uuid.uuid4().hex[:12]}"
+
+
+# fixed values: target bytes per input split and per shuffle partition when sizing a job
+SPLIT_BYTES = 256 << 20
+SHUFFLE_PARTITION_BYTES = 256 << 20
+
+
+def input_bytes(spark: SparkSession, paths: Sequence[str]) -> int:
+    """Total size of the files under ``paths``, asked of their Hadoop file system (a
+    metadata call per path, no data read)."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        jp = jvm.org.apache.hadoop.fs.Path(p)
+        fs = jp.getFileSystem(conf)
+        if fs.exists(jp):
+            total += fs.getContentSummary(jp).getLength()
+    return total
+
+
+def size_for_input(spark: SparkSession, paths: Sequence[str], expansion: float = 3.0,
+                   apply: bool = True) -> dict[str, str]:
+    """Settings that keep input splits and shuffle partitions near 256 MB for the given
+    inputs: ``spark.sql.files.maxPartitionBytes`` and ``spark.sql.shuffle.partitions`` (the
+    compressed input times ``expansion`` for decoded rows, over 256 MB; never below the
+    cluster's default parallelism, so every core has a task).  AQE then coalesces small
+    partitions and splits skewed ones at run time.  With ``apply`` the three settings are
+    set on the session; the computed values are returned either way."""
+    n = input_bytes(spark, paths)
+    parallelism = spark.sparkContext.defaultParallelism
+    parts = max(parallelism, math.ceil(n * expansion / SHUFFLE_PARTITION_BYTES))
+    conf = {"spark.sql.files.maxPartitionBytes": str(SPLIT_BYTES),
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(SHUFFLE_PARTITION_BYTES),
+            "spark.sql.shuffle.partitions": str(parts)}
+    if apply:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+    return conf

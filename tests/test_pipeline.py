@@ -117,3 +117,14 @@ def test_catalog_registration_and_report_sql(spark):
     assert sorted(map(tuple, results.report(spark, db, "checks", "20250601_000000").collect())) == api
     assert results.report(spark, db, "diffs", "20250601_000000", n=5).count() == 5
     assert results.report(spark, db, "trend").count() == 2
+
+
+def test_size_for_input_scales_partitions_with_the_input(spark):
+    from lakecheck.session import SHUFFLE_PARTITION_BYTES, input_bytes, size_for_input
+    paths = [f"{SF_SMALL}/orders.parquet", f"{SF_SMALL}/lineitem.parquet"]
+    n = input_bytes(spark, paths)
+    assert n > 0
+    conf = size_for_input(spark, paths, apply=False)
+    assert int(conf["spark.sql.shuffle.partitions"]) == spark.sparkContext.defaultParallelism
+    big = size_for_input(spark, paths, expansion=10 * SHUFFLE_PARTITION_BYTES / n, apply=False)
+    assert int(big["spark.sql.shuffle.partitions"]) >= 10
