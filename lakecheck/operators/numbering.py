@@ -14,9 +14,10 @@ A global ``Window.orderBy`` plans ``Exchange SinglePartition``.  Instead:
    counts into running offsets with a window over that tiny table, and broadcast it back
    (size bound: ``buckets`` rows, never data-dependent).
 
-Ties in the order columns are broken by ``xxhash64`` of the whole row (``tiebreak=True``):
-the numbering is then repeatable, and one order value that holds a third of all rows is
-still spread over many range partitions instead of one task.  A lost executor cannot
+Ties in the order columns are broken by ``xxhash64`` of the whole row, then by the row id
+(``tiebreak=True``): distinct rows get a repeatable order, and one order value - or one
+group of identical copies - that holds a third of all rows is still spread over many range
+partitions instead of one task.  A lost executor cannot
 change the numbering: the checkpointed partitions are read back from shared storage.
 """
 
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 
 from lakecheck.session import ensure_checkpoint_dir
 
-_P, _M, _N, _OFF, _TB = "__lc_p", "__lc_m", "__lc_n", "__lc_off", "__lc_tb"
+_P, _M, _N, _OFF, _TB, _ID = "__lc_p", "__lc_m", "__lc_n", "__lc_off", "__lc_tb", "__lc_id"
 _POS_BITS = 33  # monotonically_increasing_id keeps the in-partition position in the low 33 bits
 
 
@@ -44,8 +45,12 @@ def number_rows(df: DataFrame, order: Sequence[str], out_col: str,
     cols = df.columns
     order = list(order)
     if tiebreak:
-        df = df.withColumn(_TB, F.xxhash64(*cols))
-        order = order + [_TB]
+        # distinct rows are ordered by their hash; exact copies (identical hash) by their row
+        # id, so a group of copies that holds a third of all rows still spreads over many
+        # range partitions.  The numbering stays exact whatever the spread: counts and
+        # positions come from the one checkpointed partitioning below.
+        df = df.withColumn(_TB, F.xxhash64(*cols)).withColumn(_ID, F.monotonically_increasing_id())
+        order = order + [_TB, _ID]
     ensure_checkpoint_dir(spark)
     located = (df.repartitionByRange(buckets, *order)
                  .sortWithinPartitions(*order)

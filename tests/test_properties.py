@@ -138,3 +138,15 @@ def test_number_rows_is_a_dense_order_preserving_numbering(spark, keys, buckets)
     got = sorted((r.sk, r.k) for r in number_rows(df, ["k"], "sk", offset=10, buckets=buckets).collect())
     assert [s for s, _ in got] == list(range(11, 11 + len(keys)))
     assert [k for _, k in got] == sorted(keys)
+
+
+def test_number_rows_spreads_a_group_of_copies(spark):
+    # one identical row repeated 3000 times plus 1000 distinct rows: dense numbering, and the
+    # copies are not all in one range partition
+    df = spark.createDataFrame([(0, "x")] * 3000 + [(i, "y") for i in range(1, 1001)], "k int, v string")
+    out = number_rows(df, ["k"], "sk", buckets=8)
+    got = sorted((r.sk, r.k) for r in out.collect())
+    assert [s for s, _ in got] == list(range(1, 4001))
+    assert [k for _, k in got] == sorted([0] * 3000 + list(range(1, 1001)))
+    per_part = (out.where("k = 0").select(F.spark_partition_id().alias("p")).distinct().count())
+    assert per_part > 1
