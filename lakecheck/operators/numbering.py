@@ -27,6 +27,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakecheck.session import ensure_checkpoint_dir
 
@@ -49,7 +50,13 @@ def number_rows(df: DataFrame, order: Sequence[str], out_col: str,
         # id, so a group of copies that holds a third of all rows still spreads over many
         # range partitions.  The numbering stays exact whatever the spread: counts and
         # positions come from the one checkpointed partitioning below.
-        df = df.withColumn(_TB, F.xxhash64(*cols)).withColumn(_ID, F.monotonically_increasing_id())
+        # the row id is taken after a local sort by (hash, row): identical rows are
+        # interchangeable, so every input partition yields the same (row, id) pairs when a
+        # lost task is recomputed, and the range routing below stays deterministic
+        sortable = [c for c in cols if not isinstance(df.schema[c].dataType, T.MapType)]
+        df = (df.withColumn(_TB, F.xxhash64(*cols))
+                .sortWithinPartitions(_TB, *sortable)
+                .withColumn(_ID, F.monotonically_increasing_id()))
         order = order + [_TB, _ID]
     ensure_checkpoint_dir(spark)
     located = (df.repartitionByRange(buckets, *order)
