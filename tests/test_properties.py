@@ -150,3 +150,22 @@ def test_number_rows_spreads_a_group_of_copies(spark):
     assert [k for _, k in got] == sorted([0] * 3000 + list(range(1, 1001)))
     per_part = (out.where("k = 0").select(F.spark_partition_id().alias("p")).distinct().count())
     assert per_part > 1
+
+
+SCHEMA_X = "id int, a int, b string, c int"
+SPEC_X = recon.CheckSpec(key="id", sum_cols=("a", "c"), hash_cols=("id", "a", "b", "c"),
+                         compare_cols=("a", "b"), table_name="s -> t")
+rows_x = st.lists(st.tuples(val, val, txt, st.integers(0, 3)), max_size=12)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(src=rows_x, tgt=rows_x)
+def test_checks_with_columns_beyond_the_compared_ones(spark, src, tgt):
+    # versions group by (id, a, b, c); the diff count must still follow (id, a, b) only
+    s, t = spark.createDataFrame(src, SCHEMA_X), spark.createDataFrame(tgt, SCHEMA_X)
+    checks = {(r.check_type, r.metric_name): r for r in
+              recon.run_checks(s, t, SPEC_X, "r", "2025-01-01 00:00:00").collect()}
+    want = brute_diff([r[:3] for r in src], [r[:3] for r in tgt])
+    assert checks[("RECORD_DIFF", "mismatched_rows")].mismatch_count == sum(want.values())
+    assert checks[("COLUMN_SUM", "sum_c")].source_value == f"{sum(r[3] for r in src):.2f}"
+    assert checks[("ROW_COUNT", "row_count")].target_value == str(len(tgt))
