@@ -9,6 +9,7 @@ overwrite, so re-running a run id replaces only that run and a run filter prunes
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -70,6 +71,15 @@ class PipelineSpec:
     details_cap: int = 10000
 
 
+def run_together(*actions):
+    """Run independent actions (writes of different datasets) as concurrent Spark jobs, one
+    driver thread each, and return their results in order.  The scheduler interleaves their
+    tasks, so small layers do not leave executors idle while a large one runs."""
+    with ThreadPoolExecutor(max_workers=len(actions)) as pool:
+        futures = [pool.submit(a) for a in actions]
+        return [f.result() for f in futures]
+
+
 def _read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The 'table exists' branch: an absent dataset reads as empty."""
     if writers.path_exists(spark, path):
@@ -117,59 +127,69 @@ def run(spark: SparkSession, raw_path: str, out_dir: str, run_id: str, run_ts: s
         return writers.materialize(observed_df, path)
 
     raw = ingest(spark, raw_path, spec.files, spec.schemas, ingestion_ts=run_ts)
-    bronze = {t: mat(df, f"{out}/bronze/{t}") for t, df in raw.items()}
+    names = list(raw)
+    bronze = dict(zip(names, run_together(*[lambda t=t: mat(raw[t], f"{out}/bronze/{t}") for t in names])))
 
     dep_cols = [f.name for f in spec.schemas["departments"].fields]
     doc_cols = [f.name for f in spec.schemas["doctors"].fields]
     pat_cols = [f.name for f in spec.schemas["patients"].fields]
     enc_cols = [f.name for f in spec.schemas["encounters"].fields]
-    silver = {
-        "departments": mat(quality.clean_small_dim(bronze["departments"], spec.dept_key, dep_cols),
-                           f"{out}/silver/departments"),
-        "doctors": mat(quality.clean_small_dim(bronze["doctors"], spec.doctor_key, doc_cols),
-                       f"{out}/silver/doctors"),
-        "patients": mat(quality.clean_entity(bronze["patients"], spec.patient_key,
-                                             list(spec.patient_attrs), pat_cols),
-                        f"{out}/silver/patients"),
-    }
-    silver["encounters"] = mat(
-        quality.clean_fact(bronze["encounters"], spec.enc_key, silver["patients"], spec.enc_fk,
-                           spec.enc_amount, enc_cols),
-        f"{out}/silver/encounters")
+
+    def patients_then_encounters():
+        pat = mat(quality.clean_entity(bronze["patients"], spec.patient_key, list(spec.patient_attrs),
+                                       pat_cols), f"{out}/silver/patients")
+        enc = mat(quality.clean_fact(bronze["encounters"], spec.enc_key, pat, spec.enc_fk,
+                                     spec.enc_amount, enc_cols), f"{out}/silver/encounters")
+        return pat, enc
+
+    dep, doc, (pat, enc) = run_together(
+        lambda: mat(quality.clean_small_dim(bronze["departments"], spec.dept_key, dep_cols),
+                    f"{out}/silver/departments"),
+        lambda: mat(quality.clean_small_dim(bronze["doctors"], spec.doctor_key, doc_cols),
+                    f"{out}/silver/doctors"),
+        patients_then_encounters)
+    silver = {"departments": dep, "doctors": doc, "patients": pat, "encounters": enc}
 
     dim_path = f"{out}/gold/dim_patient"
-    if previous_dim is None:
-        dim_patient = mat(dims.scd2_init(silver["patients"], spec.patient_key, spec.initial_date,
-                                         spec.sk_col), dim_path)
-    else:
-        # the next version may be computed from the files it replaces: stage it first
-        nxt, counts["gold/dim_patient"] = writers.observed(dims.scd2_apply(
-            previous_dim, silver["patients"], spec.patient_key, list(spec.patient_attrs),
-            as_of or run_ts[:10], spec.sk_col))
-        writers.staged_replace(nxt, dim_path)
-        dim_patient = spark.read.parquet(dim_path)
-    gold = {
-        "dim_department": mat(silver["departments"], f"{out}/gold/dim_department"),
-        "dim_doctor": mat(silver["doctors"], f"{out}/gold/dim_doctor"),
-        "dim_patient": dim_patient,
-        "dim_date": mat(dims.date_dim(silver["encounters"], spec.enc_date), f"{out}/gold/dim_date"),
-    }
     fact_cols = FACT_COLUMNS if spec.sk_col == "patient_sk" else [
         spec.sk_col if c == "patient_sk" else c for c in FACT_COLUMNS]
-    gold["fact"] = mat(facts.build_fact(silver["encounters"], gold["dim_patient"], spec.patient_key,
-                                        spec.enc_date, fact_cols, spec.sk_col), f"{out}/gold/fact")
-    writers.write_runs(facts.snapshot(gold["fact"], run_ts, run_id), f"{out}/gold/fact_history",
-                       "gold_run_id")
+
+    def patient_dim_then_fact():
+        if previous_dim is None:
+            dim_patient = mat(dims.scd2_init(silver["patients"], spec.patient_key, spec.initial_date,
+                                             spec.sk_col), dim_path)
+        else:
+            # the next version may be computed from the files it replaces: stage it first
+            nxt, counts["gold/dim_patient"] = writers.observed(dims.scd2_apply(
+                previous_dim, silver["patients"], spec.patient_key, list(spec.patient_attrs),
+                as_of or run_ts[:10], spec.sk_col))
+            writers.staged_replace(nxt, dim_path)
+            dim_patient = spark.read.parquet(dim_path)
+        fact = mat(facts.build_fact(silver["encounters"], dim_patient, spec.patient_key,
+                                    spec.enc_date, fact_cols, spec.sk_col), f"{out}/gold/fact")
+        writers.write_runs(facts.snapshot(fact, run_ts, run_id), f"{out}/gold/fact_history",
+                           "gold_run_id")
+        return dim_patient, fact
+
+    (dim_patient, fact), dim_dep, dim_doc, dim_date = run_together(
+        patient_dim_then_fact,
+        lambda: mat(silver["departments"], f"{out}/gold/dim_department"),
+        lambda: mat(silver["doctors"], f"{out}/gold/dim_doctor"),
+        lambda: mat(dims.date_dim(silver["encounters"], spec.enc_date), f"{out}/gold/dim_date"))
+    gold = {"dim_department": dim_dep, "dim_doctor": dim_doc, "dim_patient": dim_patient,
+            "dim_date": dim_date, "fact": fact}
 
     src, tgt, cs = bronze["encounters"], gold["fact"], spec.check
     # both sides grouped once into versions; they feed the check log and the details, so
     # checkpoint them (shared folder) instead of shuffling both tables twice
     v = recon.versions(src, tgt, recon.check_columns(cs)).checkpoint(eager=True)
-    writers.write_runs(recon.run_checks(src, tgt, cs, run_id, run_ts, v=v), f"{out}/results/checks")
     diff = recon.diff_of_versions(recon.narrow_versions(v, [cs.key, *cs.compare_cols]), cs.key,
                                   cs.compare_cols)
-    writers.write_runs(recon.diff_details(diff, cs.key, run_id, spec.details_cap),
-                       f"{out}/results/diff_details")
+    run_together(
+        lambda: writers.write_runs(recon.run_checks(src, tgt, cs, run_id, run_ts, v=v),
+                                   f"{out}/results/checks"),
+        lambda: writers.write_runs(recon.diff_details(diff, cs.key, run_id, spec.details_cap),
+                                   f"{out}/results/diff_details"))
     checks = writers.read_runs(spark, f"{out}/results/checks", recon.CHECK_SCHEMA)
 
     summary_path = f"{out}/results/summary"

@@ -259,10 +259,10 @@ def export_roundtrip(spark, sf):
 def stage_raw_files(spark: SparkSession, sf: str) -> str:
     """Write the derived raw inputs as the four CSV files a run ingests."""
     base = scratch_path(spark, "raw")
-    writers.export_csv(fx.src_department(spark, sf), f"{base}/departments.csv")
-    writers.export_csv(fx.src_doctor(spark, sf), f"{base}/doctors.csv")
-    writers.export_csv(fx.src_patient(spark, sf), f"{base}/patients.csv")
-    writers.export_csv(fx.src_encounter(spark, sf), f"{base}/encounters.csv")
+    sources = {"departments": fx.src_department, "doctors": fx.src_doctor,
+               "patients": fx.src_patient, "encounters": fx.src_encounter}
+    pipeline.run_together(*[lambda n=n, f=f: writers.export_csv(f(spark, sf), f"{base}/{n}.csv")
+                            for n, f in sources.items()])
     return base
 
 
