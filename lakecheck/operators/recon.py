@@ -137,32 +137,27 @@ def _any_value(cols: Sequence[str]) -> Column:
 
 
 def key_stats(v: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
-    """Per non-NULL key: number of versions per side (``__lc_ds``, ``__lc_dt``), rows per
-    side, equal-version pairs and flagged one-sided rows; and ``__lc_d`` = the number of
-    differing row pairs of the reference's key join for that key.  Partial aggregation
-    first, so a hot key costs one row per map task in the shuffle."""
+    """Per key: number of versions per side (``__lc_ds``, ``__lc_dt``), rows per side,
+    equal-version pairs and flagged one-sided rows; and ``__lc_d`` = the number of differing
+    row pairs of the reference's key join for that key.  NULL keys never match, so their
+    group counts as one-sided on both sides.  Partial aggregation first, so a hot key costs
+    one row per map task in the shuffle.  No filter sits between ``v`` and this aggregate:
+    every consumer of ``v`` keeps the same plan, and its exchange is reused."""
     sn, tn, anyv = F.col(SN), F.col(TN), _any_value(cols)
-    st = (v.filter(F.col(key).isNotNull()).groupBy(key).agg(
+    st = v.groupBy(key).agg(
         F.count_if(sn > 0).alias("__lc_ds"), F.count_if(tn > 0).alias("__lc_dt"),
         F.sum(sn).alias("__lc_m"), F.sum(tn).alias("__lc_n"),
         F.sum(sn.cast(COUNT) * tn.cast(COUNT)).alias("__lc_eq"),
-        F.sum(F.when(anyv, sn + tn).otherwise(F.lit(0))).alias("__lc_flag")))
+        F.sum(F.when(anyv, sn + tn).otherwise(F.lit(0))).alias("__lc_flag"))
     m, n = F.col("__lc_m"), F.col("__lc_n")
-    both = F.when((m > 0) & (n > 0), m.cast(COUNT) * n.cast(COUNT) - F.col("__lc_eq"))
+    both = F.when(F.col(key).isNotNull() & (m > 0) & (n > 0),
+                  m.cast(COUNT) * n.cast(COUNT) - F.col("__lc_eq"))
     return st.withColumn("__lc_d", both.otherwise(F.col("__lc_flag").cast(COUNT)))
 
 
-def _null_key_flags(v: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
-    """NULL keys never match: every such row is one-sided, flagged unless all-NULL."""
-    return (v.filter(F.col(key).isNull())
-             .select(F.when(_any_value(cols), F.col(SN) + F.col(TN)).otherwise(F.lit(0))
-                     .cast(COUNT).alias("__lc_d")))
-
-
 def diff_count_rows(v: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
-    """One ``__lc_d`` row per key (and per NULL-key version): summed, the exact row count of
-    the reference's record diff."""
-    return key_stats(v, key, cols).select("__lc_d").unionByName(_null_key_flags(v, key, cols))
+    """One ``__lc_d`` row per key: summed, the exact row count of the reference's record diff."""
+    return key_stats(v, key, cols).select("__lc_d")
 
 
 # ---------------------------------------------------------------- one-pass metrics
@@ -276,7 +271,8 @@ SPLIT_VERSIONS = 1 << 20   # versions per salt bucket of a hot key
 
 def salted_join(rows: DataFrame, stats: DataFrame, key: str, size: Column,
                 spread_cols: Sequence[str]) -> DataFrame:
-    """``rows`` (many per key) joined with ``stats`` (one row per key), with hot keys split.
+    """``rows`` (many per key) joined with ``stats`` (one row per key, NULL key included:
+    keys match null-safely), with hot keys split.
 
     A key whose ``size`` (rows it has in ``rows``) is at least 1/HOT_KEYS_MAX of the total
     and above one bucket is salted: its rows spread over ceil(size / SPLIT_VERSIONS) buckets
@@ -286,17 +282,19 @@ def salted_join(rows: DataFrame, stats: DataFrame, key: str, size: Column,
     holding a third of all rows still spreads over many tasks."""
     total = stats.select(F.sum(size)).scalar()
     hot = (stats.where((size * F.lit(HOT_KEYS_MAX) >= total) & (size > F.lit(SPLIT_VERSIONS)))
-                .select(key, F.ceil(size / F.lit(SPLIT_VERSIONS)).cast("int").alias("__lc_parts")))
+                .select(F.col(key).alias("__lc_hk"),
+                        F.ceil(size / F.lit(SPLIT_VERSIONS)).cast("int").alias("__lc_parts")))
     hot = F.broadcast(hot)   # <= HOT_KEYS_MAX rows by construction
-    parts = F.coalesce(F.col("__lc_parts"), F.lit(1))
-    r = (rows.join(hot, key, "left")
-             .withColumn("__lc_b", F.pmod(F.xxhash64(*spread_cols), parts.cast("bigint")))
-             .drop("__lc_parts"))
-    st = (stats.join(hot, key, "left")
-               .withColumn("__lc_b", F.explode(F.sequence(F.lit(0).cast("bigint"),
-                                                          (parts - 1).cast("bigint"))))
-               .drop("__lc_parts"))
-    return r.join(st, [key, "__lc_b"], "inner").drop("__lc_b")
+    parts = F.coalesce(F.col("__lc_parts"), F.lit(1)).cast("bigint")
+    r = (rows.join(hot, rows[key].eqNullSafe(F.col("__lc_hk")), "left")
+             .withColumn("__lc_b", F.pmod(F.xxhash64(*spread_cols), parts))
+             .drop("__lc_hk", "__lc_parts"))
+    st = (stats.join(hot, stats[key].eqNullSafe(F.col("__lc_hk")), "left")
+               .withColumn("__lc_sb", F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1)))
+               .drop("__lc_hk", "__lc_parts")
+               .withColumnRenamed(key, "__lc_sk"))
+    cond = F.col(key).eqNullSafe(F.col("__lc_sk")) & (F.col("__lc_b") == F.col("__lc_sb"))
+    return r.join(st, cond, "inner").drop("__lc_b", "__lc_sb", "__lc_sk")
 
 
 def diff_of_versions(v: DataFrame, key: str, cols: Sequence[str],
@@ -312,23 +310,23 @@ def diff_of_versions(v: DataFrame, key: str, cols: Sequence[str],
 
     The key statistics (one row per key) carry the key's version of a side when that side
     has only one, so a single many-to-one join of versions with their key's statistics
-    yields every diff row: no self-join, output <= input, and AQE may split a hot key's
-    partition of that join."""
+    yields every diff row: no self-join, output <= input, and hot keys are salted.  NULL
+    keys form one statistics row whose version counts are zero, so its versions are listed
+    one-sided and never paired."""
     cols = list(cols)
     sn, tn = F.col(SN), F.col(TN)
     version = F.struct(*[F.col(c) for c in cols])
-    stats = (v.filter(F.col(key).isNotNull()).groupBy(key).agg(
+    real = F.col(key).isNotNull()
+    stats = v.groupBy(key).agg(
+        F.count(F.lit(1)).alias("__lc_v"),
         F.count_if(sn > 0).alias("__lc_ds"), F.count_if(tn > 0).alias("__lc_dt"),
         F.sum(sn).alias("__lc_m"), F.sum(tn).alias("__lc_n"),
         F.first(F.when(sn > 0, version), ignorenulls=True).alias("__lc_sv"),
-        F.first(F.when(tn > 0, version), ignorenulls=True).alias("__lc_tv")))
-    zero = F.lit(0).cast("bigint")
+        F.first(F.when(tn > 0, version), ignorenulls=True).alias("__lc_tv"))
+    stats = (stats.withColumn("__lc_ds", F.when(real, F.col("__lc_ds")).otherwise(F.lit(0)))
+                  .withColumn("__lc_dt", F.when(real, F.col("__lc_dt")).otherwise(F.lit(0))))
     none = F.lit(None).cast(stats.schema["__lc_sv"].dataType)
-    vk = (salted_join(v.filter(F.col(key).isNotNull()), stats, key,
-                      F.col("__lc_ds") + F.col("__lc_dt"), cols)
-          .unionByName(v.filter(F.col(key).isNull()).select(
-              *v.columns, zero.alias("__lc_ds"), zero.alias("__lc_dt"), zero.alias("__lc_m"),
-              zero.alias("__lc_n"), none.alias("__lc_sv"), none.alias("__lc_tv"))))
+    vk = salted_join(v, stats, key, F.col("__lc_v"), cols)
     ds, dt = F.col("__lc_ds"), F.col("__lc_dt")
     anyv = _any_value(cols)
 
