@@ -114,3 +114,35 @@ def test_current_filter_reaches_parquet_scan(spark, tmp_dir):
     _dim(spark).write.parquet(tmp_dir)
     plan = dims.current(spark.read.parquet(tmp_dir))._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(is_current,true)" in plan
+
+
+def test_fact_lookup_splits_a_hot_patient(spark):
+    # one patient holds half of all encounters; with broadcasting off, the lookup is a
+    # sort-merge left join whose hot partition AQE splits (the dimension side is replicated)
+    from lakecheck.operators import facts
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        enc = spark.range(6000).selectExpr(
+            "id as encounter_id", "case when id % 2 = 0 then 7 else id % 500 end as patient_id",
+            "date_add(date'2025-01-01', cast(id % 30 as int)) as encounter_date")
+        dim = dims.scd2_init(spark.range(500).selectExpr("id as patient_id"), "patient_id", buckets=4)
+        fact = facts.build_fact(enc, dim, "patient_id", "encounter_date",
+                                ["encounter_id", "patient_id", "sk", "date_id"])
+        assert fact.count() == 6000 and fact.filter("sk is null").count() == 0
+        fact.collect()
+        plan = fact._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert "SortMergeJoin(skew=true)" in plan
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)

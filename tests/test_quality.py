@@ -81,3 +81,33 @@ def test_text_ingest_bad_values_are_counted_and_dropped(spark, tmp_dir):
     out = quality.clean_fact(text, "encounter_id", pats, "patient_id", "billing_amount",
                              ["encounter_id", "billing_amount"], casts=casts)
     assert sorted(tuple(r) for r in out.collect()) == [(1, 5.5), (3, 7.25)]
+
+
+def test_fk_filter_splits_a_hot_foreign_key(spark):
+    # a third of the rows point at one parent: the semi join stays sort-merge (broadcast off)
+    # and AQE splits the hot partition instead of giving it to one task
+    from lakecheck.operators import quality as qq
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        rows = spark.range(6000).selectExpr("id", "case when id % 3 = 0 then 1 else id % 900 end as fk")
+        parents = spark.range(0, 800).selectExpr("id as fk")
+        out = qq.fk_filter(rows, parents, "fk")
+        want = 2000 + sum(1 for i in range(6000) if i % 3 != 0 and i % 900 < 800)
+        assert out.count() == want
+        out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert "SortMergeJoin(skew=true)" in plan
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
