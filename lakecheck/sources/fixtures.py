@@ -43,6 +43,15 @@ def _is(c, mod: int, rem: int):
     return (F.col(c) % mod) == rem
 
 
+def _copies(df: DataFrame, *kinds) -> DataFrame:
+    """One scan, several copies: each row is emitted once per kind whose condition holds
+    (``kinds`` = (tag, condition) pairs; tag 0 is usually the row itself).  The copy tag is
+    in ``__lc_copy``.  Same rows as a UNION ALL of filtered copies, without re-reading the
+    table per copy."""
+    tags = F.array(*[F.when(cond, F.lit(tag)) for tag, cond in kinds])
+    return df.withColumn("__lc_copy", F.explode(F.filter(tags, lambda x: x.isNotNull())))
+
+
 def src_department(spark: SparkSession, sf: str) -> DataFrame:
     return load(spark, sf, "region").select(F.col("r_regionkey").alias("dept_id"),
                                             F.col("r_name").alias("dept_name"))
@@ -52,16 +61,16 @@ def src_doctor(spark: SparkSession, sf: str) -> DataFrame:
     s = load(spark, sf, "supplier").select(
         F.col("s_suppkey").alias("doctor_id"), F.col("s_name").alias("name"),
         (F.col("s_suppkey") % 5).cast("int").alias("dept_id"))
-    return s.unionByName(s.filter(_is("doctor_id", DUP_DOCTOR_MOD, DUP_DOCTOR_REM)))
+    return _copies(s, (0, F.lit(True)), (1, _is("doctor_id", DUP_DOCTOR_MOD, DUP_DOCTOR_REM))).drop("__lc_copy")
 
 
 def src_patient(spark: SparkSession, sf: str) -> DataFrame:
     c = load(spark, sf, "customer").select(
         F.col("c_custkey").alias("patient_id"), F.col("c_name").alias("name"),
         F.col("c_nationkey").alias("nation_id"), F.col("c_mktsegment").alias("segment"))
-    dup = (c.filter(_is("patient_id", DUP_PATIENT_MOD, DUP_PATIENT_REM))
-            .withColumn("patient_id", F.col("patient_id") + DUP_PATIENT_OFFSET))
-    return c.unionByName(dup)
+    e = _copies(c, (0, F.lit(True)), (1, _is("patient_id", DUP_PATIENT_MOD, DUP_PATIENT_REM)))
+    moved = F.col("patient_id") + F.when(F.col("__lc_copy") == 1, F.lit(DUP_PATIENT_OFFSET)).otherwise(F.lit(0))
+    return e.withColumn("patient_id", moved).drop("__lc_copy")  # same person under a new id
 
 
 def base_encounter(spark: SparkSession, sf: str) -> DataFrame:
@@ -81,11 +90,12 @@ def base_encounter(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def src_encounter(spark: SparkSession, sf: str) -> DataFrame:
-    b = base_encounter(spark, sf)
-    exact = b.filter(_is("encounter_id", EXACT_DUP_MOD, EXACT_DUP_REM))
-    conflict = (b.filter(_is("encounter_id", CONFLICT_DUP_MOD, CONFLICT_DUP_REM))
-                 .withColumn("billing_amount", F.lit(None).cast("double")))
-    return b.unionByName(exact).unionByName(conflict)
+    # the row, an exact duplicate, and a conflicting duplicate whose amount is NULL
+    e = _copies(base_encounter(spark, sf), (0, F.lit(True)),
+                (1, _is("encounter_id", EXACT_DUP_MOD, EXACT_DUP_REM)),
+                (2, _is("encounter_id", CONFLICT_DUP_MOD, CONFLICT_DUP_REM)))
+    amount = F.when(F.col("__lc_copy") == 2, F.lit(None).cast("double")).otherwise(F.col("billing_amount"))
+    return e.withColumn("billing_amount", amount).drop("__lc_copy")
 
 
 def clean_patient(spark: SparkSession, sf: str) -> DataFrame:
@@ -103,11 +113,11 @@ def incoming_patient(spark: SparkSession, sf: str, clean: DataFrame | None = Non
     missing (must stay current), new keys added."""
     cp = clean if clean is not None else clean_patient(spark, sf)
     pid = F.col("patient_id")
-    changed = (cp.filter(pid % MISSING_MOD != MISSING_REM)
-                 .withColumn("segment",
-                             F.when(pid % TO_NULL_MOD == TO_NULL_REM, F.lit(None).cast("string"))
-                              .when(pid % CHANGED_MOD == CHANGED_REM, F.lit(CHANGED_VALUE))
-                              .otherwise(F.col("segment"))))
-    new = (cp.filter(pid % NEW_KEY_MOD == NEW_KEY_REM)
-             .withColumn("patient_id", pid + NEW_KEY_OFFSET))
-    return changed.select(*PATIENT_COLUMNS).unionByName(new.select(*PATIENT_COLUMNS))
+    # copy 0: the existing key (unless missing), with its changes; copy 1: a new key
+    e = _copies(cp, (0, pid % MISSING_MOD != MISSING_REM), (1, pid % NEW_KEY_MOD == NEW_KEY_REM))
+    kept = F.col("__lc_copy") == 0
+    segment = (F.when(kept & (pid % TO_NULL_MOD == TO_NULL_REM), F.lit(None).cast("string"))
+                .when(kept & (pid % CHANGED_MOD == CHANGED_REM), F.lit(CHANGED_VALUE))
+                .otherwise(F.col("segment")))
+    new_id = F.when(kept, pid).otherwise(pid + NEW_KEY_OFFSET)
+    return e.select(new_id.alias("patient_id"), "name", "nation_id", segment.alias("segment"))
