@@ -128,3 +128,15 @@ def test_size_for_input_scales_partitions_with_the_input(spark):
     assert int(conf["spark.sql.shuffle.partitions"]) == spark.sparkContext.defaultParallelism
     big = size_for_input(spark, paths, expansion=10 * SHUFFLE_PARTITION_BYTES / n, apply=False)
     assert int(big["spark.sql.shuffle.partitions"]) >= 10
+
+
+def test_command_line_run(spark, capsys):
+    from lakecheck.__main__ import main
+    raw = Q.stage_raw_files(spark, SF_SMALL)
+    lake = scratch_path(spark, "lake")
+    main(["--raw", raw, "--out", lake, "--run-ts", "2025-01-01 00:00:00"])
+    main(["--raw", raw, "--out", lake, "--run-ts", "2025-06-01 00:00:00", "--update"])
+    printed = capsys.readouterr().out
+    assert "20250101_000000" in printed and "20250601_000000" in printed
+    s = spark.read.parquet(f"{lake}/results/summary")
+    assert sorted(r.run_id for r in s.collect()) == ["20250101_000000", "20250601_000000"]
