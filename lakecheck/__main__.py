@@ -1,6 +1,6 @@
 """Run one pipeline run from the command line (``spark-submit``, or ``python -m lakecheck``).
 
-    spark-submit --py-files lakecheck.zip -m lakecheck \\
+    spark-submit --py-files lakecheck.zip lakecheck/__main__.py \\
         --raw /shared/raw --out /shared/lake --run-id 20250601_000000 \\
         --run-ts "2025-06-01 00:00:00" --update --catalog
 
