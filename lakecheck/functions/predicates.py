@@ -23,7 +23,7 @@ def any_changed(pairs: Sequence[tuple[Column, Column]], null_safe: bool = False)
 def any_differs(pairs: Sequence[tuple[Column, Column]]) -> Column:
     """OR over ``NOT (s <=> t)``; equal to the reference's ``(s <> t) OR (isnull(s) <> isnull(t))``
     per column under three-valued logic: both NULL is not a difference."""
-    return reduce(or_, [~s.eqNullSafe(t) for s, t in pairs])
+    return reduce(or_, [~s.eqNullSafe(t) for s, t in pairs], F.lit(False))
 
 
 def positive_not_null(*cols: str) -> Column:

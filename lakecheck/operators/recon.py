@@ -133,7 +133,7 @@ def narrow_versions(v: DataFrame, cols: Sequence[str]) -> DataFrame:
 def _any_value(cols: Sequence[str]) -> Column:
     """A one-sided row is flagged unless all its compared columns are NULL (three-valued
     logic of the reference's predicate against the missing side)."""
-    return reduce(or_, [F.col(c).isNotNull() for c in cols])
+    return reduce(or_, [F.col(c).isNotNull() for c in cols], F.lit(False))
 
 
 def key_stats(v: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
@@ -287,7 +287,7 @@ def salted_join(rows: DataFrame, stats: DataFrame, key: str, size: Column,
     hot = F.broadcast(hot)   # <= HOT_KEYS_MAX rows by construction
     parts = F.coalesce(F.col("__lc_parts"), F.lit(1)).cast("bigint")
     r = (rows.join(hot, rows[key].eqNullSafe(F.col("__lc_hk")), "left")
-             .withColumn("__lc_b", F.pmod(F.xxhash64(*spread_cols), parts))
+             .withColumn("__lc_b", F.pmod(F.xxhash64(F.col(key), *spread_cols), parts))
              .drop("__lc_hk", "__lc_parts"))
     st = (stats.join(hot, stats[key].eqNullSafe(F.col("__lc_hk")), "left")
                .withColumn("__lc_sb", F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1)))
@@ -314,6 +314,8 @@ def diff_of_versions(v: DataFrame, key: str, cols: Sequence[str],
     keys form one statistics row whose version counts are zero, so its versions are listed
     one-sided and never paired."""
     cols = list(cols)
+    if not cols:  # nothing to compare: no pair differs and one-sided rows are all-NULL
+        return v.select(F.col(key), F.lit(0).cast("bigint").alias("n_rows")).where(F.lit(False))
     sn, tn = F.col(SN), F.col(TN)
     version = F.struct(*[F.col(c) for c in cols])
     real = F.col(key).isNotNull()

@@ -175,3 +175,13 @@ def test_salted_hot_key_gives_the_same_diff(spark, monkeypatch):
     stats = recon.key_stats(recon.versions(s, t, ["id", "a", "b"]), "id", ["a", "b"])
     hot = stats.where("id = 0").first()
     assert hot["__lc_ds"] + hot["__lc_dt"] > 64   # key 0 really was split into buckets
+
+
+def test_key_only_diff(spark):
+    # no compared columns: only keys on one side count (a one-sided all-NULL row is not flagged,
+    # as in the reference), so the diff is empty and the count is zero
+    src = spark.createDataFrame([(1,), (2,), (2,)], "id int")
+    tgt = spark.createDataFrame([(2,), (3,)], "id int")
+    assert recon.record_diff(src, tgt, "id", []).count() == 0
+    spec = recon.CheckSpec(key="id", sum_cols=(), hash_cols=("id",), compare_cols=(), table_name="s -> t")
+    assert recon.record_diff_check(src, tgt, spec, "r", "2025-01-01 00:00:00").first().mismatch_count == 0
