@@ -169,3 +169,23 @@ def test_checks_with_columns_beyond_the_compared_ones(spark, src, tgt):
     assert checks[("RECORD_DIFF", "mismatched_rows")].mismatch_count == sum(want.values())
     assert checks[("COLUMN_SUM", "sum_c")].source_value == f"{sum(r[3] for r in src):.2f}"
     assert checks[("ROW_COUNT", "row_count")].target_value == str(len(tgt))
+
+
+skey = st.one_of(st.none(), st.sampled_from(["", "k1", "k2"]))
+rows_s = st.lists(st.tuples(skey, val, txt), max_size=12)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(src=rows_s, tgt=rows_s)
+def test_record_diff_with_string_keys(spark, src, tgt):
+    # NULL and empty-string keys must stay apart in the null-safe join
+    s = spark.createDataFrame(src, "id string, a int, b string")
+    t = spark.createDataFrame(tgt, "id string, a int, b string")
+    got = Counter()
+    for r in recon.record_diff(s, t, "id", ["a", "b"]).collect():
+        got[tuple(r)[:-1]] += r.n_rows
+    assert got == brute_compact(src, tgt)
+    spec = recon.CheckSpec(key="id", sum_cols=("a",), hash_cols=("id", "a", "b"), compare_cols=("a", "b"),
+                           table_name="s -> t")
+    chk = recon.record_diff_check(s, t, spec, "r", "2025-01-01 00:00:00").first()
+    assert chk.mismatch_count == sum(brute_diff(src, tgt).values())
