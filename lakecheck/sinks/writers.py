@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -75,9 +76,18 @@ def export_csv(df: DataFrame, path: str) -> None:
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a dataset path exists, asked of its Hadoop file system (works for any
-    shared store the cluster mounts)."""
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath)
+    shared store the cluster mounts).  A session without a JVM handle (Spark Connect) asks
+    the Parquet reader instead: resolving the schema fails on a missing path."""
+    try:
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    except Exception:  # no py4j gateway in this session
+        try:
+            spark.read.parquet(path).schema
+            return True
+        except AnalysisException:
+            return False
+    jpath = jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(conf).exists(jpath)
 
 
 def ensure_database(spark: SparkSession, name: str) -> None:

@@ -140,3 +140,9 @@ def test_command_line_run(spark, capsys):
     assert "20250101_000000" in printed and "20250601_000000" in printed
     s = spark.read.parquet(f"{lake}/results/summary")
     assert sorted(r.run_id for r in s.collect()) == ["20250101_000000", "20250601_000000"]
+
+
+def test_path_exists(spark, tmp_dir):
+    assert not writers.path_exists(spark, f"{tmp_dir}/none")
+    spark.range(3).write.parquet(f"{tmp_dir}/some")
+    assert writers.path_exists(spark, f"{tmp_dir}/some")
