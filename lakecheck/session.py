@@ -38,23 +38,37 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None where the session has none (Spark Connect)."""
+    try:
+        return spark.sparkContext
+    except Exception:
+        return None
+
+
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared folder the cluster names in ``spark.checkpoint.dir`` (or the context's)."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if d:
         return d
-    return spark.sparkContext.getCheckpointDir()
+    sc = _context(spark)
+    return sc.getCheckpointDir() if sc is not None else None
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint dir; only when none is configured (tests) set a local one."""
+    """Return the checkpoint dir; only when none is configured (tests) set a local one.
+    A session without a context (Spark Connect) must name it in ``spark.checkpoint.dir``."""
     d = checkpoint_dir(spark)
+    sc = _context(spark)
+    if sc is None:
+        if not d:
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
+        return d
     if not d:
         d = tempfile.mkdtemp(prefix="lakecheck-ckpt-")
-        spark.sparkContext.setCheckpointDir(d)
-    sc_dir = spark.sparkContext.getCheckpointDir()
-    if not sc_dir:
-        spark.sparkContext.setCheckpointDir(d)
+        sc.setCheckpointDir(d)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
     return d
 
 
