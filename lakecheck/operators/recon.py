@@ -398,6 +398,20 @@ def diff_details(diff: DataFrame, key: str, run_id: str, n: int = 10000) -> Data
     return expand_diff(bounded).withColumn("run_id", F.lit(run_id))
 
 
+def details_of_versions(v: DataFrame, key: str, cols: Sequence[str], run_id: str, n: int = 10000,
+                        src_prefix: str = "src_", tgt_prefix: str = "tgt_") -> DataFrame:
+    """``diff_details`` without diffing every key.  A key has diff rows exactly when its
+    differing-pair count is positive, and each such key gives at least one row, so the first
+    n rows in key order come from the first n such keys.  Those keys are a top-n over the key
+    statistics (at most n rows, broadcast); the versions are semi-joined with them map-side,
+    and only that selection is diffed."""
+    cols = list(cols)
+    keys = (key_stats(v, key, cols).where(F.col("__lc_d") > 0)
+            .select(F.col(key).alias("__lc_dk")).orderBy(F.col("__lc_dk").asc_nulls_last()).limit(n))
+    chosen = v.join(F.broadcast(keys), v[key].eqNullSafe(F.col("__lc_dk")), "left_semi")  # <= n keys
+    return diff_details(diff_of_versions(chosen, key, cols, src_prefix, tgt_prefix), key, run_id, n)
+
+
 # ---------------------------------------------------------------- all checks
 
 def run_checks(src: DataFrame, tgt: DataFrame, spec: CheckSpec, run_id: str, run_ts,

@@ -183,12 +183,12 @@ def run(spark: SparkSession, raw_path: str, out_dir: str, run_id: str, run_ts: s
     # both sides grouped once into versions; they feed the check log and the details, so
     # checkpoint them (shared folder) instead of shuffling both tables twice
     v = recon.versions(src, tgt, recon.check_columns(cs)).checkpoint(eager=True)
-    diff = recon.diff_of_versions(recon.narrow_versions(v, [cs.key, *cs.compare_cols]), cs.key,
-                                  cs.compare_cols)
+    dv = recon.narrow_versions(v, [cs.key, *cs.compare_cols])
     run_together(
         lambda: writers.write_runs(recon.run_checks(src, tgt, cs, run_id, run_ts, v=v),
                                    f"{out}/results/checks"),
-        lambda: writers.write_runs(recon.diff_details(diff, cs.key, run_id, spec.details_cap),
+        lambda: writers.write_runs(recon.details_of_versions(dv, cs.key, cs.compare_cols, run_id,
+                                                             spec.details_cap),
                                    f"{out}/results/diff_details"))
     checks = writers.read_runs(spark, f"{out}/results/checks", recon.CHECK_SCHEMA)
 

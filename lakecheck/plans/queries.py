@@ -69,10 +69,16 @@ def _check_log(spark, sf):
     return writers.read_runs(spark, path, recon.CHECK_SCHEMA)
 
 
+def _details_of(spark, sf):
+    v = recon.versions(fx.src_encounter(spark, sf), fx.clean_encounter(spark, sf),
+                       [SPEC.key, *SPEC.compare_cols])
+    return recon.details_of_versions(v, SPEC.key, SPEC.compare_cols, fx.RUN2_ID, DETAILS_CAP)
+
+
 def _details(spark, sf):
     """Diff details of the dirty run, stored per run id and read back."""
     path = scratch_path(spark, "details")
-    writers.write_runs(recon.diff_details(_diff(spark, sf), SPEC.key, fx.RUN2_ID, DETAILS_CAP), path)
+    writers.write_runs(_details_of(spark, sf), path)
     return writers.read_runs(spark, path)
 
 
@@ -191,7 +197,7 @@ def recon_record_diff_check(spark, sf):
 
 
 def recon_diff_details(spark, sf):
-    return recon.diff_details(_diff(spark, sf), SPEC.key, fx.RUN2_ID, DETAILS_CAP)
+    return _details_of(spark, sf)
 
 
 def recon_checks(spark, sf):

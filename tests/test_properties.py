@@ -189,3 +189,13 @@ def test_record_diff_with_string_keys(spark, src, tgt):
                            table_name="s -> t")
     chk = recon.record_diff_check(s, t, spec, "r", "2025-01-01 00:00:00").first()
     assert chk.mismatch_count == sum(brute_diff(src, tgt).values())
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(src=rows, tgt=rows, n=st.integers(1, 6))
+def test_details_of_versions_equal_the_top_n_of_the_whole_diff(spark, src, tgt, n):
+    s, t = spark.createDataFrame(src, SCHEMA), spark.createDataFrame(tgt, SCHEMA)
+    whole = recon.diff_details(recon.record_diff(s, t, "id", ["a", "b"]), "id", "r", n)
+    v = recon.versions(s, t, ["id", "a", "b"])
+    fast = recon.details_of_versions(v, "id", ["a", "b"], "r", n)
+    assert Counter(map(tuple, fast.collect())) == Counter(map(tuple, whole.collect()))
