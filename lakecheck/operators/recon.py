@@ -344,7 +344,8 @@ def diff_of_versions(v: DataFrame, key: str, cols: Sequence[str],
         cand((sn > 0) & (dt == 1) & (ds >= 1), version, F.col("__lc_tv"), sn * F.col("__lc_n")),
         # a single source version, several target versions: it against each of them
         cand((tn > 0) & (ds == 1) & (dt >= 2), F.col("__lc_sv"), version, tn * F.col("__lc_m")))
-    rows = vk.select(key, F.explode(F.filter(candidates, lambda x: x.isNotNull())).alias("__lc_r"))
+    # explode the fixed-size array and drop the empty slots (no lambda: stays in codegen)
+    rows = vk.select(key, F.explode(candidates).alias("__lc_r")).where(F.col("__lc_r").isNotNull())
     s_ver, t_ver = F.col("__lc_r.s"), F.col("__lc_r.t")
     differs = any_differs([(s_ver[c], t_ver[c]) for c in cols])
     return (rows.where(s_ver.isNull() | t_ver.isNull() | differs)

@@ -49,7 +49,7 @@ def _copies(df: DataFrame, *kinds) -> DataFrame:
     in ``__lc_copy``.  Same rows as a UNION ALL of filtered copies, without re-reading the
     table per copy."""
     tags = F.array(*[F.when(cond, F.lit(tag)) for tag, cond in kinds])
-    return df.withColumn("__lc_copy", F.explode(F.filter(tags, lambda x: x.isNotNull())))
+    return df.withColumn("__lc_copy", F.explode(tags)).where(F.col("__lc_copy").isNotNull())
 
 
 def src_department(spark: SparkSession, sf: str) -> DataFrame:
