@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakecheck.operators import dims, facts, quality, recon, results
+from lakecheck.session import scratch_path
 from lakecheck.sinks import writers
 from lakecheck.sources.csv import ingest
 
@@ -181,8 +182,10 @@ def run(spark: SparkSession, raw_path: str, out_dir: str, run_id: str, run_ts: s
 
     src, tgt, cs = bronze["encounters"], gold["fact"], spec.check
     # both sides grouped once into versions; they feed the check log and the details, so
-    # checkpoint them (shared folder) instead of shuffling both tables twice
-    v = recon.versions(src, tgt, recon.check_columns(cs)).checkpoint(eager=True)
+    # write them once as Parquet in the shared scratch folder (compressed and columnar, unlike
+    # an RDD checkpoint) instead of shuffling both tables twice
+    v = writers.materialize(recon.versions(src, tgt, recon.check_columns(cs)),
+                            scratch_path(spark, f"versions-{run_id}"))
     dv = recon.narrow_versions(v, [cs.key, *cs.compare_cols])
     run_together(
         lambda: writers.write_runs(recon.run_checks(src, tgt, cs, run_id, run_ts, v=v),
