@@ -199,3 +199,28 @@ def test_details_of_versions_equal_the_top_n_of_the_whole_diff(spark, src, tgt,
     v = recon.versions(s, t, ["id", "a", "b"])
     fast = recon.details_of_versions(v, "id", ["a", "b"], "r", n)
     assert Counter(map(tuple, fast.collect())) == Counter(map(tuple, whole.collect()))
+
+
+# ---------------------------------------------------------------- keep-first dedup
+
+from lakecheck.operators import quality  # noqa: E402
+
+dedup_rows = st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 3)), val, txt), max_size=15)
+
+
+def _nulls_last(x):
+    return (x is None, x if x is not None else 0) if not isinstance(x, str) else (False, x)
+
+
+@settings(max_examples=20, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=dedup_rows)
+def test_dedup_keeps_the_first_row_per_key(spark, rows):
+    # default order: every other column ascending, NULLs last; NULL keys group together
+    df = spark.createDataFrame(rows, "k int, a int, b string")
+    got = sorted(map(tuple, quality.dedup(df, ["k"]).collect()), key=repr)
+    by_key = defaultdict(list)
+    for r in rows:
+        by_key[r[0]].append(r)
+    want = sorted((min(rs, key=lambda r: (_nulls_last(r[1]), (r[2] is None, r[2] or ""))) for rs in by_key.values()),
+                  key=repr)
+    assert got == want
