@@ -224,3 +224,21 @@ def test_dedup_keeps_the_first_row_per_key(spark, rows):
     want = sorted((min(rs, key=lambda r: (_nulls_last(r[1]), (r[2] is None, r[2] or ""))) for rs in by_key.values()),
                   key=repr)
     assert got == want
+
+
+prof_rows = st.lists(st.tuples(st.integers(0, 5), st.one_of(st.none(), st.integers(-2, 3)),
+                               st.one_of(st.none(), st.integers(0, 4))), max_size=15)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=prof_rows, parents=st.lists(st.integers(0, 4), max_size=4))
+def test_issue_profile_counts(spark, rows, parents):
+    df = spark.createDataFrame(rows, "id int, amount int, fk int")
+    par = spark.createDataFrame([(p,) for p in parents], "fk int")
+    got = {r.issue: r.n for r in quality.profile(df, "id", "amount", "fk", par).collect()}
+    assert got == {
+        "duplicate_rows": len(rows) - len({r[0] for r in rows}),
+        "null_amount": sum(r[1] is None for r in rows),
+        "non_positive_amount": sum(r[1] is not None and r[1] <= 0 for r in rows),
+        "orphan_fk": sum(r[2] is not None and r[2] not in set(parents) for r in rows),
+    }
