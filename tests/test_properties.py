@@ -242,3 +242,15 @@ def test_issue_profile_counts(spark, rows, parents):
         "non_positive_amount": sum(r[1] is not None and r[1] <= 0 for r in rows),
         "orphan_fk": sum(r[2] is not None and r[2] not in set(parents) for r in rows),
     }
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(days=st.lists(st.integers(0, 4000), max_size=20))
+def test_date_dim_against_python_dates(spark, days):
+    base = dt.date(2020, 1, 1)
+    dates = [base + dt.timedelta(days=d) for d in days]
+    df = spark.createDataFrame([(d,) for d in dates], "d date")
+    got = sorted(tuple(r) for r in dims.date_dim(df, "d").collect())
+    want = sorted({(int(d.strftime("%Y%m%d")), d, d.year, d.month, (d.month - 1) // 3 + 1, d.strftime("%A"))
+                   for d in dates})
+    assert got == want
