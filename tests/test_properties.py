@@ -254,3 +254,23 @@ def test_date_dim_against_python_dates(spark, days):
     want = sorted({(int(d.strftime("%Y%m%d")), d, d.year, d.month, (d.month - 1) // 3 + 1, d.strftime("%A"))
                    for d in dates})
     assert got == want
+
+
+check_rows = st.lists(st.tuples(st.sampled_from(["r1", "r2"]), st.sampled_from(["t1", "t2"]),
+                                st.sampled_from(["PASS", "FAIL"]), st.integers(0, 9)), max_size=12)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=check_rows)
+def test_summary_against_brute_force(spark, rows):
+    from lakecheck.operators import results
+    df = spark.createDataFrame(rows, "run_id string, table_name string, status string, mismatch_count bigint") \
+              .withColumn("run_ts", F.lit("2025-01-01 00:00:00").cast("timestamp_ntz"))
+    got = {(r.run_id, r.table_name): (r.total_checks, r.passed, r.failed, r.total_mismatches, r.overall_status)
+           for r in results.summarize(df).collect()}
+    want = {}
+    for run, table, status, n in rows:
+        t, p, f, m, _ = want.get((run, table), (0, 0, 0, 0, None))
+        p, f = p + (status == "PASS"), f + (status == "FAIL")
+        want[(run, table)] = (t + 1, p, f, m + n, "PASS" if f == 0 else "FAIL")
+    assert got == want
