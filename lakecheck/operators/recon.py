@@ -24,6 +24,9 @@ Plan shape (what makes it hold at scale)
   columns NULL, instead of emitting the cross product; its pair count is still exact in
   the check.  Identical copies are a count (``n_rows``), never repeated rows, except in the
   capped details.
+* **Details touch only n keys.**  The first n diff rows in key order come from the first n
+  keys with differences: a top-n over the key statistics picks them, and only their
+  versions (a map-side semi join) are diffed and expanded (at most n rows).
 """
 
 from __future__ import annotations
