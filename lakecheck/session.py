@@ -105,7 +105,8 @@ def size_for_input(spark: SparkSession, paths: Sequence[str], expansion: float =
     partitions and splits skewed ones at run time.  With ``apply`` the three settings are
     set on the session; the computed values are returned either way."""
     n = input_bytes(spark, paths)
-    parallelism = spark.sparkContext.defaultParallelism
+    sc = _context(spark)
+    parallelism = sc.defaultParallelism if sc is not None else int(spark.conf.get("spark.sql.shuffle.partitions"))
     parts = max(parallelism, math.ceil(n * expansion / SHUFFLE_PARTITION_BYTES))
     conf = {"spark.sql.files.maxPartitionBytes": str(SPLIT_BYTES),
             "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(SHUFFLE_PARTITION_BYTES),
