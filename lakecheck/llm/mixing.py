@@ -50,33 +50,29 @@ def _key(d: str) -> Column:
     return F.coalesce(F.col(d).cast("string"), F.lit(NONE))
 
 
-def _shares(cells: DataFrame, d: str, target: dict | float) -> Column:
-    """The target share of each cell's value, over the whole cell table."""
+def _share(cells: DataFrame, d: str, target: dict | float) -> Column:
+    """The unscaled target share of each value of a dimension."""
     if isinstance(target, dict):
-        m = F.create_map(*[x for k, v in sorted(target.items()) for x in (F.lit(k), F.lit(float(v)))])
-        return F.coalesce(F.get(F.map_values(F.map_filter(m, lambda k, _: k == F.col(f"k_{d}"))), F.lit(0)), F.lit(0.0))
+        return F.coalesce(*[F.when(F.col(f"k_{d}") == k, float(v)) for k, v in target.items()], F.lit(0.0))
     return F.pow(F.col(f"__sum_{d}"), F.lit(float(target)))
 
 
 def rake(cells: DataFrame, targets: dict[str, dict | float], sweeps: int = SWEEPS) -> DataFrame:
     """``cells`` (k_<dim> columns, ``mass``) with ``raked``, scaled to the targets; total mass is kept."""
     mass = cells.where("mass > 0")
-    total = mass.agg(F.sum("mass").alias("total"))
-    goal = {}
+    total = float(mass.agg(F.sum("mass")).first()[0] or 0)
+    w = mass.withColumn("raked", F.col("mass").cast("double"))
     for d, t in targets.items():
         g = mass.groupBy(f"k_{d}").agg(F.sum("mass").cast("double").alias(f"__sum_{d}"))
-        g = g.withColumn("__p", _shares(g, d, t))
-        norm = g.agg(F.sum("__p").alias("__norm"))
-        goal[d] = g.crossJoin(norm).select(f"k_{d}", F.when(F.col("__norm") > 0, F.col("__p") / F.col("__norm")).otherwise(0.0).alias(f"g_{d}"))
-    w = mass.withColumn("raked", F.col("mass").cast("double"))
-    for g, d in ((goal[d], d) for d in targets):
-        w = w.join(g, f"k_{d}")
-    w = stored(w.crossJoin(total), "cells")
+        g = g.select(f"k_{d}", _share(g, d, t).alias("p"))
+        norm = float(g.agg(F.sum("p")).first()[0] or 0)
+        w = w.join(g.select(f"k_{d}", (F.col("p") / F.lit(norm or 1.0)).alias(f"g_{d}")), f"k_{d}")
+    w = stored(w, "cells")
     for s in range(sweeps):
         for d in targets:
             now = F.sum("raked").over(Window.partitionBy(f"k_{d}"))
             w = w.withColumn("__now", now).withColumn(
-                "raked", F.when(F.col("__now") > 0, F.col("raked") * (F.col("total") * F.col(f"g_{d}") / F.col("__now"))).otherwise(0.0)).drop("__now")
+                "raked", F.when(F.col("__now") > 0, F.col("raked") * (F.lit(total) * F.col(f"g_{d}") / F.col("__now"))).otherwise(0.0)).drop("__now")
         if s % SAVE_EVERY == SAVE_EVERY - 1 or s == sweeps - 1:
             w = stored(w, "raked")
     return w.select(*[f"k_{d}" for d in targets], "mass", "raked")

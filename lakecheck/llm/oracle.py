@@ -16,7 +16,7 @@ def _quality() -> str:
     return f"""
     with t as (select doc_id, coalesce(text, '') as text from documents),
     w as (select doc_id, text, regexp_extract_all(text, '{WORD}') as words,
-                 list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '[^\\x20\\x09-\\x0D]')) as lines from t),
+                 list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) as lines from t),
     win as (select doc_id, unnest(generate_series(1, len(words) - 7)) as i, words from w where len(words) >= 8),
     hashed as (select doc_id, i, array_to_string(words[i:i + 7], ' ') as s from win),
     starts as (select doc_id, i from hashed qualify count(*) over (partition by doc_id, s) > 1),
@@ -26,7 +26,7 @@ def _quality() -> str:
                  len(regexp_extract_all(text, '[#*$%&|<>]'))::bigint as n_symbols,
                  len(regexp_extract_all(text, '!'))::bigint as n_exclaims,
                  len(regexp_extract_all(text, '\\p{{Lu}}'))::bigint as n_upper,
-                 len(list_filter(words, x -> lower(x) in ({stop})))::bigint as n_stop_words,
+                 len(list_filter(words, lambda x: lower(x) in ({stop})))::bigint as n_stop_words,
                  len(lines)::bigint as n_lines, (len(lines) - len(list_distinct(lines)))::bigint as n_dup_lines,
                  coalesce(cover.n, 0)::bigint as n_repeat_words
           from w left join cover using (doc_id)),
