@@ -22,6 +22,8 @@ WORD_REGEX = r"[^\x20\x09-\x0D]+"
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+NON_LETTER = np.arange(256) < 128   # ASCII but A-Z, a-z; bytes of longer characters count as letters
+NON_LETTER[65:91] = NON_LETTER[97:123] = False
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _P = 0x9E3779B97F4A7C15 | 1
@@ -105,12 +107,12 @@ def text_chunks(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.nda
         yield i, j, data[off[i]:off[j]], off[i:j + 1] - off[i]
 
 
-def word_spans(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and row of every word (bytes other than space and 0x09-0x0D)."""
+def word_spans(data: np.ndarray, off: np.ndarray, outside: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and row of every word: by default, of bytes other than space and 0x09-0x0D."""
     if not len(data):
         z = np.zeros(0, dtype=np.int64)
         return z, z, z
-    inside = ~_SPACE[data]
+    inside = ~outside[data]
     edge = np.zeros(len(data) + 1, dtype=bool)
     edge[off] = True
     begins = inside.copy()
@@ -121,9 +123,9 @@ def word_spans(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return start, np.flatnonzero(ends) + 1, np.searchsorted(off, start, side="right") - 1
 
 
-def word_hashes(data: np.ndarray, off: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(data: np.ndarray, off: np.ndarray, lower: bool = True, outside: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hash and row of every word, A-Z lower-cased if asked."""
-    start, end, row = word_spans(data, off)
+    start, end, row = word_spans(data, off, outside)
     pre = prefix_hash(data, _BYTE_LOWER if lower else _BYTE)
     return mix(span_hash(pre, start, end) + (end - start).astype(np.uint64)), row
 

@@ -6,8 +6,8 @@ tokens, so with the token universe hashed into H + 1 segments at least one segme
 (pigeonhole).  Every document indexes the subset of each segment under its own band and the one
 below: sets that meet under a key are candidates and are verified exactly on their texts.
 
-Cost-based allocation: a subset that costs too much - an empty one, or one shared by more than
-``max_classes`` unlinked classes - is skipped.  A document that skips k segments allots one-deletion
+Cost-based allocation: a subset that costs too much - an empty or (in schemes of many segments) a
+one-token one, or one shared by more than ``max_classes`` unlinked classes - is skipped.  A document that skips k segments allots one-deletion
 neighbourhoods (the subset itself and it less one token) to the shortest prefix of segments that has
 k positions without a skipped subset.  Of two linked sets that share e skipped subsets and no other,
 at most e - 1 of the other segments differ in two tokens or more, so one of these k >= e positions
@@ -37,7 +37,8 @@ from pyspark.sql import functions as F
 from lakecheck.llm import common as C
 from lakecheck.llm.components import components
 
-MAX_CLASSES = 32      # unlinked classes under one key before the key counts as too costly
+MAX_CLASSES = 8       # unlinked classes under one key before the key counts as too costly
+FEW_SEGMENTS = 4      # schemes of more segments also skip one-token subsets
 NEAR = 0              # kinds of emitted rows: a match key,
 UNALLOTTED = 1        # a document whose neighbourhoods do not suffice,
 SKIPPED = 2           # a skipped key of a document (only in the exact rest)
@@ -90,7 +91,8 @@ def _emit(h: np.ndarray, r: np.ndarray, rows: int, spec: Spec, dear: set[tuple[i
         n = np.bincount(slot, minlength=base[-1])
         salt = C.mix((band[of].astype(np.uint64) << np.uint64(32)) + index.astype(np.uint64) + np.uint64(1))
         key = C.mix(content + salt + n.astype(np.uint64))
-        skipped = n == 0
+        least = np.where(m > FEW_SEGMENTS, 2, 1)[of]             # smaller subsets are too common
+        skipped = n < least
         if dear is not None:
             signed = key.view(np.int64)
             skipped |= np.fromiter(((a, b) in dear for a, b in zip(of.tolist(), signed.tolist())), bool, len(of))
@@ -99,19 +101,19 @@ def _emit(h: np.ndarray, r: np.ndarray, rows: int, spec: Spec, dear: set[tuple[i
         elif dear is None:
             out.append((of[~skipped], key[~skipped], NEAR))
         need = np.bincount(of[skipped], minlength=rows)
-        good = np.cumsum((~skipped & (n > 1)).astype(np.int64))
+        good = np.cumsum((~skipped & (n > least)).astype(np.int64))
         seen = np.concatenate(([0], good))
         good = good - seen[base[of]]                             # good positions of the row up to here
-        before = good - (~skipped & (n > 1))
+        before = good - (~skipped & (n > least))
         near = (need[of] > 0) & (before < need[of])              # the shortest sufficient prefix
         last = np.zeros(rows, dtype=np.int64)
         np.maximum.at(last, of, good)
         poor = np.flatnonzero(last < need)
         out.append((poor, np.zeros(len(poor), dtype=np.uint64), UNALLOTTED))
         away = C.mix(salt + np.uint64(0xD6E8FEB86659FD93))
-        full = near & (n > 0)
+        full = near & (n >= least)
         out.append((of[full], C.mix(content[full] + away[full] + n[full].astype(np.uint64)), NEAR))
-        less = near[slot] & (n[slot] > 1)
+        less = near[slot] & (n[slot] > least[slot])
         s = slot[less]
         out.append((of[s], C.mix(content[s] - th[less] + away[s] + (n[s] - 1).astype(np.uint64)), NEAR))
     if not out:

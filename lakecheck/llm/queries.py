@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakecheck.llm import mixing, ngram_jaccard_join, quality_rules
+from lakecheck.llm import best_fit_packing, language_id, mixing, ngram_jaccard_join, quality_rules, suffix_dedup, token_counts, toxicity
 from lakecheck.sources.tables import load
 
 
@@ -14,12 +14,41 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return ngram_jaccard_join.jaccard_classes(load(spark, sf, "documents"), words=4, num=85, den=100)
 
 
+def op2_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    """Language of every document, learned from the documents that are not held out."""
+    d = load(spark, sf, "documents").select("doc_id", "text", "lang")
+    out = language_id.identify(d, d.where(~language_id.held_out(F.col("doc_id"), 4, 2)))
+    return out.select("doc_id", language_id.held_out(F.col("doc_id"), 4, 2).alias("held_out"), "lang_pred", "score")
+
+
+def op3_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
+    """Place of every piece of every document in sequences of 1024 tokens."""
+    return best_fit_packing.pack(load(spark, sf, "documents"))
+
+
+def op4_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    """Toxicity of every document, learned from the labels that are not held out."""
+    out = toxicity.score(load(spark, sf, "documents"), load(spark, sf, "labels"), learn=toxicity.remainder(F.col("doc_id"), 3) != 1)
+    return out.select("doc_id", (toxicity.remainder(F.col("doc_id"), 3) == 1).alias("held_out"), "score",
+                      (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+def op5_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Tokens of every document, found by scanning the flat token files made of all documents."""
+    return token_counts.document_counts(load(spark, sf, "documents"))
+
+
 def op7_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     """Measures and verdict of every document."""
     return quality_rules.judge(load(spark, sf, "documents").select("doc_id", "text")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op8_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document without the bytes of 200-byte strings that occur again."""
+    return suffix_dedup.cut_repeats(load(spark, sf, "documents")).drop("kept_text")
+
+
 def op10_mixing(spark: SparkSession, sf: str) -> DataFrame:
     """Calibrated factor and draw of every document, raked to source, language and topic marginals."""
     d = mixing.features(load(spark, sf, "documents").select("doc_id", "text", "source", "lang"))
@@ -28,4 +57,5 @@ def op10_mixing(spark: SparkSession, sf: str) -> DataFrame:
                                       F.round("probability", 6).alias("probability"), "copies", "sampled")
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op7_quality_rules, op10_mixing)}
+QUERIES = {f.__name__: f for f in (
+    op1_ngram_jaccard_join, op2_language_id, op3_best_fit_packing, op4_toxicity, op5_token_counts, op7_quality_rules, op8_suffix_dedup, op10_mixing)}
