@@ -253,7 +253,7 @@ def repeated_runs(docs: DataFrame, length: int = 200, crowded: int = CROWDED) ->
     trig = entry.groupBy("trigger").agg(F.sum("k").alias("k"), F.count("*").alias("entries"), F.max("again").alias("again"))
     live = C.stored(trig.where("k > 1 or again").select("trigger", F.when(F.col("entries") > crowded, 2).when((F.col("entries") > 1) | F.col("again"), 1)
                                                      .otherwise(0).alias("differ")), "triggers")
-    hits = C.stored(p.drop("again").join(C.bounded(live), "trigger"), "live")
+    hits = C.stored(p.drop("again").join(live, "trigger"), "live")
     first = hits.groupBy("trigger", "content").agg(F.count("*").alias("k"), F.min(F.struct("id", "start", "n")).alias("f"), F.first("differ").alias("differ"))
     first = C.stored(first.select("trigger", "content", (F.col("k") > 1).alias("many"), "f", "differ"), "dictionary")
     many = hits.join(first.where("many").select("trigger", "content"), ["trigger", "content"], "left_semi")
@@ -262,7 +262,7 @@ def repeated_runs(docs: DataFrame, length: int = 200, crowded: int = CROWDED) ->
                     .groupBy("id", "differ").agg(F.collect_list("p").alias("places")), "places")
 
     def pieces_of(kind: int) -> DataFrame:
-        return d.join(C.bounded(want.where(f"differ = {kind}"), 100_000), "id").select("id", "text", "places").mapInArrow(
+        return d.join(want.where(f"differ = {kind}"), "id").select("id", "text", "places").mapInArrow(
             _bytes(length), "id long, start int, n int, trigger long, many boolean, piece binary")
 
     if want.where("differ = 2").limit(1).count():
@@ -282,6 +282,6 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     character that a cut divides; the digest is of the remaining bytes."""
     d = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("id is not null")
     runs = C.stored(repeated_runs(d, length, crowded).groupBy("id").agg(F.collect_list(F.struct("start", "n")).alias("runs")), "runs")
-    out = d.join(C.bounded(runs, 100_000), "id", "left").select("id", "text", "runs")
+    out = d.join(runs, "id", "left").select("id", "text", "runs")
     return out.mapInArrow(_cut(length), "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string") \
               .withColumnRenamed("id", id_col)
