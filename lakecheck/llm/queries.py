@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakecheck.llm import best_fit_packing, language_id, mixing, ngram_jaccard_join, quality_rules, suffix_dedup, token_counts, toxicity
+from lakecheck.llm import best_fit_packing, language_id, mixing, ngram_jaccard_join, quality_rules, suffix_dedup, token_counts, topk_search, toxicity, url_filters
 from lakecheck.sources.tables import load
 
 
@@ -38,6 +38,11 @@ def op5_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return token_counts.document_counts(load(spark, sf, "documents"))
 
 
+def op6_topk_search(spark: SparkSession, sf: str) -> DataFrame:
+    """The five highest integer inner products of every 50th vector, over all vectors."""
+    return topk_search.top_k(load(spark, sf, "embeddings"), F.col("id") % 50 == 0)
+
+
 def op7_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     """Measures and verdict of every document."""
     return quality_rules.judge(load(spark, sf, "documents").select("doc_id", "text")).select(
@@ -49,6 +54,15 @@ def op8_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return suffix_dedup.cut_repeats(load(spark, sf, "documents")).drop("kept_text")
 
 
+def op9_url_filters(spark: SparkSession, sf: str) -> DataFrame:
+    """Verdict on every page's url.  A page's label is that of the document its url ends in: bad if toxic or of low quality."""
+    pages = load(spark, sf, "pages").select("page_id", "url")
+    labels = load(spark, sf, "labels").groupBy("doc_id").agg(F.max(((F.col("toxic") == 1) | (F.col("quality") == 0)).cast("int")).alias("bad"))
+    doc = F.expr("try_cast(nullif(regexp_extract(url, '/([0-9]+)(?:[^/0-9][^/]*)?/?$', 1), '') as bigint)")
+    labels = pages.select("page_id", doc.alias("doc_id")).join(labels, "doc_id").groupBy("page_id").agg(F.max("bad").alias("bad"))
+    return url_filters.judge(pages, labels).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op10_mixing(spark: SparkSession, sf: str) -> DataFrame:
     """Calibrated factor and draw of every document, raked to source, language and topic marginals."""
     d = mixing.features(load(spark, sf, "documents").select("doc_id", "text", "source", "lang"))
@@ -58,4 +72,5 @@ def op10_mixing(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_ngram_jaccard_join, op2_language_id, op3_best_fit_packing, op4_toxicity, op5_token_counts, op7_quality_rules, op8_suffix_dedup, op10_mixing)}
+    op1_ngram_jaccard_join, op2_language_id, op3_best_fit_packing, op4_toxicity, op5_token_counts, op6_topk_search,
+    op7_quality_rules, op8_suffix_dedup, op9_url_filters, op10_mixing)}

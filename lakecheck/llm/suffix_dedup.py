@@ -221,12 +221,13 @@ def _cut(length: int):
                 for s, e in spans:
                     kept.append(text[last:s])
                     last = e
-                kept = b"".join(kept) + text[last:]
+                kept = b"".join([*kept, text[last:]])
                 for c, v in zip(out, (i, len(text), len(text) - len(kept), len(spans), hashlib.sha256(kept).hexdigest(),
                                       kept.decode("utf-8", "ignore"))):
                     c.append(v)
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds)], list(CUT))
+            more = b.columns[3:]
+            yield pa.RecordBatch.from_arrays([*[pa.array(c, t) for c, t in zip(out, kinds)], *more], [*CUT, *b.schema.names[3:]])
     return run
 
 
@@ -276,12 +277,16 @@ def repeated_runs(docs: DataFrame, length: int = 200, crowded: int = CROWDED) ->
     return whole.union(part)
 
 
-def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 200,
-                crowded: int = CROWDED) -> DataFrame:
-    """(id, n_bytes, n_removed, n_spans, kept_sha256, kept_text) of every document.  ``kept_text`` drops the bytes of a
-    character that a cut divides; the digest is of the remaining bytes."""
-    d = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("id is not null")
+def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 200, crowded: int = CROWDED,
+                carry: tuple[str, ...] = ()) -> DataFrame:
+    """(id, n_bytes, n_removed, n_spans, kept_sha256, kept_text) of every document, and the columns to ``carry``.
+    ``kept_text`` drops the bytes of a character that a cut divides; the digest is of the remaining bytes."""
+    extra = [F.col(c).alias(f"__c{k}") for k, c in enumerate(carry)]
+    d = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), *extra).where("id is not null")
     runs = C.stored(repeated_runs(d, length, crowded).groupBy("id").agg(F.collect_list(F.struct("start", "n")).alias("runs")), "runs")
-    out = d.join(runs, "id", "left").select("id", "text", "runs")
-    return out.mapInArrow(_cut(length), "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string") \
-              .withColumnRenamed("id", id_col)
+    names = [f"__c{k}" for k in range(len(carry))]
+    out = d.join(runs, "id", "left").select("id", "text", "runs", *names)
+    kinds = "".join(f", __c{k} {docs.schema[c].dataType.simpleString()}" for k, c in enumerate(carry))
+    out = out.mapInArrow(_cut(length), "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string" + kinds)
+    clash = {id_col, *CUT[1:]}
+    return out.select(F.col("id").alias(id_col), *CUT[1:], *[F.col(f"__c{k}").alias(c) for k, c in enumerate(carry) if c not in clash])
