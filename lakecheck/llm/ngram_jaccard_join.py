@@ -12,8 +12,12 @@ neighbourhoods (the subset itself and it less one token) to the shortest prefix
 k positions without a skipped subset.  Of two linked sets that share e skipped subsets and no other,
 at most e - 1 of the other segments differ in two tokens or more, so one of these k >= e positions
 differs in one token and both sets emit the same neighbourhood key.  A document without enough such
-positions, or whose neighbourhood key is itself crowded, is compared with every set that shares one
-of its keys: the exact rest.
+positions, or whose neighbourhood key is itself crowded, is the exact rest: with q < k positions it can miss
+only sets that share more than q of its k skipped subsets, so any k - q of them lead to all of those; it is
+compared with every set that shares one of the k - q least common.
+
+Before texts are fetched, candidates are tested by size and by a count sketch: with the tokens hashed into
+buckets, the sets differ in at least the sum of the buckets' count differences, which may not exceed H.
 
 Equal sets are one representative.  Under a key only the smallest id is a pivot; further pairs are
 made only between classes that stay unlinked, so a group of copies never yields all its pairs.
@@ -37,11 +41,13 @@ from pyspark.sql import functions as F
 from lakecheck.llm import common as C
 from lakecheck.llm.components import components
 
-MAX_CLASSES = 8       # unlinked classes under one key before the key counts as too costly
+MAX_CLASSES = 32      # unlinked classes under one key before the key counts as too costly
 FEW_SEGMENTS = 4      # schemes of more segments also skip one-token subsets
 NEAR = 0              # kinds of emitted rows: a match key,
 UNALLOTTED = 1        # a document whose neighbourhoods do not suffice,
-SKIPPED = 2           # a skipped key of a document (only in the exact rest)
+SKIPPED = 2           # a skipped key of a document (only in the exact rest),
+CHOSEN = 3            # one of the skipped keys by which an unallotted document is compared
+BUCKETS = 128         # buckets of the count sketch
 
 
 @dataclass(frozen=True)
@@ -96,9 +102,7 @@ def _emit(h: np.ndarray, r: np.ndarray, rows: int, spec: Spec, dear: set[tuple[i
         if dear is not None:
             signed = key.view(np.int64)
             skipped |= np.fromiter(((a, b) in dear for a, b in zip(of.tolist(), signed.tolist())), bool, len(of))
-        if rest:
-            out.append((of[skipped], key[skipped], SKIPPED))
-        elif dear is None:
+        if not rest and dear is None:
             out.append((of[~skipped], key[~skipped], NEAR))
         need = np.bincount(of[skipped], minlength=rows)
         good = np.cumsum((~skipped & (n > least)).astype(np.int64))
@@ -108,6 +112,11 @@ def _emit(h: np.ndarray, r: np.ndarray, rows: int, spec: Spec, dear: set[tuple[i
         near = (need[of] > 0) & (before < need[of])              # the shortest sufficient prefix
         last = np.zeros(rows, dtype=np.int64)
         np.maximum.at(last, of, good)
+        if rest:                                                 # the last[row] most common ones are not needed
+            x = np.flatnonzero(skipped)
+            x = x[np.lexsort((x, n[x] >= least[x], of[x]))]
+            rank = np.arange(len(x)) - np.searchsorted(of[x], of[x], side="left")
+            out += [(of[x], key[x], SKIPPED)] + [(of[y], key[y], CHOSEN) for y in [x[rank >= last[of[x]]]]]
         poor = np.flatnonzero(last < need)
         out.append((poor, np.zeros(len(poor), dtype=np.uint64), UNALLOTTED))
         away = C.mix(salt + np.uint64(0xD6E8FEB86659FD93))
@@ -139,7 +148,7 @@ def _keys(spec: Spec, rest: bool = False):
 
 
 def _sets(spec: Spec):
-    """mapInArrow function: (id, text) -> (id, n, s1, s2): size and two commutative hashes of the set."""
+    """mapInArrow function: (id, text) -> (id, n, s1, s2, sketch): size, two commutative hashes and count sketch of the set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids = b.column(0).to_numpy(zero_copy_only=False)
@@ -148,8 +157,22 @@ def _sets(spec: Spec):
                 s = [np.zeros(j - i, dtype=np.uint64) for _ in range(2)]
                 np.add.at(s[0], r, h)
                 np.add.at(s[1], r, C.mix(h ^ np.uint64(0xA0761D6478BD642F)))
-                yield pa.RecordBatch.from_arrays([C.longs(ids[i:j]), C.longs(np.bincount(r, minlength=j - i)),
-                                                  C.longs(s[0]), C.longs(s[1])], ["id", "n", "s1", "s2"])
+                slot = r * BUCKETS + (C.mix(h + np.uint64(7)) % np.uint64(BUCKETS)).astype(np.int64)
+                sketch = np.minimum(np.bincount(slot, minlength=(j - i) * BUCKETS), 255).astype(np.uint8).reshape(-1, BUCKETS)
+                yield pa.RecordBatch.from_arrays([C.longs(ids[i:j]), C.longs(np.bincount(r, minlength=j - i)), C.longs(s[0]), C.longs(s[1]),
+                                                  pa.array([x.tobytes() for x in sketch], pa.binary())], ["id", "n", "s1", "s2", "sketch"])
+    return run
+
+
+def _near(spec: Spec):
+    """mapInArrow function: (a, b, size a, size b, sketch a, sketch b) -> the pairs that may reach the threshold."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            n = [b.column(k).to_numpy(zero_copy_only=False) for k in (2, 3)]
+            x, y = (np.frombuffer(C.utf8(b.column(k))[0], dtype=np.uint8).reshape(-1, BUCKETS).astype(np.int16) for k in (4, 5))
+            most = (n[0] + n[1]) * (spec.den - spec.num) // (spec.den + spec.num)
+            ok = (np.minimum(*n) * spec.den >= np.maximum(*n) * spec.num) & (np.abs(x - y).sum(axis=1, dtype=np.int64) <= most)
+            yield pa.RecordBatch.from_arrays([b.column(k).filter(pa.array(ok)) for k in (0, 1)], ["a", "b"])
     return run
 
 
@@ -177,8 +200,8 @@ def _verify(spec: Spec):
 
 
 class _Join:
-    def __init__(self, docs: DataFrame, spec: Spec, max_classes: int):
-        self.docs, self.spec, self.max_classes = docs, spec, max_classes
+    def __init__(self, docs: DataFrame, sets: DataFrame, spec: Spec, max_classes: int):
+        self.docs, self.sets, self.spec, self.max_classes = docs, sets, spec, max_classes
         self.spark = docs.sparkSession
 
     def emit(self, docs: DataFrame, rest: bool = False) -> DataFrame:
@@ -194,7 +217,10 @@ class _Join:
 
     def verified(self, pairs: DataFrame) -> DataFrame:
         """The linked ones of the candidate pairs (a, b); texts of candidates only are moved."""
-        pairs = C.stored(pairs.select("a", "b").distinct(), "candidates")
+        sets = self.sets.select("id", "n", "sketch")
+        side = [sets.select(F.col("id").alias(k), F.col("n").alias(f"n{k}"), F.col("sketch").alias(f"s{k}")) for k in "ab"]
+        near = pairs.select("a", "b").distinct().join(side[0], "a").join(side[1], "b").select("a", "b", "na", "nb", "sa", "sb")
+        pairs = C.stored(near.mapInArrow(_near(self.spec), "a long, b long").distinct(), "candidates")
         ids = C.stored(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "candidate-ids")
         t = self.docs.join(C.bounded(ids), "id", "left_semi")
         one = pairs.join(t.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
@@ -235,15 +261,19 @@ class _Join:
             links = C.stored(links.union(self.verified(g2.where("key is not null").select(
                 F.col("pivot").alias("a"), F.col("id").alias("b")))), "links2")
             pairs, crowded2 = self.across(g2, links)
+            crowded2 = C.stored(crowded2, "crowded2")
             links = links.union(self.verified(pairs))
-            poor = poor.union(g2.where("key is null").select("id")).union(crowded2.select("id")).distinct()
+            poor = poor.union(g2.where("key is null").select("id")).distinct()
         poor = C.stored(poor, "rest")
-        if poor.limit(1).count():                  # the exact rest: all sets that share a key with these
+        if poor.limit(1).count() or hot and crowded2.limit(1).count():                  # the exact rest: all sets that share a key with these
             t = reps if lists is None else reps.join(lists, "id", "left")
             t = t.select("id", "text", "dear") if lists is not None else t.select("id", "text")
-            keys = C.stored(self.emit(t, rest=True).where(f"kind <> {UNALLOTTED}").select("key", "id").distinct(), "rest-keys")
-            mine = keys.join(poor, "id", "left_semi").select("key", F.col("id").alias("u"))
-            links = links.union(self.verified(keys.join(mine, "key").where("id <> u").select(
+            keys = C.stored(self.emit(t, rest=True).where(f"kind >= {SKIPPED}").distinct(), "rest-keys")
+            mine = keys.where(f"kind = {CHOSEN}").join(poor, "id", "left_semi").select("key", F.col("id").alias("u"))
+            mine = mine.union(crowded2.withColumnRenamed("id", "u")) if hot else mine
+            every = keys.where(f"kind = {SKIPPED}").select("key", "id")
+            every = every.union(crowded2) if hot else every
+            links = links.union(self.verified(every.join(mine, "key").where("id <> u").select(
                 F.least("id", "u").alias("a"), F.greatest("id", "u").alias("b"))))
         return links
 
@@ -254,7 +284,7 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     link if den * |A & B| >= num * |A | B| over their distinct ``words``-word shingles."""
     spec = Spec(words, num, den)
     d = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("id is not null")
-    base = C.stored(d.mapInArrow(_sets(spec), "id long, n long, s1 long, s2 long"), "sets")
+    base = C.stored(d.mapInArrow(_sets(spec), "id long, n long, s1 long, s2 long, sketch binary"), "sets")
     full = base.where("n > 0")
     first = full.groupBy("n", "s1", "s2").agg(F.min("id").alias("rep"))
     rep = C.stored(full.join(first, ["n", "s1", "s2"]).select("id", "rep").where("id <> rep"), "copies")
@@ -262,7 +292,8 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # an id that occurs with several texts keeps all of them
     many = C.stored(base.groupBy("id").agg(F.count("*").alias("k")).where("k > 1").select("id"), "repeated-ids")
     gone = C.bounded(C.stored(gone.join(many, "id", "left_anti"), "dropped"))
-    links = _Join(d.join(gone, "id", "left_anti"), spec, max_classes).links(d.join(gone, "id", "left_anti"))
+    reps = d.join(gone, "id", "left_anti")
+    links = _Join(reps, full, spec, max_classes).links(reps)
     comp = components(links.select("a", "b").union(rep.select(F.col("rep").alias("a"), F.col("id").alias("b"))))
     return (base.groupBy("id").agg(F.max("n").alias("n_shingles"))
             .join(comp.withColumnRenamed("node", "id"), "id", "left")
