@@ -33,7 +33,7 @@ from lakecheck.llm import common as C
 
 ROUTES = 1024          # routing vectors, at most
 SUBTREE = 4096         # entries of a subtree, about
-PAGE = 64              # entries of a leaf page, at most
+PAGE = 256             # entries of a leaf page, at most
 BLOCK = 512            # queries searched together
 EPS = 1e-6
 
