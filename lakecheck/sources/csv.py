@@ -20,7 +20,8 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
              infer: bool = False, header: bool = True) -> DataFrame:
     reader = spark.read.option("header", str(header).lower())
     if schema is not None:
-        reader = reader.schema(schema)
+        # with a header, a column order or name that differs from the schema is an error, never a silent swap
+        reader = reader.schema(schema).option("enforceSchema", "false")
     elif infer:
         reader = reader.option("inferSchema", "true")
     return reader.csv(path)
