@@ -231,7 +231,7 @@ def _sum_rows(spec: CheckSpec) -> list[Column]:
     out = []
     for i, c in enumerate(spec.sum_cols):
         s, t = F.col(f"src_sum{i}"), F.col(f"tgt_sum{i}")
-        ok = F.abs(s - t) < F.lit(str(spec.tolerance)).cast(AMOUNT_TEXT)
+        ok = F.abs(s - t) < F.lit(str(spec.tolerance)).cast("decimal(20,10)")
         out.append(_row(COLUMN_SUM, METRIC_SUM_PREFIX + c, spec.table_name, s, t, ok, _flag(ok)))
     return out
 
