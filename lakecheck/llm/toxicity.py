@@ -118,7 +118,8 @@ def _distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             w, row = w[order], row[order]
             new = np.ones(len(w), dtype=bool)
             new[1:] = (w[1:] != w[:-1]) | (row[1:] != row[:-1])
-            yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i).take(pa.array(row[new])), C.longs(w[new])], ["id", "w"])
+            at = pa.array(row[new])
+            yield pa.RecordBatch.from_arrays([*[b.column(k).slice(i, j - i).take(at) for k in (0, 2)], C.longs(w[new])], ["id", "t", "w"])
 
 
 def features(docs: DataFrame, words: DataFrame, model_rows: int = MODEL_ROWS) -> DataFrame:
@@ -129,9 +130,12 @@ def features(docs: DataFrame, words: DataFrame, model_rows: int = MODEL_ROWS) ->
         order = np.argsort(h)
         r = t.column("ratio").to_numpy()[order] if t.num_rows else np.zeros(0)
         return docs.select("id", "text").mapInArrow(_lookup(h[order], r), "id long, feature double")
-    pairs = docs.select("id", "text").mapInArrow(_distinct_words, "id long, w long")
-    top = (pairs.join(words, "w", "left").groupBy("id").agg(F.max(F.coalesce("ratio", F.lit(0.0))).alias("feature")))
-    return docs.select("id").join(top, "id", "left").select("id", F.coalesce("feature", F.lit(0.0)).alias("feature"))
+    d = docs.select("id", "text", F.xxhash64("text").alias("t"))     # equal ids are told apart by their texts
+    pairs = d.mapInArrow(_distinct_words, "id long, t long, w long")
+    top = pairs.join(words, "w", "left").groupBy("id", "t").agg(F.max(F.coalesce("ratio", F.lit(0.0))).alias("feature"))
+    x, y = d.select("id", "t").alias("x"), top.alias("y")
+    return x.join(y, F.col("x.id").eqNullSafe(F.col("y.id")) & (F.col("x.t") == F.col("y.t")), "left").select(
+        "x.id", F.coalesce("y.feature", F.lit(0.0)).alias("feature"))
 
 
 def logistic(bins: list[tuple[float, int, int]], ridge: float = 1e-3) -> tuple[float, float]:
