@@ -16,8 +16,10 @@ positions, or whose neighbourhood key is itself crowded, is the exact rest: with
 only sets that share more than q of its k skipped subsets, so any k - q of them lead to all of those; it is
 compared with every set that shares one of the k - q least common.
 
-Before texts are fetched, candidates are tested by size and by a count sketch: with the tokens hashed into
-buckets, the sets differ in at least the sum of the buckets' count differences, which may not exceed H.
+Sets that meet under a key become a candidate row only if their sizes allow a link and a parity sketch does:
+with the tokens hashed into buckets, the sets differ in at least one token for every bucket whose counts differ
+in parity, and may not differ in more than H.  The test is part of the join condition, so pairs that fail it are
+never rows.  Before texts are fetched, a count sketch does the same with the sum of the count differences.
 
 Equal sets are one representative.  Under a key only the smallest id is a pivot; further pairs are
 made only between classes that stay unlinked, so a group of copies never yields all its pairs.
@@ -35,7 +37,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakecheck.llm import common as C
@@ -48,6 +50,8 @@ UNALLOTTED = 1        # a document whose neighbourhoods do not suffice,
 SKIPPED = 2           # a skipped key of a document (only in the exact rest),
 CHOSEN = 3            # one of the skipped keys by which an unallotted document is compared
 BUCKETS = 128         # buckets of the count sketch
+WORDS = 8             # 64-bit words of the parity sketch
+PARITY = [f"p{k}" for k in range(WORDS)]
 
 
 @dataclass(frozen=True)
@@ -148,7 +152,7 @@ def _keys(spec: Spec, rest: bool = False):
 
 
 def _sets(spec: Spec):
-    """mapInArrow function: (id, text) -> (id, n, s1, s2, sketch): size, two commutative hashes and count sketch of the set."""
+    """mapInArrow function: (id, text) -> (id, n, s1, s2, sketch, p0...): size, two commutative hashes, count and parity sketch of the set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids = b.column(0).to_numpy(zero_copy_only=False)
@@ -159,8 +163,12 @@ def _sets(spec: Spec):
                 np.add.at(s[1], r, C.mix(h ^ np.uint64(0xA0761D6478BD642F)))
                 slot = r * BUCKETS + (C.mix(h + np.uint64(7)) % np.uint64(BUCKETS)).astype(np.int64)
                 sketch = np.minimum(np.bincount(slot, minlength=(j - i) * BUCKETS), 255).astype(np.uint8).reshape(-1, BUCKETS)
+                slot = r * (64 * WORDS) + (C.mix(h + np.uint64(13)) % np.uint64(64 * WORDS)).astype(np.int64)
+                odd = (np.bincount(slot, minlength=(j - i) * 64 * WORDS) & 1).astype(np.uint8)
+                bits = np.packbits(odd).view(np.int64).reshape(-1, WORDS)
                 yield pa.RecordBatch.from_arrays([C.longs(ids[i:j]), C.longs(np.bincount(r, minlength=j - i)), C.longs(s[0]), C.longs(s[1]),
-                                                  pa.array([x.tobytes() for x in sketch], pa.binary())], ["id", "n", "s1", "s2", "sketch"])
+                                                  pa.array([x.tobytes() for x in sketch], pa.binary()), *(C.longs(bits[:, k]) for k in range(WORDS))],
+                                                 ["id", "n", "s1", "s2", "sketch", *PARITY])
     return run
 
 
@@ -215,6 +223,17 @@ class _Join:
             F.when(F.col("kind") == NEAR, F.col("key")).alias("key"), "id",
             F.when(F.col("kind") == NEAR, F.col("pivot")).alias("pivot")).distinct(), name)
 
+    def tested(self, rows: DataFrame, id_col: str = "id") -> DataFrame:
+        """``rows`` with the size and the parity sketch of their set; a repeated id has a row for each of its texts."""
+        return rows.join(self.sets.select(F.col("id").alias(id_col), "n", *PARITY), id_col)
+
+    def may_link(self, x: str, y: str) -> Column:
+        """Whether the sizes and parity sketches of the rows aliased ``x`` and ``y`` allow a link."""
+        a, b = F.col(f"{x}.n"), F.col(f"{y}.n")
+        differ = sum((F.bit_count(F.col(f"{x}.{p}").bitwiseXOR(F.col(f"{y}.{p}"))) for p in PARITY), F.lit(0))
+        return ((F.least(a, b) * self.spec.den >= F.greatest(a, b) * self.spec.num)
+                & (differ * (self.spec.den + self.spec.num) <= (a + b) * (self.spec.den - self.spec.num)))
+
     def verified(self, pairs: DataFrame) -> DataFrame:
         """The linked ones of the candidate pairs (a, b); texts of candidates only are moved."""
         sets = self.sets.select("id", "n", "sketch")
@@ -237,9 +256,9 @@ class _Join:
         # one row per class and key; then the classes of a key, kept only where there are two to max_classes
         n = member.select("key", "c").distinct().groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
         n = C.stored(n, "key-classes")
-        open_ = C.stored(member.join(n.where(f"n <= {self.max_classes}").select("key"), "key"), "open")
+        open_ = C.stored(self.tested(member.join(n.where(f"n <= {self.max_classes}").select("key"), "key")), "open")
         x, y = open_.alias("x"), open_.alias("y")
-        pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.c") < F.col("y.c"))).select(
+        pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.c") < F.col("y.c")) & self.may_link("x", "y")).select(
             F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
         crowded = member.join(n.where(f"n > {self.max_classes}").select("key"), "key").select("key", "id").distinct()
         return pairs, crowded
@@ -273,8 +292,9 @@ class _Join:
             mine = mine.union(crowded2.withColumnRenamed("id", "u")) if hot else mine
             every = keys.where(f"kind = {SKIPPED}").select("key", "id")
             every = every.union(crowded2) if hot else every
-            links = links.union(self.verified(every.join(mine, "key").where("id <> u").select(
-                F.least("id", "u").alias("a"), F.greatest("id", "u").alias("b"))))
+            x, y = self.tested(every.distinct()).alias("x"), self.tested(mine.distinct(), "u").alias("y")
+            links = links.union(self.verified(x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("id") != F.col("u")) & self.may_link("x", "y"))
+                                              .select(F.least("id", "u").alias("a"), F.greatest("id", "u").alias("b"))))
         return links
 
 
@@ -284,7 +304,7 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     link if den * |A & B| >= num * |A | B| over their distinct ``words``-word shingles."""
     spec = Spec(words, num, den)
     d = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("id is not null")
-    base = C.stored(d.mapInArrow(_sets(spec), "id long, n long, s1 long, s2 long, sketch binary"), "sets")
+    base = C.stored(d.mapInArrow(_sets(spec), "id long, n long, s1 long, s2 long, sketch binary, " + ", ".join(f"{p} long" for p in PARITY)), "sets")
     full = base.where("n > 0")
     first = full.groupBy("n", "s1", "s2").agg(F.min("id").alias("rep"))
     rep = C.stored(full.join(first, ["n", "s1", "s2"]).select("id", "rep").where("id <> rep"), "copies")
