@@ -100,10 +100,10 @@ def chunks(offsets: np.ndarray, limit: int = 0) -> Iterator[tuple[int, int]]:
         i = min(j, n)
 
 
-def text_chunks(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def text_chunks(column: pa.Array, limit: int = 0) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, offsets) of each bounded piece of a text column."""
     data, off = utf8(column)
-    for i, j in chunks(off):
+    for i, j in chunks(off, limit):
         yield i, j, data[off[i]:off[j]], off[i:j + 1] - off[i]
 
 

@@ -37,6 +37,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -50,6 +51,8 @@ UNALLOTTED = 1        # a document whose neighbourhoods do not suffice,
 SKIPPED = 2           # a skipped key of a document (only in the exact rest),
 CHOSEN = 3            # one of the skipped keys by which an unallotted document is compared
 BUCKETS = 128         # buckets of the count sketch
+CHUNK_BYTES = 1 << 19  # text bytes a task works on at once (one longer document is taken whole)
+VERIFY_ROWS = 256     # pairs whose texts a task copies at once
 WORDS = 8             # 64-bit words of the parity sketch
 PARITY = [f"p{k}" for k in range(WORDS)]
 
@@ -74,10 +77,14 @@ class Spec:
         return (end + end * self.den // self.num) * (self.den - self.num) // (self.den + self.num) + 1
 
 
-def _emit(h: np.ndarray, r: np.ndarray, rows: int, spec: Spec, dear: set[tuple[int, int]] | None,
+def _pair(row: np.ndarray, key: np.ndarray) -> np.ndarray:
+    return C.mix(key + C.mix(row.astype(np.uint64) + np.uint64(1)))
+
+
+def _emit(h: np.ndarray, r: np.ndarray, rows: int, spec: Spec, dear: np.ndarray | None,
           rest: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, key, kind) of the sets (h, r).  ``dear`` has the (row, key) pairs to be skipped besides
-    empty subsets; without it the plain keys are emitted too.  ``rest``: skipped and neighbourhood keys only."""
+    """(row, key, kind) of the sets (h, r).  ``dear`` has the ``_pair`` hashes of the (row, key) pairs to be
+    skipped besides empty subsets; without it the plain keys are emitted too.  ``rest``: skipped and neighbourhood keys only."""
     size = np.bincount(r, minlength=rows)
     ends = spec.bands(max(1, int(size.max(initial=1))))
     own = np.searchsorted(ends, np.maximum(size, 1))
@@ -104,8 +111,7 @@ def _emit(h: np.ndarray, r: np.ndarray, rows: int, spec: Spec, dear: set[tuple[i
         least = np.where(m > FEW_SEGMENTS, 2, 1)[of]             # smaller subsets are too common
         skipped = n < least
         if dear is not None:
-            signed = key.view(np.int64)
-            skipped |= np.fromiter(((a, b) in dear for a, b in zip(of.tolist(), signed.tolist())), bool, len(of))
+            skipped |= np.isin(_pair(of, key), dear)
         if not rest and dear is None:
             out.append((of[~skipped], key[~skipped], NEAR))
         need = np.bincount(of[skipped], minlength=rows)
@@ -141,10 +147,13 @@ def _keys(spec: Spec, rest: bool = False):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids = b.column(0).to_numpy(zero_copy_only=False)
-            lists = b.column(2).to_pylist() if b.num_columns > 2 else None
-            for i, j, data, off in C.text_chunks(b.column(1)):
+            for i, j, data, off in C.text_chunks(b.column(1), CHUNK_BYTES):
                 h, r = C.shingle_sets(data, off, spec.words)
-                dear = None if lists is None else {(x - i, k) for x in range(i, j) for k in lists[x] or ()}
+                dear = None
+                if b.num_columns > 2:                            # the skipped keys of each row, flattened
+                    lists = b.column(2).slice(i, j - i)
+                    count = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+                    dear = _pair(np.repeat(np.arange(j - i), count), lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64))
                 row, key, kind = _emit(h, r, j - i, spec, dear, rest)
                 yield pa.RecordBatch.from_arrays([C.longs(key), C.longs(ids[i:j][row]), pa.array(kind.astype(np.int8))],
                                                  ["key", "id", "kind"])
@@ -156,7 +165,7 @@ def _sets(spec: Spec):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids = b.column(0).to_numpy(zero_copy_only=False)
-            for i, j, data, off in C.text_chunks(b.column(1)):
+            for i, j, data, off in C.text_chunks(b.column(1), CHUNK_BYTES):
                 h, r = C.shingle_sets(data, off, spec.words)
                 s = [np.zeros(j - i, dtype=np.uint64) for _ in range(2)]
                 np.add.at(s[0], r, h)
@@ -187,13 +196,13 @@ def _near(spec: Spec):
 def _verify(spec: Spec):
     """mapInArrow function: (a, b, text a, text b) -> (a, b) of the pairs that reach the threshold."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (whole.slice(k, VERIFY_ROWS) for whole in batches for k in range(0, whole.num_rows, VERIFY_ROWS)):
             ids = [b.column(k).to_numpy(zero_copy_only=False) for k in (0, 1)]
             data, off = C.utf8(pa.concat_arrays([b.column(2), b.column(3)]))
             n, i = b.num_rows, 0
             while i < n:
                 j = i + 1
-                while j < n and off[j + 1] - off[i] + off[n + j + 1] - off[n + i] <= 2 * C.CHUNK_BYTES:
+                while j < n and off[j + 1] - off[i] + off[n + j + 1] - off[n + i] <= 2 * CHUNK_BYTES:
                     j += 1
                 side = [C.shingle_sets(data[off[k + i]:off[k + j]], off[k + i:k + j + 1] - off[k + i], spec.words) for k in (0, n)]
                 size = [np.bincount(r, minlength=j - i) for _, r in side]
