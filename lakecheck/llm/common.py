@@ -176,7 +176,9 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     _made.append(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.scratch = path
+    return out
 
 
 def drop_stored(spark: SparkSession, mark: int, keep: int = 0) -> None:
@@ -188,6 +190,14 @@ def drop_stored(spark: SparkSession, mark: int, keep: int = 0) -> None:
     del _made[mark:len(_made) - keep]
 
 
+def keep_only(spark: SparkSession, mark: int, *tables: DataFrame) -> None:
+    """Remove the scratch tables made since ``mark`` but these stored ones."""
+    kept = [t.scratch for t in tables]
+    _made[mark:] = kept + [p for p in _made[mark:] if p not in kept]
+    end = mark + len(kept)
+    drop_stored(spark, end)
+
+
 def made() -> int:
     return len(_made)
 

@@ -272,27 +272,29 @@ class _Join:
         crowded = member.join(n.where(f"n > {self.max_classes}").select("key"), "key").select("key", "id").distinct()
         return pairs, crowded
 
-    def links(self, reps: DataFrame) -> DataFrame:
-        """Links between representatives that give the same components as all links."""
-        g = self.groups(self.emit(reps), "groups")
+    def round(self, docs: DataFrame, name: str, known: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """One pass of emission and verification: (all links so far, crowded keys, unallotted documents), stored."""
+        g = self.groups(self.emit(docs), name)
         links = self.verified(g.where("key is not null").select(F.col("pivot").alias("a"), F.col("id").alias("b")))
+        links = links if known is None else C.stored(known.union(links), "links-so-far")
         pairs, crowded = self.across(g, links)
         crowded = C.stored(crowded, "crowded")
-        links = links.union(self.verified(pairs))
-        poor = g.where("key is null").select("id").distinct()
-        hot = crowded.select("key").distinct().limit(1).count() > 0
+        links = C.stored(links.union(self.verified(pairs)), "links-of-round")
+        return links, crowded, C.stored(g.where("key is null").select("id").distinct(), "unallotted")
+
+    def links(self, reps: DataFrame) -> DataFrame:
+        """Links between the representatives ``reps`` that give the same components as all links."""
+        mark = C.made()
+        links, crowded, poor = self.round(reps, "groups")
+        C.keep_only(self.spark, mark, links, crowded, poor)
+        hot = crowded.limit(1).count() > 0
         lists = None
         if hot:                                    # allot neighbourhoods where subsets are too costly
             lists = C.stored(crowded.groupBy("id").agg(F.collect_set("key").alias("dear")), "dear")
-            again = reps.join(lists, "id").select("id", "text", "dear")
-            g2 = self.groups(self.emit(again), "neighbourhoods")
-            links = C.stored(links.union(self.verified(g2.where("key is not null").select(
-                F.col("pivot").alias("a"), F.col("id").alias("b")))), "links2")
-            pairs, crowded2 = self.across(g2, links)
-            crowded2 = C.stored(crowded2, "crowded2")
-            links = links.union(self.verified(pairs))
-            poor = poor.union(g2.where("key is null").select("id")).distinct()
-        poor = C.stored(poor, "rest")
+            again = self.docs.join(lists, "id").select("id", "text", "dear")
+            links, crowded2, poor2 = self.round(again, "neighbourhoods", links)
+            poor = C.stored(poor.union(poor2).distinct(), "rest")
+            C.keep_only(self.spark, mark, links, crowded2, poor, lists)
         if poor.limit(1).count() or hot and crowded2.limit(1).count():                  # the exact rest: all sets that share a key with these
             t = reps if lists is None else reps.join(lists, "id", "left")
             t = t.select("id", "text", "dear") if lists is not None else t.select("id", "text")
@@ -301,7 +303,9 @@ class _Join:
             mine = mine.union(crowded2.withColumnRenamed("id", "u")) if hot else mine
             every = keys.where(f"kind = {SKIPPED}").select("key", "id")
             every = every.union(crowded2) if hot else every
-            x, y = self.tested(every.distinct()).alias("x"), self.tested(mine.distinct(), "u").alias("y")
+            mine = C.stored(mine.distinct(), "rest-mine")
+            every = every.join(mine.select("key").distinct(), "key", "left_semi").distinct()
+            x, y = self.tested(every).alias("x"), self.tested(mine, "u").alias("y")
             links = links.union(self.verified(x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("id") != F.col("u")) & self.may_link("x", "y"))
                                               .select(F.least("id", "u").alias("a"), F.greatest("id", "u").alias("b"))))
         return links
@@ -322,7 +326,7 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     many = C.stored(base.groupBy("id").agg(F.count("*").alias("k")).where("k > 1").select("id"), "repeated-ids")
     gone = C.bounded(C.stored(gone.join(many, "id", "left_anti"), "dropped"))
     reps = d.join(gone, "id", "left_anti")
-    links = _Join(reps, full, spec, max_classes).links(reps)
+    links = _Join(d, full, spec, max_classes).links(reps)   # all keys and pairs hold ids of representatives only
     comp = components(links.select("a", "b").union(rep.select(F.col("rep").alias("a"), F.col("id").alias("b"))))
     return (base.groupBy("id").agg(F.max("n").alias("n_shingles"))
             .join(comp.withColumnRenamed("node", "id"), "id", "left")
