@@ -5,8 +5,8 @@
         --run-ts "2025-06-01 00:00:00" --update --catalog
 
 The session is the one the cluster provides (``getOrCreate``); its ``spark.checkpoint.dir``
-must name a shared folder.  ``--update`` makes the run an SCD2 update of the patient
-dimension already under ``--out``; ``--catalog`` registers the layers as catalog tables in
+must name a shared folder.  A patient dimension already under ``--out`` gets an
+SCD2 update; ``--reset-dim`` starts it anew; ``--update`` demands that it exists; ``--catalog`` registers the layers as catalog tables in
 the databases ``<prefix>_bronze`` ... ``<prefix>_results``.  Prints the run's summary rows.
 """
 
@@ -28,7 +28,8 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--run-ts", help="run timestamp 'yyyy-MM-dd HH:mm:ss' (default: now)")
     ap.add_argument("--run-id", help="run id (default: the run timestamp as yyyyMMdd_HHmmss)")
     ap.add_argument("--as-of", help="SCD2 date of this load (default: the run date)")
-    ap.add_argument("--update", action="store_true", help="SCD2 update of the existing dimension")
+    ap.add_argument("--update", action="store_true", help="demand an existing dimension and update it")
+    ap.add_argument("--reset-dim", action="store_true", help="replace an existing dimension by a first load")
     ap.add_argument("--catalog", nargs="?", const="lakecheck", metavar="PREFIX",
                     help="register the layers as catalog tables in PREFIX_bronze ... PREFIX_results")
     a = ap.parse_args(argv)
@@ -42,7 +43,7 @@ def main(argv: list[str] | None = None) -> None:
     catalog = ({layer: f"{a.catalog}_{layer}" for layer in ("bronze", "silver", "gold", "results")}
                if a.catalog else None)
     out = pipeline.run(spark, a.raw, a.out, run_id, run_ts, as_of=a.as_of, previous_dim=previous,
-                       catalog=catalog)
+                       catalog=catalog, reset_dim=a.reset_dim)
     out["run_summary"].show(truncate=False)
 
 

@@ -75,9 +75,12 @@ def clean_fact(df: DataFrame, key: str, parent: DataFrame, fk: str, amount: str,
                casts: dict[str, str] | None = None) -> DataFrame:
     """dedup by key -> casts (``try_cast``) -> validity (amount and fk not null, amount > 0) ->
     referential filter -> projection, in the reference's order (dedup before validity).  The default
-    tie-break puts a non-null amount first so a valid copy of a duplicate wins."""
+    tie-break puts the copies that pass the validity test first, so a valid copy of a duplicate wins."""
     if order is None:
-        order = [F.col(amount).asc_nulls_last()] + [
+        number = F.col(amount).try_cast(casts[amount]) if amount in (casts or {}) else F.col(amount)
+        parent_id = F.col(fk).try_cast(casts[fk]) if fk in (casts or {}) else F.col(fk)
+        valid = F.coalesce((number > 0) & parent_id.isNotNull(), F.lit(False))
+        order = [valid.desc(), F.col(amount).asc_nulls_last()] + [
             F.col(c).asc_nulls_last() for c in df.columns if c not in (key, amount)]
     out = dedup(df, [key], order)
     for c, t in (casts or {}).items():  # try_cast: a malformed amount becomes NULL and fails validity

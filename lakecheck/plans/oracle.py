@@ -219,8 +219,6 @@ SUMMARY_OF = """
     from {rel} group by run_id, run_ts, table_name"""
 
 LATEST = "select * from check_log where run_id = (select max(run_id) from check_log)"
-DIFF_ORDER = "encounter_id, " + ", ".join([f"src_{c}" for c in COMPARE_COLS] + [f"tgt_{c}" for c in COMPARE_COLS])
-DETAILS = f"select *, '{RUN2_ID}' as run_id from (select * from diff order by {DIFF_ORDER} limit 10000)"
 
 # Compact record diff from the reference's row-level pairs: identical rows become one row
 # with ``n_rows``; keys with several versions on both sides list their versions instead.
@@ -241,6 +239,7 @@ COMPACT_DIFF = (
     "union all select encounter_id, " + ", ".join(f"null as src_{c}" for c in COMPARE_COLS) + ", "
     + ", ".join(f"{c} as tgt_{c}" for c in COMPARE_COLS)
     + f", count(*) as n_rows from clean_encounter where encounter_id in ({_MN}) group by all")
+DETAILS = f"select *, '{RUN2_ID}' as run_id from ({COMPACT_DIFF})"   # all differences of the run
 REPORT_COLS = "check_type, table_name, metric_name, source_value, target_value, status, mismatch_count"
 FACT_COLS = ("encounter_id, patient_id, patient_sk, doctor_id, dept_id, date_id, billing_amount, "
              "length_of_stay, diagnosis_code")
@@ -332,11 +331,10 @@ def oracle_sql() -> dict[str, str]:
             where rn = 1"""),
         "report_runs": _with_log("select distinct run_id, run_ts from summary_all order by run_ts desc"),
         "report_run_summary": _with_log(
-            f"select * from summary_all where run_id = '{RUN2_ID}' order by run_ts desc limit 1"),
+            f"select * from summary_all where run_id = '{RUN2_ID}' order by run_ts desc"),
         "report_checks": _with_log(
             f"select {REPORT_COLS} from check_log where run_id = '{RUN2_ID}' order by check_type"),
-        "report_diffs": _with(f"select * from ({DETAILS}) where run_id = '{RUN2_ID}' "
-                              f"order by {DIFF_ORDER} limit 1000"),
+        "report_diffs": _with(f"select * from ({DETAILS}) where run_id = '{RUN2_ID}'"),
         "report_trend": _with_log("select run_id, run_ts, total_checks, passed, failed, total_mismatches, "
                                   "overall_status from summary_all order by run_ts desc"),
         "export_roundtrip": _with_log(

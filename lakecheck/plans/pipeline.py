@@ -69,7 +69,6 @@ class PipelineSpec:
         key="encounter_id", sum_cols=("billing_amount", "length_of_stay"),
         hash_cols=tuple(HASH_COLUMNS), compare_cols=tuple(COMPARE_COLUMNS),
         table_name="encounters -> fact_encounters")
-    details_cap: int = 10000
 
 
 def run_together(*actions):
@@ -81,13 +80,6 @@ def run_together(*actions):
         return [f.result() for f in futures]
 
 
-def _read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The 'table exists' branch: an absent dataset reads as empty."""
-    if writers.path_exists(spark, path):
-        return spark.read.schema(schema).parquet(path)
-    return spark.createDataFrame([], schema)
-
-
 LAYER_TABLES = {  # layer -> {dataset path under out_dir: catalog table name}
     "bronze": {"bronze/departments": "raw_departments", "bronze/doctors": "raw_doctors",
                "bronze/patients": "raw_patients", "bronze/encounters": "raw_encounters"},
@@ -114,9 +106,10 @@ def register_layers(spark: SparkSession, out_dir: str, catalog: dict[str, str])
 def run(spark: SparkSession, raw_path: str, out_dir: str, run_id: str, run_ts: str,
         as_of: str | None = None, spec: PipelineSpec = PipelineSpec(),
         previous_dim: DataFrame | None = None,
-        catalog: dict[str, str] | None = None) -> dict[str, DataFrame]:
-    """Run every layer once for ``run_id``.  ``previous_dim`` (the patient dimension of an
-    earlier run) switches the dimension from first load to an SCD2 update on ``as_of``.
+        catalog: dict[str, str] | None = None, reset_dim: bool = False) -> dict[str, DataFrame]:
+    """Run every layer once for ``run_id``.  A patient dimension that exists under ``out_dir`` (or is
+    given as ``previous_dim``) gets an SCD2 update on ``as_of``; without one, or with ``reset_dim``,
+    the dimension is a first load.
     ``catalog`` ({"bronze"|"silver"|"gold"|"results": database}) also registers the written
     datasets as external catalog tables for SQL users."""
     out = out_dir.rstrip("/")
@@ -152,6 +145,8 @@ def run(spark: SparkSession, raw_path: str, out_dir: str, run_id: str, run_ts: s
     silver = {"departments": dep, "doctors": doc, "patients": pat, "encounters": enc}
 
     dim_path = f"{out}/gold/dim_patient"
+    if previous_dim is None and not reset_dim and writers.path_exists(spark, dim_path):
+        previous_dim = spark.read.parquet(dim_path)
     fact_cols = FACT_COLUMNS if spec.sk_col == "patient_sk" else [
         spec.sk_col if c == "patient_sk" else c for c in FACT_COLUMNS]
 
@@ -190,16 +185,14 @@ def run(spark: SparkSession, raw_path: str, out_dir: str, run_id: str, run_ts: s
     run_together(
         lambda: writers.write_runs(recon.run_checks(src, tgt, cs, run_id, run_ts, v=v),
                                    f"{out}/results/checks"),
-        lambda: writers.write_runs(recon.details_of_versions(dv, cs.key, cs.compare_cols, run_id,
-                                                             spec.details_cap),
-                                   f"{out}/results/diff_details"))
+        lambda: writers.write_runs(recon.diff_of_versions(dv, cs.key, cs.compare_cols)
+                                   .withColumn("run_id", F.lit(run_id)), f"{out}/results/diff_details"))
     checks = writers.read_runs(spark, f"{out}/results/checks", recon.CHECK_SCHEMA)
 
+    # the summary of this run, whatever other runs are stored; a re-run replaces its own rows as the checks do
     summary_path = f"{out}/results/summary"
-    existing = _read_or_empty(spark, summary_path, results.SUMMARY_SCHEMA)
-    candidate = results.summarize(results.latest(checks)).select(*results.SUMMARY_COLUMNS)
-    fresh = results.new_rows(existing, candidate).checkpoint(eager=True)
-    writers.append(fresh, summary_path, ["run_id"])
+    mine = results.summarize(checks.filter(F.col("run_id") == run_id)).select(*results.SUMMARY_COLUMNS)
+    writers.write_runs(mine, summary_path)
     summary = spark.read.schema(results.SUMMARY_SCHEMA).parquet(summary_path)
     if catalog:
         register_layers(spark, out, catalog)

@@ -25,8 +25,6 @@ SPEC = recon.CheckSpec(key="encounter_id", sum_cols=("billing_amount", "length_o
                        compare_cols=tuple(pipeline.COMPARE_COLUMNS), table_name=TABLE)
 STRICT_SPEC = recon.CheckSpec(key=SPEC.key, sum_cols=SPEC.sum_cols, hash_cols=SPEC.hash_cols,
                               compare_cols=SPEC.compare_cols, table_name=TABLE, null_token="\\N")
-DETAILS_CAP = 10000   # fixed value: diff-details cap per run
-REPORT_CAP = 1000     # fixed value: row-level mismatch report cap
 
 
 # ---------------------------------------------------------------- shared derivations
@@ -70,9 +68,7 @@ def _check_log(spark, sf):
 
 
 def _details_of(spark, sf):
-    v = recon.versions(fx.src_encounter(spark, sf), fx.clean_encounter(spark, sf),
-                       [SPEC.key, *SPEC.compare_cols])
-    return recon.details_of_versions(v, SPEC.key, SPEC.compare_cols, fx.RUN2_ID, DETAILS_CAP)
+    return _diff(spark, sf).withColumn("run_id", F.lit(fx.RUN2_ID))
 
 
 def _details(spark, sf):
@@ -246,7 +242,7 @@ def report_checks(spark, sf):
 
 
 def report_diffs(spark, sf):
-    return results.run_diffs(_details(spark, sf), fx.RUN2_ID, SPEC.key, REPORT_CAP)
+    return results.run_diffs(_details(spark, sf), fx.RUN2_ID, SPEC.key)
 
 
 def report_trend(spark, sf):

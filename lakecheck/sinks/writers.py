@@ -46,8 +46,10 @@ def read_runs(spark: SparkSession, path: str, schema: T.StructType | None = None
     runs show NULL in columns added later).  The run id always comes back as a string."""
     if schema is not None:
         return spark.read.schema(schema).parquet(path)
-    df = spark.read.option("mergeSchema", "true").parquet(path)
-    return df.withColumn(run_col, F.col(run_col).cast("string"))
+    merged = spark.read.option("mergeSchema", "true").parquet(path).schema
+    # partition values are typed by inference (``0007`` would come back as 7); a given schema keeps the text
+    as_text = T.StructType([T.StructField(f.name, T.StringType()) if f.name == run_col else f for f in merged.fields])
+    return spark.read.schema(as_text).parquet(path)
 
 
 def staged_replace(df: DataFrame, path: str, partition_by: Sequence[str] | None = None) -> None:

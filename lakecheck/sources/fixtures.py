@@ -103,9 +103,8 @@ def clean_patient(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def clean_encounter(spark: SparkSession, sf: str) -> DataFrame:
-    order = [F.col("billing_amount").asc_nulls_last(), F.col("patient_id").asc_nulls_last()]
     return clean_fact(src_encounter(spark, sf), "encounter_id", clean_patient(spark, sf),
-                      "patient_id", "billing_amount", ENCOUNTER_COLUMNS, order=order)
+                      "patient_id", "billing_amount", ENCOUNTER_COLUMNS)
 
 
 def incoming_patient(spark: SparkSession, sf: str, clean: DataFrame | None = None) -> DataFrame:

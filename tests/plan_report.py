@@ -44,12 +44,10 @@ NOTES = {
                          "versions with their key's statistics on (key, salt bucket). The hot-key list is broadcast "
                          "(at most 10,000 keys by construction), and both join inputs are plain shuffle stages, so "
                          "AQE may split skew.",
-    "recon_diff_details": "Only the first n keys with differences are diffed: a top-n over the key statistics "
-                          "(TakeOrderedAndProject, n rows), broadcast into a map-side semi join with the versions. "
-                          "Then the diff of that selection, a top-n, and an expansion bounded by a running count.",
+    "recon_diff_details": "The complete compact diff of the run, one row per differing version, tagged with the run id.",
     "results_summary": "Reads the stored, run-partitioned check log. max(run_id) is answered from partition "
                        "values (empty read schema), and the run filter prunes partitions.",
-    "report_diffs": "Stored details: partition pruning on run_id, then top-1000 in key order.",
+    "report_diffs": "Stored details: partition pruning on run_id, then a sort in key order.",
 }
 
 

@@ -146,3 +146,28 @@ def test_path_exists(spark, tmp_dir):
     assert not writers.path_exists(spark, f"{tmp_dir}/none")
     spark.range(3).write.parquet(f"{tmp_dir}/some")
     assert writers.path_exists(spark, f"{tmp_dir}/some")
+
+
+def test_default_runs_keep_the_dimension_history(spark):
+    """A second run without any argument applies to the dimension it finds; a reset must be asked for."""
+    raw, lake = Q.stage_raw_files(spark, SF_SMALL), scratch_path(spark, "lake")
+    pipeline.run(spark, raw, lake, "20250101_000000", "2025-01-01 00:00:00")
+    path = f"{lake}/gold/dim_patient"
+    changed = spark.read.parquet(path).withColumn(
+        "segment", F.when(F.col("patient_sk") == 1, F.lit("OTHER")).otherwise(F.col("segment")))
+    writers.staged_replace(changed, path)
+    again = pipeline.run(spark, raw, lake, "20250601_000000", "2025-06-01 00:00:00")["gold"]["dim_patient"]
+    assert again.count() == 151 and again.filter("not is_current").count() == 1
+    reset = pipeline.run(spark, raw, lake, "20250701_000000", "2025-07-01 00:00:00", reset_dim=True)
+    assert reset["gold"]["dim_patient"].count() == 150
+    # an older run id still gets its own summary
+    late = pipeline.run(spark, raw, lake, "20240101_000000", "2024-01-01 00:00:00")
+    assert late["run_summary"].count() == 1 and late["summary"].count() == 4
+    # every difference is stored
+    details = writers.read_runs(spark, f"{lake}/results/diff_details").filter("run_id = '20250101_000000'")
+    assert details.agg(F.sum("n_rows")).first()[0] == 9
+
+
+def test_run_ids_stay_text(spark, tmp_dir):
+    writers.write_runs(spark.createDataFrame([("0007", 1)], "run_id string, v int"), tmp_dir)
+    assert [r.run_id for r in writers.read_runs(spark, tmp_dir).collect()] == ["0007"]

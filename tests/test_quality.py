@@ -111,3 +111,10 @@ def test_fk_filter_splits_a_hot_foreign_key(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_a_valid_copy_beats_invalid_ones(spark):
+    rows = [(1, 7, -3.0), (1, 7, 100.0), (2, None, 1.0), (2, 7, 5.0), (3, 7, -1.0)]
+    df = spark.createDataFrame(rows, "id int, pid int, amount double")
+    out = quality.clean_fact(df, "id", spark.createDataFrame([(7,)], "pid int"), "pid", "amount", ["id", "pid", "amount"])
+    assert sorted(map(tuple, out.collect())) == [(1, 7, 100.0), (2, 7, 5.0)]
