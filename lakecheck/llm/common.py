@@ -182,12 +182,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def drop_stored(spark: SparkSession, mark: int, keep: int = 0) -> None:
-    """Remove scratch tables made since ``mark`` (see ``made``), but the last ``keep``."""
+    """Remove scratch tables made since ``mark`` (see ``made``), but the last ``keep``.  A collection on the
+    driver lets Spark's context cleaner remove the shuffle files of the jobs that wrote them."""
     jvm = spark._jvm
     for path in _made[mark:len(_made) - keep]:
         p = jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
     del _made[mark:len(_made) - keep]
+    jvm.System.gc()
 
 
 def keep_only(spark: SparkSession, mark: int, *tables: DataFrame) -> None:

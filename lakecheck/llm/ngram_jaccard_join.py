@@ -6,15 +6,17 @@ tokens, so with the token universe hashed into H + 1 segments at least one segme
 (pigeonhole).  Every document indexes the subset of each segment under its own band and the one
 below: sets that meet under a key are candidates and are verified exactly on their texts.
 
-Cost-based allocation: a subset that costs too much - an empty or (in schemes of many segments) a
-one-token one, or one shared by more than ``max_classes`` unlinked classes - is skipped.  A document that skips k segments allots one-deletion
-neighbourhoods (the subset itself and it less one token) to the shortest prefix of segments that has
-k positions without a skipped subset.  Of two linked sets that share e skipped subsets and no other,
-at most e - 1 of the other segments differ in two tokens or more, so one of these k >= e positions
-differs in one token and both sets emit the same neighbourhood key.  A document without enough such
-positions, or whose neighbourhood key is itself crowded, is the exact rest: with q < k positions it can miss
-only sets that share more than q of its k skipped subsets, so any k - q of them lead to all of those; it is
-compared with every set that shares one of the k - q least common.
+Cost-based allocation: a subset that costs too much - an empty or (in schemes of many segments) a one-token one -
+is skipped.  A document that skips k segments allots one-deletion neighbourhoods (the subset itself and it less one
+token) to the shortest prefix of segments that has k positions without a skipped subset.  Of two linked sets that
+share e skipped subsets and no other, at most e - 1 of the other segments differ in two tokens or more, so one of
+these k >= e positions differs in one token and both sets emit the same neighbourhood key.
+
+The exact rest: a key shared by more than ``max_classes`` unlinked classes is crowded, as where a common passage fills
+whole segments, and is not compared; its documents, and documents without enough positions for their neighbourhoods,
+are.  They index their rarest tokens one by one: in an order common to all sets, with the tokens that many of the rest
+share last, two linked sets meet in the first |A| - ceil(threshold |A|) + 1 tokens of each.  Under these keys there
+is no limit of classes.  A passage that many unlike documents share so costs nothing, for its tokens come last.
 
 Sets that meet under a key become a candidate row only if their sizes allow a link and a parity sketch does:
 with the tokens hashed into buckets, the sets differ in at least one token for every bucket whose counts differ
@@ -37,7 +39,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,9 +48,8 @@ from lakecheck.llm.components import components
 MAX_CLASSES = 32      # unlinked classes under one key before the key counts as too costly
 FEW_SEGMENTS = 4      # schemes of more segments also skip one-token subsets
 NEAR = 0              # kinds of emitted rows: a match key,
-UNALLOTTED = 1        # a document whose neighbourhoods do not suffice,
-SKIPPED = 2           # a skipped key of a document (only in the exact rest),
-CHOSEN = 3            # one of the skipped keys by which an unallotted document is compared
+UNALLOTTED = 1        # a document whose neighbourhoods do not suffice
+COMMON = 200_000      # at most so many tokens of the rest are ordered by frequency (a few MB); it only bears on the cost
 BUCKETS = 128         # buckets of the count sketch
 CHUNK_BYTES = 1 << 19  # text bytes a task works on at once (one longer document is taken whole)
 VERIFY_ROWS = 256     # pairs whose texts a task copies at once
@@ -77,14 +77,8 @@ class Spec:
         return (end + end * self.den // self.num) * (self.den - self.num) // (self.den + self.num) + 1
 
 
-def _pair(row: np.ndarray, key: np.ndarray) -> np.ndarray:
-    return C.mix(key + C.mix(row.astype(np.uint64) + np.uint64(1)))
-
-
-def _emit(h: np.ndarray, r: np.ndarray, rows: int, spec: Spec, dear: np.ndarray | None,
-          rest: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, key, kind) of the sets (h, r).  ``dear`` has the ``_pair`` hashes of the (row, key) pairs to be
-    skipped besides empty subsets; without it the plain keys are emitted too.  ``rest``: skipped and neighbourhood keys only."""
+def _emit(h: np.ndarray, r: np.ndarray, rows: int, spec: Spec) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, key, kind) of the sets (h, r): keys of subsets and neighbourhoods, and the rows they do not suffice for."""
     size = np.bincount(r, minlength=rows)
     ends = spec.bands(max(1, int(size.max(initial=1))))
     own = np.searchsorted(ends, np.maximum(size, 1))
@@ -110,10 +104,7 @@ def _emit(h: np.ndarray, r: np.ndarray, rows: int, spec: Spec, dear: np.ndarray
         key = C.mix(content + salt + n.astype(np.uint64))
         least = np.where(m > FEW_SEGMENTS, 2, 1)[of]             # smaller subsets are too common
         skipped = n < least
-        if dear is not None:
-            skipped |= np.isin(_pair(of, key), dear)
-        if not rest and dear is None:
-            out.append((of[~skipped], key[~skipped], NEAR))
+        out.append((of[~skipped], key[~skipped], NEAR))
         need = np.bincount(of[skipped], minlength=rows)
         good = np.cumsum((~skipped & (n > least)).astype(np.int64))
         seen = np.concatenate(([0], good))
@@ -122,11 +113,6 @@ def _emit(h: np.ndarray, r: np.ndarray, rows: int, spec: Spec, dear: np.ndarray
         near = (need[of] > 0) & (before < need[of])              # the shortest sufficient prefix
         last = np.zeros(rows, dtype=np.int64)
         np.maximum.at(last, of, good)
-        if rest:                                                 # the last[row] most common ones are not needed
-            x = np.flatnonzero(skipped)
-            x = x[np.lexsort((x, n[x] >= least[x], of[x]))]
-            rank = np.arange(len(x)) - np.searchsorted(of[x], of[x], side="left")
-            out += [(of[x], key[x], SKIPPED)] + [(of[y], key[y], CHOSEN) for y in [x[rank >= last[of[x]]]]]
         poor = np.flatnonzero(last < need)
         out.append((poor, np.zeros(len(poor), dtype=np.uint64), UNALLOTTED))
         away = C.mix(salt + np.uint64(0xD6E8FEB86659FD93))
@@ -142,24 +128,53 @@ def _emit(h: np.ndarray, r: np.ndarray, rows: int, spec: Spec, dear: np.ndarray
             np.concatenate([np.full(len(x[0]), x[2]) for x in out]))
 
 
-def _keys(spec: Spec, rest: bool = False):
-    """mapInArrow function: (id, text[, dear keys]) -> (key, id, kind)."""
+def _keys(spec: Spec):
+    """mapInArrow function: (id, text) -> (key, id, kind)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids = b.column(0).to_numpy(zero_copy_only=False)
             for i, j, data, off in C.text_chunks(b.column(1), CHUNK_BYTES):
-                h, r = C.shingle_sets(data, off, spec.words)
-                dear = None
-                if b.num_columns > 2:                            # the skipped keys of each row, flattened
-                    lists = b.column(2).slice(i, j - i)
-                    count = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
-                    dear = _pair(np.repeat(np.arange(j - i), count), lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64))
-                row, key, kind = _emit(h, r, j - i, spec, dear, rest)
+                row, key, kind = _emit(*C.shingle_sets(data, off, spec.words), j - i, spec)
                 yield pa.RecordBatch.from_arrays([C.longs(key), C.longs(ids[i:j][row]), pa.array(kind.astype(np.int8))],
                                                  ["key", "id", "kind"])
     return run
 
 
+def _tokens(spec: Spec):
+    """mapInArrow function: (id, text) -> the tokens of each set."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for _, _, data, off in C.text_chunks(b.column(1), CHUNK_BYTES):
+                yield pa.RecordBatch.from_arrays([C.longs(C.shingle_sets(data, off, spec.words)[0])], ["token"])
+    return run
+
+
+def _rarest(spec: Spec, common: np.ndarray):
+    """mapInArrow function: (id, text) -> (key, id, kind) of the first tokens of each set, in the order: tokens that
+    are not in ``common`` by hash, then those of ``common`` from its end."""
+    at = np.argsort(common)
+    known = common[at]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ids = b.column(0).to_numpy(zero_copy_only=False)
+            for i, j, data, off in C.text_chunks(b.column(1), CHUNK_BYTES):
+                h, r = C.shingle_sets(data, off, spec.words)
+                late = np.zeros(len(h), dtype=np.int64)
+                if len(known):
+                    k = np.minimum(np.searchsorted(known, h), len(known) - 1)
+                    late = np.where(known[k] == h, len(known) - at[k], 0)
+                o = np.lexsort((h, late, r))
+                h, r = h[o], r[o]
+                size = np.bincount(r, minlength=j - i)
+                first = np.cumsum(size) - size
+                most = size - (size * spec.num + spec.den - 1) // spec.den + 1
+                take = np.arange(len(h)) - first[r] < most[r]
+                yield pa.RecordBatch.from_arrays([C.longs(h[take]), C.longs(ids[i:j][r[take]]), pa.array(np.full(int(take.sum()), NEAR, dtype=np.int8))],
+                                                 ["key", "id", "kind"])
+    return run
+
+
 def _sets(spec: Spec):
     """mapInArrow function: (id, text) -> (id, n, s1, s2, sketch, p0...): size, two commutative hashes, count and parity sketch of the set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -221,8 +236,17 @@ class _Join:
         self.docs, self.sets, self.spec, self.max_classes = docs, sets, spec, max_classes
         self.spark = docs.sparkSession
 
-    def emit(self, docs: DataFrame, rest: bool = False) -> DataFrame:
-        return docs.mapInArrow(_keys(self.spec, rest), "key long, id long, kind byte")
+    def emit(self, docs: DataFrame) -> DataFrame:
+        return docs.select("id", "text").mapInArrow(_keys(self.spec), "key long, id long, kind byte")
+
+    def rarest(self, docs: DataFrame, common: np.ndarray) -> DataFrame:
+        return docs.select("id", "text").mapInArrow(_rarest(self.spec, common), "key long, id long, kind byte")
+
+    def common(self, docs: DataFrame) -> np.ndarray:
+        """The tokens that most of ``docs`` share, the most common first; at most ``COMMON``."""
+        n = (docs.select("id", "text").mapInArrow(_tokens(self.spec), "token long").groupBy("token").agg(F.count("*").alias("n"))
+             .where(F.col("n") > self.max_classes).orderBy(F.desc("n"), "token").limit(COMMON))
+        return np.array([r[0] for r in n.select("token").collect()], dtype=np.int64).view(np.uint64)
 
     def groups(self, rows: DataFrame, name: str) -> DataFrame:
         """(key, id, pivot) of the ids that are not the first of their key, and (NULL, id, NULL) of unallotted ones."""
@@ -255,8 +279,8 @@ class _Join:
         two = one.join(t.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
         return C.stored(two.select("a", "b", "ta", "tb").mapInArrow(_verify(self.spec), "a long, b long"), "links")
 
-    def across(self, groups: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Under keys of few classes: the pairs of different classes.  And the crowded keys."""
+    def across(self, groups: DataFrame, links: DataFrame, most: int | None) -> tuple[DataFrame, DataFrame | None]:
+        """The pairs of different classes under keys of at most ``most`` classes, and the ids under the other keys."""
         comp = C.stored(components(links), "classes")
         g = groups.where("key is not null")
         member = g.select("key", "id").union(g.select("key", F.col("pivot").alias("id")).distinct())
@@ -265,50 +289,40 @@ class _Join:
         # one row per class and key; then the classes of a key, kept only where there are two to max_classes
         n = member.select("key", "c").distinct().groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
         n = C.stored(n, "key-classes")
-        open_ = C.stored(self.tested(member.join(n.where(f"n <= {self.max_classes}").select("key"), "key")), "open")
+        few = n if most is None else n.where(f"n <= {most}")
+        open_ = C.stored(self.tested(member.join(few.select("key"), "key")), "open")
         x, y = open_.alias("x"), open_.alias("y")
         pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.c") < F.col("y.c")) & self.may_link("x", "y")).select(
             F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
-        crowded = member.join(n.where(f"n > {self.max_classes}").select("key"), "key").select("key", "id").distinct()
+        crowded = None if most is None else member.join(n.where(f"n > {most}").select("key"), "key", "left_semi").select("id").distinct()
         return pairs, crowded
 
-    def round(self, docs: DataFrame, name: str, known: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
-        """One pass of emission and verification: (all links so far, crowded keys, unallotted documents), stored."""
-        g = self.groups(self.emit(docs), name)
+    def round(self, rows: DataFrame, name: str, most: int | None, known: DataFrame | None = None) -> tuple[DataFrame, DataFrame | None, DataFrame]:
+        """Verification of the sets that meet under the keys of ``rows``: (all links so far, ids under crowded keys, unallotted ids), stored."""
+        g = self.groups(rows, name)
         links = self.verified(g.where("key is not null").select(F.col("pivot").alias("a"), F.col("id").alias("b")))
         links = links if known is None else C.stored(known.union(links), "links-so-far")
-        pairs, crowded = self.across(g, links)
-        crowded = C.stored(crowded, "crowded")
+        pairs, crowded = self.across(g, links, most)
+        crowded = crowded if crowded is None else C.stored(crowded, "crowded")
         links = C.stored(links.union(self.verified(pairs)), "links-of-round")
         return links, crowded, C.stored(g.where("key is null").select("id").distinct(), "unallotted")
 
     def links(self, reps: DataFrame) -> DataFrame:
         """Links between the representatives ``reps`` that give the same components as all links."""
         mark = C.made()
-        links, crowded, poor = self.round(reps, "groups")
+        links, crowded, poor = self.round(self.emit(reps), "groups", self.max_classes)
         C.keep_only(self.spark, mark, links, crowded, poor)
-        hot = crowded.limit(1).count() > 0
-        lists = None
-        if hot:                                    # allot neighbourhoods where subsets are too costly
-            lists = C.stored(crowded.groupBy("id").agg(F.collect_set("key").alias("dear")), "dear")
-            again = self.docs.join(lists, "id").select("id", "text", "dear")
-            links, crowded2, poor2 = self.round(again, "neighbourhoods", links)
-            poor = C.stored(poor.union(poor2).distinct(), "rest")
-            C.keep_only(self.spark, mark, links, crowded2, poor, lists)
-        if poor.limit(1).count() or hot and crowded2.limit(1).count():                  # the exact rest: all sets that share a key with these
-            t = reps if lists is None else reps.join(lists, "id", "left")
-            t = t.select("id", "text", "dear") if lists is not None else t.select("id", "text")
-            keys = C.stored(self.emit(t, rest=True).where(f"kind >= {SKIPPED}").distinct(), "rest-keys")
-            mine = keys.where(f"kind = {CHOSEN}").join(poor, "id", "left_semi").select("key", F.col("id").alias("u"))
-            mine = mine.union(crowded2.withColumnRenamed("id", "u")) if hot else mine
-            every = keys.where(f"kind = {SKIPPED}").select("key", "id")
-            every = every.union(crowded2) if hot else every
-            mine = C.stored(mine.distinct(), "rest-mine")
-            every = every.join(mine.select("key").distinct(), "key", "left_semi").distinct()
-            x, y = self.tested(every).alias("x"), self.tested(mine, "u").alias("y")
-            links = links.union(self.verified(x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("id") != F.col("u")) & self.may_link("x", "y"))
-                                              .select(F.least("id", "u").alias("a"), F.greatest("id", "u").alias("b"))))
-        return links
+        rest = C.stored(crowded.union(poor).distinct(), "rest")
+        if not rest.limit(1).count():
+            return links
+        docs = self.docs.join(C.bounded(rest), "id", "left_semi")
+        common = self.common(docs)
+        rows = self.rarest(docs, common)
+        if poor.limit(1).count():                  # these can also have links to documents outside the rest
+            keys = C.stored(self.rarest(self.docs.join(C.bounded(poor), "id", "left_semi"), common).select("key").distinct(), "poor-keys")
+            others = reps.join(C.bounded(rest), "id", "left_anti")
+            rows = rows.union(self.rarest(others, common).join(C.bounded(keys), "key", "left_semi"))
+        return self.round(rows, "rarest", None, links)[0]
 
 
 def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, num: int = 80,
