@@ -8,7 +8,6 @@ are parameters.  Sub-packages:
 * ``functions`` - column-expression helpers (row hash, predicates, date keys)
 * ``operators`` - quality, numbering, dimensions (SCD2), facts, reconciliation, results
 * ``plans``     - the end-to-end pipeline, the registered queries and their SQL oracles
-* ``streaming`` - intentionally empty: the reference has no streaming surface
 """
 
 __version__ = "0.1.0"
