@@ -6,6 +6,7 @@ it back, so a lost executor costs at most one stage's tasks.
 
 Defined cases: documents with NULL or empty texts pass the filters and are packed as an end token; documents of
 one near-duplicate class leave the smallest id; a document whose bytes all repeat stays with an empty text;
+mixing repeats the rows of documents with a factor above 1, and each copy is packed as a document;
 NULL ids are dropped by the passage stage, the first that needs an id; an empty table gives an empty result.
 """
 
@@ -43,8 +44,8 @@ def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A sample by the calibrated probabilities of source, language and topic."""
-    return mixing.calibrate(mixing.features(docs)).where("sampled").select(docs.columns)
+    """Every document as often as its calibrated factor of source, language and topic says."""
+    return mixing.repeat(mixing.calibrate(mixing.features(docs))).select(docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

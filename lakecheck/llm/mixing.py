@@ -32,6 +32,7 @@ TARGETS: dict[str, dict | float] = {
 }
 SWEEPS = 8
 SAVE_EVERY = 4
+COPY_BLOCK = 1024        # copies of a row that are listed at once
 NONE = "\u0001null"      # stands for NULL in a cell's key
 
 
@@ -101,6 +102,13 @@ def calibrate(docs: DataFrame, targets: dict[str, dict | float] | None = None, w
             .withColumn("sampled", F.col("copies") > 0))
 
 
+def repeat(drawn: DataFrame) -> DataFrame:
+    """Each row of ``calibrate`` as often as its ``copies`` say; none for 0 copies."""
+    block, left = F.lit(COPY_BLOCK), F.col("copies") - F.col("__block") * F.lit(COPY_BLOCK)
+    blocks = drawn.where("copies > 0").withColumn("__block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / block))))
+    return blocks.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.least(left, block.cast("long"))))).drop("__block", "__copy")
+
+
 def features(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with topic and n_tokens (words) of the text, set anew."""
     return docs.withColumns({"topic": topic(F.col(text_col)), "n_tokens": tokens(F.col(text_col))})
