@@ -7,8 +7,8 @@ value combinations, not of documents.  A document's factor is its cell's raked w
 weight; rate * factor is its expected number of copies, drawn by a hash of its id.
 
 Targets of a dimension: {value: share}, or a number a for shares in proportion to (weight ** a), with
-a = 0 for equal shares.  Shares are scaled to 1 over the values that have weight; a value without a
-share gets 0.
+a = 0 for equal shares.  A value that a dictionary does not list (NULL too) keeps its observed share; the
+listed shares of the values that have weight are scaled to the rest.  A value listed with 0 gets 0.
 
 Defined cases: a NULL value of a dimension is a value of its own; a cell of weight 0 (only empty or
 NULL texts) has factor 1; a NULL id draws with the text 'NULL'; an empty table gives an empty result;
@@ -51,10 +51,10 @@ def _key(d: str) -> Column:
     return F.coalesce(F.col(d).cast("string"), F.lit(NONE))
 
 
-def _share(cells: DataFrame, d: str, target: dict | float) -> Column:
-    """The unscaled target share of each value of a dimension."""
+def _share(d: str, target: dict | float) -> Column:
+    """The unscaled target share of each value of a dimension; NULL for a value that the target does not list."""
     if isinstance(target, dict):
-        return F.coalesce(*[F.when(F.col(f"k_{d}") == k, float(v)) for k, v in target.items()], F.lit(0.0))
+        return F.coalesce(*[F.when(F.col(f"k_{d}") == k, float(v)) for k, v in target.items()])
     return F.pow(F.col(f"__sum_{d}"), F.lit(float(target)))
 
 
@@ -65,9 +65,11 @@ def rake(cells: DataFrame, targets: dict[str, dict | float], sweeps: int = SWEEP
     w = mass.withColumn("raked", F.col("mass").cast("double"))
     for d, t in targets.items():
         g = mass.groupBy(f"k_{d}").agg(F.sum("mass").cast("double").alias(f"__sum_{d}"))
-        g = g.select(f"k_{d}", _share(g, d, t).alias("p"))
-        norm = float(g.agg(F.sum("p")).first()[0] or 0)
-        w = w.join(g.select(f"k_{d}", (F.col("p") / F.lit(norm or 1.0)).alias(f"g_{d}")), f"k_{d}")
+        g = g.withColumn("p", _share(d, t))
+        norm, other = g.agg(F.sum("p"), F.sum(F.when(F.col("p").isNull(), F.col(f"__sum_{d}")))).first()
+        whole = (total if norm else other) or 1.0                       # values not listed have shares of this weight
+        listed = F.col("p") / F.lit(norm or 1.0) * F.lit(1.0 - (other or 0.0) / whole)
+        w = w.join(g.select(f"k_{d}", F.coalesce(listed, F.col(f"__sum_{d}") / F.lit(whole)).alias(f"g_{d}")), f"k_{d}")
     w = stored(w, "cells")
     for s in range(sweeps):
         for d in targets:

@@ -54,3 +54,22 @@ def test_rows_are_repeated_as_copies_say(spark):
     n = [0, 1, 2, mixing.COPY_BLOCK, mixing.COPY_BLOCK + 1, 3 * mixing.COPY_BLOCK]
     out = mixing.repeat(spark.createDataFrame([(i, k) for i, k in enumerate(n)], "doc_id long, copies long"))
     assert {r["doc_id"]: r["count"] for r in out.groupBy("doc_id").count().collect()} == {i: k for i, k in enumerate(n) if k}
+
+
+def test_values_without_a_target_keep_their_share(spark):
+    langs = ("en", "de", "fr", "es", None, "it")
+    rows = skewed(n=8000, langs=langs, weights=(60, 4, 3, 3, 20, 10))
+    before = shares(rows, lambda x: x[2])
+    got = shares([tuple(r) for r in P.mix_sources(spark, spark.createDataFrame(rows, SCHEMA), "").collect()], lambda x: x[2])
+    rest = 1 - before[None] - before["it"]
+    want = {v: mixing.TARGETS["lang"][v] * rest if v in mixing.TARGETS["lang"] else before[v] for v in langs}
+    assert all(got[v] == pytest.approx(want[v], abs=0.02) for v in langs)
+
+
+def test_only_values_without_a_target(spark):
+    rows = skewed(n=300, langs=(None, "it"), weights=(1, 1))
+    got = mixing.calibrate(mixing.features(spark.createDataFrame(rows, SCHEMA)), {"lang": mixing.TARGETS["lang"]}).collect()
+    assert len(got) == 300 and all(r["factor"] == pytest.approx(1.0) and r["copies"] >= 1 for r in got if r["n_tokens"])
+    none = mixing.calibrate(mixing.features(spark.createDataFrame(rows, SCHEMA)), {"lang": {"it": 0.0}}).collect()
+    assert all(r["factor"] == 0.0 for r in none if r["lang"]) and sum(r["factor"] * r["n_tokens"] for r in none) == pytest.approx(
+        sum(r["n_tokens"] for r in none))
