@@ -6,17 +6,17 @@ interpolated with the continuation shares of both classes together:
 
     P_c(w) = max(t_c(w) - D, 0) / T_c + D * V_c / T_c * t(w) / T
 
-A word that follows fewer than ``min_types`` distinct words in all is a rare expression: it has only the
-shared backoff, alike for both classes, and says nothing.  A document's feature is the difference of the
-two log-likelihoods per word over its most toxic expression (normalised by the expression's length of
-one word, so it does not depend on the document's length).  A logistic curve, fitted on learning rows
-that gave no counts, maps it to a score.
+A rare word leans on the shared backoff term; an unknown word, or one that follows fewer than ``min_types``
+distinct words in all, has the backoff's weights alone, D * V_c / T_c.  A document has two features: the sum of
+its words' log-likelihood differences over its word count, and the highest such mean of ``WINDOW`` consecutive
+words (of the whole text if it is shorter), for a short expression in a long text.  A logistic curve in both,
+fitted on learning rows that gave no counts, maps them to a score; a feature that would lower it is left out.
 
 The counts of all learning rows are gathered by a shuffle that grows with them; the calibration uses a
-histogram of features (bounded by its bins).  The model has a row per non-rare word; it is broadcast up to
-``MODEL_ROWS`` words (16 bytes each), beyond that distinct (document, word) pairs are joined with it.
+histogram of features (bounded by its bins).  The model has a row per word; it is broadcast up to ``MODEL_ROWS``
+words (16 bytes each), beyond that distinct (document, word) pairs are joined with it and gathered by document.
 
-Defined cases: empty, NULL and letter-less texts have feature 0; without both classes in the learning
+Defined cases: empty, NULL and letter-less texts have features 0; without both classes in the learning
 rows every score is 0; NULL labels teach nothing; of contradicting labels of a document the larger counts;
 rows with NULL ids are scored but not learned from; other columns are ignored.
 """
@@ -34,7 +34,8 @@ from pyspark.sql import functions as F
 from lakecheck.llm import common as C
 
 DISCOUNT = 0.75
-MIN_TYPES = 5
+MIN_TYPES = 1          # every seen word has its own interpolated ratio
+WINDOW = 1             # words of an expression (longer ones held out worse, see the README)
 MODEL_ROWS = 2_000_000
 FOLDS = 3              # one in so many learning rows calibrates
 COUNT_BYTES = 8 << 20  # text counted together before rows are emitted
@@ -77,23 +78,51 @@ def _bigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield flush()
 
 
-def model(train: DataFrame, discount: float = DISCOUNT, min_types: int = MIN_TYPES) -> DataFrame:
-    """(w, ratio): log P_toxic(w) - log P_ordinary(w) of the words that are not rare."""
+def model(train: DataFrame, discount: float = DISCOUNT, min_types: int = MIN_TYPES) -> tuple[DataFrame, float]:
+    """(w, ratio): log P_toxic(w) - log P_ordinary(w) of the seen words; and the ratio of all others."""
     counts = train.select("text", "toxic").mapInArrow(_bigrams, "v long, w long, n0 int, n1 int")
     pairs = counts.groupBy("w", "v").agg(F.max(F.col("n0") > 0).cast("int").alias("a"), F.max(F.col("n1") > 0).cast("int").alias("b"))
     words = C.stored(pairs.groupBy("w").agg(F.sum("a").alias("t0"), F.sum("b").alias("t1"), F.count("*").alias("t")), "words")
     s = words.agg(*[F.sum(x).alias(x) for x in ("t0", "t1", "t")], F.count(F.when(F.col("t0") > 0, 1)).alias("v0"),
                   F.count(F.when(F.col("t1") > 0, 1)).alias("v1")).first()
     if not s["t0"] or not s["t1"]:
-        return words.select("w", F.lit(0.0).alias("ratio")).limit(0)
+        return words.select("w", F.lit(0.0).alias("ratio")).limit(0), 0.0
+    back = {c: discount * s[f"v{c}"] / s[f"t{c}"] for c in "01"}
 
     def p(c: str) -> Column:
-        return (F.greatest(F.col(f"t{c}") - discount, F.lit(0.0)) / s[f"t{c}"]
-                + F.lit(discount * s[f"v{c}"] / s[f"t{c}"]) * F.col("t") / s["t"])
-    return words.where(f"t >= {min_types}").select("w", (F.log(p("1")) - F.log(p("0"))).alias("ratio"))
+        return F.greatest(F.col(f"t{c}") - discount, F.lit(0.0)) / s[f"t{c}"] + F.lit(back[c]) * F.col("t") / s["t"]
+    return words.where(f"t >= {min_types}").select("w", (F.log(p("1")) - F.log(p("0"))).alias("ratio")), math.log(back["1"]) - math.log(back["0"])
 
 
-def _lookup(hashes: np.ndarray, ratios: np.ndarray):
+def _measure(ratio: np.ndarray, row: np.ndarray, rows: int, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Mean of each row's word ratios and the highest mean of ``window`` consecutive ones; 0 for a row without words."""
+    mean, peak = np.zeros(rows), np.zeros(rows)
+    if not len(ratio):
+        return mean, peak
+    n = np.bincount(row, minlength=rows)
+    has = np.flatnonzero(n)
+    first = (np.cumsum(n) - n)[has]
+    mean[has] = np.add.reduceat(ratio, first) / n[has]
+    size = np.minimum(n, window)[row]
+    at = np.arange(len(ratio))
+    whole = at - np.repeat(first, n[has]) >= size - 1                 # a whole window of the row ends here
+    up = np.concatenate(([0.0], np.cumsum(ratio)))
+    means = np.where(whole, (up[at + 1] - up[np.maximum(at + 1 - size, 0)]) / size, -np.inf)
+    peak[has] = np.maximum.reduceat(means, first)
+    return mean, peak
+
+
+FEATURES = "id long, t long, feature double, peak double"
+
+
+def _ratios(w: np.ndarray, hashes: np.ndarray, ratios: np.ndarray, other: float) -> np.ndarray:
+    if not len(hashes):
+        return np.full(len(w), other)
+    at = np.minimum(np.searchsorted(hashes, w), len(hashes) - 1)
+    return np.where(hashes[at] == w, ratios[at], other)
+
+
+def _lookup(hashes: np.ndarray, ratios: np.ndarray, other: float, window: int):
     shared = (hashes, ratios)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -101,12 +130,26 @@ def _lookup(hashes: np.ndarray, ratios: np.ndarray):
         for b in batches:
             for i, j, data, off in C.text_chunks(b.column(1)):
                 w, row = C.word_hashes(data, off, outside=C.NON_LETTER)
-                best = np.full(j - i, -np.inf)
-                if len(h) and len(w):
-                    at = np.minimum(np.searchsorted(h, w), len(h) - 1)
-                    np.maximum.at(best, row, np.where(h[at] == w, r[at], 0.0))
-                best[np.isinf(best)] = 0.0
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array(best)], ["id", "feature"])
+                mean, peak = _measure(_ratios(w, h, r, other), row, j - i, window)
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), b.column(2).slice(i, j - i), pa.array(mean), pa.array(peak)],
+                                                 ["id", "t", "feature", "peak"])
+    return run
+
+
+def _own_lookup(other: float, window: int):
+    """(id, text, t, known): as ``_lookup``, each document with the ratios of its own words."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for k in range(b.num_rows):
+                data, off = C.utf8(b.column(1).slice(k, 1))
+                known = b.column(3).slice(k, 1).flatten()
+                h = np.asarray(known.field("w").to_numpy(zero_copy_only=False), dtype=np.int64).view(np.uint64)
+                r = np.asarray(known.field("ratio").to_numpy(zero_copy_only=False), dtype=float)
+                order = np.argsort(h)
+                w, row = C.word_hashes(data, off, outside=C.NON_LETTER)
+                mean, peak = _measure(_ratios(w, h[order], r[order], other), row, 1, window)
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(k, 1), b.column(2).slice(k, 1), pa.array(mean), pa.array(peak)],
+                                                 ["id", "t", "feature", "peak"])
     return run
 
 
@@ -122,50 +165,58 @@ def _distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             yield pa.RecordBatch.from_arrays([*[b.column(k).slice(i, j - i).take(at) for k in (0, 2)], C.longs(w[new])], ["id", "t", "w"])
 
 
-def features(docs: DataFrame, words: DataFrame, model_rows: int = MODEL_ROWS) -> DataFrame:
-    """(id, feature) of every document: the highest ratio of its words, 0 for a word without one."""
+def features(docs: DataFrame, words: DataFrame, other: float = 0.0, model_rows: int = MODEL_ROWS, window: int = WINDOW) -> DataFrame:
+    """(id, t, feature, peak) of every document, t a hash of its text: the mean ratio of its words and of its highest window."""
+    d = docs.select("id", "text", F.xxhash64("text").alias("t"))     # equal ids are told apart by their texts
     if words.limit(model_rows + 1).count() <= model_rows:
         t = words.toArrow()
         h = np.asarray(t.column("w").to_numpy()).view(np.uint64) if t.num_rows else np.zeros(0, dtype=np.uint64)
         order = np.argsort(h)
         r = t.column("ratio").to_numpy()[order] if t.num_rows else np.zeros(0)
-        return docs.select("id", "text").mapInArrow(_lookup(h[order], r), "id long, feature double")
-    d = docs.select("id", "text", F.xxhash64("text").alias("t"))     # equal ids are told apart by their texts
-    pairs = d.mapInArrow(_distinct_words, "id long, t long, w long")
-    top = pairs.join(words, "w", "left").groupBy("id", "t").agg(F.max(F.coalesce("ratio", F.lit(0.0))).alias("feature"))
-    x, y = d.select("id", "t").alias("x"), top.alias("y")
+        return d.mapInArrow(_lookup(h[order], r, other, window), FEATURES)
+    pairs = d.mapInArrow(_distinct_words, "id long, t long, w long").distinct()
+    known = pairs.join(words, "w").groupBy("id", "t").agg(F.collect_list(F.struct("w", "ratio")).alias("known"))
+    x, y = d.alias("x"), known.alias("y")
     return x.join(y, F.col("x.id").eqNullSafe(F.col("y.id")) & (F.col("x.t") == F.col("y.t")), "left").select(
-        "x.id", F.coalesce("y.feature", F.lit(0.0)).alias("feature"))
+        "x.id", "x.text", "x.t", "y.known").mapInArrow(_own_lookup(other, window), FEATURES)
 
 
-def logistic(bins: list[tuple[float, int, int]], ridge: float = 1e-3) -> tuple[float, float]:
-    """Slope and offset of P(1 | x) by Newton's method on (x, ordinary, toxic) counts, with targets drawn in from
-    0 and 1 (Platt 1999) and a rising slope."""
-    x = np.array([b[0] for b in bins], dtype=float)
-    n0, n1 = (np.array([b[k] for b in bins], dtype=float) for k in (1, 2))
+def logistic(bins: list[tuple], ridge: float = 1e-3) -> tuple[list[float], float]:
+    """Slopes and offset of P(1 | x) by Newton's method on (x, ..., ordinary, toxic) counts, with targets drawn in from
+    0 and 1 (Platt 1999) and rising slopes: the feature of the most falling slope is left out until none falls."""
+    x = np.array([b[:-2] for b in bins], dtype=float).T
+    n0, n1 = (np.array([b[k] for b in bins], dtype=float) for k in (-2, -1))
     high, low = (n1.sum() + 1) / (n1.sum() + 2), 1 / (n0.sum() + 2)
     n, y = n0 + n1, n1 * high + n0 * low
-    m, s = np.average(x, weights=n), max(1e-6, math.sqrt(np.average((x - np.average(x, weights=n)) ** 2, weights=n)))
-    z = np.stack(((x - m) / s, np.ones_like(x)))
-    b = np.array([1.0, math.log((n1.sum() + 1) / (n0.sum() + 1))])
-    loss = lambda b: float((n * np.logaddexp(0, b @ z) - y * (b @ z)).sum() + ridge * b[0] ** 2)
-    for _ in range(100):
-        p = 1 / (1 + np.exp(-np.clip(b @ z, -35, 35)))
-        g = z @ (n * p - y) + np.array([2 * ridge * b[0], 0])
-        h = (z * (n * p * (1 - p) + 1e-9)) @ z.T + np.diag([2 * ridge, 1e-9])
-        step, t = np.linalg.solve(h, g), 1.0
-        while t > 1e-4 and loss(b - t * step) > loss(b):
-            t /= 2
-        b = b - t * step
-        if np.abs(t * step).max() < 1e-8:
+    m = np.average(x, axis=1, weights=n)
+    s = np.maximum(1e-6, np.sqrt(np.average((x - m[:, None]) ** 2, axis=1, weights=n)))
+    used = list(range(len(x)))
+    while True:
+        z = np.vstack(((x - m[:, None])[used] / s[used, None], np.ones(x.shape[1])))
+        b = np.array([1.0] * len(used) + [math.log((n1.sum() + 1) / (n0.sum() + 1))])
+        hold = np.array([ridge] * len(used) + [0.0])
+        loss = lambda b: float((n * np.logaddexp(0, b @ z) - y * (b @ z)).sum() + hold @ b ** 2)
+        for _ in range(100):
+            p = 1 / (1 + np.exp(-np.clip(b @ z, -35, 35)))
+            g = z @ (n * p - y) + 2 * hold * b
+            h = (z * (n * p * (1 - p) + 1e-9)) @ z.T + np.diag(2 * hold + 1e-9)
+            step, t = np.linalg.solve(h, g), 1.0
+            while t > 1e-4 and loss(b - t * step) > loss(b):
+                t /= 2
+            b = b - t * step
+            if np.abs(t * step).max() < 1e-8:
+                break
+        if not used or b[:-1].min() >= 0:
             break
-    a = max(b[0], 0.0) / s
-    return a, b[1] - a * m
+        used.pop(int(b[:-1].argmin()))
+    a = np.zeros(len(x))
+    a[used] = b[:-1] / s[used]
+    return a.tolist(), float(b[-1] - a @ m)
 
 
 def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", learn: Column | None = None,
           model_rows: int = MODEL_ROWS, min_types: int = MIN_TYPES) -> DataFrame:
-    """(id, score, feature) of every document.  ``labels``: (id, toxic 0/1).  ``learn``: a condition on the id column
+    """(id, score, feature, peak, text_hash) of every document.  ``labels``: (id, toxic 0/1).  ``learn``: a condition on the id column
     for the rows whose labels may be used (default: all)."""
     d = docs.select(F.col(id_col).cast("long").alias(id_col), F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     lab = labels.where(F.col("toxic").isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).cast("long").alias(id_col)).agg(F.max("toxic").cast("int").alias("toxic"))
@@ -173,12 +224,13 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         lab = lab.where(learn)
     lab = C.stored(lab.withColumn("held", F.pmod(F.xxhash64(id_col), F.lit(FOLDS)) == 0), "labels")
     train = d.join(C.bounded(lab.where("not held")), id_col)
-    words = C.stored(model(train, min_types=min_types), "ratios")
-    f = C.stored(features(d, words, model_rows), "features")
-    bins = (f.join(C.bounded(lab.where("held").withColumnRenamed(id_col, "id")), "id").groupBy(F.round("feature", 2).alias("x"))
+    words, other = model(train, min_types=min_types)
+    f = C.stored(features(d, C.stored(words, "ratios"), other, model_rows), "features")
+    bins = (f.join(C.bounded(lab.where("held").withColumnRenamed(id_col, "id")), "id").groupBy(F.round("feature", 2).alias("x"), F.round("peak", 1).alias("y"))
             .agg(F.count(F.when(F.col("toxic") == 0, 1)).alias("n0"), F.count(F.when(F.col("toxic") == 1, 1)).alias("n1")))
-    bins = [tuple(r) for r in bins.collect()]      # at most a few thousand: features rounded to 0.01
-    if not sum(b[1] for b in bins) or not sum(b[2] for b in bins):
-        return f.select(F.col("id").alias(id_col), F.lit(0.0).alias("score"), "feature")
-    a, c = logistic(bins)
-    return f.select(F.col("id").alias(id_col), (1 / (1 + F.exp(-(F.col("feature") * a + c)))).alias("score"), "feature")
+    bins = [tuple(r) for r in bins.collect()]      # bounded: features rounded to 0.01 and 0.1
+    rest = ["feature", "peak", F.col("t").alias("text_hash")]
+    if not sum(b[-2] for b in bins) or not sum(b[-1] for b in bins):
+        return f.select(F.col("id").alias(id_col), F.lit(0.0).alias("score"), *rest)
+    (a, k), c = logistic(bins)
+    return f.select(F.col("id").alias(id_col), (1 / (1 + F.exp(-(F.col("feature") * a + F.col("peak") * k + c)))).alias("score"), *rest)

@@ -6,7 +6,7 @@ import pytest
 
 import brute
 import corpus_pipeline as P
-from lakecheck.llm import mixing
+from lakecheck.llm import mixing, toxicity
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 MARK = {"legal": "license", "contact": "a@b.c", "listing": "a | b", "prose": "plain"}
@@ -73,3 +73,26 @@ def test_only_values_without_a_target(spark):
     none = mixing.calibrate(mixing.features(spark.createDataFrame(rows, SCHEMA)), {"lang": {"it": 0.0}}).collect()
     assert all(r["factor"] == 0.0 for r in none if r["lang"]) and sum(r["factor"] * r["n_tokens"] for r in none) == pytest.approx(
         sum(r["n_tokens"] for r in none))
+
+
+def test_toxicity_weighs_the_whole_text(spark):
+    r = random.Random(5)
+    plain = [f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(300)]
+    docs = []
+    for i in range(600):
+        w = r.choices(plain, k=r.randrange(20, 60))
+        if i % 4 == 0:
+            w += r.choices(["vile", "foul", "dire"], k=3) + ["xa", "seldom"]      # seldom always follows the same word
+        docs.append((i, " ".join(w)))
+    calm = " ".join(r.choices(plain, k=30))
+    asked = {900: "vile " + calm, 901: "vile " + " ".join([calm] * 10), 902: calm, 903: calm + " xa seldom", 904: calm + " vile foul dire", 905: "", 906: None}
+    df = spark.createDataFrame(docs + list(asked.items()), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i, _ in docs], "doc_id long, toxic int")
+    got, shuffled = ({x["doc_id"]: x for x in toxicity.score(df, labels, **more).collect()} for more in ({}, {"model_rows": 0}))
+    f = {i: got[i]["feature"] for i in asked}
+    assert f[900] > f[901] > f[902] and f[904] > f[900]             # falls as clean text is added, rises with every toxic word
+    assert f[903] > f[902] and got[903]["peak"] > got[902]["peak"]  # a rare word counts
+    assert got[900]["score"] > got[901]["score"]
+    assert f[905] == f[906] == 0.0
+    for i, x in got.items():
+        assert all(shuffled[i][c] == pytest.approx(x[c], abs=1e-9) for c in ("score", "feature", "peak"))
