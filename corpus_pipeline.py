@@ -5,9 +5,10 @@ the columns of ``documents``.  ``run`` writes each stage's result as Parquet in
 it back, so a lost executor costs at most one stage's tasks.
 
 Defined cases: documents with NULL or empty texts pass the filters and are packed as an end token; documents of
-one near-duplicate class leave the smallest id; a document whose bytes all repeat stays with an empty text;
-mixing repeats the rows of documents with a factor above 1, and each copy is packed as a document;
-NULL ids are dropped by the passage stage, the first that needs an id; an empty table gives an empty result.
+one near-duplicate class leave the smallest id, whatever number of rows an id has; equal texts without words stay
+once an id; a document whose bytes all repeat stays with an empty text; mixing repeats the rows of documents with a
+factor above 1, and each copy is packed as a document; rows with NULL ids are documents of their own, compared and
+cut like others, the last of their class; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -26,18 +27,25 @@ ORACLE_SQL = None      # the stages are not SQL; tests hold them against brute f
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that the class-conditional models call toxic."""
     scored = toxicity.score(docs, load(spark, sf_dir, "labels"))
-    gone = stored(scored.where(F.col("score") >= TOXIC).select("doc_id").distinct(), "toxic")
-    return docs.join(bounded(gone), "doc_id", "left_anti").select(docs.columns)
+    gone = stored(scored.where(F.col("score") >= TOXIC).select(F.col("doc_id").alias("__id"), "text_hash").distinct(), "toxic")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(F.col("text").cast("string")) == F.col("text_hash"))
+    return docs.join(bounded(gone), same, "left_anti").select(docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of five-word-shingle similarity 0.8 or more."""
-    return ngram_jaccard_join.keep_one(docs, ngram_jaccard_join.jaccard_classes(docs, words=5, num=80, den=100)).select(docs.columns)
+    """One document of each class of five-word-shingle similarity 0.8 or more.  Rows are told apart by keys in the
+    order of their ids (NULL last), so repeated and NULL ids are compared too."""
+    order = [F.col("doc_id").asc_nulls_last(), F.xxhash64("text"), *[c for c in docs.columns if c not in ("doc_id", "text")]]
+    rows = stored(docs.orderBy(*order).withColumn("__row", F.monotonically_increasing_id()), "rows")
+    classes = ngram_jaccard_join.jaccard_classes(rows, id_col="__row", words=5, num=80, den=100)
+    kept = ngram_jaccard_join.keep_one(rows, classes, id_col="__row").select(docs.columns)
+    bare = F.col("doc_id").isNotNull() & (mixing.tokens(F.col("text")) == 0)     # these have no class
+    return kept.where(~bare).union(kept.where(bare).dropDuplicates(["doc_id", "text"]))
 
 
 def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the bytes of 200-byte strings that occur again."""
-    rest = tuple(c for c in docs.columns if c not in ("doc_id", "text", "n_chars"))
+    rest = tuple(c for c in docs.columns if c not in ("doc_id", "text", "n_chars"))      # cut_repeats keys the rows itself
     out = suffix_dedup.cut_repeats(docs, carry=rest).withColumn("text", F.col("kept_text")).withColumn(
         "n_chars", F.length("kept_text").cast("long"))
     return out.select(docs.columns)
@@ -45,7 +53,8 @@ def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as its calibrated factor of source, language and topic says."""
-    return mixing.repeat(mixing.calibrate(mixing.features(docs))).select(docs.columns)
+    drawn = F.coalesce(F.col("doc_id").cast("string"), F.md5("text"))       # rows without an id draw by their texts
+    return mixing.repeat(mixing.calibrate(mixing.features(docs).withColumn("__draw", drawn), id_col="__draw")).select(docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

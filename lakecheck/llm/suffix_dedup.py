@@ -20,9 +20,8 @@ trigger; the strings of a crowded trigger (more than ``CROWDED`` distinct phrase
 two 64-bit hashes of their bytes, so no task holds more than a bounded number of phrases of one trigger.
 
 Defined cases: NULL and empty texts have 0 bytes and nothing removed; texts shorter than ``length``
-keep everything; repeated rows lose everything if they are long enough; an id that occurs twice is
-refused by no step - its rows are parsed as one document each only if ids are unique, so ids must be
-unique (``doc_id`` is); NULL ids are dropped; other columns are ignored.
+keep everything; repeated rows lose everything if they are long enough; rows are told apart by an own key, so an
+id may occur twice or be NULL, and each row is cut and kept; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -247,7 +246,7 @@ def merge(spans) -> list[tuple[int, int]]:
 
 def repeated_runs(docs: DataFrame, length: int = 200, crowded: int = CROWDED) -> DataFrame:
     """(id, start, n): runs of n start positions whose ``length``-byte string starts anywhere else too."""
-    d = docs.select("id", "text")
+    d, mark = docs.select("id", "text"), C.made()
     p = C.stored(d.mapInArrow(_phrases(length), "id long, start int, n int, trigger long, content long, again boolean"), "parse")
     # dictionary entries: one row per distinct phrase; a trigger matters if it occurs twice
     entry = p.groupBy("trigger", "content").agg(F.count("*").alias("k"), F.max("again").alias("again"))
@@ -255,6 +254,7 @@ def repeated_runs(docs: DataFrame, length: int = 200, crowded: int = CROWDED) ->
     live = C.stored(trig.where("k > 1 or again").select("trigger", F.when(F.col("entries") > crowded, 2).when((F.col("entries") > 1) | F.col("again"), 1)
                                                      .otherwise(0).alias("differ")), "triggers")
     hits = C.stored(p.drop("again").join(live, "trigger"), "live")
+    C.keep_only(docs.sparkSession, mark, hits)
     first = hits.groupBy("trigger", "content").agg(F.count("*").alias("k"), F.min(F.struct("id", "start", "n")).alias("f"), F.first("differ").alias("differ"))
     first = C.stored(first.select("trigger", "content", (F.col("k") > 1).alias("many"), "f", "differ"), "dictionary")
     many = hits.join(first.where("many").select("trigger", "content"), ["trigger", "content"], "left_semi")
@@ -282,11 +282,14 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """(id, n_bytes, n_removed, n_spans, kept_sha256, kept_text) of every document, and the columns to ``carry``.
     ``kept_text`` drops the bytes of a character that a cut divides; the digest is of the remaining bytes."""
     extra = [F.col(c).alias(f"__c{k}") for k, c in enumerate(carry)]
-    d = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), *extra).where("id is not null")
+    d = docs.select(F.col(id_col).cast("long").alias("__id"), F.col(text_col).cast("string").alias("text"), *extra)
+    mark = C.made()
+    d = C.stored(d.withColumn("id", F.monotonically_increasing_id()), "rows")       # written once: a retried task reads the same keys
     runs = C.stored(repeated_runs(d, length, crowded).groupBy("id").agg(F.collect_list(F.struct("start", "n")).alias("runs")), "runs")
-    names = [f"__c{k}" for k in range(len(carry))]
+    C.keep_only(docs.sparkSession, mark, d, runs)
+    names = ["__id", *[f"__c{k}" for k in range(len(carry))]]
     out = d.join(runs, "id", "left").select("id", "text", "runs", *names)
-    kinds = "".join(f", __c{k} {docs.schema[c].dataType.simpleString()}" for k, c in enumerate(carry))
+    kinds = ", __id long" + "".join(f", __c{k} {docs.schema[c].dataType.simpleString()}" for k, c in enumerate(carry))
     out = out.mapInArrow(_cut(length), "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string" + kinds)
     clash = {id_col, *CUT[1:]}
-    return out.select(F.col("id").alias(id_col), *CUT[1:], *[F.col(f"__c{k}").alias(c) for k, c in enumerate(carry) if c not in clash])
+    return out.select(F.col("__id").alias(id_col), *CUT[1:], *[F.col(f"__c{k}").alias(c) for k, c in enumerate(carry) if c not in clash])

@@ -6,7 +6,7 @@ import pytest
 
 import brute
 import corpus_pipeline as P
-from lakecheck.llm import mixing, toxicity
+from lakecheck.llm import mixing, suffix_dedup, toxicity
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 MARK = {"legal": "license", "contact": "a@b.c", "listing": "a | b", "prose": "plain"}
@@ -96,3 +96,39 @@ def test_toxicity_weighs_the_whole_text(spark):
     assert f[905] == f[906] == 0.0
     for i, x in got.items():
         assert all(shuffled[i][c] == pytest.approx(x[c], abs=1e-9) for c in ("score", "feature", "peak"))
+
+
+def test_repeated_and_null_ids_are_documents(spark):
+    r = random.Random(11)
+    text = lambda n=60: " ".join("".join(r.choice("abcdefghij") for _ in range(6)) for _ in range(n))
+    a, b, c, d, passage = text(), text(), text(), text(), text(50)
+    rows = [(1, a), (1, a), (2, b), (2, c), (3, b), (None, c), (None, d), (None, d), (4, text() + " " + passage), (4, text() + " " + passage),
+            (5, None), (5, None), (5, ""), (6, ""), (None, ""), (None, None)]
+    rows = [(i, t, "en", "web", len(t or "")) for i, t in rows]
+    key = lambda x: tuple((v is None, v or 0) if not isinstance(v, str) else (False, v) for v in x)
+    kept = sorted((tuple(x) for x in P.drop_near_copies(spark, spark.createDataFrame(rows, SCHEMA), "").collect()), key=key)
+    want = [rows[k] for k in (0, 2, 3, 6, 8, 9, 10, 12, 13, 14, 15)]
+    assert kept == sorted(want, key=key)
+    out = [tuple(x) for x in P.cut_passages(spark, spark.createDataFrame(kept, SCHEMA), "").collect()]
+    assert sorted((x[0] is None, x[0] or 0) for x in out) == sorted((x[0] is None, x[0] or 0) for x in kept)
+    whole = {x[1] for x in kept if x[0] != 4}
+    assert {x[1] or None for x in out if x[0] != 4} == {t or None for t in whole}       # one row of each text: nothing is cut
+    assert sorted(x[1] for x in out if x[0] == 4) == sorted(x[1][:-len(passage) - 1] for x in kept if x[0] == 4)
+
+
+def test_passages_are_cut_by_row(spark):
+    r = random.Random(12)
+    text = lambda n: " ".join("".join(r.choice("abcdefghij") for _ in range(6)) for _ in range(n))
+    passage = text(40)
+    rows = [(1, text(30) + passage), (1, passage + text(20)), (1, text(40)), (None, text(20) + passage + text(25)), (None, text(50)), (2, "x")]
+    got = suffix_dedup.cut_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(x["kept_text"] for x in got) == sorted(t.replace(passage, "") for _, t in rows)
+    assert sorted(str(x["doc_id"]) for x in got) == sorted(str(i) for i, _ in rows)
+
+
+def test_toxic_rows_without_id_go(spark, tmp_dir):
+    docs = [(i, f"word{'abcdefgh'[i % 8]} calm plain {'vile vile ' if i % 4 == 0 else ''}here", "en", "web", 1) for i in range(400)]
+    more = [(None, "calm vile vile plain here", "en", "web", 1), (None, "calm plain here", "en", "web", 1), (1, "plain vile vile vile calm", "en", "web", 1)]
+    spark.createDataFrame([(i, int(i % 4 == 0), 1) for i, *_ in docs if i != 1], "doc_id long, toxic int, quality int").write.parquet(f"{tmp_dir}/labels.parquet")
+    got = {(x[0], x[1]) for x in P.drop_toxic(spark, spark.createDataFrame(docs + more, SCHEMA), tmp_dir).collect()}
+    assert got == {(i, t) for i, t, *_ in docs if i % 4} | {(None, "calm plain here")}
