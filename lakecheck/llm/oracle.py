@@ -64,5 +64,45 @@ def _mixing() -> str:
            (floor(factor) + (u < factor - floor(factor))::int) > 0 as sampled from e"""
 
 
+def _crc_step() -> str:
+    """One step of nine a character: a character comes in, then its eight bits are divided out (polynomial 0xEDB88320)."""
+    return ("case when k % 9 = 0 then xor(c, ascii(s[k // 9 + 1])::bigint) when c % 2 = 1 then xor(c // 2, 3988292384) else c // 2 end")
+
+
+def _merkle(levels: int = 9, tops: int = 6) -> str:
+    """Levels are written out: for groups of up to 8**levels rows and 8**tops groups."""
+    field = lambda c: f"case when {c} is null then '-' else strlen({c}::varchar) || ':' || {c}::varchar end"
+    leaf = lambda text: "sha256(" + " || ".join(field(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+    ctes = ["""base as (select *, row_number() over () as row_key from documents)""",
+            """bits as (select row_key, doc_id::varchar as s, 0 as k, 4294967295::bigint as c from base where doc_id is not null
+               union all select row_key, s, k + 1, """ + _crc_step() + """ from bits where k < 9 * length(s))""",
+            "crcs as (select row_key, xor(c, 4294967295) as crc from bits where k = 9 * length(s))",
+            f"""leaves as (select row_key, doc_id, lang, {leaf('text')} as leaf, case when crc % 3 = 0 then {leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")}
+                 else {leaf('text')} end as found from base left join crcs using (row_key))""",
+            """l0 as (select *, dense_rank() over (order by lang nulls first) - 1 as tree,
+                 row_number() over (partition by lang order by doc_id nulls first, leaf) - 1 as pos from leaves)""",
+            "n0 as (select tree, pos, leaf as h, count(*) over (partition by tree) as n from l0)"]
+    def climb(n: str, s: str, depth: int) -> None:
+        for k in range(depth):
+            ctes.append(f"""{s}{k} as (select tree, pos, case when n > 1 then coalesce(string_agg(h, '') over (partition by tree, pos // 8 order by pos
+                rows between unbounded preceding and 1 preceding), '') else '' end as before, case when n > 1 then coalesce(string_agg(h, '') over (partition by tree, pos // 8
+                order by pos rows between 1 following and unbounded following), '') else '' end as after, n > 1 as on_path from {n}{k})""")
+            ctes.append(f"""{n}{k + 1} as (select tree, pos // 8 as pos, case when any_value(n) > 1 then sha256(string_agg(h, '' order by pos)) else any_value(h) end as h,
+                any_value((n + 7) // 8) as n from {n}{k} group by tree, pos // 8)""")
+    climb("n", "s", levels)
+    ctes.append(f"t0 as (select 0 as tree, tree as pos, h, count(*) over () as n from n{levels})")
+    climb("t", "u", tops)
+    path = [("s", k, f"s{k}.tree = r.tree and s{k}.pos = r.pos // {8 ** k}") for k in range(levels)] + [
+        ("u", k, f"u{k}.pos = r.tree // {8 ** k}") for k in range(tops)]
+    ctes.append("f0 as (select r.*, r.found as h0, '' as sib0 from l0 r)")
+    for x, (s, k, on) in enumerate(path):
+        ctes.append(f"""f{x + 1} as (select r.* exclude (h{x}, sib{x}), case when {s}{k}.on_path then sha256({s}{k}.before || r.h{x} || {s}{k}.after) else r.h{x} end as h{x + 1},
+            r.sib{x} || {s}{k}.before || {s}{k}.after as sib{x + 1} from f{x} r join {s}{k} on {on})""")
+    z = len(path)
+    return "with recursive " + ",\n".join(ctes) + f"""
+    select r.doc_id, r.leaf, sub.h as subroot, top.h as root, sha256(r.sib{z}) as proof_sha256, r.h{z} as folded_root, r.h{z} = top.h as verified
+    from f{z} r join n{levels} sub on sub.tree = r.tree, t{tops} top"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op7_quality_rules": _quality(), "op10_mixing": _mixing()}
+    return {"op7_quality_rules": _quality(), "op10_mixing": _mixing(), "op11_merkle_manifest": _merkle()}

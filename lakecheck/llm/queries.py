@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakecheck.llm import best_fit_packing, language_id, mixing, ngram_jaccard_join, quality_rules, suffix_dedup, token_counts, topk_search, toxicity, url_filters
+from lakecheck.llm import (best_fit_packing, language_id, merkle_manifest, mixing, ngram_jaccard_join, quality_rules, suffix_dedup, token_counts,
+                           topk_search, toxicity, url_filters)
 from lakecheck.sources.tables import load
 
 
@@ -71,6 +72,14 @@ def op10_mixing(spark: SparkSession, sf: str) -> DataFrame:
                                       F.round("probability", 6).alias("probability"), "copies", "sampled")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    """Leaf, subroot, root and proof of every document, and whether it is verified after A-Z of the texts were
+    lower-cased where 3 divides the crc32 of the id."""
+    changed = F.when(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(3)) == 0,
+                     F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")).otherwise(F.col("text"))
+    return merkle_manifest.verify(load(spark, sf, "documents"), {"text": changed})
+
+
 QUERIES = {f.__name__: f for f in (
     op1_ngram_jaccard_join, op2_language_id, op3_best_fit_packing, op4_toxicity, op5_token_counts, op6_topk_search,
-    op7_quality_rules, op8_suffix_dedup, op9_url_filters, op10_mixing)}
+    op7_quality_rules, op8_suffix_dedup, op9_url_filters, op10_mixing, op11_merkle_manifest)}
