@@ -104,5 +104,24 @@ def _merkle(levels: int = 9, tops: int = 6) -> str:
     from f{z} r join n{levels} sub on sub.tree = r.tree, t{tops} top"""
 
 
+def _ranked() -> str:
+    return """
+    with d as (select row_number() over () as rk, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                      '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') as terms from documents where text is not null),
+    n as (select rk, doc_id, len(terms)::bigint as n from d where len(terms) > 0),
+    total as (select count(*)::bigint as n_docs, sum(n)::bigint as n_terms from n),
+    tf as (select rk, term, count(*)::bigint as tf from (select rk, unnest(terms) as term from d) group by all),
+    df as (select term, count(*)::bigint as df from tf group by term),
+    m as (select rk, doc_id, 25 + (75 * n * n_docs) // n_terms as m from n, total),
+    q as (select row_number() over () as item, item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                 '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') as terms from benchmark where text is not null),
+    asked as (select item, item_id, term, count(*)::bigint as c from (select item, item_id, unnest(terms) as term from q) group by all),
+    weighted as (select item, item_id, term, c * floor(1000 * ln((2 * n_docs + 2)::double / (2 * df + 1)::double))::bigint as w from asked join df using (term), total),
+    scored as (select item, item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::bigint as score
+               from weighted join tf using (term) join m using (rk) group by item, item_id, rk, doc_id)
+    select item_id, row_number() over (partition by item order by score desc, doc_id)::int as rank, doc_id, score from scored where score > 0
+    qualify rank <= 10"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op7_quality_rules": _quality(), "op10_mixing": _mixing(), "op11_merkle_manifest": _merkle()}
+    return {"op7_quality_rules": _quality(), "op10_mixing": _mixing(), "op11_merkle_manifest": _merkle(), "op12_ranked_search": _ranked()}

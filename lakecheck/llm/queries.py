@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakecheck.llm import (best_fit_packing, language_id, merkle_manifest, mixing, ngram_jaccard_join, quality_rules, suffix_dedup, token_counts,
-                           topk_search, toxicity, url_filters)
+from lakecheck.llm import (best_fit_packing, language_id, merkle_manifest, mixing, multiprobe_search, ngram_jaccard_join, quality_rules, ranked_search,
+                           suffix_dedup, token_counts, topk_search, toxicity, url_filters)
 from lakecheck.sources.tables import load
 
 
@@ -80,6 +80,16 @@ def op11_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
     return merkle_manifest.verify(load(spark, sf, "documents"), {"text": changed})
 
 
+def op12_ranked_search(spark: SparkSession, sf: str) -> DataFrame:
+    """The ten best documents of every benchmark item, over all documents."""
+    return ranked_search.search(load(spark, sf, "documents"), load(spark, sf, "benchmark"))
+
+
+def op13_multiprobe_search(spark: SparkSession, sf: str) -> DataFrame:
+    """The ten nearest vectors found of every 100th vector, over all vectors."""
+    return multiprobe_search.nearest(load(spark, sf, "embeddings"), F.col("id") % 100 == 0)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_ngram_jaccard_join, op2_language_id, op3_best_fit_packing, op4_toxicity, op5_token_counts, op6_topk_search,
-    op7_quality_rules, op8_suffix_dedup, op9_url_filters, op10_mixing, op11_merkle_manifest)}
+    op7_quality_rules, op8_suffix_dedup, op9_url_filters, op10_mixing, op11_merkle_manifest, op12_ranked_search, op13_multiprobe_search)}
