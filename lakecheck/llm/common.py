@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +19,8 @@ from lakecheck.session import scratch_path
 CHUNK_BYTES = 1 << 20      # text bytes a kernel works on at once (one longer document is taken whole)
 BROADCAST_ROWS = 500_000   # rows of a few longs that may be broadcast; beyond, the join is shuffled
 
+LONG_WORD = 64             # bytes beyond which a word is not hashed by a polynomial
+
 WORD_REGEX = r"[^\x20\x09-\x0D]+"
 
 _SPACE = np.zeros(256, dtype=bool)
@@ -124,10 +127,16 @@ def word_spans(data: np.ndarray, off: np.ndarray, outside: np.ndarray = _SPACE)
 
 
 def word_hashes(data: np.ndarray, off: np.ndarray, lower: bool = True, outside: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hash and row of every word, A-Z lower-cased if asked."""
+    """64-bit hash and row of every word, A-Z lower-cased if asked.  Polynomials modulo 2**64 have words of some hundred
+    bytes and more that collide whatever the base (Thue-Morse words), so long words are hashed by XXH3."""
     start, end, row = word_spans(data, off, outside)
     pre = prefix_hash(data, _BYTE_LOWER if lower else _BYTE)
-    return mix(span_hash(pre, start, end) + (end - start).astype(np.uint64)), row
+    out = mix(span_hash(pre, start, end) + (end - start).astype(np.uint64))
+    long_ = np.flatnonzero(end - start > LONG_WORD)
+    if len(long_):
+        raw = (_LOWER[data] if lower else data).tobytes()
+        out[long_] = [xxhash.xxh3_64_intdigest(raw[start[k]:end[k]]) for k in long_]
+    return out, row
 
 
 def shingle_sets(data: np.ndarray, off: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:

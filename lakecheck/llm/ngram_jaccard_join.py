@@ -135,6 +135,8 @@ def _keys(spec: Spec):
             ids = b.column(0).to_numpy(zero_copy_only=False)
             for i, j, data, off in C.text_chunks(b.column(1), CHUNK_BYTES):
                 row, key, kind = _emit(*C.shingle_sets(data, off, spec.words), j - i, spec)
+                own = kind == UNALLOTTED                      # a key of their own, so that many do not meet in one task
+                key[own] = C.mix(ids[i:j][row[own]].astype(np.uint64))
                 yield pa.RecordBatch.from_arrays([C.longs(key), C.longs(ids[i:j][row]), pa.array(kind.astype(np.int8))],
                                                  ["key", "id", "kind"])
     return run

@@ -37,3 +37,17 @@ def test_empty_table_null_and_repeated_ids(spark):
     assert J.jaccard_classes(empty).collect() == []
     df = spark.createDataFrame([(None, "a b"), (1, "a b c d e f"), (1, "g h"), (2, "a b c d e f")], "doc_id long, text string")
     assert {tuple(r) for r in J.jaccard_classes(df).collect()} == {(1, 2, 1), (2, 2, 1)}
+
+
+def thue_morse(n, a, b):
+    return "".join(a if bin(i).count("1") % 2 == 0 else b for i in range(n))
+
+
+def test_words_that_polynomial_hashes_confuse(spark):
+    """A Thue-Morse word and its complement collide under any polynomial modulo 2**64; their documents are not linked."""
+    rows = [(i, thue_morse(n, *ab)) for i, (n, ab) in enumerate([(m, x) for m in (128, 1024, 2048, 4096) for x in ("ab", "ba")])]
+    rows += [(10, " ".join(f"w{i}" for i in range(30)) + " " + thue_morse(2048, "x", "y")), (11, " ".join(f"w{i}" for i in range(30)) + " " + thue_morse(2048, "y", "x")),
+             (12, thue_morse(2048, "A", "B"))]
+    got = {r["doc_id"]: r["component_id"] for r in J.jaccard_classes(spark.createDataFrame(rows, "doc_id long, text string"), words=4, num=85, den=100).collect()}
+    assert got == {i: c for i, (_, c) in brute.jaccard_classes(rows, 4, 85, 100).items()}
+    assert len({got[i] for i in range(8)}) == 8 and got[12] == 4
