@@ -1,9 +1,9 @@
 """Language identification with language-bitmask n-gram filters.
 
 Training texts give each language's byte 4-grams (letters lower-cased, other ASCII bytes a space).  An
-n-gram belongs to every language where its rate is at least ``SHARE`` of its highest rate.  A bit-sliced
-Bloom filter keeps one mask of language bits per slot: the AND of an n-gram's ``HASHES`` slots returns all
-languages containing it at once.  A document is decided by the per-language popcounts over its n-grams, each
+n-gram belongs to every language where its rate is at least ``SHARE`` of its highest rate, however seldom it is.  A bit-sliced
+Bloom filter keeps a mask of language bits per slot, in words of 63 bits: the AND of an n-gram's ``HASHES`` slots returns
+all languages containing it at once.  A document is decided by the per-language popcounts over its n-grams, each
 corrected for the filter's false positives of that language; the score is the winner's part of their sum.
 
 The filter has a fixed number of slots (a parameter), so what is sent to the executors has a proven bound;
@@ -11,8 +11,8 @@ n-gram counts are combined per batch before the shuffle.
 
 Defined cases: NULL texts and texts without a letter are ``und`` with score 0; a text whose n-grams are all
 unknown gets the language with most training text, score 0; NULL languages and texts teach nothing; with
-no training rows all is ``und``; rows with NULL or repeated ids are judged one by one; other columns are
-ignored.  Up to 63 languages.
+no training rows all is ``und``; rows with NULL or repeated ids are judged one by one, and NULL ids are not held out;
+other columns are ignored.  Any number of languages; the filter has a word a slot for every 63.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ from lakecheck.llm import common as C
 SLOTS = 1 << 22
 HASHES = 3
 SHARE = 0.2
-MIN_COUNT = 3
+WORD = 63            # language bits of a mask word
 UNKNOWN = "und"
 COUNT_BYTES = 8 << 20
 _BLANK = np.uint32(0x20202020)
@@ -84,9 +84,9 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _masks(size: int, hashes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            code, mask = (b.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+            code = b.column(0).to_numpy(zero_copy_only=False)
             for k in range(hashes):
-                yield pa.RecordBatch.from_arrays([pa.array(slots(code.astype(np.uint64), k, size)), pa.array(mask)], ["slot", "mask"])
+                yield pa.RecordBatch.from_arrays([pa.array(slots(code.astype(np.uint64), k, size)), b.column(1), b.column(2)], ["slot", "mask", "word"])
     return run
 
 
@@ -95,39 +95,53 @@ def fit(train: DataFrame, size: int = SLOTS, hashes: int = HASHES, share: float
     n = train.where("text is not null and lang is not null").select("text", F.col("lang").cast("string").alias("lang")).mapInArrow(
         _counts, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
     n = C.stored(n, "gram-counts")
-    totals = {r["lang"]: r["t"] for r in n.groupBy("lang").agg(F.sum("n").alias("t")).collect()}
+    totals = {r["lang"]: r["t"] for r in n.groupBy("lang").agg(F.sum("n").alias("t")).collect()}      # one row a language
     langs = sorted(totals, key=lambda x: (-totals[x], x))
-    if len(langs) > 63:
-        raise ValueError("more than 63 languages")
     if not langs:
-        return [], np.zeros(size, dtype=np.uint8)
-    rate, bit = (F.coalesce(*[F.when(F.col("lang") == x, F.lit(v)) for x, v in pairs]) for pairs in (
-        [(x, float(totals[x])) for x in langs], [(x, 1 << i) for i, x in enumerate(langs)]))
-    rows = n.where(f"n >= {MIN_COUNT}").select("code", (F.col("n") / rate).alias("r"), bit.cast("long").alias("bit"))
+        return [], np.zeros((1, size), dtype=np.uint8)
+    known = train.sparkSession.createDataFrame([(x, float(totals[x]), i // WORD, 1 << i % WORD) for i, x in enumerate(langs)],
+                                               "lang string, total double, word int, bit long")
+    rows = n.join(F.broadcast(known), "lang").select("code", (F.col("n") / F.col("total")).alias("r"), "word", "bit")
     top = rows.groupBy("code").agg(F.max("r").alias("top"))
-    masks = rows.join(top, "code").where(F.col("r") >= F.col("top") * share).groupBy("code").agg(F.bit_or("bit").alias("mask"))
-    t = masks.mapInArrow(_masks(size, hashes), "slot long, mask long").groupBy("slot").agg(F.bit_or("mask").alias("mask")).toArrow()
-    kind = next(k for k in (np.uint8, np.uint16, np.uint32, np.uint64) if len(langs) <= np.dtype(k).itemsize * 8)
-    table = np.zeros(size, dtype=kind)
-    table[t.column("slot").to_numpy()] = t.column("mask").to_numpy().astype(kind)
+    masks = rows.join(top, "code").where(F.col("r") >= F.col("top") * share).groupBy("code", "word").agg(F.bit_or("bit").alias("mask"))
+    t = masks.select("code", "mask", "word").mapInArrow(_masks(size, hashes), "slot long, mask long, word int").groupBy("word", "slot").agg(
+        F.bit_or("mask").alias("mask")).toArrow()                                   # at most size rows a word
+    kind = next(k for k in (np.uint8, np.uint16, np.uint32, np.uint64) if min(len(langs), WORD) <= np.dtype(k).itemsize * 8)
+    table = np.zeros((-(-len(langs) // WORD), size), dtype=kind)
+    table[t.column("word").to_numpy(), t.column("slot").to_numpy()] = t.column("mask").to_numpy().astype(kind)
     return langs, table
 
 
+def languages_of(code: np.ndarray, table: np.ndarray, hashes: int) -> np.ndarray:
+    """(words, n-grams): the mask of all languages that contain each n-gram, false positives included."""
+    mask = np.full((len(table), len(code)), np.iinfo(table.dtype).max, dtype=table.dtype)
+    for k in range(hashes):
+        mask &= table[:, slots(code, k, table.shape[1])]
+    return mask
+
+
+def has(words: np.ndarray, x: int) -> np.ndarray:
+    """The bit of language ``x`` in masks (words, ...)."""
+    return (words[x // WORD] >> np.array(x % WORD, dtype=words.dtype)) & 1 == 1
+
+
+def corrected(hits: np.ndarray, total: np.ndarray, fp: np.ndarray) -> np.ndarray:
+    """(languages, documents): popcounts less what the filter's false positives of each language add to them."""
+    return np.maximum(0.0, (hits - total * fp[:, None]) / (1 - np.minimum(fp[:, None], 0.99)))
+
+
 def _judge(langs: list[str], table: np.ndarray, hashes: int):
-    fp = np.array([float(((table >> np.array(i, dtype=table.dtype)) & 1).mean()) ** hashes for i in range(len(langs))])
+    fp = np.array([float(has(table, i).mean()) ** hashes for i in range(len(langs))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i, j, data, off in C.text_chunks(b.column(1)):
                 rows = j - i
                 code, row = grams(data, off)
-                mask = np.full(len(code), np.iinfo(table.dtype).max, dtype=table.dtype)
-                for k in range(hashes):
-                    mask &= table[slots(code, k, len(table))]
+                mask = languages_of(code, table, hashes)
                 total = np.bincount(row, minlength=rows)
-                hits = np.stack([np.bincount(row[(mask >> np.array(x, dtype=table.dtype)) & 1 == 1], minlength=rows) for x in range(len(langs))]) \
-                    if langs else np.zeros((1, rows))
-                right = np.maximum(0.0, (hits - total * fp[:, None]) / (1 - np.minimum(fp[:, None], 0.99))) if langs else hits
+                hits = np.stack([np.bincount(row[has(mask, x)], minlength=rows) for x in range(len(langs))]) if langs else np.zeros((1, rows))
+                right = corrected(hits, total, fp) if langs else hits
                 best, whole = right.argmax(axis=0), right.sum(axis=0)
                 score = np.where(whole > 0, right.max(axis=0) / np.maximum(whole, 1e-9), 0.0)
                 letter = np.bincount(np.repeat(np.arange(rows), np.diff(off)), weights=(data < 128) & ~C.NON_LETTER[data], minlength=rows) > 0
@@ -149,4 +163,5 @@ def identify(docs: DataFrame, train: DataFrame, id_col: str = "doc_id", text_col
 
 
 def held_out(id_col: Column, k: int, r: int) -> Column:
-    return F.crc32(id_col.cast("string").cast("binary")) % k == r
+    """Whether the crc32 of the id as text leaves the remainder; not so for NULL."""
+    return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % k == r, F.lit(False))

@@ -30,7 +30,8 @@ def op3_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
 def op4_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     """Toxicity of every document, learned from the labels that are not held out."""
     out = toxicity.score(load(spark, sf, "documents"), load(spark, sf, "labels"), learn=toxicity.remainder(F.col("doc_id"), 3) != 1)
-    return out.select("doc_id", (toxicity.remainder(F.col("doc_id"), 3) == 1).alias("held_out"), "score",
+    held = F.coalesce(toxicity.remainder(F.col("doc_id"), 3) == 1, F.lit(False))           # NULL ids are not held out
+    return out.select("doc_id", held.alias("held_out"), "score",
                       (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
