@@ -41,21 +41,27 @@ class Encoder:
             ranks = {bytes(chars[c] for c in t): i for t, i in vocab.items() if t not in self.special}
             self.fast = tiktoken.Encoding("vocabulary", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
+    def _fast(self, text: str) -> np.ndarray | None:
+        """tiktoken's ids; None where it refuses the text, as it does with very long runs of blanks."""
+        try:
+            return np.array(self.fast.encode_ordinary(text), dtype=np.uint32)
+        except BaseException as e:  # tiktoken's Rust panics are not Exceptions
+            if isinstance(e, (KeyboardInterrupt, SystemExit)):
+                raise
+            return None
+
     def ids(self, text: str) -> np.ndarray:
-        if self.fast is not None and not any(s in text for s in self.special):
-            try:
-                return np.array(self.fast.encode_ordinary(text), dtype=np.uint32)
-            except BaseException as e:  # tiktoken's Rust panics are not Exceptions
-                if isinstance(e, (KeyboardInterrupt, SystemExit)):
-                    raise
-        return np.array(self.slow.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
+        got = self._fast(text) if self.fast is not None and not any(s in text for s in self.special) else None
+        return got if got is not None else np.array(self.slow.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
 
     def plain_ids(self, text: str) -> np.ndarray:
         """As ``ids``, but a special token's string is ordinary text."""
+        got = self._fast(text) if self.fast is not None else None
+        if got is not None:
+            return got
         self.slow.encode_special_tokens = True
         try:
-            return np.array(self.fast.encode_ordinary(text), dtype=np.uint32) if self.fast is not None else np.array(
-                self.slow.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
+            return np.array(self.slow.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
         finally:
             self.slow.encode_special_tokens = False
 
