@@ -6,8 +6,9 @@ Plan shape (what makes it hold at scale)
 * **One aggregate for all checks.**  Row counts, exact decimal sums, both fingerprints and
   the diff count come out of a single global aggregate, each task emitting one partial
   row.  No ``collect``; statuses are ``when`` expressions.
-* **Exact, order-independent numbers.**  Sums are ``decimal(18,2)`` per value (the
-  reference's double sums depend on task order); the fingerprint is the sum of the first
+* **Exact, order-independent numbers.**  Doubles are summed without any rounding
+  (``functions.exact_sum``; the reference's double sums depend on task order), other numbers as
+  decimals; the sums are compared by their exact difference; the fingerprint is the sum of the first
   15 hex digits of md5 as ``decimal(38,0)`` - independent of partitioning and sensitive to
   multiplicity.
 * **Both sides grouped once, together.**  ``versions`` unions the two sides and groups by
@@ -40,6 +41,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakecheck.functions.exact_sum import exact_sums
 from lakecheck.functions.hashing import hash60, row_hash
 from lakecheck.functions.predicates import any_differs
 
@@ -165,35 +167,73 @@ def diff_count_rows(v: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
 
 # ---------------------------------------------------------------- one-pass metrics
 
+def _is_double(df: DataFrame, c: str) -> bool:
+    return isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType))
+
+
+def _amount(df: DataFrame, c: str) -> T.DecimalType:
+    """The decimal a column is summed in: its own scale if it has one, else two decimals."""
+    kind = df.schema[c].dataType
+    return kind if isinstance(kind, T.DecimalType) and kind.scale > AMOUNT.scale else AMOUNT
+
+
 def _weighted(df: DataFrame, spec: CheckSpec, sn: Column, tn: Column) -> DataFrame:
     """Per row: per-side counts, decimal amounts and 60-bit hashes, weighted by the row's
-    multiplicity on each side."""
+    multiplicity on each side.  Doubles are summed exactly on their own (``_exact_part``)."""
     cols = [sn.alias("__lc_sc"), tn.alias("__lc_tc")]
     for i, c in enumerate(spec.sum_cols):
-        v = F.col(c).cast(AMOUNT)
-        cols += [(v * sn).alias(f"__lc_ss{i}"), (v * tn).alias(f"__lc_ts{i}")]
+        if _is_double(df, c):
+            cols += _no_exact(i)
+        else:
+            v = F.col(c).cast(_amount(df, c))
+            cols += [(v * sn).alias(f"__lc_ss{i}"), (v * tn).alias(f"__lc_ts{i}")]
     h = hash60(row_hash(df, spec.hash_cols, spec.sep, spec.decimal_scale, spec.null_token))
     cols += [(h * sn).cast(COUNT).alias("__lc_sh"), (h * tn).cast(COUNT).alias("__lc_th"),
              F.lit(None).cast(COUNT).alias("__lc_d")]
     return df.select(*cols)
 
 
-def _diff_part(d: DataFrame, spec: CheckSpec) -> DataFrame:
+def _no_exact(i: int) -> list[Column]:
+    return [F.lit(None).cast("double").alias(f"__lc_ss{i}"), F.lit(None).cast("double").alias(f"__lc_ts{i}"),
+            F.lit(None).cast("double").alias(f"__lc_xd{i}"), F.lit(None).cast("boolean").alias(f"__lc_xm{i}")]
+
+
+def _other_part(df: DataFrame, spec: CheckSpec, exact: dict[int, list[Column]], d: Column) -> list[Column]:
+    """The columns of ``_weighted`` for a row that only carries exact sums or key differences."""
     cols = [F.lit(None).cast("bigint").alias("__lc_sc"), F.lit(None).cast("bigint").alias("__lc_tc")]
-    for i, _ in enumerate(spec.sum_cols):
-        cols += [F.lit(None).cast(AMOUNT_TEXT).alias(f"__lc_ss{i}"),
-                 F.lit(None).cast(AMOUNT_TEXT).alias(f"__lc_ts{i}")]
-    cols += [F.lit(None).cast(COUNT).alias("__lc_sh"), F.lit(None).cast(COUNT).alias("__lc_th"),
-             F.col("__lc_d")]
-    return d.select(*cols)
+    for i, c in enumerate(spec.sum_cols):
+        none = [F.lit(None).cast(AMOUNT_TEXT).alias(f"__lc_{x}s{i}") for x in "st"]
+        cols += exact.get(i) or (_no_exact(i) if _is_double(df, c) else none)
+    return [*cols, F.lit(None).cast(COUNT).alias("__lc_sh"), F.lit(None).cast(COUNT).alias("__lc_th"), d.alias("__lc_d")]
 
 
-def _metrics_of(u: DataFrame, spec: CheckSpec) -> DataFrame:
+def _exact_part(df: DataFrame, spec: CheckSpec, sn: Column, tn: Column) -> DataFrame | None:
+    """One row per double sum column: its exact sums per side, their exact difference, and whether NaN and infinities
+    agree (``functions.exact_sum``)."""
+    at = [i for i, c in enumerate(spec.sum_cols) if _is_double(df, c)]
+    if not at:
+        return None
+    sums = exact_sums(df, [F.col(spec.sum_cols[i]) for i in at], sn, tn)
+    own = {i: [F.when(F.col("series") == k, F.col(x)).alias(f"__lc_{n}{i}") for n, x in
+               (("ss", "left"), ("ts", "right"), ("xd", "difference"), ("xm", "marks_equal"))] for k, i in enumerate(at)}
+    return sums.select(*_other_part(df, spec, own, F.lit(None).cast(COUNT)))
+
+
+def _diff_part(df: DataFrame, d: DataFrame, spec: CheckSpec) -> DataFrame:
+    return d.select(*_other_part(df, spec, {}, F.col("__lc_d")))
+
+
+def _metrics_of(df: DataFrame, u: DataFrame, spec: CheckSpec) -> DataFrame:
     aggs = [F.coalesce(F.sum("__lc_sc"), F.lit(0)).cast("bigint").alias("src_rows"),
             F.coalesce(F.sum("__lc_tc"), F.lit(0)).cast("bigint").alias("tgt_rows")]
-    for i, _ in enumerate(spec.sum_cols):
-        aggs.append(F.coalesce(F.sum(f"__lc_ss{i}"), F.lit(0)).cast(AMOUNT_TEXT).alias(f"src_sum{i}"))
-        aggs.append(F.coalesce(F.sum(f"__lc_ts{i}"), F.lit(0)).cast(AMOUNT_TEXT).alias(f"tgt_sum{i}"))
+    for i, c in enumerate(spec.sum_cols):
+        if _is_double(df, c):
+            for name, x in (("src_sum", "ss"), ("tgt_sum", "ts"), ("diff_sum", "xd"), ("marks", "xm")):
+                aggs.append(F.max(f"__lc_{x}{i}").alias(f"{name}{i}"))        # one row carries them
+        else:
+            text = T.DecimalType(38, _amount(df, c).scale)
+            for name, x in (("src_sum", "ss"), ("tgt_sum", "ts")):
+                aggs.append(F.coalesce(F.sum(f"__lc_{x}{i}"), F.lit(0)).cast(text).alias(f"{name}{i}"))
     # a side without rows has no fingerprint (NULL), as the reference's empty-table case
     aggs.append(F.when(F.sum("__lc_sc") > 0, F.sum("__lc_sh")).cast(COUNT).alias("src_fp"))
     aggs.append(F.when(F.sum("__lc_tc") > 0, F.sum("__lc_th")).cast(COUNT).alias("tgt_fp"))
@@ -205,7 +245,15 @@ def metrics(src: DataFrame, tgt: DataFrame, spec: CheckSpec) -> DataFrame:
     """One row with src_rows, tgt_rows, src_sum{i}, tgt_sum{i}, src_fp, tgt_fp: a projection
     of each side and one global aggregate (partial per task) - no shuffle of the rows."""
     one, zero = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
-    return _metrics_of(_weighted(src, spec, one, zero).unionByName(_weighted(tgt, spec, zero, one)), spec)
+    sums = list(dict.fromkeys(spec.sum_cols))
+    both = lambda: (src.select(*sums, one.alias(SN), zero.alias(TN))
+                    .unionByName(tgt.select(*sums, zero.alias(SN), one.alias(TN))))
+    if sums:                                   # a column's type is that of both sides together
+        kinds = {c: both().schema[c].dataType for c in sums}
+        src, tgt = (t.withColumns({c: F.col(c).cast(k) for c, k in kinds.items()}) for t in (src, tgt))
+    u = _weighted(src, spec, one, zero).unionByName(_weighted(tgt, spec, zero, one))
+    exact = _exact_part(both(), spec, F.col(SN), F.col(TN)) if sums else None
+    return _metrics_of(src, u if exact is None else u.unionByName(exact), spec)
 
 
 def _row(check_type: str, metric: str, table_name: str, s: Column, t: Column,
@@ -227,11 +275,20 @@ def _count_row(spec: CheckSpec) -> Column:
     return _row(ROW_COUNT, METRIC_ROW_COUNT, spec.table_name, s, t, s == t, F.abs(s - t))
 
 
-def _sum_rows(spec: CheckSpec) -> list[Column]:
+def _sum_text(x: Column) -> Column:
+    """Text of an exact double sum: two decimals where a decimal can hold it, else the double's own text."""
+    return F.coalesce(F.when(F.abs(x) < 1e30, x.cast(AMOUNT_TEXT).cast("string")), x.cast("string"))
+
+
+def _sum_rows(df: DataFrame, spec: CheckSpec) -> list[Column]:
     out = []
     for i, c in enumerate(spec.sum_cols):
         s, t = F.col(f"src_sum{i}"), F.col(f"tgt_sum{i}")
-        ok = F.abs(s - t) < F.lit(str(spec.tolerance)).cast("decimal(20,10)")
+        if _is_double(df, c):
+            ok = (F.abs(F.col(f"diff_sum{i}")) < F.lit(float(spec.tolerance))) & F.col(f"marks{i}")
+            s, t = _sum_text(s), _sum_text(t)
+        else:
+            ok = F.abs(s - t) < F.lit(str(spec.tolerance)).cast("decimal(20,10)")
         out.append(_row(COLUMN_SUM, METRIC_SUM_PREFIX + c, spec.table_name, s, t, ok, _flag(ok)))
     return out
 
@@ -258,7 +315,7 @@ def row_count_check(src: DataFrame, tgt: DataFrame, spec: CheckSpec, run_id: str
 
 
 def column_sum_check(src: DataFrame, tgt: DataFrame, spec: CheckSpec, run_id: str, run_ts) -> DataFrame:
-    return _emit(metrics(src, tgt, spec), _sum_rows(spec), run_id, run_ts)
+    return _emit(metrics(src, tgt, spec), _sum_rows(src, spec), run_id, run_ts)
 
 
 def fingerprint_check(src: DataFrame, tgt: DataFrame, spec: CheckSpec, run_id: str, run_ts) -> DataFrame:
@@ -432,8 +489,11 @@ def run_checks(src: DataFrame, tgt: DataFrame, spec: CheckSpec, run_id: str, run
         v = versions(src, tgt, cols)
     wanted = [only is None or k in only for k in (ROW_COUNT, COLUMN_SUM, COLUMN_HASH, RECORD_DIFF)]
     u = _weighted(v, spec, F.col(SN), F.col(TN))
+    exact = _exact_part(v, spec, F.col(SN), F.col(TN)) if wanted[1] else None
+    if exact is not None:
+        u = u.unionByName(exact)
     if wanted[3]:
         dv = narrow_versions(v, [spec.key, *spec.compare_cols])
-        u = u.unionByName(_diff_part(diff_count_rows(dv, spec.key, list(spec.compare_cols)), spec))
-    rows = [[_count_row(spec)], _sum_rows(spec), [_hash_row(spec)], [_diff_row(spec, F.col("n_diff"))]]
-    return _emit(_metrics_of(u, spec), [r for w, rs in zip(wanted, rows) if w for r in rs], run_id, run_ts)
+        u = u.unionByName(_diff_part(v, diff_count_rows(dv, spec.key, list(spec.compare_cols)), spec))
+    rows = [[_count_row(spec)], _sum_rows(v, spec), [_hash_row(spec)], [_diff_row(spec, F.col("n_diff"))]]
+    return _emit(_metrics_of(v, u, spec), [r for w, rs in zip(wanted, rows) if w for r in rs], run_id, run_ts)

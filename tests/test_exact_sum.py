@@ -1,0 +1,90 @@
+"""Exact sums of doubles against fractions."""
+
+import math
+import random
+import struct
+from fractions import Fraction
+
+import pytest
+from pyspark.sql import functions as F
+
+from lakecheck.functions.exact_sum import exact_sums
+from lakecheck.operators import recon
+
+
+def any_double(r):
+    while True:
+        x = struct.unpack("<d", struct.pack("<Q", r.getrandbits(64)))[0]
+        if math.isfinite(x):
+            return x
+
+
+def near(got, want: Fraction):
+    if want == 0:
+        return got == 0
+    return abs(Fraction(got) - want) <= Fraction(math.ulp(float(want)))
+
+
+SETS = {
+    "everyday": [0.1, 0.2, 0.3, -0.6, 12345.67, 1e-9, 1e17, 1.0, -1e17],
+    "cancelling": [1e300, 1.0, -1e300, 2.0 ** -1074, 1e-308, -1e-308],
+    "powers": [2.0 ** e for e in range(-1074, 1020, 7)] + [-(2.0 ** e) for e in range(-1074, 1020, 13)],
+    "edges": [2.0 ** (24 * k - 1074 + d) * s for k in range(1, 80, 5) for d in (-1, 0, 1) for s in (1.0, -1.0, 1.9999999999999998)],
+    "negative": [-0.004] * 1000 + [0.001] * 3,
+    "none": [None, 0.0, -0.0],
+}
+
+
+@pytest.mark.parametrize("name", [*SETS, "random"])
+def test_against_fractions(spark, name):
+    r = random.Random(3)
+    values = SETS.get(name) or [any_double(r) / 4 for _ in range(300)] + [r.uniform(-1e6, 1e6) for _ in range(300)]
+    left, right = [r.randrange(4) for _ in values], [r.randrange(4) for _ in values]
+    df = spark.createDataFrame([(v, a, b) for v, a, b in zip(values, left, right)], "v double, a long, b long").repartition(5)
+    got = exact_sums(df, [F.col("v")], F.col("a"), F.col("b")).collect()[0]
+    exact = lambda w: sum((Fraction(v) * n for v, n in zip(values, w) if v is not None), Fraction(0))
+    assert near(got["left"], exact(left)) and near(got["right"], exact(right)) and got["marks_equal"]
+    assert near(got["difference"], exact(left) - exact(right))
+
+
+def test_marks_do_not_hide_the_rest(spark):
+    inf, nan = float("inf"), float("nan")
+    df = spark.createDataFrame([(1.5, 1, 1), (nan, 1, 1), (inf, 1, 0), (2.25, 1, 0)], "v double, a long, b long")
+    got = exact_sums(df, [F.col("v"), F.when(~F.isnan("v"), F.col("v")), F.when(F.col("v") < 10, F.col("v"))], F.col("a"), F.col("b"))
+    by = {r["series"]: r for r in got.collect()}
+    assert math.isnan(by[0]["left"]) and math.isnan(by[0]["right"]) and by[0]["difference"] == 2.25 and not by[0]["marks_equal"]
+    assert by[1]["left"] == inf and by[1]["right"] == 1.5 and not by[1]["marks_equal"]
+    assert by[2]["left"] == 3.75 and by[2]["difference"] == 2.25 and by[2]["marks_equal"]
+
+
+def test_no_rows(spark):
+    got = exact_sums(spark.createDataFrame([], "v double"), [F.col("v"), F.col("v") * 2]).collect()
+    assert sorted(tuple(r) for r in got) == [(0, 0.0, 0.0, 0.0, True), (1, 0.0, 0.0, 0.0, True)]
+
+
+def check(spark, src, tgt, **more):
+    spec = recon.CheckSpec(key="k", sum_cols=("v",), hash_cols=("k",), compare_cols=("k",), table_name="t", **more)
+    s, t = (spark.createDataFrame(list(enumerate(x)), "k long, v double") for x in (src, tgt))
+    one = recon.column_sum_check(s, t, spec, "r", "2025-01-01 00:00:00").collect()
+    log = recon.run_checks(s, t, spec, "r", "2025-01-01 00:00:00").where("check_type = 'COLUMN_SUM'").collect()
+    assert one == log
+    return one[0]["source_value"], one[0]["target_value"], one[0]["status"]
+
+
+def test_sum_checks(spark):
+    assert check(spark, [0.004] * 10, [0.001] * 10) == ("0.04", "0.01", "FAIL")        # neither rounds to a cent
+    assert check(spark, [0.004] * 3, [0.001] * 3)[2] == "PASS"                          # within the tolerance
+    assert check(spark, [1e17, 1.0], [1e17, 1.0]) == ("100000000000000000.00", "100000000000000000.00", "PASS")
+    assert check(spark, [1e17, 1.0], [1e17])[2] == "FAIL"                               # plain sums are equal here
+    assert check(spark, [1e300, 2.0], [2.0, 1e300])[2] == "PASS"
+    assert check(spark, [1.0, float("nan")], [1.0])[2] == "FAIL"
+    assert check(spark, [float("nan"), 5.0], [5.0, float("nan")])[2] == "PASS"
+    assert check(spark, [float("inf")], [float("-inf")])[2] == "FAIL"
+    assert check(spark, [], []) == ("0.00", "0.00", "PASS")
+
+
+def test_decimals_keep_their_scale(spark):
+    spec = recon.CheckSpec(key="k", sum_cols=("v",), hash_cols=("k",), compare_cols=("k",), table_name="t", tolerance=0.0001)
+    s, t = (spark.createDataFrame([(i, x) for i in range(10)], "k long, v string").selectExpr("k", "cast(v as decimal(18,4)) as v") for x in ("0.0014", "0.0013"))
+    row = recon.column_sum_check(s, t, spec, "r", "2025-01-01 00:00:00").collect()[0]
+    assert (row["source_value"], row["target_value"], row["status"]) == ("0.0140", "0.0130", "FAIL")
