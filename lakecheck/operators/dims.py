@@ -16,13 +16,14 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakecheck.functions.dates import date_key, weekday_name
 from lakecheck.functions.predicates import any_changed
 from lakecheck.operators.numbering import number_rows
+from lakecheck.sinks import keyed
 
 SK, EFF, END, CUR = "sk", "effective_date", "end_date", "is_current"
 
@@ -65,25 +66,49 @@ def scd2_changes(incoming: DataFrame, cur: DataFrame, key: str, tracked: Sequenc
     return j.filter(F.col("__lc_hit").isNull() | changed).select(*incoming.columns)
 
 
-def scd2_apply(dim: DataFrame, incoming: DataFrame, key: str, tracked: Sequence[str], as_of,
-               sk_col: str = SK, null_safe: bool = False, buckets: int | None = None) -> DataFrame:
-    """Next version of the dimension after loading ``incoming`` on date ``as_of``."""
-    as_of_c = _date(as_of)
+def _new_versions(dim: DataFrame, incoming: DataFrame, key: str, tracked: Sequence[str], as_of, sk_col: str,
+                  null_safe: bool, buckets: int | None) -> DataFrame:
+    """The versions a load opens, numbered on from the dimension's highest surrogate key.  ``number_rows`` checkpoints
+    them: the change join runs once and also yields the keys to close."""
     changes = scd2_changes(incoming, current(dim), key, tracked, null_safe)
     max_sk = dim.select(F.coalesce(F.max(sk_col), F.lit(0)).cast("bigint")).scalar()
-    # number_rows checkpoints the numbered changes: the change join runs once and also
-    # yields the keys to close
-    new = (number_rows(changes, [key], sk_col, max_sk, buckets)
-           .withColumn(EFF, as_of_c)
-           .withColumn(END, F.lit(None).cast(T.DateType()))
-           .withColumn(CUR, F.lit(True)))
+    return (number_rows(changes, [key], sk_col, max_sk, buckets)
+            .withColumn(EFF, _date(as_of))
+            .withColumn(END, F.lit(None).cast(T.DateType()))
+            .withColumn(CUR, F.lit(True)))
+
+
+def _closed(dim: DataFrame, new: DataFrame, key: str, as_of) -> DataFrame:
+    """``dim`` with the current versions of the keys of ``new`` closed."""
     changed_keys = new.select(key).distinct().withColumn("__lc_chg", F.lit(True))
     closing = F.col(CUR) & F.col("__lc_chg").isNotNull()
-    kept = (dim.join(changed_keys, key, "left")
-               .withColumn(END, F.when(closing, as_of_c).otherwise(F.col(END)))
+    return (dim.join(changed_keys, key, "left")
+               .withColumn(END, F.when(closing, _date(as_of)).otherwise(F.col(END)))
                .withColumn(CUR, F.when(closing, F.lit(False)).otherwise(F.col(CUR)))
                .select(*dim.columns))
-    return kept.unionByName(new.select(*dim.columns))
+
+
+def scd2_apply(dim: DataFrame, incoming: DataFrame, key: str, tracked: Sequence[str], as_of,
+               sk_col: str = SK, null_safe: bool = False, buckets: int | None = None) -> DataFrame:
+    """Next version of the dimension after loading ``incoming`` on date ``as_of``."""
+    new = _new_versions(dim, incoming, key, tracked, as_of, sk_col, null_safe, buckets)
+    return _closed(dim, new, key, as_of).unionByName(new.select(*dim.columns))
+
+
+def scd2_update(spark: SparkSession, path: str, incoming: DataFrame, key: str, tracked: Sequence[str], as_of,
+                sk_col: str = SK, null_safe: bool = False, buckets: int | None = None) -> list[int]:
+    """``scd2_apply`` on a dimension stored by ``keyed.write``: only the buckets that hold a changed or new key are
+    read whole and rewritten; the others' files stay as they are.  The buckets rewritten.
+
+    A load that died can be run again: buckets it had replaced show no changes, the rest get theirs, with surrogate
+    keys that follow those already given."""
+    dim = keyed.open_(spark, path)
+    parts = keyed.buckets_of(spark, path)
+    plain = dim.drop(keyed.BUCKET)
+    new = _new_versions(plain, incoming, key, tracked, as_of, sk_col, null_safe, buckets).select(*plain.columns).withColumn(
+        keyed.BUCKET, keyed.bucket_of(F.col(key), parts))
+    return keyed.update(spark, path, new.select(keyed.BUCKET),
+                        lambda rows: _closed(rows, new, key, as_of).unionByName(new.select(*rows.columns)))
 
 
 def date_dim(df: DataFrame, date_col: str) -> DataFrame:

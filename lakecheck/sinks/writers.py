@@ -3,9 +3,10 @@
 * run-scoped results are written partitioned by run id with *dynamic* partition overwrite:
   re-running a run replaces that run's partition only, other runs are untouched, and a
   filter on the run id prunes partitions on read;
-* schema evolution of an append-only history is a Parquet ``mergeSchema`` read;
-* rewriting a table from itself (maintenance dedup) first checkpoints the new content into
-  the shared checkpoint folder, which cuts the lineage to the files about to be replaced;
+* schema evolution of an append-only history is a read by the dataset's schema log (``sinks.schema_log``), or a
+  Parquet ``mergeSchema`` read where it has none;
+* rewriting a table from itself (maintenance dedup) first writes the new content beside it, which cuts the
+  lineage to the files about to be replaced and is what an interrupted replacement is finished from;
 * row counts of a write come from an ``Observation`` collected during that write, not from
   a second ``count()`` job over the plan.
 """
@@ -19,6 +20,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakecheck.sinks import schema_log
+
 
 def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] | None = None) -> None:
     w = df.write.mode("overwrite")
@@ -42,21 +45,51 @@ def write_runs(df: DataFrame, path: str, run_col: str = "run_id") -> None:
 
 def read_runs(spark: SparkSession, path: str, schema: T.StructType | None = None,
               run_col: str = "run_id") -> DataFrame:
-    """Read a run-partitioned dataset; without a schema the file schemas are merged (older
-    runs show NULL in columns added later).  The run id always comes back as a string."""
+    """Read a run-partitioned dataset; older runs show NULL in columns added later.  The schema is the one given,
+    else the dataset's schema log, else (a dataset without one) merged from the files' footers.  The run id always
+    comes back as a string."""
     if schema is not None:
         return spark.read.schema(schema).parquet(path)
+    known = schema_log.logged(spark, path)
+    if known is not None:
+        return spark.read.schema(T.StructType([*known.fields, T.StructField(run_col, T.StringType())])).parquet(path)
     merged = spark.read.option("mergeSchema", "true").parquet(path).schema
     # partition values are typed by inference (``0007`` would come back as 7); a given schema keeps the text
     as_text = T.StructType([T.StructField(f.name, T.StringType()) if f.name == run_col else f for f in merged.fields])
     return spark.read.schema(as_text).parquet(path)
 
 
+def redo_path(path: str) -> str:
+    """Where a replacement of ``path`` keeps its new content until it is done."""
+    return f"{path.rstrip('/')}__redo"
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
+
+
 def staged_replace(df: DataFrame, path: str, partition_by: Sequence[str] | None = None) -> None:
-    """Overwrite ``path`` with ``df`` even when ``df`` reads ``path``: the new content is
-    checkpointed (reliable checkpoint in the shared folder) before the old files go."""
-    staged = df.checkpoint(eager=True)
-    overwrite(staged, path, partition_by)
+    """Overwrite ``path`` with ``df`` even when ``df`` reads ``path``: the new content is first written whole beside it.
+    A job that dies while it overwrites loses nothing: ``recover_replace`` does the rest from that copy.  Readers must not
+    read in between; where they may, use ``sinks.versioned``."""
+    spark = df.sparkSession
+    recover_replace(spark, path, partition_by, wanted=False)
+    df.write.mode("overwrite").parquet(f"{redo_path(path)}/rows")
+    recover_replace(spark, path, partition_by)
+
+
+def recover_replace(spark: SparkSession, path: str, partition_by: Sequence[str] | None = None, wanted: bool = True) -> bool:
+    """Finish a replacement from its copy, if that is whole; whether it was.  A copy that is not whole was never read
+    from: it is removed, and so is any copy if it is not ``wanted`` because all of the content comes anew."""
+    redo = redo_path(path)
+    if not path_exists(spark, redo):
+        return False
+    whole = wanted and path_exists(spark, f"{redo}/rows/_SUCCESS")
+    if whole:
+        overwrite(spark.read.parquet(f"{redo}/rows"), path, partition_by)
+    delete_path(spark, redo)
+    return whole
 
 
 def materialize(df: DataFrame, path: str, partition_by: Sequence[str] | None = None) -> DataFrame:

@@ -1,0 +1,138 @@
+"""Stored datasets: keyed partitions, versions with a pointer, run partitions and the manifest."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from lakecheck.operators import dims
+from lakecheck.sinks import keyed, runs, versioned, writers
+
+DIM = "k long, v string"
+
+
+def local(path):
+    return path.removeprefix("file:")
+
+
+def tree(path):
+    """{file: modification time} of the data files under a folder."""
+    return {os.path.join(d, f): os.stat(os.path.join(d, f)).st_mtime_ns for d, _, fs in os.walk(local(path)) for f in fs if f.endswith(".parquet")}
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def dimension(spark, path, n=200, buckets=16):
+    df = dims.scd2_init(spark.range(n).select(F.col("id").alias("k"), F.concat(F.lit("v"), F.col("id")).alias("v")), "k", "2025-01-01")
+    keyed.write(df, path, "k", buckets)
+    return df
+
+
+def load_of(spark):
+    """Two changed keys, one new, the others as they are."""
+    old = spark.range(200).select(F.col("id").alias("k"), F.when(F.col("id").isin(3, 50), F.lit("new")).otherwise(F.concat(F.lit("v"), F.col("id"))).alias("v"))
+    return old.unionByName(spark.createDataFrame([(1000, "x")], DIM))
+
+
+def test_update_rewrites_only_touched_buckets(spark, tmp_dir):
+    df = dimension(spark, tmp_dir)
+    want = rows(dims.scd2_apply(df, load_of(spark), "k", ["v"], "2025-06-01"))
+    before = tree(tmp_dir)
+    done = dims.scd2_update(spark, tmp_dir, load_of(spark), "k", ["v"], "2025-06-01")
+    assert 1 <= len(done) <= 3
+    assert rows(keyed.open_(spark, tmp_dir).drop(keyed.BUCKET).select(*df.columns)) == want
+    after = tree(tmp_dir)
+    of = lambda t, b: {f: m for f, m in t.items() if f"/{keyed.BUCKET}={b}/" in f}
+    for b in range(16):
+        assert (of(before, b) == of(after, b)) == (b not in done)
+    # the same load again changes nothing, and no file
+    assert dims.scd2_update(spark, tmp_dir, load_of(spark), "k", ["v"], "2025-06-02") == []
+    assert tree(tmp_dir) == after
+
+
+def test_interrupted_replacement_is_finished(spark, tmp_dir, monkeypatch):
+    df = dimension(spark, tmp_dir)
+    want = rows(dims.scd2_apply(df, load_of(spark), "k", ["v"], "2025-06-01"))
+    old = rows(keyed.open_(spark, tmp_dir))
+
+    def die(*_):
+        raise RuntimeError("stopped")
+    with monkeypatch.context() as m:
+        m.setattr(keyed, "_replace_from_redo", die)
+        with pytest.raises(RuntimeError):
+            dims.scd2_update(spark, tmp_dir, load_of(spark), "k", ["v"], "2025-06-01")
+    assert rows(spark.read.parquet(tmp_dir)) == old                       # nothing replaced yet
+    assert rows(keyed.open_(spark, tmp_dir).drop(keyed.BUCKET).select(*df.columns)) == want
+    assert not keyed.recover(spark, tmp_dir)
+
+    # stopped while staging: the redo copy is not whole and is thrown away
+    keyed.stage(spark, tmp_dir, [1], spark.read.parquet(tmp_dir).where(f"{keyed.BUCKET} = 1"))
+    os.remove(local(f"{tmp_dir}__redo/rows/_SUCCESS"))
+    assert not keyed.recover(spark, tmp_dir) and not os.path.exists(local(f"{tmp_dir}__redo"))
+    assert rows(keyed.open_(spark, tmp_dir).drop(keyed.BUCKET).select(*df.columns)) == want
+
+
+def test_a_bucket_can_become_empty(spark, tmp_dir):
+    keyed.write(spark.range(20).withColumnRenamed("id", "k"), tmp_dir, "k", 4)
+    touched = spark.createDataFrame([(2,)], f"{keyed.BUCKET} int")
+    rest = spark.read.parquet(tmp_dir).where(f"{keyed.BUCKET} <> 2").select("k")
+    want = rows(rest)
+    assert keyed.update(spark, tmp_dir, touched, lambda r: r.where("false")) == [2]
+    assert rows(keyed.open_(spark, tmp_dir).select("k")) == want
+    with pytest.raises(FileNotFoundError):
+        writers.overwrite(spark.range(3), f"{tmp_dir}/other")
+        keyed.buckets_of(spark, f"{tmp_dir}/other")
+
+
+def test_versions_switch_last(spark, tmp_dir):
+    versioned.replace(spark.range(5), tmp_dir)
+    staged = versioned.stage(versioned.read(spark, tmp_dir).where("id > 2"), tmp_dir)
+    assert versioned.read(spark, tmp_dir).count() == 5                    # stopped between write and switch: the old rows
+    versioned.replace(versioned.read(spark, tmp_dir).where("id > 0"), tmp_dir)        # from itself
+    assert rows(versioned.read(spark, tmp_dir)) == [(1,), (2,), (3,), (4,)]
+    assert not os.path.exists(local(f"{tmp_dir}/{staged}"))               # the leftover is cleared
+    before = versioned.read(spark, tmp_dir)
+    versioned.replace(spark.range(1), tmp_dir)
+    assert before.count() == 4                                            # an earlier reader goes on
+    for n in range(3):
+        versioned.replace(spark.range(n), tmp_dir)
+    assert len([f for f in os.listdir(local(tmp_dir)) if f.startswith("v-")]) == 2
+    assert versioned.read(spark, tmp_dir).count() == 2 and versioned.current_path(spark, tmp_dir).startswith(tmp_dir)
+
+
+def test_versions_that_are_not_whole_are_refused(spark, tmp_dir):
+    with pytest.raises(FileNotFoundError):
+        versioned.read(spark, tmp_dir)
+    assert versioned.current_path(spark, tmp_dir) is None
+    name = versioned.stage(spark.range(5), tmp_dir)
+    os.remove(local(f"{tmp_dir}/{name}/_SUCCESS"))
+    with pytest.raises(ValueError):
+        versioned.switch(spark, tmp_dir, name)
+
+
+def test_rerun_without_rows_clears_the_run(spark, tmp_dir):
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "k long, v string")
+    runs.write_run(df.withColumn("run_id", F.lit("ignored")), tmp_dir, "r1")
+    runs.write_run(df, tmp_dir, "a/b=c%d: 1")                             # characters that folder names escape
+    assert sorted({r["run_id"] for r in writers.read_runs(spark, tmp_dir).collect()}) == ["a/b=c%d: 1", "r1"]
+    runs.write_run(df.limit(0), tmp_dir, "r1")
+    assert {r["run_id"] for r in writers.read_runs(spark, tmp_dir).collect()} == {"a/b=c%d: 1"}
+
+
+def test_a_dataset_of_an_empty_run_has_a_schema(spark, tmp_dir):
+    runs.write_run(spark.createDataFrame([], "k long, v string"), f"{tmp_dir}/d", "r1")
+    got = writers.read_runs(spark, f"{tmp_dir}/d")
+    assert got.count() == 0 and set(got.columns) == {"k", "v", "run_id"}
+    writers.ensure_database(spark, "stored_test")
+    writers.register_table(spark, "`stored_test`.`empty_run`", f"{tmp_dir}/d", partitioned=True)
+    assert spark.table("stored_test.empty_run").count() == 0
+    spark.sql("drop database stored_test cascade")
+
+
+def test_manifest_names_finished_runs(spark, tmp_dir):
+    m = runs.manifest_rows(spark, "r1", "2025-01-01 00:00:00", {"x": 3, "a": None})
+    assert [tuple(r)[2:] for r in m.collect()] == [("a", None), ("x", 3)] and m.schema == runs.MANIFEST_SCHEMA
+    data = spark.createDataFrame([(1, "r1"), (2, "r2")], "k long, run_id string")
+    assert rows(runs.finished(data, m)) == [(1, "r1")]
