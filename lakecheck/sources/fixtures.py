@@ -31,6 +31,11 @@ FIRST_LOAD, SECOND_LOAD = "2025-01-01", "2025-06-01"
 RUN1_ID, RUN1_TS = "20250101_000000", "2025-01-01 00:00:00"
 RUN2_ID, RUN2_TS = "20250601_000000", "2025-06-01 00:00:00"
 
+HISTORY_RUNS = ("20250101_000000", "20250601_000000", "20250901_000000", "20251201_000000")
+BAD_AMOUNT_MOD, BAD_AMOUNT_REM = 503, 1          # an amount that is no number
+BAD_DATE_MOD, BAD_DATE_REM = 607, 2              # a date that is none
+CUT_LINE_MOD, CUT_LINE_REM = 809, 3              # a line without its last two fields
+
 ENCOUNTER_COLUMNS = ["encounter_id", "patient_id", "doctor_id", "dept_id", "encounter_date",
                      "billing_amount", "length_of_stay", "diagnosis_code"]
 PATIENT_COLUMNS = ["patient_id", "name", "nation_id", "segment"]
@@ -120,3 +125,16 @@ def incoming_patient(spark: SparkSession, sf: str, clean: DataFrame | None = Non
                 .otherwise(F.col("segment")))
     new_id = F.when(kept, pid).otherwise(pid + NEW_KEY_OFFSET)
     return e.select(new_id.alias("patient_id"), "name", "nation_id", segment.alias("segment"))
+
+
+def damaged_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """The encounters as CSV lines, some with values that are no number or date, some cut short."""
+    k = F.col("encounter_id")
+    text = {c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ENCOUNTER_COLUMNS}
+    text["billing_amount"] = F.when(_is("encounter_id", BAD_AMOUNT_MOD, BAD_AMOUNT_REM), F.lit("n/a")).otherwise(
+        F.coalesce(F.col("billing_amount").cast("decimal(38,2)").cast("string"), F.lit("")))
+    text["encounter_date"] = F.when(_is("encounter_id", BAD_DATE_MOD, BAD_DATE_REM), F.lit("2025-13-45")).otherwise(text["encounter_date"])
+    cut = (k % CUT_LINE_MOD) == CUT_LINE_REM
+    whole = F.concat_ws(",", *[text[c] for c in ENCOUNTER_COLUMNS])
+    short = F.concat_ws(",", *[text[c] for c in ENCOUNTER_COLUMNS[:-2]])
+    return src_encounter(spark, sf).select(F.when(cut, short).otherwise(whole).alias("value"))
