@@ -256,6 +256,48 @@ def _pipeline_sql() -> str:
     return f"with {ctes}\n" + SUMMARY_OF.format(rel="checks_pipe")
 
 
+HISTORY_RUNS = ("20250101_000000", "20250601_000000", "20250901_000000", "20251201_000000")
+_FOUR_RUNS = " union all ".join(f"select {FACT_COLS}, '{r}' as gold_run_id from {rel}" for r, rel in zip(
+    HISTORY_RUNS, ("fact_init", "fact_apply", "fact_apply", "fact_init")))
+# gaps and islands: equal rows (with equal copies) of consecutive runs are one interval
+_COMPACT_HISTORY = f"""
+    select {FACT_COLS}, n_rows, min(gold_run_id) as from_run,
+           (select min(r.id) from run_list r where r.i > max(v.i)) as to_run
+    from (select *, i - row_number() over (partition by {FACT_COLS}, n_rows order by i) as island
+          from (select h.*, r.i from (select {FACT_COLS}, gold_run_id, count(*) as n_rows from four_runs group by all) h
+                join run_list r on r.id = h.gold_run_id)) v
+    group by {FACT_COLS}, n_rows, island"""
+
+
+def _with_history(body: str) -> str:
+    listed = "select * from (values " + ", ".join(f"({i}, '{r}')" for i, r in enumerate(HISTORY_RUNS)) + ") t(i, id)"
+    ctes = ",\n".join(f"{name} as ({sql})" for name, sql in FIXTURES + [("four_runs", _FOUR_RUNS), ("run_list", listed)])
+    return f"with {ctes}\n{body}"
+
+
+def _exact_sums_sql() -> str:
+    """Exact sums by whole numbers of 2^-70, of which all these values are multiples."""
+    unit = "1180591620717411303424.0"                     # 2^70
+    whole = lambda x: f"sum(cast(({x}) * {unit} as hugeint))"
+    cols = {"price": ("l_extendedprice / 7 + 0.0::double", "l_extendedprice / 7 + 0.000001::double"),
+            "tax": ("l_tax / 3", "l_tax / 3"), "tiny": ("0.004::double", "0.001::double")}
+    m = ", ".join(f"{whole(a)} as s_{c}, {whole(b)} as t_{c}" for c, (a, b) in cols.items())
+    amount = lambda v: f"cast(cast({v} as double) / {unit} as decimal(38,2))"
+    parts = []
+    for c in cols:
+        ok = f"abs(cast(s_{c} - t_{c} as double) / {unit}) < 0.01"
+        parts.append(_check(RUN2_ID, RUN2_TS, "COLUMN_SUM", "fine amounts", f"sum_{c}", amount(f"s_{c}"), amount(f"t_{c}"), ok,
+                            f"case when {ok} then 0 else 1 end"))
+    return f"with m as (select {m} from lineitem)\n" + "\nunion all\n".join(parts)
+
+
+_DAMAGED = """
+    select * exclude (billing_amount, encounter_date),
+           case when encounter_id % 503 = 1 then null else billing_amount end as billing_amount,
+           case when encounter_id % 607 = 2 then null else encounter_date end as encounter_date
+    from src_encounter where encounter_id % 809 <> 3"""
+
+
 def oracle_sql() -> dict[str, str]:
     q = {
         "ingest_audit": _with("select *, 'encounters.csv' as _source_file from src_encounter"),
@@ -340,5 +382,21 @@ def oracle_sql() -> dict[str, str]:
         "export_roundtrip": _with_log(
             f"select {REPORT_COLS} from check_log where run_id = '{RUN2_ID}'"),
         "pipeline_summary": _pipeline_sql(),
+        "recon_bucket_diff": _with(COMPACT_DIFF),
+        "recon_exact_sum": _exact_sums_sql(),
+        "scd2_apply_stored": _with("select * from dim_apply"),
+        "fact_history_compact": _with_history(_COMPACT_HISTORY),
+        "fact_history_rebuilt": _with_history("select * from four_runs"),
+        "rerun_clean_details": _with(f"select *, '{RUN1_ID}' as run_id from ({COMPACT_DIFF})"),
+        "ingest_incremental": _with("select *, cast(encounter_id % 2 + 1 as int) as _load from src_encounter"),
+        "ingest_rejects": _with("""
+            select 'malformed' as reason, null::varchar as column_name, count(*) as n_rows from src_encounter where encounter_id % 809 = 3
+            having count(*) > 0
+            union all select 'cast', 'billing_amount', count(*) from src_encounter where encounter_id % 503 = 1 and encounter_id % 809 <> 3
+            having count(*) > 0
+            union all select 'cast', 'encounter_date', count(*) from src_encounter where encounter_id % 607 = 2 and encounter_id % 809 <> 3
+            having count(*) > 0"""),
+        "ingest_rescued": _with(_DAMAGED),
     }
+    q["results_dedup_stored"] = q["results_dedup"]
     return q

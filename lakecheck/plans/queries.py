@@ -9,12 +9,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakecheck.operators import dims, facts, quality, recon, results
+from lakecheck.operators import bucket_diff, dims, facts, history, quality, recon, results
 from lakecheck.operators.numbering import number_rows
 from lakecheck.plans import pipeline
 from lakecheck.session import scratch_path
-from lakecheck.sinks import writers
+from lakecheck.sinks import keyed, runs, versioned, writers
 from lakecheck.sources import fixtures as fx
+from lakecheck.sources import ledger, rejects
 from lakecheck.sources.csv import ingest, read_csv
 from lakecheck.sources.tables import load
 
@@ -274,6 +275,109 @@ def pipeline_summary(spark, sf):
     return out["run_summary"]
 
 
+# ---------------------------------------------------------------- stored tables and incremental work
+
+DIM_BUCKETS = 32
+
+
+def recon_bucket_diff(spark, sf):
+    """The compact record diff, found through the tree of bucket fingerprints over the two stored tables."""
+    src = writers.materialize(fx.src_encounter(spark, sf), scratch_path(spark, "src"))
+    tgt = writers.materialize(fx.clean_encounter(spark, sf), scratch_path(spark, "tgt"))
+    return bucket_diff.bucket_diff(src, tgt, SPEC.key, SPEC.compare_cols)
+
+
+def _fine_amounts(spark, sf, price_shift: float, tiny: float):
+    line = load(spark, sf, "lineitem")
+    return line.select(F.col("l_orderkey").alias("line_id"), (F.col("l_extendedprice") / 7 + F.lit(price_shift)).alias("price"),
+                       (F.col("l_tax") / 3).alias("tax"), F.lit(tiny).alias("tiny"))
+
+
+FINE_SPEC = recon.CheckSpec(key="line_id", sum_cols=("price", "tax", "tiny"), hash_cols=("line_id",), compare_cols=("price",),
+                            table_name="fine amounts")
+
+
+def recon_exact_sum(spark, sf):
+    """Sums of doubles with more than two decimals, compared by their exact difference: a shift of a millionth and of three
+    thousandths a row, and an equal column."""
+    return recon.column_sum_check(_fine_amounts(spark, sf, 0.0, 0.004), _fine_amounts(spark, sf, 1e-6, 0.001), FINE_SPEC,
+                                  fx.RUN2_ID, fx.RUN2_TS)
+
+
+def scd2_apply_stored(spark, sf):
+    """``scd2_apply`` on a dimension stored by key hash: only the buckets with changes are rewritten."""
+    path = scratch_path(spark, "dim")
+    keyed.write(_dim_init(spark, sf), path, KEY, DIM_BUCKETS)
+    dims.scd2_update(spark, path, fx.incoming_patient(spark, sf), KEY, fx.PATIENT_ATTRS, fx.SECOND_LOAD, "patient_sk")
+    return keyed.open_(spark, path).drop(keyed.BUCKET)
+
+
+def results_dedup_stored(spark, sf):
+    """``results_dedup`` on a stored summary that is replaced by a version of itself."""
+    s, path = _summary_all(spark, sf), scratch_path(spark, "summary")
+    restamped = s.withColumn("run_ts", F.col("run_ts") + F.expr("INTERVAL 1 HOUR")) \
+                 .withColumn("total_mismatches", F.lit(0).cast("bigint"))
+    versioned.replace(s.unionByName(s).unionByName(restamped), path)
+    versioned.replace(results.dedup_summary(versioned.read(spark, path)), path)
+    return versioned.read(spark, path)
+
+
+def _history_path(spark, sf):
+    """A change-only history of four runs: the first load, the second, the second again, and back to the first."""
+    first = writers.materialize(_fact(spark, sf, _dim_init(spark, sf)), scratch_path(spark, "fact"))
+    second = writers.materialize(_fact(spark, sf, _dim_apply(spark, sf)), scratch_path(spark, "fact"))
+    path = scratch_path(spark, "history")
+    for run_id, snapshot in zip(fx.HISTORY_RUNS, (first, second, second, first)):
+        history.append_run(spark, path, snapshot, run_id)
+    return path
+
+
+def fact_history_compact(spark, sf):
+    return history.read(spark, _history_path(spark, sf))
+
+
+def fact_history_rebuilt(spark, sf):
+    """Every run's fact, rebuilt from the change-only history."""
+    path = _history_path(spark, sf)
+    return history.copies(history.expand(history.read(spark, path), history.run_ids(spark, path), "gold_run_id"))
+
+
+def rerun_clean_details(spark, sf):
+    """Diff details of two dirty runs, the second of which was run again without differences."""
+    path = scratch_path(spark, "details")
+    dirty = writers.materialize(_diff(spark, sf), scratch_path(spark, "diff"))
+    clean = fx.clean_encounter(spark, sf)
+    runs.write_run(dirty, path, fx.RUN1_ID)
+    runs.write_run(dirty, path, fx.RUN2_ID)
+    runs.write_run(recon.record_diff(clean, clean, SPEC.key, SPEC.compare_cols), path, fx.RUN2_ID)
+    return writers.read_runs(spark, path)
+
+
+def ingest_incremental(spark, sf):
+    """Two loads of a growing folder, the first repeated; every row with the number of its load."""
+    base, out = scratch_path(spark, "raw"), scratch_path(spark, "raw_table")
+    rows = fx.src_encounter(spark, sf)
+    for odd in (0, 1):
+        rows.where(F.col("encounter_id") % 2 == odd).write.mode("append").option("header", "true").csv(base)
+        ledger.ingest_new(spark, base, out, pipeline.ENCOUNTER_SCHEMA)
+        ledger.ingest_new(spark, base, out, pipeline.ENCOUNTER_SCHEMA)          # nothing new: no-op
+    return ledger.read(spark, out).drop(ledger.PATH)
+
+
+def ingest_rejects(spark, sf):
+    """Rejects of a file with values that are no number or date and lines cut short, by reason and column."""
+    path = scratch_path(spark, "raw")
+    fx.damaged_lines(spark, sf).write.text(path)
+    return rejects.profile(rejects.rejects(rejects.read_text(spark, path, pipeline.ENCOUNTER_SCHEMA, header=False), pipeline.ENCOUNTER_SCHEMA))
+
+
+def ingest_rescued(spark, sf):
+    """The typed rows of that file: whole lines, values that do not fit as NULL."""
+    path = scratch_path(spark, "raw")
+    fx.damaged_lines(spark, sf).write.text(path)
+    return rejects.typed(rejects.read_text(spark, path, pipeline.ENCOUNTER_SCHEMA, header=False), pipeline.ENCOUNTER_SCHEMA)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingest_audit": ingest_audit,
     "clean_customer": clean_customer,
@@ -311,4 +415,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "report_trend": report_trend,
     "export_roundtrip": export_roundtrip,
     "pipeline_summary": pipeline_summary,
+    "recon_bucket_diff": recon_bucket_diff,
+    "recon_exact_sum": recon_exact_sum,
+    "scd2_apply_stored": scd2_apply_stored,
+    "results_dedup_stored": results_dedup_stored,
+    "fact_history_compact": fact_history_compact,
+    "fact_history_rebuilt": fact_history_rebuilt,
+    "rerun_clean_details": rerun_clean_details,
+    "ingest_incremental": ingest_incremental,
+    "ingest_rejects": ingest_rejects,
+    "ingest_rescued": ingest_rescued,
 }

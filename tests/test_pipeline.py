@@ -171,3 +171,108 @@ def test_default_runs_keep_the_dimension_history(spark):
 def test_run_ids_stay_text(spark, tmp_dir):
     writers.write_runs(spark.createDataFrame([("0007", 1)], "run_id string, v int"), tmp_dir)
     assert [r.run_id for r in writers.read_runs(spark, tmp_dir).collect()] == ["0007"]
+
+
+# ---------------------------------------------------------------- re-runs, clean runs, the manifest, other files
+
+PEOPLE = "patient_id,name,nation_id,segment\n1,ann,1,A\n2,bob,2,B\n"
+VISITS = "encounter_id,patient_id,doctor_id,dept_id,encounter_date,billing_amount,length_of_stay,diagnosis_code\n"
+
+
+def put_files(base, **text):
+    import os
+    os.makedirs(base.removeprefix("file:"), exist_ok=True)
+    small = {"departments": "dept_id,dept_name\n0,d\n", "doctors": "doctor_id,name,dept_id\n7,doc,0\n", "patients": PEOPLE}
+    for name, t in {**small, **text}.items():
+        with open(f"{base.removeprefix('file:')}/{name}.csv", "w") as f:
+            f.write(t)
+
+
+def test_clean_run_and_rerun_with_catalog(spark, tmp_dir):
+    raw, lake = f"{tmp_dir}/raw", f"{tmp_dir}/lake"
+    cat = {"gold": "lc_gold_clean", "results": "lc_results_clean"}
+    put_files(raw, encounters=VISITS + "1,1,7,0,2025-01-02,10.5,1,X\n2,2,7,0,2025-01-03,20,2,Y\n")
+    one = pipeline.run(spark, raw, lake, "r1", "2025-01-01 00:00:00", catalog=cat)
+    assert one["run_summary"].first().overall_status == "PASS"
+    details = spark.table("lc_results_clean.diff_details")
+    assert details.count() == 0 and "src_billing_amount" in details.columns
+    # the same run with a bad row, then clean again: its differences come and go
+    put_files(raw, encounters=VISITS + "1,1,7,0,2025-01-02,10.5,1,X\n2,2,7,0,2025-01-03,-20,2,Y\n")
+    pipeline.run(spark, raw, lake, "r1", "2025-01-01 00:00:00", catalog=cat)
+    assert spark.table("lc_results_clean.diff_details").count() == 1
+    put_files(raw, encounters=VISITS + "1,1,7,0,2025-01-02,10.5,1,X\n2,2,7,0,2025-01-03,20,2,Y\n")
+    again = pipeline.run(spark, raw, lake, "r1", "2025-01-01 00:00:00", catalog=cat)
+    assert again["run_summary"].first().overall_status == "PASS"
+    assert spark.table("lc_results_clean.diff_details").count() == 0
+    assert spark.table("lc_gold_clean.dim_patient").count() == 2
+
+
+def test_manifest_has_the_rows_of_every_dataset(spark, tmp_dir):
+    raw, lake = f"{tmp_dir}/raw", f"{tmp_dir}/lake"
+    put_files(raw, encounters=VISITS + "1,1,7,0,2025-01-02,10.5,1,X\n2,9,7,0,2025-01-03,20,2,Y\n3,2,7,0,2025-01-03,,2,Y\n")
+    out = pipeline.run(spark, raw, lake, "r1", "2025-01-01 00:00:00")
+    m = {r["dataset"]: r["n_rows"] for r in writers.read_runs(spark, f"{lake}/results/manifest").collect()}
+    assert m == out["row_counts"]
+    assert {d: m[d] for d in ("bronze/encounters", "silver/encounters", "gold/fact", "gold/dim_patient", "results/summary", "results/rejects")} == {
+        "bronze/encounters": 3, "silver/encounters": 1, "gold/fact": 1, "gold/dim_patient": 2, "results/summary": 1, "results/rejects": 0}
+    assert m["results/checks"] == 5 and m["gold/fact_history"] == 1 and m["results/diff_details"] == 2
+
+
+def test_rejects_of_a_run(spark, tmp_dir):
+    raw, lake = f"{tmp_dir}/raw", f"{tmp_dir}/lake"
+    put_files(raw, encounters=VISITS + "1,1,7,0,2025-01-02,abc,1,X\n2,2,7,0,not a date,20,2,Y\n3,2,7\n", patients=PEOPLE + "x3,cy,1,A\n")
+    pipeline.run(spark, raw, lake, "r1", "2025-01-01 00:00:00")
+    got = writers.read_runs(spark, f"{lake}/results/rejects").select("table_name", "source_file", "reason", "column_name", "raw_value")
+    assert sorted((tuple(r) for r in got.collect()), key=str) == sorted([
+        ("encounters", "encounters.csv", "cast", "billing_amount", "abc"), ("encounters", "encounters.csv", "cast", "encounter_date", "not a date"),
+        ("encounters", "encounters.csv", "malformed", None, "3,2,7"), ("patients", "patients.csv", "cast", "patient_id", "x3")], key=str)
+    assert spark.read.parquet(f"{lake}/bronze/encounters").count() == 3
+
+
+def test_update_of_the_stored_dimension_touches_few_files(spark, tmp_dir):
+    import os
+    raw, lake = f"{tmp_dir}/raw", f"{tmp_dir}/lake"
+    people = "patient_id,name,nation_id,segment\n" + "".join(f"{i},n{i},1,A\n" for i in range(300))
+    put_files(raw, patients=people, encounters=VISITS + "1,1,7,0,2025-01-02,10.5,1,X\n")
+    pipeline.run(spark, raw, lake, "r1", "2025-01-01 00:00:00")
+    state = lambda: {os.path.join(d, f): os.stat(os.path.join(d, f)).st_mtime_ns for d, _, fs in os.walk(f"{lake}/gold/dim_patient".removeprefix("file:"))
+                     for f in fs if f.endswith(".parquet")}
+    before = state()
+    put_files(raw, patients=people.replace("5,n5,1,A", "5,n5,1,B"), encounters=VISITS + "1,1,7,0,2025-01-02,10.5,1,X\n")
+    dim = pipeline.run(spark, raw, lake, "r2", "2025-02-01 00:00:00")["gold"]["dim_patient"]
+    after = state()
+    assert dim.count() == 300 + dim.filter("not is_current").count() and dim.filter("not is_current").count() >= 1
+    kept = sum(before[f] == after.get(f) for f in before)
+    assert len(before) > 30 and kept >= len(before) - dim.filter("not is_current").count()
+
+
+def test_files_of_the_hospital_layout(spark, tmp_dir):
+    raw, lake = f"{tmp_dir}/raw", f"{tmp_dir}/lake"
+    put_files(raw, departments="dept_id,dept_name,building\n1,Heart,A\n", doctors="doctor_id,name,specialization,dept_id\n10,Doc,Surgeon,1\n",
+              patients="patient_id,name,age,gender,blood_group,city\n1,Ann,30,F,A+,X\n2,Bob,41,M,B+,Y\n3,Ann,30,F,A+,X\n4,Cy,old,M,O+,Z\n",
+              encounters=VISITS + "100,1,10,1,2025-01-02,99.5,3,D1\n101,2,10,1,2025-02-03,10.25,0,D2\n102,77,10,1,2025-02-03,5,1,D2\n101,2,10,1,2025-02-03,10.25,0,D2\n")
+    out = pipeline.run(spark, raw, lake, "r1", "2025-01-01 00:00:00", spec=pipeline.HOSPITAL_SPEC)
+    assert [tuple(r) for r in out["gold"]["dim_patient"].select("patient_id", "name", "age", "gender", "blood_group", "city", "patient_sk").orderBy("patient_id").collect()] == [
+        (1, "Ann", 30, "F", "A+", "X", 1), (2, "Bob", 41, "M", "B+", "Y", 2), (4, "Cy", None, "M", "O+", "Z", 3)]
+    assert out["gold"]["fact"].columns == pipeline.FACT_COLUMNS and out["gold"]["fact"].count() == 2
+    s = out["run_summary"].first()
+    assert (s.total_checks, s.overall_status) == (5, "FAIL")
+    assert writers.read_runs(spark, f"{lake}/results/rejects").select("column_name", "raw_value").collect()[0][:] == ("age", "old")
+
+
+def test_interrupted_maintenance_loses_nothing(spark, tmp_dir, monkeypatch):
+    df = spark.range(6).withColumn("g", F.col("id") % 2)
+    df.write.partitionBy("g").parquet(tmp_dir)
+
+    def die(*_, **__):
+        raise RuntimeError("stopped")
+    with monkeypatch.context() as m:
+        m.setattr(writers, "overwrite", die)
+        try:
+            writers.staged_replace(spark.read.parquet(tmp_dir).where("id > 1"), tmp_dir, ["g"])
+        except RuntimeError:
+            pass
+    writers.delete_path(spark, tmp_dir)                 # as if it had died after the old files went
+    assert writers.recover_replace(spark, tmp_dir, ["g"])
+    assert sorted(r[0] for r in spark.read.parquet(tmp_dir).select("id").collect()) == [2, 3, 4, 5]
+    assert not writers.recover_replace(spark, tmp_dir, ["g"])
