@@ -33,17 +33,16 @@ END = 2
 
 @dataclass(frozen=True)
 class Capacity:
-    """Capacities of a sequence (None: open), and the weights and rule that choose among bins."""
+    """Capacities of a sequence (None: open), and the weights and rule that choose among bins.  By default all three
+    are finite and a sequence's tokens alone can fill it, so the rule weighs the three and none but tokens binds."""
     tokens: int = 1024
-    documents: int | None = None
-    cost: int | None = None
+    documents: int | None = 1024
+    cost: int | None = 1024 ** 2
     weights: tuple[float, float, float] = (1.0, 0.1, 0.1)
     rule: str = "norm"
 
     def caps(self) -> list[int | None]:
-        """Capacities that can bind: a document has a token at least, and cost is at most tokens squared."""
-        return [self.tokens, self.documents if self.documents is not None and self.documents < self.tokens else None,
-                self.cost if self.cost is not None and self.cost < self.tokens ** 2 else None]
+        return [self.tokens, self.documents, self.cost]
 
 
 def plan(histogram: dict[int, int], capacity: Capacity) -> tuple[list[tuple[int, int, int, int, int]], int]:
@@ -140,8 +139,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capaci
          path: str | None = None) -> DataFrame:
     """One row per piece: id, piece, start, length, ids_crc32, sequence_id, offset."""
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    caps = capacity.caps()
-    if caps[2] is not None and capacity.cost < capacity.tokens ** 2:
+    if capacity.cost is not None and capacity.cost < capacity.tokens ** 2:
         longest = int(capacity.cost ** 0.5)            # no longer piece fits under the cost
     else:
         longest = capacity.tokens

@@ -39,7 +39,7 @@ def test_pack_round_trip(spark):
     assert len(by) <= -(-total // 1024) + 1
 
 
-@pytest.mark.parametrize("cap", [B.Capacity(100), B.Capacity(100, 3), B.Capacity(100, 5, 4000), B.Capacity(100, 4, 4000, rule="dot")])
+@pytest.mark.parametrize("cap", [B.Capacity(100), B.Capacity(100, None, None), B.Capacity(100, 3), B.Capacity(100, 5, 4000), B.Capacity(100, 4, 4000, rule="dot")])
 def test_plan_keeps_every_constraint(cap):
     r = random.Random(1)
     hist = {n: r.randrange(1, 40) for n in r.sample(range(1, 60), 30)}
@@ -78,3 +78,29 @@ def test_scan_edges_and_files(spark, tmp_path):
     assert {tuple(r) for r in T.count_documents(files, separator=9).collect()} == want
     assert T.count_documents(files.limit(0)).collect() == []
     assert B.pack(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_long_runs_of_blanks(spark):
+    """Texts that the fast encoder refuses: a megabyte of spaces, and of newlines."""
+    rows = [(1, " " * 1_000_000), (2, "\n" * 1_000_000), (3, "a word"), (4, "x" + " " * 300_000 + "<|endoftext|>")]
+    t = Tokenizer.from_file(path("byte_bpe_50k.json"))
+    t.encode_special_tokens = True
+    want = {i: len(t.encode(x, add_special_tokens=False).ids) for i, x in rows}
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["doc_id"]: r["n_tokens"] for r in T.document_counts(df).collect()} == want
+    t.encode_special_tokens = False
+    total = {}
+    for r in B.pack(df).collect():
+        total[r["doc_id"]] = total.get(r["doc_id"], 0) + r["length"]
+    assert total == {i: len(t.encode(x, add_special_tokens=False).ids) + 1 for i, x in rows}
+
+
+def test_no_documents(spark):
+    assert T.document_counts(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_the_rule_weighs_all_capacities():
+    """Of bins with equal tokens left, the one whose documents fit better is taken."""
+    cap = B.Capacity(10, 4, None, weights=(1.0, 1.0, 0.0))
+    rows, bins = B.plan({8: 1, 4: 2, 2: 1}, cap)                      # 8 | 4 4: both have 2 tokens left, 3 or 2 documents
+    assert bins == 2 and [at for n, _, _, at, _ in rows if n == 2] == [at for n, _, _, at, _ in rows if n == 4][:1]
