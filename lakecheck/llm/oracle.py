@@ -47,9 +47,13 @@ def _mixing() -> str:
             f"c0 as (select {keys}, sum(n_tokens)::bigint as mass, sum(n_tokens)::double as raked from k group by all having sum(n_tokens) > 0)",
             "tot as (select sum(mass)::double as total from c0)"]
     for d, t in mixing.TARGETS.items():
-        p = (f"coalesce(case k_{d} " + " ".join(f"when '{k}' then {v}" for k, v in t.items()) + " end, 0.0)::double"
+        p = ("case k_" + d + " " + " ".join(f"when '{k}' then {v}::double" for k, v in t.items()) + " end"
              if isinstance(t, dict) else f"pow(sum(mass)::double, {float(t)})")
-        ctes.append(f"g_{d} as (select k_{d}, p / sum(p) over () as g from (select k_{d}, {p} as p from c0 group by k_{d}))")
+        # values that are not listed (p is NULL) keep their observed share, the listed ones share the rest
+        ctes.append(f"""g_{d} as (select k_{d}, case when p is null then m / whole else p / coalesce(nullif(norm, 0), 1) * (1 - other / whole) end as g from (
+            select *, coalesce(nullif(case when norm <> 0 then (select total from tot) else other end, 0), 1.0) as whole from (
+                select *, coalesce(sum(p) over (), 0.0) as norm, coalesce(sum(case when p is null then m end) over (), 0.0) as other from (
+                    select k_{d}, {p} as p, sum(mass)::double as m from c0 group by k_{d}))))""")
     at = "c0"
     for s in range(mixing.SWEEPS):
         for d in dims:
