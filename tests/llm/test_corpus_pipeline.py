@@ -1,8 +1,10 @@
 import hashlib
 import random
 
-import corpus_pipeline as P
+import xxhash
+
 import brute
+import corpus_pipeline as P
 from lakecheck.llm import mixing
 from lakecheck.sources.tables import load
 from test_suffix_dedup import brute as without_repeats
@@ -30,11 +32,28 @@ def corpus():
         texts[300 + k], texts[310 + k] = texts[i], " ".join(w[:-1] + [f"other{k}"])
     texts |= {400: None, 401: "", 402: " \n", 403: "one", 404: "mail a@b.c now"}
     rows = [(i, t, r.choice(["en", "de", None]), r.choice(["web", "books"]), len(t or "")) for i, t in texts.items()]
-    return rows + [rows[10], (None, "a row without an id", "en", "web", 19)], toxic
+    more = [rows[10], (None, "a row without an id", "en", "web", 19), (None, texts[14], "en", "web", 5), (21, texts[22], None, "books", 7),
+            (None, texts[15] + " " + passage, None, "web", 9), (402, " \n", "en", "web", 2), (None, "", "en", "web", 0)]
+    return rows + more, toxic
+
+
+def near_copies(rows):
+    """Rows that the near-duplicate stage keeps: of each class the first by id (NULL last), hash of the text and the rest."""
+    def first(x):
+        h = xxhash.xxh64_intdigest(x[1].encode(), 42) if x[1] is not None else 42
+        return x[0] is None, x[0] or 0, h - (h >> 63 << 64), *[(v is not None, v or 0) for v in x[2:]]
+    order = sorted(rows, key=first)
+    classes = brute.jaccard_classes([(k, x[1]) for k, x in enumerate(order)], 5, 80, 100)
+    out, bare = [], set()
+    for k, x in enumerate(order):
+        if classes[k][1] == k and (x[0] is None or brute.words(x[1]) or (x[0], x[1]) not in bare):
+            out.append(x)
+            bare.add((x[0], x[1]))
+    return out
 
 
 def raked(cells, targets, sweeps=mixing.SWEEPS):
-    """Factor of each cell {(value, ...): weight} after plain proportional fitting."""
+    """Factor of each cell {(value, ...): weight} after plain proportional fitting; values not listed keep their share."""
     total, now = sum(cells.values()), {c: float(m) for c, m in cells.items() if m}
     goal = []
     for k, t in enumerate(targets.values()):
@@ -42,19 +61,21 @@ def raked(cells, targets, sweeps=mixing.SWEEPS):
         for c, m in cells.items():
             if m:
                 sums[c[k]] = sums.get(c[k], 0) + m
-        share = {v: t.get(v, 0.0) if isinstance(t, dict) else m ** t for v, m in sums.items()}
-        goal.append({v: s / (sum(share.values()) or 1) for v, s in share.items()})
+        listed = {v: t[v] if isinstance(t, dict) else m ** t for v, m in sums.items() if not isinstance(t, dict) or v in t}
+        norm, other = sum(listed.values()), sum(m for v, m in sums.items() if v not in listed)
+        whole = total if norm else other
+        goal.append({v: listed[v] / (norm or 1) * (1 - other / whole) if v in listed else m / whole for v, m in sums.items()})
     for _ in range(sweeps):
         for k, g in enumerate(goal):
             sums = {}
             for c, m in now.items():
                 sums[c[k]] = sums.get(c[k], 0) + m
             now = {c: m * total * g[c[k]] / sums[c[k]] if sums[c[k]] else 0.0 for c, m in now.items()}
-    return {c: now[c] / m if m else 1.0 for c, m in cells.items()}
+    return {c: round(now[c] / m, 9) if m else 1.0 for c, m in cells.items()}
 
 
 def drawn(rows):
-    """Rows that the mixing stage keeps."""
+    """Rows that the mixing stage returns, each as often as its factor and draw say."""
     def topic(t):
         t = t or ""
         return ("legal" if "icense" in t or "rights reserved" in t else "contact" if "@" in t else "listing" if " | " in t else "prose")
@@ -62,9 +83,12 @@ def drawn(rows):
     cells = {}
     for x in rows:
         cells[of(x)] = cells.get(of(x), 0) + len(brute.words(x[1]))
-    factor = raked(cells, mixing.TARGETS)
-    u = lambda i: int(hashlib.md5(f"{i}:0".encode()).hexdigest()[:8], 16) / 2 ** 32
-    return [x for x in rows if factor[of(x)] >= 1 or u(x[0]) < factor[of(x)]]
+    factor, out = raked(cells, mixing.TARGETS), []
+    for x in rows:
+        name = x[0] if x[0] is not None else hashlib.md5(x[1].encode()).hexdigest()
+        u, f = int(hashlib.md5(f"{name}:0".encode()).hexdigest()[:8], 16) / 2 ** 32, factor[of(x)]
+        out += [x] * (int(f) + (u < f - int(f)))
+    return out
 
 
 def key(row):
@@ -85,16 +109,16 @@ def test_every_stage_against_brute_force(spark, tmp_dir):
             docs = spark.read.parquet(f"{tmp_dir}/{name}")
             results.append(sorted((tuple(r) for r in docs.collect()), key=key))
     assert results[0] == sorted((x for x in rows if x[0] not in toxic), key=key)
-    classes = brute.jaccard_classes([(i, t) for i, t, *_ in results[0] if i is not None], 5, 80, 100)
-    assert results[1] == [x for x in results[0] if x[0] is None or classes[x[0]][1] == x[0]]
+    assert results[1] == sorted(near_copies(results[0]), key=key)
     assert len(results[1]) < len(results[0])
-    with_id = [x for x in results[1] if x[0] is not None]
-    cut = without_repeats([(i, t) for i, t, *_ in with_id], 200)
-    assert [(x[0], x[2], x[3]) for x in results[2]] == [(x[0], x[2], x[3]) for x in with_id]
-    assert all(hashlib.sha256((t or "").encode()).hexdigest() == cut[i][3] and n == len(t or "") for i, t, _, _, n in results[2])
-    assert any(cut[i][1] for i in cut)
-    assert results[3] == drawn(results[2])
-    digest = lambda df: sorted((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in df.collect())
+    cut = without_repeats([(k, t) for k, (_, t, *_) in enumerate(results[1])], 200)
+    sha = lambda t: hashlib.sha256((t or "").encode()).hexdigest()
+    assert sorted((str(x[0]), x[2] or "", x[3], sha(x[1])) for x in results[2]) == sorted(
+        (str(x[0]), x[2] or "", x[3], cut[k][3]) for k, x in enumerate(results[1]))
+    assert all(x[4] == len(x[1] or "") for x in results[2]) and any(cut[k][1] for k in cut)
+    assert results[3] == sorted(drawn(results[2]), key=key)
+    assert len(set(results[3])) < len(results[3]) and {x[2] for x in results[3]} == {"en", "de", None}
+    digest = lambda df: sorted(((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in df.collect()), key=str)
     last = docs_out.collect()
     assert {r["doc_id"] for r in last} == {x[0] for x in results[3]}
     by = {}

@@ -132,3 +132,26 @@ def test_toxic_rows_without_id_go(spark, tmp_dir):
     spark.createDataFrame([(i, int(i % 4 == 0), 1) for i, *_ in docs if i != 1], "doc_id long, toxic int, quality int").write.parquet(f"{tmp_dir}/labels.parquet")
     got = {(x[0], x[1]) for x in P.drop_toxic(spark, spark.createDataFrame(docs + more, SCHEMA), tmp_dir).collect()}
     assert got == {(i, t) for i, t, *_ in docs if i % 4} | {(None, "calm plain here")}
+
+
+def test_other_columns_are_carried(spark, tmp_dir):
+    """Columns that are not of ``documents`` come out as they came in, whatever their names; texts may be very long."""
+    r = random.Random(4)
+    text = lambda n: " ".join("".join(r.choice("abcdefghij") for _ in range(6)) for _ in range(n))
+    more = ("__row", "n_tokens", "topic", "row", "doc", "copies", "factor", "class", "place", "draw", "score", "id", "text_hash")
+    rows = [(i, text(40), "en", "web", 1, *[f"{c}{i}" for c in more]) for i in range(12)]
+    rows += [(20, text(60_000), "en", "web", 1, *["long"] * len(more)), (21, rows[3][1], "en", "web", 1, *["copy"] * len(more))]
+    docs = spark.createDataFrame(rows, SCHEMA + "".join(f", {c} string" for c in more))
+    spark.createDataFrame([(0, 0, 1)], "doc_id long, toxic int, quality int").write.parquet(f"{tmp_dir}/labels.parquet")
+    want = {x for x in rows if x[0] != 21}
+    for name, stage in P.STAGES[:-1]:
+        docs = stage(spark, docs, tmp_dir)
+        assert docs.columns == [c.split(" ")[0] for c in SCHEMA.split(", ")] + list(more)
+        got = {tuple(x) for x in docs.collect()}
+        if name == "toxicity":
+            assert got == set(rows)
+        else:
+            assert {x[:1] + x[5:] for x in got} <= {x[:1] + x[5:] for x in want}
+            assert name == "mixing" or {x[:1] + x[5:] for x in got} == {x[:1] + x[5:] for x in want}
+        docs = spark.createDataFrame(sorted(got, key=str), docs.schema)
+    assert {x["doc_id"] for x in P.pack_sequences(spark, docs, tmp_dir).collect()} <= {x[0] for x in want}
