@@ -8,7 +8,8 @@ Defined cases: documents with NULL or empty texts pass the filters and are packe
 one near-duplicate class leave the smallest id, whatever number of rows an id has; equal texts without words stay
 once an id; a document whose bytes all repeat stays with an empty text; mixing repeats the rows of documents with a
 factor above 1, and each copy is packed as a document; rows with NULL ids are documents of their own, compared and
-cut like others, the last of their class; an empty table gives an empty result.
+cut like others, the last of their class; columns that are not of ``documents`` are carried to the last stage,
+whatever their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -27,34 +28,45 @@ ORACLE_SQL = None      # the stages are not SQL; tests hold them against brute f
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that the class-conditional models call toxic."""
     scored = toxicity.score(docs, load(spark, sf_dir, "labels"))
-    gone = stored(scored.where(F.col("score") >= TOXIC).select(F.col("doc_id").alias("__id"), "text_hash").distinct(), "toxic")
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(F.col("text").cast("string")) == F.col("text_hash"))
-    return docs.join(bounded(gone), same, "left_anti").select(docs.columns)
+    gone = stored(scored.where(F.col("score") >= TOXIC).select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash")).distinct(), "toxic")
+    rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.xxhash64(F.col("text").cast("string")).alias("hash"), F.struct("*").alias("doc"))
+    same = F.col("id").eqNullSafe(F.col("gone_id")) & (F.col("hash") == F.col("gone_hash"))
+    return rows.join(bounded(gone), same, "left_anti").select("doc.*")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of five-word-shingle similarity 0.8 or more.  Rows are told apart by keys in the
-    order of their ids (NULL last), so repeated and NULL ids are compared too."""
-    order = [F.col("doc_id").asc_nulls_last(), F.xxhash64("text"), *[c for c in docs.columns if c not in ("doc_id", "text")]]
-    rows = stored(docs.orderBy(*order).withColumn("__row", F.monotonically_increasing_id()), "rows")
-    classes = ngram_jaccard_join.jaccard_classes(rows, id_col="__row", words=5, num=80, den=100)
-    kept = ngram_jaccard_join.keep_one(rows, classes, id_col="__row").select(docs.columns)
-    bare = F.col("doc_id").isNotNull() & (mixing.tokens(F.col("text")) == 0)     # these have no class
-    return kept.where(~bare).union(kept.where(bare).dropDuplicates(["doc_id", "text"]))
+    """One document of each class of five-word-shingle similarity 0.8 or more: the first by id (NULL last), hash of the
+    text and the other columns.  Rows are told apart by keys of their own, so repeated and NULL ids are compared too;
+    only keys and order columns are moved to choose, not the texts."""
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    rows = stored(docs.select(F.monotonically_increasing_id().alias("row"), F.col("text").cast("string").alias("text"),
+                              F.struct("*").alias("doc")), "rows")
+    classes = stored(ngram_jaccard_join.jaccard_classes(rows.select("row", "text"), id_col="row", words=5, num=80, den=100), "row-classes")
+    many = classes.groupBy(F.col("component_id").alias("class")).agg(F.count("*").alias("n")).where("n > 1").select("class")
+    place = F.struct(F.col("doc.doc_id").isNull(), F.col("doc.doc_id"), F.xxhash64("doc.text"), *[F.col("doc").getField(c) for c in rest], F.col("row"))
+    member = classes.select("row", F.col("component_id").alias("class")).join(many, "class").join(rows.select("row", place.alias("place")), "row")
+    first = member.groupBy("class").agg(F.min("place").alias("place"))
+    gone = stored(member.join(first.withColumnRenamed("place", "first"), "class").where(F.col("place") != F.col("first")).select("row"), "near-copies")
+    kept = rows.join(bounded(gone), "row", "left_anti")
+    bare = F.col("doc.doc_id").isNotNull() & (mixing.tokens(F.col("text")) == 0)           # these have no class
+    one = kept.where(bare).withColumn("id", F.col("doc.doc_id")).dropDuplicates(["id", "text"]).select(kept.columns)
+    return kept.where(~bare).union(one).select("doc.*")
 
 
 def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the bytes of 200-byte strings that occur again."""
-    rest = tuple(c for c in docs.columns if c not in ("doc_id", "text", "n_chars"))      # cut_repeats keys the rows itself
-    out = suffix_dedup.cut_repeats(docs, carry=rest).withColumn("text", F.col("kept_text")).withColumn(
-        "n_chars", F.length("kept_text").cast("long"))
-    return out.select(docs.columns)
+    rest = {c: f"carried_{k}" for k, c in enumerate(docs.columns) if c not in ("doc_id", "text", "n_chars")}
+    rows = docs.select("doc_id", "text", *[F.col(c).alias(name) for c, name in rest.items()])
+    out = suffix_dedup.cut_repeats(rows, carry=tuple(rest.values()))                    # keys the rows itself
+    made = {"doc_id": F.col("doc_id"), "text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("long")}
+    return out.select(*[made.get(c, F.col(rest.get(c, c))).alias(c) for c in docs.columns])
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as its calibrated factor of source, language and topic says."""
     drawn = F.coalesce(F.col("doc_id").cast("string"), F.md5("text"))       # rows without an id draw by their texts
-    return mixing.repeat(mixing.calibrate(mixing.features(docs).withColumn("__draw", drawn), id_col="__draw")).select(docs.columns)
+    rows = mixing.features(docs.select("source", "lang", "text", drawn.alias("draw"), F.struct("*").alias("doc"))).drop("text")
+    return mixing.repeat(mixing.calibrate(rows, id_col="draw")).select("doc.*")
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
