@@ -9,8 +9,9 @@ interpolated with the continuation shares of both classes together:
 A rare word leans on the shared backoff term; an unknown word, or one that follows fewer than ``min_types``
 distinct words in all, has the backoff's weights alone, D * V_c / T_c.  A document has two features: the sum of
 its words' log-likelihood differences over its word count, and the highest such mean of ``WINDOW`` consecutive
-words (of the whole text if it is shorter), for a short expression in a long text.  A logistic curve in both,
-fitted on learning rows that gave no counts, maps them to a score; a feature that would lower it is left out.
+words (of the whole text if it is shorter), for a short expression in a long text.  A logistic curve in both maps them to
+a score; a feature that would lower it is left out.  The curve is fitted on one fold of the learning rows, with features
+by the counts of the others; the features that are scored then come from the counts of all of them.
 
 The counts of all learning rows are gathered by a shuffle that grows with them; the calibration uses a
 histogram of features (bounded by its bins).  The model has a row per word; it is broadcast up to ``MODEL_ROWS``
@@ -223,11 +224,15 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     if learn is not None:
         lab = lab.where(learn)
     lab = C.stored(lab.withColumn("held", F.pmod(F.xxhash64(id_col), F.lit(FOLDS)) == 0), "labels")
-    train = d.join(C.bounded(lab.where("not held")), id_col)
-    words, other = model(train, min_types=min_types)
-    f = C.stored(features(d, C.stored(words, "ratios"), other, model_rows), "features")
-    bins = (f.join(C.bounded(lab.where("held").withColumnRenamed(id_col, "id")), "id").groupBy(F.round("feature", 2).alias("x"), F.round("peak", 1).alias("y"))
+    learned = C.stored(d.join(C.bounded(lab), id_col), "learned")                # rows with a label only
+    # a model of two folds tells how features of unseen rows bear on the labels; the scores' model counts all folds
+    words, other = model(learned.where("not held"), min_types=min_types)
+    unseen = features(learned.where("held"), C.stored(words, "fold-ratios"), other, model_rows)
+    bins = (unseen.join(learned.where("held").select("id", F.xxhash64("text").alias("t"), "toxic").distinct(), ["id", "t"])
+            .groupBy(F.round("feature", 2).alias("x"), F.round("peak", 1).alias("y"))
             .agg(F.count(F.when(F.col("toxic") == 0, 1)).alias("n0"), F.count(F.when(F.col("toxic") == 1, 1)).alias("n1")))
+    words, other = model(learned, min_types=min_types)
+    f = C.stored(features(d, C.stored(words, "ratios"), other, model_rows), "features")
     bins = [tuple(r) for r in bins.collect()]      # bounded: features rounded to 0.01 and 0.1
     rest = ["feature", "peak", F.col("t").alias("text_hash")]
     if not sum(b[-2] for b in bins) or not sum(b[-1] for b in bins):
