@@ -1,0 +1,80 @@
+"""Kneser-Ney class models against plain Python."""
+
+import math
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from lakecheck.llm import toxicity as T
+
+WORD = re.compile("[A-Za-z\x80-\U0010ffff]+")
+
+
+def words(text):
+    return ["".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in w) for w in WORD.findall(text or "")]
+
+
+def plain_model(train, discount=T.DISCOUNT):
+    """{word: log P_toxic - log P_ordinary} by continuation counts with a shared backoff, and the value of unseen words."""
+    pairs = [set(), set()]
+    for text, toxic in train:
+        w = words(text)
+        pairs[toxic] |= set(zip([None, *w[:-1]], w))
+    both = pairs[0] | pairs[1]
+    t = [{}, {}, {}]
+    for k, p in enumerate((*pairs, both)):
+        for _, w in p:
+            t[k][w] = t[k].get(w, 0) + 1
+    n = [sum(x.values()) for x in t]
+    back = [discount * len(t[c]) / n[c] for c in (0, 1)]
+    p = lambda c, w: max(t[c].get(w, 0) - discount, 0) / n[c] + back[c] * t[2][w] / n[2]
+    return {w: math.log(p(1, w)) - math.log(p(0, w)) for w in t[2]}, math.log(back[1]) - math.log(back[0])
+
+
+def plain_features(text, ratio, other, window):
+    r = [ratio.get(w, other) for w in words(text)]
+    if not r:
+        return 0.0, 0.0
+    k = min(window, len(r))
+    return sum(r) / len(r), max(sum(r[i:i + k]) / k for i in range(len(r) - k + 1))
+
+
+def corpus(n=150):
+    r = random.Random(3)
+    vocab = ["".join(r.choice("abcdefghij") for _ in range(4)) for _ in range(80)] + ["Über", "été", "ÉTÉ"]
+    out = []
+    for i in range(n):
+        w = r.choices(vocab, k=r.randrange(1, 40))
+        if i % 3 == 0:
+            w.insert(r.randrange(len(w) + 1), r.choice(["VILE", "foul!", "dire42dire"]))
+        out.append((i, " ".join(w), int(i % 3 == 0)))
+    return out
+
+
+@pytest.mark.parametrize("window,model_rows", [(1, T.MODEL_ROWS), (3, T.MODEL_ROWS), (2, 0)])
+def test_model_and_features(spark, window, model_rows):
+    rows = corpus()
+    learned = [(t, c) for i, t, c in rows if i < 110] + [("", 0), (None, 1), ("12 34", 1)]
+    ratio, other = plain_model(learned)
+    got, unseen = T.model(spark.createDataFrame(learned, "text string, toxic int"))
+    assert unseen == pytest.approx(other) and got.count() == len(ratio)
+    assert sorted(r["ratio"] for r in got.collect()) == pytest.approx(sorted(ratio.values()))
+    asked = [(i, t) for i, t, _ in rows] + [(900, None), (901, ""), (902, "?! 12"), (903, "vile " + "calm " * 100_000), (None, "vile foul"), (5, "another text of id 5 vile")]
+    f = T.features(spark.createDataFrame(asked, "id long, text string"), got, unseen, model_rows, window).collect()
+    want = {(i, t): plain_features(t, ratio, other, window) for i, t in asked}
+    by_hash = {(r["id"], r["t"]): (r["feature"], r["peak"]) for r in f}
+    hashes = {(r["id"], r["text"]): r["t"] for r in spark.createDataFrame(asked, "id long, text string").select("id", "text", F.xxhash64("text").alias("t")).collect()}
+    assert len(f) == len(asked)
+    for key, w in want.items():
+        assert by_hash[key[0], hashes[key]] == pytest.approx(w, abs=1e-9)
+
+
+def test_scores_use_all_learning_rows(spark):
+    """A toxic word that only occurs in the calibrating fold counts in the scores."""
+    rows = corpus(300)
+    fold = {r[0] for r in spark.createDataFrame([(i,) for i, *_ in rows], "doc_id long").where(F.pmod(F.xxhash64("doc_id"), F.lit(T.FOLDS)) == 0).collect()}
+    docs = [(i, t + (" odious" if c and i in fold else "")) for i, t, c in rows] + [(1000, "odious"), (1001, "calm")]
+    got = {r["doc_id"]: r["peak"] for r in T.score(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(i, c) for i, _, c in rows], "doc_id long, toxic int")).collect()}
+    assert got[1000] > 0.5 > got[1001]
