@@ -2,7 +2,7 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all documents its predecessor kept; all but the last return
 the columns of ``documents``.  ``run`` writes each stage's result as Parquet in the shared scratch folder and reads
-it back, so a lost executor costs at most one stage's tasks.
+it back, so a lost executor costs at most one stage's tasks, and removes what the stage no longer needs.
 
 Defined cases: documents with NULL or empty texts pass the filters and are packed as an end token; documents of
 one near-duplicate class leave the smallest id, whatever number of rows an id has; equal texts without words stay
@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakecheck.llm import best_fit_packing, mixing, ngram_jaccard_join, suffix_dedup, toxicity
-from lakecheck.llm.common import bounded, stored
+from lakecheck.llm.common import bounded, keep_only, made, stored
 from lakecheck.sources.tables import load
 
 TOXIC = 0.7            # documents that score so high go
@@ -80,7 +80,8 @@ STAGES = [("toxicity", drop_toxic), ("near_duplicates", drop_near_copies), ("rep
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; the rows of the last."""
-    docs = load(spark, sf_dir, "documents")
+    docs, start = load(spark, sf_dir, "documents"), made()
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name)
+        keep_only(spark, start, docs)                    # the stage's own tables and its predecessor's rows go
     return STAGES[-1][1](spark, docs, sf_dir)
