@@ -441,14 +441,16 @@ def record_diff_check(src: DataFrame, tgt: DataFrame, spec: CheckSpec, run_id: s
     return run_checks(src, tgt, spec, run_id, run_ts, only=(RECORD_DIFF,))
 
 
-def diff_details(diff: DataFrame, key: str, run_id: str, n: int = 10000) -> DataFrame:
-    """The first ``n`` row-level differences in key order (then all columns: a total order),
-    tagged with the run id - a top-n, not an arbitrary ``limit``.
+def diff_details(diff: DataFrame, key: str, run_id: str, n: int | None = None) -> DataFrame:
+    """The row-level differences tagged with the run id: all of them, or the first ``n`` in key order (then all columns:
+    a total order) - a top-n, not an arbitrary ``limit``.
 
     Every compact row stands for at least one row and its copies are identical, so the first
     n rows come from the first n compact rows.  Those (at most n, one partition after the
     top-n) get a running count, and each is expanded only to the rows still missing: at most
     n rows are ever generated."""
+    if n is None:
+        return expand_diff(diff).withColumn("run_id", F.lit(run_id))
     order = [F.col(key).asc_nulls_last()] + [F.col(c).asc_nulls_last() for c in diff.columns
                                              if c not in (key, "n_rows")]
     top = diff.filter(F.col("n_rows") > 0).orderBy(*order).limit(n)
@@ -459,14 +461,16 @@ def diff_details(diff: DataFrame, key: str, run_id: str, n: int = 10000) -> Data
     return expand_diff(bounded).withColumn("run_id", F.lit(run_id))
 
 
-def details_of_versions(v: DataFrame, key: str, cols: Sequence[str], run_id: str, n: int = 10000,
+def details_of_versions(v: DataFrame, key: str, cols: Sequence[str], run_id: str, n: int | None = None,
                         src_prefix: str = "src_", tgt_prefix: str = "tgt_") -> DataFrame:
-    """``diff_details`` without diffing every key.  A key has diff rows exactly when its
+    """``diff_details`` of versions; with ``n``, without diffing every key.  A key has diff rows exactly when its
     differing-pair count is positive, and each such key gives at least one row, so the first
     n rows in key order come from the first n such keys.  Those keys are a top-n over the key
     statistics (at most n rows, broadcast); the versions are semi-joined with them map-side,
     and only that selection is diffed."""
     cols = list(cols)
+    if n is None:
+        return diff_details(diff_of_versions(v, key, cols, src_prefix, tgt_prefix), key, run_id)
     keys = (key_stats(v, key, cols).where(F.col("__lc_d") > 0)
             .select(F.col(key).alias("__lc_dk")).orderBy(F.col("__lc_dk").asc_nulls_last()).limit(n))
     chosen = v.join(F.broadcast(keys), v[key].eqNullSafe(F.col("__lc_dk")), "left_semi")  # <= n keys

@@ -13,6 +13,7 @@ RUN2_ID, RUN2_TS = "20250601_000000", "2025-06-01 00:00:00"
 TABLE = "src_encounter -> clean_encounter"
 PIPE_TABLE = "encounters -> fact_encounters"
 
+# fixed values: the columns of the fact's row hash and of the record diff
 HASH_COLS = ["encounter_id", "patient_id", "doctor_id", "dept_id", "billing_amount",
              "length_of_stay", "diagnosis_code"]
 COMPARE_COLS = ["patient_id", "doctor_id", "dept_id", "billing_amount", "length_of_stay",
@@ -61,7 +62,8 @@ FIXTURES = [
         select encounter_id, patient_id, doctor_id, dept_id, encounter_date, billing_amount,
                length_of_stay, diagnosis_code from (
           select *, row_number() over (partition by encounter_id
-                                       order by billing_amount asc nulls last, patient_id) as rn
+                                       order by case when billing_amount > 0 and patient_id is not null then 0 else 1 end,
+                                                billing_amount asc nulls last, patient_id) as rn
           from src_encounter)
         where rn = 1 and billing_amount > 0 and patient_id in (select patient_id from clean_patient)"""),
     ("incoming_patient", """
@@ -376,6 +378,10 @@ def oracle_sql() -> dict[str, str]:
             f"select * from summary_all where run_id = '{RUN2_ID}' order by run_ts desc"),
         "report_checks": _with_log(
             f"select {REPORT_COLS} from check_log where run_id = '{RUN2_ID}' order by check_type"),
+        "report_first_diffs": _with(
+            f"select *, '{RUN2_ID}' as run_id from diff order by " + ", ".join(
+                f"{c} asc nulls last" for c in ["encounter_id", *[f"src_{c}" for c in COMPARE_COLS], *[f"tgt_{c}" for c in COMPARE_COLS]])
+            + " limit 50"),
         "report_diffs": _with(f"select * from ({DETAILS}) where run_id = '{RUN2_ID}'"),
         "report_trend": _with_log("select run_id, run_ts, total_checks, passed, failed, total_mismatches, "
                                   "overall_status from summary_all order by run_ts desc"),

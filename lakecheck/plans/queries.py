@@ -246,6 +246,12 @@ def report_diffs(spark, sf):
     return results.run_diffs(_details(spark, sf), fx.RUN2_ID, SPEC.key)
 
 
+def report_first_diffs(spark, sf):
+    """The first 50 row-level differences in key order, as a run's report page shows them."""
+    v = recon.versions(fx.src_encounter(spark, sf), fx.clean_encounter(spark, sf), [SPEC.key, *SPEC.compare_cols])
+    return recon.details_of_versions(v, SPEC.key, SPEC.compare_cols, fx.RUN2_ID, 50)
+
+
 def report_trend(spark, sf):
     return results.trend(_summary_all(spark, sf))
 
@@ -413,6 +419,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "report_checks": report_checks,
     "report_diffs": report_diffs,
     "report_trend": report_trend,
+    "report_first_diffs": report_first_diffs,
     "export_roundtrip": export_roundtrip,
     "pipeline_summary": pipeline_summary,
     "recon_bucket_diff": recon_bucket_diff,
