@@ -76,8 +76,8 @@ class PipelineSpec:
         table_name="encounters -> fact_encounters")
 
 
-# the columns of the reference's own files; its patients are compared by all their attributes
-HOSPITAL_SCHEMAS = {
+# fixed values: a layout with more attributes of doctors and patients; patients are compared by all of theirs
+CLINIC_SCHEMAS = {
     "departments": T.StructType([T.StructField("dept_id", T.IntegerType()), T.StructField("dept_name", T.StringType()),
                                  T.StructField("building", T.StringType())]),
     "doctors": T.StructType([T.StructField("doctor_id", T.IntegerType()), T.StructField("name", T.StringType()),
@@ -88,7 +88,7 @@ HOSPITAL_SCHEMAS = {
     "encounters": T.StructType([T.StructField(f.name, T.IntegerType() if isinstance(f.dataType, T.LongType) else f.dataType)
                                 for f in ENCOUNTER_SCHEMA.fields]),
 }
-HOSPITAL_SPEC = PipelineSpec(schemas=HOSPITAL_SCHEMAS, patient_attrs=("name", "age", "gender", "blood_group", "city"))
+CLINIC_SPEC = PipelineSpec(schemas=CLINIC_SCHEMAS, patient_attrs=("name", "age", "gender", "blood_group", "city"))
 
 
 def run_together(*actions):

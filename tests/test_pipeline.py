@@ -246,12 +246,12 @@ def test_update_of_the_stored_dimension_touches_few_files(spark, tmp_dir):
     assert len(before) > 30 and kept >= len(before) - dim.filter("not is_current").count()
 
 
-def test_files_of_the_hospital_layout(spark, tmp_dir):
+def test_files_of_the_clinic_layout(spark, tmp_dir):
     raw, lake = f"{tmp_dir}/raw", f"{tmp_dir}/lake"
     put_files(raw, departments="dept_id,dept_name,building\n1,Heart,A\n", doctors="doctor_id,name,specialization,dept_id\n10,Doc,Surgeon,1\n",
               patients="patient_id,name,age,gender,blood_group,city\n1,Ann,30,F,A+,X\n2,Bob,41,M,B+,Y\n3,Ann,30,F,A+,X\n4,Cy,old,M,O+,Z\n",
               encounters=VISITS + "100,1,10,1,2025-01-02,99.5,3,D1\n101,2,10,1,2025-02-03,10.25,0,D2\n102,77,10,1,2025-02-03,5,1,D2\n101,2,10,1,2025-02-03,10.25,0,D2\n")
-    out = pipeline.run(spark, raw, lake, "r1", "2025-01-01 00:00:00", spec=pipeline.HOSPITAL_SPEC)
+    out = pipeline.run(spark, raw, lake, "r1", "2025-01-01 00:00:00", spec=pipeline.CLINIC_SPEC)
     assert [tuple(r) for r in out["gold"]["dim_patient"].select("patient_id", "name", "age", "gender", "blood_group", "city", "patient_sk").orderBy("patient_id").collect()] == [
         (1, "Ann", 30, "F", "A+", "X", 1), (2, "Bob", 41, "M", "B+", "Y", 2), (4, "Cy", None, "M", "O+", "Z", 3)]
     assert out["gold"]["fact"].columns == pipeline.FACT_COLUMNS and out["gold"]["fact"].count() == 2
