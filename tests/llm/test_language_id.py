@@ -65,7 +65,7 @@ def test_against_plain_python(spark, n_langs, share):
     train, docs = corpus(n_langs, 4 if n_langs > 100 else 12)
     rows = [(i, t) for i, t, _ in docs] + [(9000, None), (9001, "12 34"), (9002, "zzzz qqqq"), (9003, "ÀÉ " + docs[0][1]), (None, docs[0][1]), (9004, docs[0][1] + " " + "x1 " * 200_000)]
     langs, of = plain_fit(train, share)
-    got = L.identify(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(train, "text string, lang string"), size=1 << 22, share=share)
+    got = L.identify(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(train, "text string, lang string"), size=1 << 18, share=share)
     got = sorted(((r[0], r[1], r[2]) for r in got.collect()), key=str)
     want = sorted(((i, *plain_judge(t, langs, of)) for i, t in rows), key=str)
     assert [g[0] for g in got] == [w[0] for w in want]
@@ -76,7 +76,7 @@ def test_against_plain_python(spark, n_langs, share):
 
 def test_one_training_text_teaches_all_its_grams(spark):
     train = [("the cat and the dog are here", "en")] * 5 + [("le chat dort bien", "fr")]
-    got = L.identify(spark.createDataFrame([(1, "le chat dort bien")], "doc_id long, text string"), spark.createDataFrame(train, "text string, lang string")).collect()
+    got = L.identify(spark.createDataFrame([(1, "le chat dort bien")], "doc_id long, text string"), spark.createDataFrame(train, "text string, lang string"), size=1 << 16).collect()
     assert got[0]["lang_pred"] == "fr" and got[0]["score"] > 0.9
 
 
@@ -99,7 +99,7 @@ def test_filter_returns_all_languages_and_its_errors_are_corrected(spark):
 
 def test_empty_documents(spark):
     train = spark.createDataFrame([("the cat", "en")], "text string, lang string")
-    assert L.identify(spark.createDataFrame([], "doc_id long, text string"), train).collect() == []
+    assert L.identify(spark.createDataFrame([], "doc_id long, text string"), train, size=1 << 12).collect() == []
 
 
 def test_null_ids_are_not_held_out(spark):
