@@ -39,7 +39,7 @@ MIN_TYPES = 1          # every seen word has its own interpolated ratio
 WINDOW = 1             # words of an expression (longer ones held out worse, see the README)
 MODEL_ROWS = 2_000_000
 FOLDS = 3              # one in so many learning rows calibrates
-COUNT_BYTES = 8 << 20  # text counted together before rows are emitted
+COUNT_BYTES = 2 << 20  # text counted together before rows are emitted
 
 
 def remainder(id_col: Column, k: int) -> Column:
