@@ -216,23 +216,30 @@ def logistic(bins: list[tuple], ridge: float = 1e-3) -> tuple[list[float], float
 
 
 def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", learn: Column | None = None,
-          model_rows: int = MODEL_ROWS, min_types: int = MIN_TYPES) -> DataFrame:
+          model_rows: int = MODEL_ROWS, min_types: int = MIN_TYPES, refit: bool = True) -> DataFrame:
     """(id, score, feature, peak, text_hash) of every document.  ``labels``: (id, toxic 0/1).  ``learn``: a condition on the id column
-    for the rows whose labels may be used (default: all)."""
+    for the rows whose labels may be used (default: all).  Without ``refit``, the counts of the folds that the curve's model
+    has also give the scores: one pass less over the learning rows."""
     d = docs.select(F.col(id_col).cast("long").alias(id_col), F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     lab = labels.where(F.col("toxic").isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).cast("long").alias(id_col)).agg(F.max("toxic").cast("int").alias("toxic"))
     if learn is not None:
         lab = lab.where(learn)
     lab = C.stored(lab.withColumn("held", F.pmod(F.xxhash64(id_col), F.lit(FOLDS)) == 0), "labels")
-    learned = C.stored(d.join(C.bounded(lab), id_col), "learned")                # rows with a label only
-    # a model of two folds tells how features of unseen rows bear on the labels; the scores' model counts all folds
+    learned = d.join(C.bounded(lab), id_col)                                     # rows with a label only
+    if refit:
+        learned = C.stored(learned, "learned")
+    # a model of two folds tells how features of unseen rows bear on the labels; with refit the scores' model counts all folds
     words, other = model(learned.where("not held"), min_types=min_types)
-    unseen = features(learned.where("held"), C.stored(words, "fold-ratios"), other, model_rows)
-    bins = (unseen.join(learned.where("held").select("id", F.xxhash64("text").alias("t"), "toxic").distinct(), ["id", "t"])
-            .groupBy(F.round("feature", 2).alias("x"), F.round("peak", 1).alias("y"))
+    words = C.stored(words, "ratios")
+    f = features(learned.where("held").select("id", "text") if refit else d, words, other, model_rows)
+    f = f if refit else C.stored(f, "features")
+    known = learned.where("held").select("id", F.xxhash64("text").alias("t"), "toxic").distinct() if refit else C.bounded(
+        lab.where("held").withColumnRenamed(id_col, "id"))
+    bins = (f.join(known, ["id", "t"] if refit else ["id"]).groupBy(F.round("feature", 2).alias("x"), F.round("peak", 1).alias("y"))
             .agg(F.count(F.when(F.col("toxic") == 0, 1)).alias("n0"), F.count(F.when(F.col("toxic") == 1, 1)).alias("n1")))
-    words, other = model(learned, min_types=min_types)
-    f = C.stored(features(d, C.stored(words, "ratios"), other, model_rows), "features")
+    if refit:
+        words, other = model(learned, min_types=min_types)
+        f = C.stored(features(d, C.stored(words, "all-ratios"), other, model_rows), "features")
     bins = [tuple(r) for r in bins.collect()]      # bounded: features rounded to 0.01 and 0.1
     rest = ["feature", "peak", F.col("t").alias("text_hash")]
     if not sum(b[-2] for b in bins) or not sum(b[-1] for b in bins):
