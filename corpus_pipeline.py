@@ -27,7 +27,7 @@ ORACLE_SQL = None      # the stages are not SQL; tests hold them against brute f
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that the class-conditional models call toxic."""
-    scored = toxicity.score(docs, load(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs, load(spark, sf_dir, "labels"), refit=False)
     gone = stored(scored.where(F.col("score") >= TOXIC).select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash")).distinct(), "toxic")
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.xxhash64(F.col("text").cast("string")).alias("hash"), F.struct("*").alias("doc"))
     same = F.col("id").eqNullSafe(F.col("gone_id")) & (F.col("hash") == F.col("gone_hash"))
@@ -38,19 +38,20 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """One document of each class of five-word-shingle similarity 0.8 or more: the first by id (NULL last), hash of the
     text and the other columns.  Rows are told apart by keys of their own, so repeated and NULL ids are compared too;
     only keys and order columns are moved to choose, not the texts."""
-    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
-    rows = stored(docs.select(F.monotonically_increasing_id().alias("row"), F.col("text").cast("string").alias("text"),
-                              F.struct("*").alias("doc")), "rows")
-    classes = stored(ngram_jaccard_join.jaccard_classes(rows.select("row", "text"), id_col="row", words=5, num=80, den=100), "row-classes")
+    own = {c: f"c{k}" for k, c in enumerate(docs.columns)}                              # names that cannot clash with keys
+    doc_id, text = F.col(own["doc_id"]), F.col(own["text"]).cast("string")
+    rest = [F.col(name) for c, name in own.items() if c not in ("doc_id", "text")]
+    rows = stored(docs.select(F.monotonically_increasing_id().alias("row"), *[F.col(c).alias(name) for c, name in own.items()]), "rows")
+    classes = stored(ngram_jaccard_join.jaccard_classes(rows, id_col="row", text_col=own["text"], words=5, num=80, den=100), "row-classes")
     many = classes.groupBy(F.col("component_id").alias("class")).agg(F.count("*").alias("n")).where("n > 1").select("class")
-    place = F.struct(F.col("doc.doc_id").isNull(), F.col("doc.doc_id"), F.xxhash64("doc.text"), *[F.col("doc").getField(c) for c in rest], F.col("row"))
+    place = F.struct(doc_id.isNull(), doc_id, F.xxhash64(text), *rest, F.col("row"))
     member = classes.select("row", F.col("component_id").alias("class")).join(many, "class").join(rows.select("row", place.alias("place")), "row")
     first = member.groupBy("class").agg(F.min("place").alias("place"))
     gone = stored(member.join(first.withColumnRenamed("place", "first"), "class").where(F.col("place") != F.col("first")).select("row"), "near-copies")
     kept = rows.join(bounded(gone), "row", "left_anti")
-    bare = F.col("doc.doc_id").isNotNull() & (mixing.tokens(F.col("text")) == 0)           # these have no class
-    one = kept.where(bare).withColumn("id", F.col("doc.doc_id")).dropDuplicates(["id", "text"]).select(kept.columns)
-    return kept.where(~bare).union(one).select("doc.*")
+    bare = doc_id.isNotNull() & (mixing.tokens(text) == 0)                              # these have no class
+    one = kept.where(bare).dropDuplicates([own["doc_id"], own["text"]])
+    return kept.where(~bare).union(one.select(kept.columns)).select(*[F.col(name).alias(c) for c, name in own.items()])
 
 
 def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
