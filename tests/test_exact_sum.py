@@ -8,7 +8,7 @@ from fractions import Fraction
 import pytest
 from pyspark.sql import functions as F
 
-from lakecheck.functions.exact_sum import exact_sums
+from lakecheck.functions.exact_sum import exact_sums, places
 from lakecheck.operators import recon
 
 
@@ -62,6 +62,21 @@ def test_no_rows(spark):
     assert sorted(tuple(r) for r in got) == [(0, 0.0, 0.0, 0.0, True), (1, 0.0, 0.0, 0.0, True)]
 
 
+def test_a_value_enters_the_grouped_sum_once(spark):
+    df = spark.range(2000).selectExpr("id / 7 as v", "-id / 3 as u", "id % 3 as w")
+    p = places(df, [F.col("v"), F.col("u")], [F.col("w"), F.lit(1)])
+    below = p._jdf.queryExecution().optimizedPlan().toString().split("Aggregate")[-1]
+    assert below.count("Generate") == 1                     # the series only, not a row for each digit
+    want = [sum((Fraction(x) * w for x, w in rows), Fraction(0)) for rows in (
+        [(i / 7, i % 3) for i in range(2000)], [(i / 7, 1) for i in range(2000)], [(-i / 3, i % 3) for i in range(2000)], [(-i / 3, 1) for i in range(2000)])]
+    got = [Fraction(0)] * 4
+    for r in p.collect():
+        assert r["place"] >= 0
+        for k in range(2):
+            got[2 * r["series"] + k] += r[f"w{k}"] * Fraction(2) ** (24 * r["place"] - 1074)
+    assert got == want
+
+
 def check(spark, src, tgt, **more):
     spec = recon.CheckSpec(key="k", sum_cols=("v",), hash_cols=("k",), compare_cols=("k",), table_name="t", **more)
     s, t = (spark.createDataFrame(list(enumerate(x)), "k long, v double") for x in (src, tgt))
