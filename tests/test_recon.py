@@ -185,3 +185,13 @@ def test_key_only_diff(spark):
     assert recon.record_diff(src, tgt, "id", []).count() == 0
     spec = recon.CheckSpec(key="id", sum_cols=(), hash_cols=("id",), compare_cols=(), table_name="s -> t")
     assert recon.record_diff_check(src, tgt, spec, "r", "2025-01-01 00:00:00").first().mismatch_count == 0
+
+
+def test_key_differences_reach_the_check_log_as_one_row(spark):
+    s = _df(spark, [(1, "a", 1.0), (1, "z", 1.0), (2, "b", 2.0), (None, "n", 1.0), (3, "c", None)])
+    t = _df(spark, [(1, "a", 1.0), (1, "a", 1.0), (None, "n", 1.0), (3, "c", None), (4, "d", 4.0)])
+    v = recon.versions(s, t, ["id", "a", "b"])
+    each = recon.key_stats(v, "id", ["a", "b"]).select("__lc_d").collect()
+    assert len(each) == 5
+    assert [int(r[0]) for r in recon.diff_count_rows(v, "id", ["a", "b"]).collect()] == [sum(int(r[0]) for r in each)] == [6]
+    assert [r[0] for r in recon.diff_count_rows(v.where("false"), "id", ["a", "b"]).collect()] == [None]
