@@ -195,3 +195,13 @@ def test_key_differences_reach_the_check_log_as_one_row(spark):
     assert len(each) == 5
     assert [int(r[0]) for r in recon.diff_count_rows(v, "id", ["a", "b"]).collect()] == [sum(int(r[0]) for r in each)] == [6]
     assert [r[0] for r in recon.diff_count_rows(v.where("false"), "id", ["a", "b"]).collect()] == [None]
+
+
+def test_a_table_against_itself_is_grouped_apart_from_its_own_sorts(spark):
+    from lakecheck.operators.quality import dedup
+    c = dedup(_df(spark, [(i % 50 if i % 9 else None, f"x{i % 3}", float(i % 4)) for i in range(200)]), ["id"])
+    v = recon.versions(c, c, ["id", "a", "b"])
+    over = v._jdf.queryExecution().executedPlan().toString().split("Union")[0]
+    assert over.count("Exchange hashpartitioning(id") == 1, over       # between the sides' windows and the grouping
+    assert all(r["__lc_sn"] == r["__lc_tn"] == 1 for r in v.collect()) and v.count() == c.count() == 51
+    assert recon.record_diff(c, c, "id", ["a", "b"]).where("id is not null").count() == 0
