@@ -205,3 +205,33 @@ def test_a_table_against_itself_is_grouped_apart_from_its_own_sorts(spark):
     assert over.count("Exchange hashpartitioning(id") == 1, over       # between the sides' windows and the grouping
     assert all(r["__lc_sn"] == r["__lc_tn"] == 1 for r in v.collect()) and v.count() == c.count() == 51
     assert recon.record_diff(c, c, "id", ["a", "b"]).where("id is not null").count() == 0
+
+
+def test_versions_are_combined_apart_from_the_sides_own_sorts(spark):
+    from lakecheck.operators.quality import dedup
+    c = dedup(_df(spark, [(i, f"x{i % 3}", float(i % 4)) for i in range(200)]), ["id"])
+    v = recon.versions(_df(spark, [(1, "x1", 1.0)]), c, ["id", "a", "b"])
+    lines = v._jdf.queryExecution().executedPlan().toString().splitlines()
+    above = lines[:next(i for i, line in enumerate(lines) if "Union" in line)]
+    kinds = [next(k for k in ("HashAggregate", "Exchange") if k in line) for line in above if "HashAggregate" in line or "Exchange" in line]
+    assert kinds[-1] == "Exchange" and kinds.count("Exchange") == 2, lines       # nothing is combined in the sides' tasks
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = v.rdd.getNumPartitions()
+    assert parts == min(4 * n, 200) > n                                          # and the groups are in smaller ones
+
+
+def test_versions_of_a_hot_row_and_of_equal_doubles(spark):
+    zero, nan = [0.0, -0.0], float("nan")
+    src = [(7, "h", 1.5)] * 3000 + [(1, "z", zero[i % 2]) for i in range(40)] + [(None, None, nan), (2, None, None)] * 5
+    tgt = [(7, "h", 1.5)] * 20 + [(1, "z", -0.0), (None, None, nan), (2, None, 0.0)]
+    v = recon.versions(_df(spark, src).repartition(6), _df(spark, tgt).repartition(3), ["id", "a", "b"])
+    assert v.columns == ["id", "a", "b", recon.SN, recon.TN]
+    got = Counter({(r.id, r.a, str(r.b)): (r[recon.SN], r[recon.TN]) for r in v.collect()})
+    assert got == {(7, "h", "1.5"): (3000, 20), (1, "z", "0.0"): (40, 1), (None, None, "nan"): (5, 1),
+                   (2, None, "None"): (5, 0), (2, None, "0.0"): (0, 1)}
+    assert v.count() == 5
+
+
+def test_versions_of_doubles_only(spark):
+    s = _df(spark, [(i, "a", float(i % 3)) for i in range(30)]).select("b")
+    assert sorted(map(tuple, recon.versions(s, s, ["b"]).collect())) == [(0.0, 10, 10), (1.0, 10, 10), (2.0, 10, 10)]
