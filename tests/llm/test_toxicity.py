@@ -7,6 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from lakecheck.llm import common as C
 from lakecheck.llm import toxicity as T
 
 WORD = re.compile("[A-Za-z\x80-\U0010ffff]+")
@@ -78,3 +79,59 @@ def test_scores_use_all_learning_rows(spark):
     docs = [(i, t + (" odious" if c and i in fold else "")) for i, t, c in rows] + [(1000, "odious"), (1001, "calm")]
     got = {r["doc_id"]: r["peak"] for r in T.score(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(i, c) for i, _, c in rows], "doc_id long, toxic int")).collect()}
     assert got[1000] > 0.5 > got[1001]
+
+
+def shuffled_columns(df):
+    plan = df._jdf.queryExecution().explainString(df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    return [set(re.findall(r"(\w+)#", x)) for x in re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*)\]", plan)]
+
+
+@pytest.mark.parametrize("window,model_rows", [(1, 0), (1, 20), (2, 20)])
+def test_model_larger_than_memory(spark, window, model_rows):
+    """Words that are not looked up in memory count too, rows that come twice stay two; one-word windows move no text."""
+    learned = [(t, c) for _, t, c in corpus()]
+    ratio, other = plain_model(learned)
+    got, unseen = T.model(spark.createDataFrame(learned, "text string, toxic int"))
+    most, rest = T._parts(got, model_rows)
+    assert most.count() <= model_rows and most.count() + rest.count() == len(ratio)
+    asked = [(i, t) for i, t, _ in corpus(30)] * 2 + [(7, "vile anew"), (None, "vile foul"), (None, "anew"), (1, None), (2, ""), (3, "anew odd anew anew")]
+    f = T.features(spark.createDataFrame(asked, "id long, text string"), got, unseen, model_rows, window)
+    if window == 1:
+        assert (moved := shuffled_columns(f)) and not any("text" in x for x in moved)
+    want = sorted((-1 if i is None else i, *plain_features(t, ratio, other, window)) for i, t in asked)
+    found = sorted((-1 if r["id"] is None else r["id"], r["feature"], r["peak"]) for r in f.collect())
+    assert len(found) == len(want)
+    for a, b in zip(found, want, strict=True):
+        assert a == pytest.approx(b, abs=1e-9)
+
+
+def test_words_that_occur_most_are_in_memory(spark):
+    got, _ = T.model(spark.createDataFrame([("san francisco " * 9 + "a b", 0), ("c d e f san", 1)], "text string, toxic int"))
+    assert {r["n"] for r in T._parts(got, 3)[0].collect()} == {9, 10}
+
+
+def test_words_counted_in_slices(spark):
+    """Each slice has words of its own; together they are all words, as counted at once."""
+    train = spark.createDataFrame([(t, c) for _, t, c in corpus()], "text string, toxic int")
+    (one, u), (three, v) = T.model(train), T.model(train, slices=3)
+    assert u == v and sorted(map(tuple, one.collect())) == sorted(map(tuple, three.collect()))
+
+
+def test_score_keeps_one_table(spark):
+    rows = corpus()
+    docs, labels = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string"), spark.createDataFrame([(i, c) for i, _, c in rows], "doc_id long, toxic int")
+    before, mark = spark.conf.get(C.CLEANUP), C.made()
+    f = T.score(docs, labels, model_rows=20)
+    assert f.count() == len(rows) and C.made() == mark + 1 and spark.conf.get(C.CLEANUP) == before
+
+
+def test_labels_beyond_a_broadcast(spark):
+    """A shuffled join with the labels moves the texts of labelled rows and few others."""
+    df = spark.range(4000).selectExpr("id as doc_id", "concat('text ', id) as text").union(spark.createDataFrame([(None, "none"), (8, "again")], "doc_id long, text string"))
+    keys = spark.range(0, 4000, 8).selectExpr("id as doc_id", "cast(id % 2 as int) as toxic").union(spark.createDataFrame([(9999, 1)], "doc_id long, toxic int"))
+    want = sorted((r["doc_id"], r["text"], r["toxic"]) for r in df.join(keys, "doc_id").collect())
+    for rows in (10, C.BROADCAST_ROWS):
+        got = C.labelled(df, keys, "doc_id", rows)
+        assert sorted((r["doc_id"], r["text"], r["toxic"]) for r in got.collect()) == want and len(want) == 501
+    assert C.narrowed(df, keys, "doc_id").count() < 650
+    assert C.narrowed(df, keys.limit(0), "doc_id").count() == 0
