@@ -3,6 +3,7 @@
 import math
 import random
 import re
+from functools import partial
 
 import pytest
 from pyspark.sql import functions as F
@@ -135,3 +136,21 @@ def test_labels_beyond_a_broadcast(spark):
         assert sorted((r["doc_id"], r["text"], r["toxic"]) for r in got.collect()) == want and len(want) == 501
     assert C.narrowed(df, keys, "doc_id").count() < 650
     assert C.narrowed(df, keys.limit(0), "doc_id").count() == 0
+
+
+@pytest.mark.parametrize("refit", [True, False])
+def test_scores_do_not_depend_on_what_is_broadcast(spark, monkeypatch, refit):
+    """Labels and words beyond what is broadcast give the scores of the pipeline's stage and of op4 as before."""
+    rows = corpus(240)
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows] + [(3, "twice vile"), (3, "twice vile"), (None, "foul"), (900, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, c) for i, _, c in rows if i % 4], "doc_id long, toxic int")
+
+    def scores(**more):
+        return sorted(((-1 if r["doc_id"] is None else r["doc_id"]), r["text_hash"], r["score"], r["feature"], r["peak"])
+                      for r in T.score(docs, labels, refit=refit, **more).collect())
+    want = scores()
+    monkeypatch.setattr(C, "labelled", partial(C.labelled, rows=10))
+    found = scores(model_rows=20)
+    assert len(found) == len(want) == 244
+    for a, b in zip(found, want, strict=True):
+        assert a == pytest.approx(b, abs=1e-6)
